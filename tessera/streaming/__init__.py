@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The reference has no stream input, watermark, window or state: its jobs are
+batch reads of two Parquet matrices.  Nothing is built here on purpose.
+"""
