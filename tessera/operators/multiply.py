@@ -66,24 +66,30 @@ def join_statistics(a: Matrix, b: Matrix) -> DataFrame:
 
 
 def find_hot_keys(a: Matrix, b: Matrix, *, hot_fraction: float = DEFAULT_HOT_FRACTION,
-                  products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
+                  min_products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
+                  tasks: int | None = None,
                   max_salt: int = DEFAULT_MAX_SALT) -> list[HotKey]:
-    """Inner keys whose products exceed ``hot_fraction`` of all products.
+    """Inner keys whose products exceed one task's budget.
 
-    Two small jobs over per-key counts.  The collected list has fewer than
-    ``1/hot_fraction`` entries by construction (shares sum to one).
+    The budget is ``max(min_products_per_task, total/tasks, total·hot_fraction)``
+    with ``tasks`` = 4 × default parallelism, so fewer than ``1/hot_fraction``
+    keys can qualify (shares sum to one): the collected list is bounded.  A
+    hot key gets ``S(k) = ceil(work/budget)`` salt buckets.  Two small jobs
+    over per-key counts (map-side combined).
     """
+    if tasks is None:
+        tasks = 4 * a.df.sparkSession.sparkContext.defaultParallelism
     st = join_statistics(a, b).cache()
     try:
         total = st.agg(F.sum("work").alias("w")).first()["w"] or 0
-        thr = max(products_per_task, math.ceil(total * hot_fraction))
-        rows = st.filter(F.col("work") > F.lit(thr)).collect()
+        budget = max(min_products_per_task, math.ceil(total / max(1, tasks)), math.ceil(total * hot_fraction))
+        rows = st.filter(F.col("work") > F.lit(budget)).collect()
     finally:
         st.unpersist()
     hot = []
     for r in rows:
         big = max(r["left_cells"], r["right_cells"])
-        salts = min(max_salt, big, math.ceil(r["work"] / products_per_task))
+        salts = min(max_salt, big, math.ceil(r["work"] / budget))
         if salts > 1:
             hot.append(HotKey(int(r["k"]), int(r["left_cells"]), int(r["right_cells"]), int(salts)))
     return hot
