@@ -61,7 +61,7 @@ def join_statistics(a: Matrix, b: Matrix) -> DataFrame:
     """Per inner key: cells on each side and the number of products ``work``."""
     ka = a.df.groupBy(F.col(COL).alias("k")).agg(F.count(F.lit(1)).alias("left_cells"))
     kb = b.df.groupBy(F.col(ROW).alias("k")).agg(F.count(F.lit(1)).alias("right_cells"))
-    st = ka.join(kb, "k")
+    st = ka.alias("x").join(kb.alias("y"), F.col("x.k") == F.col("y.k")).select("x.k", "left_cells", "right_cells")
     return st.withColumn("work", F.col("left_cells") * F.col("right_cells"))
 
 
@@ -98,20 +98,30 @@ def find_hot_keys(a: Matrix, b: Matrix, *, hot_fraction: float = DEFAULT_HOT_FRA
 def _salted(left: DataFrame, right: DataFrame, hot: list[HotKey]) -> tuple[DataFrame, DataFrame]:
     spark = left.sparkSession
     plan = spark.createDataFrame(
-        [(h.k, h.salts, h.split_left) for h in hot], "k int, salts int, split_left boolean")
+        [(h.k, h.salts, h.split_left) for h in hot], "key int, salts int, split_left boolean")
     plan = F.broadcast(plan)  # fewer than 1/hot_fraction rows: bounded
 
-    def tag(df: DataFrame, outer: str, is_left: bool) -> DataFrame:
-        d = df.join(plan, "k", "left")
+    def tag(df: DataFrame, is_left: bool) -> DataFrame:
+        d = df.join(plan, "key", "left")
         s = F.coalesce(F.col("salts"), F.lit(1))
         split_me = F.col("split_left") if is_left else ~F.col("split_left")
         bucket = F.when(
             s > 1,
-            F.when(split_me, F.array(F.pmod(F.hash(F.col(outer)), s))).otherwise(F.sequence(F.lit(0), s - 1)),
+            F.when(split_me, F.array(F.pmod(F.hash(F.col("other")), s))).otherwise(F.sequence(F.lit(0), s - 1)),
         ).otherwise(F.array(F.lit(0)))
-        return d.select(*[c for c in df.columns], F.explode(bucket).alias("salt"))
+        return d.select("key", "other", "val", F.explode(bucket).alias("salt"))
 
-    return tag(left, "i", True), tag(right, "j", False)
+    return tag(left, True), tag(right, False)
+
+
+def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
+    """Join input with one fixed column layout (``key, other, val``).
+
+    Both operands of a self-product (``Q·Qᵀ``, ``QᵀQ``) then have the same
+    canonical plan, so Spark scans, aggregates and shuffles the shared
+    operand once and reuses the exchange for the other side.
+    """
+    return m.df.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(VALUE).cast(vt).alias("val"))
 
 
 def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
@@ -129,21 +139,24 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
     a, b = as_matrix(a), as_matrix(b)
     _inner_dim(a, b)
     vt = result_type(a, b)
-    left = a.df.select(F.col(ROW).alias("i"), F.col(COL).alias("k"), F.col(VALUE).cast(vt).alias("u"))
-    right = b.df.select(F.col(ROW).alias("k"), F.col(COL).alias("j"), F.col(VALUE).cast(vt).alias("v"))
-    keys = ["k"]
+    left = _side(a, COL, ROW, vt)
+    right = _side(b, ROW, COL, vt)
+    keys = ["key"]
 
     if skew == "salt" and hot_keys is None:
         hot_keys = find_hot_keys(a, b, **hot_opts)
     if hot_keys:
         left, right = _salted(left, right, hot_keys)
-        keys = ["k", "salt"]
+        keys = ["key", "salt"]
     elif b.max_cells is not None and b.max_cells <= broadcast_cells:
         right = F.broadcast(right)
     elif a.max_cells is not None and a.max_cells <= broadcast_cells:
         left = F.broadcast(left)
 
-    prod = left.join(right, keys).select("i", "j", (F.col("u") * F.col("v")).alias("p"))
+    l, r = left.alias("l"), right.alias("r")
+    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    prod = l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
+                                  (F.col("l.val") * F.col("r.val")).alias("p"))
     out = prod.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
     return Matrix(out.select(F.col("i").alias(ROW), F.col("j").alias(COL), VALUE), a.n_rows, b.n_cols)
 

@@ -9,9 +9,9 @@ Instead of a driver-side recursion, every level is a re-keying of cells:
   ``groupBy(path, row mod h, col mod h).sum(w·value)`` — one shuffle for any
   ``L``.  B goes the same way with β.
 * **leaf** — all ``7^L`` products in one join on ``(path, k)``.
-* **up** — each leaf product is sent, through γ, to its place in C and summed
-  by ``(row, col)``; because that step is linear it is fused with the leaf
-  aggregate, so the plan has one final shuffle.
+* **up** — the leaf products are summed per ``(path, i, j)``, then each is
+  sent through γ to its place in C (chained explodes again) and summed by
+  ``(row, col)``.
 
 Shapes may be odd or rectangular: each dimension is padded (as a number,
 no cells are added) to a multiple of ``2^L``, and cells outside the true
@@ -96,6 +96,10 @@ def operands(m: Matrix, side: str, levels: int, *,
     return out
 
 
+def _pack(path: Column, k: Column) -> Column:
+    return F.shiftleft(path.cast("long"), 32).bitwiseOR(k.cast("long"))
+
+
 def _digit(path: Column, level: int, levels: int) -> Column:
     shift = 3 * (levels - 1 - level)  # PATH_BASE = 8: three bits per level
     return F.shiftright(path, shift).bitwiseAND(F.lit(PATH_BASE - 1)).cast("int")
@@ -122,13 +126,18 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
     wt = _weight_type(vt)
     hm, hn = halves(m_, levels), halves(n_, levels)
 
+    # The leaf join key (path, k) is packed into one BIGINT so the join runs on
+    # Spark's single-long-key hash path.
     left = operands(a, "A", levels, drop_zeros=True, dims=(m_, k_)) \
-        .select("path", F.col(ROW).alias("i"), F.col(COL).alias("k"), F.col(VALUE).alias("u"))
+        .select("path", _pack(F.col("path"), F.col(COL)).alias("pk"), F.col(ROW).alias("i"), F.col(VALUE).alias("u"))
     right = operands(b, "B", levels, drop_zeros=True, dims=(k_, n_)) \
-        .select("path", F.col(ROW).alias("k"), F.col(COL).alias("j"), F.col(VALUE).alias("v"))
-    cur = left.join(right, ["path", "k"]).select(
-        "path", F.col("i").alias(ROW), F.col("j").alias(COL),
-        (F.col("u") * F.col("v")).alias(VALUE), F.lit(1).cast(wt).alias("w"))
+        .select(_pack(F.col("path"), F.col(ROW)).alias("pk"), F.col(COL).alias("j"), F.col(VALUE).alias("v"))
+    # Leaf: all 7^L products in one join; the sum over k is pre-aggregated
+    # (map-side partial + final) so the up-step only sees one cell per
+    # (path, i, j) instead of every scalar product.
+    leaf = left.join(right, "pk").groupBy("path", "i", "j") \
+        .agg(F.sum(F.col("u") * F.col("v")).cast(vt).alias(VALUE))
+    cur = leaf.select("path", F.col("i").alias(ROW), F.col("j").alias(COL), VALUE, F.lit(1).cast(wt).alias("w"))
 
     # Up: the leaf block is the deepest quadrant; level L-1 … 0 place it in C.
     for lvl in range(levels - 1, -1, -1):

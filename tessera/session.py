@@ -22,6 +22,10 @@ def build_session(master: str = "local[8]", app: str = "tessera", shuffle_partit
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Join outputs here are far larger than their inputs (n³ products from
+        # n² cells): keep byte-based coalescing from collapsing small inputs
+        # into one or two tasks.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
         # Static (estimate-based) broadcast off: broadcasts happen only behind a
         # shape check in the operators, or at runtime when AQE has measured the
         # real shuffle output of a side.
