@@ -34,6 +34,7 @@ DEFAULT_BROADCAST_CELLS = 1_000_000      # ≈ 32 MB of (k, j, v) rows
 DEFAULT_HOT_FRACTION = 1.0 / 1024        # a key is hot above this share of all products
 DEFAULT_PRODUCTS_PER_TASK = 20_000_000   # products one salted task should form
 DEFAULT_MAX_SALT = 1024
+SPREAD_CELLS = 16_000_000                # a streamed side this small may be re-spread by row
 
 
 @dataclass(frozen=True)
@@ -124,6 +125,24 @@ def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
     return m.df.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(VALUE).cast(vt).alias("val"))
 
 
+def _spread(side: DataFrame, m: Matrix) -> DataFrame:
+    """Hash-partition a proven-small streamed side by its outer index.
+
+    A broadcast join runs one task per streamed partition, and a small table
+    can arrive in a single partition with every product in one task.  Spread
+    by the outer index, each output cell's partial sums meet in one task, so
+    the final ``groupBy(i, j)`` needs no further shuffle (hash partitioning on
+    ``i`` already clusters ``(i, j)``): the join output, which is larger than
+    its input, is never shuffled.  Only under a shape bound, so this shuffle
+    is bounded too.  (Asking the plan for its partition count is avoided on
+    purpose: with adaptive execution that runs the plan.)
+    """
+    if m.max_cells is None or m.max_cells > SPREAD_CELLS:
+        return side
+    par = side.sparkSession.sparkContext.defaultParallelism
+    return side.repartition(par, "other")
+
+
 def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
              broadcast_cells: int = DEFAULT_BROADCAST_CELLS,
              skew: str = "aqe",
@@ -150,8 +169,10 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
         keys = ["key", "salt"]
     elif b.max_cells is not None and b.max_cells <= broadcast_cells:
         right = F.broadcast(right)
+        left = _spread(left, a)
     elif a.max_cells is not None and a.max_cells <= broadcast_cells:
         left = F.broadcast(left)
+        right = _spread(right, b)
 
     l, r = left.alias("l"), right.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]

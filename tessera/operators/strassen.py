@@ -8,8 +8,9 @@ Instead of a driver-side recursion, every level is a re-keying of cells:
   All ``L`` levels are chained ``explode`` steps (narrow), followed by a single
   ``groupBy(path, row mod h, col mod h).sum(w·value)`` — one shuffle for any
   ``L``.  B goes the same way with β.
-* **leaf** — all ``7^L`` products in one join on ``(path, k)``.
-* **up** — the leaf products are summed per ``(path, i, j)``, then each is
+* **leaf** — all ``7^L`` products in one join on ``(path, k)``: a single
+  batched :func:`multiply` on path-packed coordinates.
+* **up** — the leaf products, summed per ``(path, i, j)``, are each
   sent through γ to its place in C (chained explodes again) and summed by
   ``(row, col)``.
 
@@ -107,8 +108,11 @@ def _digit(path: Column, level: int, levels: int) -> Column:
 
 def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None = None,
              threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH,
-             compact_zeros: bool = False) -> Matrix:
-    """``A·B`` by Strassen's method with ``levels`` levels (default: from the size rule)."""
+             compact_zeros: bool = False, **mult_opts) -> Matrix:
+    """``A·B`` by Strassen's method with ``levels`` levels (default: from the size rule).
+
+    ``mult_opts`` go to the leaf :func:`multiply` (``skew``, ``broadcast_cells``, …).
+    """
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
     if a.n_cols != b.n_rows:
         raise ValueError(f"inner dimensions differ: {a.shape} · {b.shape}")
@@ -126,18 +130,20 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
     wt = _weight_type(vt)
     hm, hn = halves(m_, levels), halves(n_, levels)
 
-    # The leaf join key (path, k) is packed into one BIGINT so the join runs on
-    # Spark's single-long-key hash path.
-    left = operands(a, "A", levels, drop_zeros=True, dims=(m_, k_)) \
-        .select("path", _pack(F.col("path"), F.col(COL)).alias("pk"), F.col(ROW).alias("i"), F.col(VALUE).alias("u"))
-    right = operands(b, "B", levels, drop_zeros=True, dims=(k_, n_)) \
-        .select(_pack(F.col("path"), F.col(ROW)).alias("pk"), F.col(COL).alias("j"), F.col(VALUE).alias("v"))
-    # Leaf: all 7^L products in one join; the sum over k is pre-aggregated
-    # (map-side partial + final) so the up-step only sees one cell per
-    # (path, i, j) instead of every scalar product.
-    leaf = left.join(right, "pk").groupBy("path", "i", "j") \
-        .agg(F.sum(F.col("u") * F.col("v")).cast(vt).alias(VALUE))
-    cur = leaf.select("path", F.col("i").alias(ROW), F.col("j").alias(COL), VALUE, F.lit(1).cast(wt).alias("w"))
+    # Leaf: the 7^L products are one batched multiply.  Packing the path into
+    # both coordinates, A'[(path,i), (path,k)] · B'[(path,k), j] is an ordinary
+    # product, so the standard multiply's shape-checked broadcast, spreading
+    # and skew handling apply to the leaf as well.
+    paths = 7 ** levels
+    hk = halves(k_, levels)[-1]
+    a_leaf = operands(a, "A", levels, drop_zeros=True, dims=(m_, k_)).select(
+        _pack(F.col("path"), F.col(ROW)).alias(ROW), _pack(F.col("path"), F.col(COL)).alias(COL), VALUE)
+    b_leaf = operands(b, "B", levels, drop_zeros=True, dims=(k_, n_)).select(
+        _pack(F.col("path"), F.col(ROW)).alias(ROW), F.col(COL), VALUE)
+    leaf = multiply(Matrix(a_leaf, paths * hm[-1], paths * hk), Matrix(b_leaf, paths * hk, hn[-1]), **mult_opts)
+    cur = leaf.df.select(F.shiftright(F.col(ROW), 32).alias("path"),
+                         F.col(ROW).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(ROW),
+                         F.col(COL), F.col(VALUE), F.lit(1).cast(wt).alias("w"))
 
     # Up: the leaf block is the deepest quadrant; level L-1 … 0 place it in C.
     for lvl in range(levels - 1, -1, -1):

@@ -30,8 +30,8 @@ from .sweep import SweepCase, run_sweep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Tile edge for the tiled queries; 128 keeps several tiles per operand at every scale.
-TILE = 128
+# Tile edge for the tiled queries: the embedding width, so E is one column of tiles.
+TILE = 64
 
 
 # ---------------------------------------------------------------------------
@@ -44,19 +44,31 @@ def q_multiply_sparse(spark: SparkSession, sf: str) -> DataFrame:
     return multiply(transpose(q), q).df
 
 
-def q_multiply_rect(spark: SparkSession, sf: str) -> DataFrame:
-    """Q[supplier, part] · I[part, brand]: quantity per supplier and brand."""
+def _supplier_brand(spark: SparkSession, sf: str) -> Matrix:
+    """S = Q[supplier, part] · I[part, brand]: quantity per supplier and brand (dense)."""
     q = supplier_part(spark, sf)
     i = part_brand(spark, sf)
     n_parts = max(q.n_cols, i.n_rows)
-    return multiply(Matrix(q.df, q.n_rows, n_parts), Matrix(i.df, n_parts, i.n_cols)).df
+    return multiply(Matrix(q.df, q.n_rows, n_parts), Matrix(i.df, n_parts, i.n_cols))
 
 
-def q_gram_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    """E·Eᵀ over the embedding vectors, rounded to 6 places."""
+def q_multiply_rect(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[supplier, part] · I[part, brand] (rectangular operands)."""
+    return _supplier_brand(spark, sf).df
+
+
+def _rounded(m: Matrix) -> DataFrame:
+    return m.df.select(ROW, COL, F.round(VALUE, 6).alias(VALUE))
+
+
+def _embeddings_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
     e = embedding_matrix(spark, sf)
-    c = multiply(e, transpose(e), skew="salt")
-    return c.df.select(ROW, COL, F.round(VALUE, 6).alias(VALUE))
+    return e, transpose(e)
+
+
+def q_gram_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    """E·Eᵀ over the embedding vectors (coordinate form), rounded to 6 places."""
+    return _rounded(multiply(*_embeddings_gram(spark, sf), skew="salt"))
 
 
 def _supplier_gram(spark: SparkSession, sf: str, value_type: str = "double") -> tuple[Matrix, Matrix]:
@@ -64,6 +76,12 @@ def _supplier_gram(spark: SparkSession, sf: str, value_type: str = "double") ->
     return q, transpose(q)
 
 
+def _brand_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
+    """S and Sᵀ for the dense supplier × brand matrix S (integer-valued doubles)."""
+    s = _supplier_brand(spark, sf)
+    return s, transpose(s)
+
+
 def q_multiply_standard(spark: SparkSession, sf: str) -> DataFrame:
     """Supplier co-supply Q·Qᵀ, Q[supplier, part] = Σ quantity."""
     return multiply(*_supplier_gram(spark, sf)).df
@@ -75,11 +93,13 @@ def q_multiply_integer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_multiply_blocked(spark: SparkSession, sf: str) -> DataFrame:
-    return multiply_blocked(*_supplier_gram(spark, sf), tile=TILE).df
+    """E·Eᵀ over dense tiles, rounded to 6 places."""
+    return _rounded(multiply_blocked(*_embeddings_gram(spark, sf), tile=TILE))
 
 
 def q_multiply_strassen_tiled(spark: SparkSession, sf: str) -> DataFrame:
-    return multiply_strassen_tiled(*_supplier_gram(spark, sf), tile=TILE // 2, levels=1).df
+    """E·Eᵀ by one Strassen level over dense tiles, rounded to 6 places."""
+    return _rounded(multiply_strassen_tiled(*_embeddings_gram(spark, sf), tile=TILE, levels=1))
 
 
 def q_strassen_operands(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,11 +108,13 @@ def q_strassen_operands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_multiply_strassen_1(spark: SparkSession, sf: str) -> DataFrame:
-    return strassen(*_supplier_gram(spark, sf), levels=1, compact_zeros=True).df
+    """S·Sᵀ (supplier × supplier over brands) by Strassen, one level."""
+    return strassen(*_brand_gram(spark, sf), levels=1, compact_zeros=True).df
 
 
 def q_multiply_strassen_2(spark: SparkSession, sf: str) -> DataFrame:
-    return strassen(*_supplier_gram(spark, sf), levels=2, compact_zeros=True).df
+    """S·Sᵀ by Strassen, two levels (inner size 25 padded to 28)."""
+    return strassen(*_brand_gram(spark, sf), levels=2, compact_zeros=True).df
 
 
 def q_multiply_strassen_odd(spark: SparkSession, sf: str) -> DataFrame:
@@ -141,7 +163,8 @@ def q_validate_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_compare_algorithms(spark: SparkSession, sf: str) -> DataFrame:
-    a, b = _supplier_gram(spark, sf)
+    """Standard against one-level Strassen on S·Sᵀ."""
+    a, b = _brand_gram(spark, sf)
     return compare_algorithms(a, b, levels=1)
 
 
@@ -151,7 +174,7 @@ def _sweep_cases(spark: SparkSession, sf: str) -> list[SweepCase]:
         return u, transpose(u)
 
     def suppliers():
-        return _supplier_gram(spark, sf)
+        return _brand_gram(spark, sf)
 
     def vectors():
         e = embedding_matrix(spark, sf)
@@ -162,7 +185,7 @@ def _sweep_cases(spark: SparkSession, sf: str) -> list[SweepCase]:
 
 
 def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Sweep Strassen (one level) over three table-derived products; the run log."""
+    """Sweep Strassen (one level) over U·Uᵀ, S·Sᵀ and E·Eᵀ; the run log."""
     log = run_sweep(spark, _sweep_cases(spark, sf), scratch_path(spark, "sweep"), algorithm="strassen", levels=1)
     return log.select("order", "matrix_size", "algorithm", "status")
 
@@ -248,6 +271,13 @@ def _gram_sql(cells: str, vt: str = "DOUBLE", rows_of: str = "r", inner: str = "
             f"GROUP BY 1, 2{having}")
 
 
+SQL_S = (f"WITH a AS ({SQL_QSP}), b AS ({SQL_IPB}) "
+         f"SELECT a.r AS r, b.c AS c, CAST(sum(a.v * b.v) AS DOUBLE) AS v FROM a JOIN b ON a.c = b.r GROUP BY 1, 2")
+SQL_E_GRAM = (f"WITH e AS ({SQL_E}) "
+              f'SELECT x.r AS "row", y.r AS col, round(sum(x.v * y.v), 6) AS value '
+              f"FROM e x JOIN e y ON x.c = y.c GROUP BY 1, 2")
+
+
 def _elementwise_sql(op: str) -> str:
     return (f"WITH a AS ({SQL_QSP_ODD}), b AS ({SQL_QSP_EVEN}) "
             f'SELECT coalesce(a.r, b.r) AS "row", coalesce(a.c, b.c) AS col, '
@@ -263,23 +293,19 @@ _HALF = ("SELECT CAST((max(l_suppkey) + 2) // 2 AS INTEGER) AS hr, "
 
 SQL: dict[str, str] = {
     "multiply_sparse": _gram_sql(SQL_QOP, rows_of="c", inner="r"),
-    "multiply_rect": (f"WITH a AS ({SQL_QSP}), b AS ({SQL_IPB}) "
-                      f'SELECT a.r AS "row", b.c AS col, CAST(sum(a.v * b.v) AS DOUBLE) AS value '
-                      f"FROM a JOIN b ON a.c = b.r GROUP BY 1, 2"),
-    "gram_embeddings": (f"WITH e AS ({SQL_E}) "
-                        f'SELECT x.r AS "row", y.r AS col, round(sum(x.v * y.v), 6) AS value '
-                        f"FROM e x JOIN e y ON x.c = y.c GROUP BY 1, 2"),
+    "multiply_rect": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_S})',
+    "gram_embeddings": SQL_E_GRAM,
     "multiply_standard": _gram_sql(SQL_QSP),
     "multiply_integer": _gram_sql(SQL_QSP_INT, vt="BIGINT"),
-    "multiply_blocked": _gram_sql(SQL_QSP, nonzero=True),
-    "multiply_strassen_tiled": _gram_sql(SQL_QSP, nonzero=True),
+    "multiply_blocked": SQL_E_GRAM,
+    "multiply_strassen_tiled": SQL_E_GRAM,
     "strassen_operands": (f"WITH q AS ({SQL_QSP}), h AS ({_HALF}), alpha(p, qi, qj, w) AS (VALUES {_ALPHA_VALUES}) "
                           f'SELECT CAST(a.p AS BIGINT) AS path, CAST(q.r % h.hr AS INTEGER) AS "row", '
                           f"CAST(q.c % h.hc AS INTEGER) AS col, CAST(sum(a.w * q.v) AS DOUBLE) AS value "
                           f"FROM q CROSS JOIN h JOIN alpha a ON q.r // h.hr = a.qi AND q.c // h.hc = a.qj "
                           f"GROUP BY 1, 2, 3"),
-    "multiply_strassen_1": _gram_sql(SQL_QSP, nonzero=True),
-    "multiply_strassen_2": _gram_sql(SQL_QSP, nonzero=True),
+    "multiply_strassen_1": _gram_sql(SQL_S, nonzero=True),
+    "multiply_strassen_2": _gram_sql(SQL_S, nonzero=True),
     "multiply_strassen_odd": _gram_sql(SQL_U, nonzero=True),
     "multiply_hot_keys": _gram_sql(SQL_U),
     "add_matrices": _elementwise_sql("+"),
