@@ -152,10 +152,10 @@ def validate(m: Matrix | DataFrame, *, check_bounds: bool = True) -> dict:
     if rep["duplicate_coordinates"]:
         problems.append(f"{rep['duplicate_coordinates']} duplicated coordinates")
     if check_bounds and mat.n_rows is not None and mat.n_cols is not None:
-        bad = mat.df.filter(
+        outside = mat.df.filter(
             (F.col(ROW) < 0) | (F.col(ROW) >= mat.n_rows) | (F.col(COL) < 0) | (F.col(COL) >= mat.n_cols)
-        ).limit(1).count()
-        if bad:
+        )
+        if not outside.isEmpty():
             problems.append(f"cells outside the {mat.n_rows}x{mat.n_cols} shape")
     if problems:
         raise InvalidMatrix("; ".join(problems))
