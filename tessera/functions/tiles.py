@@ -35,6 +35,15 @@ def encode(tile: np.ndarray) -> bytes:
     return np.ascontiguousarray(tile).tobytes()
 
 
+def densify(pos, val, b: int, dtype) -> np.ndarray:
+    """Dense tile from the sparse (flat position, value) lists built in the JVM."""
+    t = np.zeros(b * b, dtype=dtype)
+    p = np.asarray(pos, dtype=np.int64)
+    if p.size:
+        np.add.at(t, p, np.asarray(val).astype(dtype))
+    return t.reshape(b, b)
+
+
 def checked_matmul(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Tile product; integer tiles raise instead of wrapping around."""
     if x.dtype == np.int64:
@@ -44,28 +53,15 @@ def checked_matmul(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return x @ y
 
 
-def build_tiles_fn(b: int, value_type: str):
-    """Grouped function: cells of one ``(bi, bj)`` block → one tile row."""
-    dt = dtype_for(value_type)
-
-    def build(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tile = np.zeros((b, b), dtype=dt)
-        for pdf in it:
-            np.add.at(tile, (pdf["li"].to_numpy(), pdf["lj"].to_numpy()), pdf["value"].to_numpy().astype(dt))
-        yield pd.DataFrame({"bi": [key[0]], "bj": [key[1]], "tile": [encode(tile)]})
-
-    return build
-
-
 def weighted_sum_fn(b: int, value_type: str, key_names: list[str]):
-    """Grouped function: ``Σ w·tile`` over a group → one tile row keyed by ``key_names``."""
+    """Grouped function: ``Σ w·tile`` over sparse tiles of a group → one dense tile row."""
     dt = dtype_for(value_type)
 
     def summed(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = np.zeros((b, b), dtype=dt)
         for pdf in it:
-            for w, buf in zip(pdf["w"].to_numpy(), pdf["tile"]):
-                acc += dt(w) * decode(buf, b, dt)
+            for w, pos, val in zip(pdf["w"].to_numpy(), pdf["pos"], pdf["val"]):
+                acc += dt(w) * densify(pos, val, b, dt)
         out = {name: [k] for name, k in zip(key_names, key)}
         out["tile"] = [encode(acc)]
         yield pd.DataFrame(out)
@@ -73,14 +69,23 @@ def weighted_sum_fn(b: int, value_type: str, key_names: list[str]):
     return summed
 
 
-def products_fn(b: int, value_type: str, keep: list[str]):
-    """mapInPandas function: each joined row ``(ta, tb)`` → ``ta @ tb`` (keeps ``keep`` columns)."""
+def products_fn(b: int, value_type: str, keep: list[str], sparse: bool):
+    """mapInPandas function: each joined row's tile pair → one dense product tile.
+
+    ``sparse`` inputs are ``(pa, va)`` / ``(pb, vb)`` position/value lists,
+    otherwise dense ``ta`` / ``tb`` bytes.
+    """
     dt = dtype_for(value_type)
 
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            tiles = [encode(checked_matmul(decode(x, b, dt), decode(y, b, dt)))
-                     for x, y in zip(pdf["ta"], pdf["tb"])]
+            if sparse:
+                xs = (densify(p, v, b, dt) for p, v in zip(pdf["pa"], pdf["va"]))
+                ys = (densify(p, v, b, dt) for p, v in zip(pdf["pb"], pdf["vb"]))
+            else:
+                xs = (decode(x, b, dt) for x in pdf["ta"])
+                ys = (decode(y, b, dt) for y in pdf["tb"])
+            tiles = [encode(checked_matmul(x, y)) for x, y in zip(xs, ys)]
             out = pdf[keep].copy()
             out["tile"] = tiles
             yield out

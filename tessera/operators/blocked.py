@@ -1,6 +1,6 @@
 """Tiled (blocked) multiplication for dense matrices, plain and Strassen.
 
-Cells are packed into dense ``b × b`` tiles keyed ``(bi, bj)``; the product
+Cells are gathered per ``b × b`` block ``(bi, bj)`` in the JVM; the product
 joins A-tiles and B-tiles on the inner block index, forms each tile product
 right after the join (``mapInPandas``, one numpy ``@`` per pair), and sums
 the partial tiles of each output block with a grouped function that streams
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coefficients import ALPHA, BETA, PATH_BASE, down_terms, up_terms
-from ..functions.tiles import build_tiles_fn, cells_fn, products_fn, weighted_sum_fn
+from ..functions.tiles import cells_fn, products_fn, weighted_sum_fn
 from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
 from .multiply import result_type
 from .strassen import halves
@@ -44,12 +44,16 @@ def _limit_batches(spark: SparkSession, tile: int) -> None:
 
 
 def to_tiles(m: Matrix, tile: int) -> DataFrame:
-    """``(bi, bj, tile)`` for every block that holds at least one cell."""
-    vt = m.value_type
+    """``(bi, bj, pos, val)``: the cells of each non-empty block as flat positions and values.
+
+    Built in the JVM with one aggregate; a group holds at most ``tile²`` cells
+    (unique coordinates), and the two lists of one group are filled in the
+    same row order.  Tiles are made dense only inside the product tasks.
+    """
     cells = m.df.select(
         (F.col(ROW) / tile).cast("int").alias("bi"), (F.col(COL) / tile).cast("int").alias("bj"),
-        (F.col(ROW) % tile).alias("li"), (F.col(COL) % tile).alias("lj"), F.col(VALUE))
-    return cells.groupBy("bi", "bj").applyInPandas(build_tiles_fn(tile, vt), TILE_SCHEMA)
+        ((F.col(ROW) % tile) * tile + (F.col(COL) % tile)).cast("int").alias("pos"), F.col(VALUE))
+    return cells.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
 
 
 def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int = 512) -> Matrix:
@@ -61,10 +65,10 @@ def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int
     a, b = a.cast(vt), b.cast(vt)
     spark = a.df.sparkSession
     _limit_batches(spark, tile)
-    ta = to_tiles(a, tile).select("bi", F.col("bj").alias("bk"), F.col("tile").alias("ta"))
-    tb = to_tiles(b, tile).select(F.col("bi").alias("bk"), "bj", F.col("tile").alias("tb"))
+    ta = to_tiles(a, tile).select("bi", F.col("bj").alias("bk"), F.col("pos").alias("pa"), F.col("val").alias("va"))
+    tb = to_tiles(b, tile).select(F.col("bi").alias("bk"), "bj", F.col("pos").alias("pb"), F.col("val").alias("vb"))
     pairs = ta.join(tb, "bk")
-    prods = pairs.mapInPandas(products_fn(tile, vt, ["bi", "bj"]), TILE_SCHEMA)
+    prods = pairs.mapInPandas(products_fn(tile, vt, ["bi", "bj"], sparse=True), TILE_SCHEMA)
     out_schema = f"row int, col int, value {vt}"
     cells = prods.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
     return Matrix(cells, a.n_rows, b.n_cols)
@@ -73,14 +77,14 @@ def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int
 def _tile_down(tiles: DataFrame, table: dict, hr: list[int], hc: list[int], tile: int, vt: str) -> DataFrame:
     """Strassen operands over tiles: ``(path, bi, bj, tile)`` with ``7^L`` paths."""
     wt = "bigint" if vt == "bigint" else "double"
-    cur = tiles.select("bi", "bj", "tile", F.lit(0).cast("long").alias("path"), F.lit(1).cast(wt).alias("w"))
+    cur = tiles.select("bi", "bj", "pos", "val", F.lit(0).cast("long").alias("path"), F.lit(1).cast(wt).alias("w"))
     for h_r, h_c in zip(hr, hc):
         q = (F.pmod(F.floor(F.col("bi") / h_r), F.lit(2)) * 2 + F.pmod(F.floor(F.col("bj") / h_c), F.lit(2))).cast("int")
-        cur = cur.select("bi", "bj", "tile", "path", "w", F.explode(down_terms(table, q, wt)).alias("t"))
-        cur = cur.select("bi", "bj", "tile", (F.col("path") * PATH_BASE + F.col("t.p")).alias("path"),
+        cur = cur.select("bi", "bj", "pos", "val", "path", "w", F.explode(down_terms(table, q, wt)).alias("t"))
+        cur = cur.select("bi", "bj", "pos", "val", (F.col("path") * PATH_BASE + F.col("t.p")).alias("path"),
                          (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
     cur = cur.select("path", (F.col("bi") % hr[-1]).cast("int").alias("bi"),
-                     (F.col("bj") % hc[-1]).cast("int").alias("bj"), "w", "tile")
+                     (F.col("bj") % hc[-1]).cast("int").alias("bj"), "w", "pos", "val")
     return cur.groupBy("path", "bi", "bj").applyInPandas(
         weighted_sum_fn(tile, vt, ["path", "bi", "bj"]), "path long, bi int, bj int, tile binary")
 
@@ -106,7 +110,7 @@ def multiply_strassen_tiled(a: Matrix | DataFrame, b: Matrix | DataFrame, *, til
     right = _tile_down(to_tiles(b, tile), BETA, hk, hn, tile, vt) \
         .select("path", F.col("bi").alias("bk"), "bj", F.col("tile").alias("tb"))
     prods = left.join(right, ["path", "bk"]).mapInPandas(
-        products_fn(tile, vt, ["path", "bi", "bj"]), "path long, bi int, bj int, tile binary")
+        products_fn(tile, vt, ["path", "bi", "bj"], sparse=False), "path long, bi int, bj int, tile binary")
 
     cur = prods.select("path", "bi", "bj", "tile", F.lit(1).cast(wt).alias("w"))
     for lvl in range(levels - 1, -1, -1):
