@@ -35,6 +35,7 @@ DEFAULT_HOT_FRACTION = 1.0 / 1024        # a key is hot above this share of all
 DEFAULT_PRODUCTS_PER_TASK = 20_000_000   # products one salted task should form
 DEFAULT_MAX_SALT = 1024
 SPREAD_CELLS = 16_000_000                # a streamed side this small may be re-spread by row
+MEASURE_CELLS = 100 * DEFAULT_BROADCAST_CELLS  # shape bounds up to this are worth one count
 
 
 @dataclass(frozen=True)
@@ -125,7 +126,19 @@ def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
     return m.df.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(VALUE).cast(vt).alias("val"))
 
 
-def _spread(side: DataFrame, m: Matrix) -> DataFrame:
+def _cell_bound(m: Matrix, measure_cells: int) -> int | None:
+    """A proven upper bound on the cells of ``m``: its shape, or one exact count.
+
+    Counting is only worth it when the shape bound is loose but not huge; a
+    larger side is never counted (it could not be broadcast anyway).
+    """
+    bound = m.max_cells
+    if bound is None or bound <= DEFAULT_BROADCAST_CELLS or bound > measure_cells:
+        return bound
+    return min(bound, m.df.count())
+
+
+def _spread(side: DataFrame, m: Matrix, bound: int | None) -> DataFrame:
     """Hash-partition a proven-small streamed side by its outer index.
 
     A broadcast join runs one task per streamed partition, and a small table
@@ -133,11 +146,11 @@ def _spread(side: DataFrame, m: Matrix) -> DataFrame:
     by the outer index, each output cell's partial sums meet in one task, so
     the final ``groupBy(i, j)`` needs no further shuffle (hash partitioning on
     ``i`` already clusters ``(i, j)``): the join output, which is larger than
-    its input, is never shuffled.  Only under a shape bound, so this shuffle
+    its input, is never shuffled.  Only under a proven bound, so this shuffle
     is bounded too.  (Asking the plan for its partition count is avoided on
     purpose: with adaptive execution that runs the plan.)
     """
-    if m.max_cells is None or m.max_cells > SPREAD_CELLS:
+    if bound is None or bound > SPREAD_CELLS:
         return side
     par = side.sparkSession.sparkContext.defaultParallelism
     return side.repartition(par, "other")
@@ -147,13 +160,16 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
              broadcast_cells: int = DEFAULT_BROADCAST_CELLS,
              skew: str = "aqe",
              hot_keys: list[HotKey] | None = None,
+             measure_cells: int = MEASURE_CELLS,
              **hot_opts) -> Matrix:
     """Standard multiplication ``C[i,j] = Σ_k A[i,k]·B[k,j]`` (coordinate form).
 
     Output cells are the ``(i, j)`` with at least one matching ``k``.  Works
     for rectangular operands and for ``A·A``.  ``skew`` is ``"aqe"`` (leave
     runtime splitting to adaptive execution) or ``"salt"`` (detect and salt
-    hot inner keys as described in the module docstring).
+    hot inner keys as described in the module docstring).  A side whose
+    shape bound is above ``broadcast_cells`` but at most ``measure_cells`` is
+    counted once, so a loose bound (a sparse matrix) can still be proven small.
     """
     a, b = as_matrix(a), as_matrix(b)
     _inner_dim(a, b)
@@ -167,12 +183,16 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
     if hot_keys:
         left, right = _salted(left, right, hot_keys)
         keys = ["key", "salt"]
-    elif b.max_cells is not None and b.max_cells <= broadcast_cells:
-        right = F.broadcast(right)
-        left = _spread(left, a)
-    elif a.max_cells is not None and a.max_cells <= broadcast_cells:
-        left = F.broadcast(left)
-        right = _spread(right, b)
+    else:
+        bound_b = _cell_bound(b, measure_cells)
+        if bound_b is not None and bound_b <= broadcast_cells:
+            right = F.broadcast(right)
+            left = _spread(left, a, _cell_bound(a, measure_cells))
+        else:
+            bound_a = _cell_bound(a, measure_cells)
+            if bound_a is not None and bound_a <= broadcast_cells:
+                left = F.broadcast(left)
+                right = _spread(right, b, bound_b)
 
     l, r = left.alias("l"), right.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
