@@ -67,7 +67,8 @@ def main() -> None:
     for n in dense_sizes:
         a = generate_random_int(spark, n, seed=1)
         b = generate_random_int(spark, n, seed=2)
-        for label, fn in (("blocked", lambda: multiply_blocked(a, b, tile=256 if n >= 512 else 128)),
+        tile = 512 if n >= 2048 else (256 if n >= 512 else 128)
+        for label, fn in (("blocked", lambda: multiply_blocked(a, b, tile=tile)),
                           ("standard", lambda: multiply(a, b)),
                           ("strassen_L1", lambda: strassen(a, b, levels=1))):
             if label != "blocked" and n > 512:

@@ -21,6 +21,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Largest magnitude an int64 tile product may reach before it is treated as
 # an overflow (the float64 shadow product is compared against it).
 INT_LIMIT = float(2 ** 62)
+# Integers below this magnitude are exact in float64.
+EXACT_LIMIT = float(2 ** 53)
 
 
 def dtype_for(value_type: str):
@@ -45,11 +47,23 @@ def densify(pos, val, b: int, dtype) -> np.ndarray:
 
 
 def checked_matmul(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Tile product; integer tiles raise instead of wrapping around."""
-    if x.dtype == np.int64:
-        shadow = x.astype(np.float64) @ y.astype(np.float64)
-        if shadow.size and np.abs(shadow).max() >= INT_LIMIT:
-            raise ArithmeticError("BIGINT overflow in tile product")
+    """Tile product; integer tiles are exact and raise instead of wrapping around.
+
+    When ``max|x|·max|y|·k < 2^53`` every partial sum is an integer that a
+    double holds exactly, so the product runs on the float64 (BLAS) path and
+    is converted back without loss; otherwise int64 arithmetic is used with
+    an overflow check.
+    """
+    if x.dtype != np.int64:
+        return x @ y
+    if x.size == 0 or y.size == 0:
+        return np.zeros((x.shape[0], y.shape[1]), dtype=np.int64)
+    bound = float(np.abs(x).max()) * float(np.abs(y).max()) * x.shape[1]
+    if bound < EXACT_LIMIT:
+        return np.rint(x.astype(np.float64) @ y.astype(np.float64)).astype(np.int64)
+    shadow = x.astype(np.float64) @ y.astype(np.float64)
+    if np.abs(shadow).max() >= INT_LIMIT:
+        raise ArithmeticError("BIGINT overflow in tile product")
     return x @ y
 
 

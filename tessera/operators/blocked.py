@@ -1,7 +1,8 @@
 """Tiled (blocked) multiplication for dense matrices, plain and Strassen.
 
 Cells are gathered per ``b × b`` block ``(bi, bj)`` in the JVM; the product
-joins A-tiles and B-tiles on the inner block index, forms each tile product
+joins A-tiles and B-tiles on the inner block index (A tiles copied to a few
+buckets when there are too few inner blocks to keep every core busy), forms each tile product
 right after the join (``mapInPandas``, one numpy ``@`` per pair), and sums
 the partial tiles of each output block with a grouped function that streams
 its input (``applyInPandas`` on an iterator), finally unpacking the block
@@ -56,6 +57,27 @@ def to_tiles(m: Matrix, tile: int) -> DataFrame:
     return cells.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
 
 
+def _replication(spark: SparkSession, inner_keys: int, col_blocks: int) -> int:
+    """Copies of each A tile so the tile join has enough distinct keys.
+
+    Dense matrices have few inner blocks (n/b), so a join on the inner block
+    alone runs on a handful of tasks.  Copy A tiles to ``r`` buckets and key
+    B tiles by ``bj mod r``: each (A, B) tile pair still meets exactly once,
+    the join gets ``inner_keys·r`` keys, and ``r`` is only as large as
+    needed for about two tasks per core (``r = 1`` when there are enough
+    inner blocks already).
+    """
+    target = 2 * spark.sparkContext.defaultParallelism
+    return int(max(1, min(col_blocks, -(-target // max(1, inner_keys)))))
+
+
+def _bucketed(ta: DataFrame, tb: DataFrame, r: int) -> tuple[DataFrame, DataFrame]:
+    if r <= 1:
+        return ta.withColumn("g", F.lit(0)), tb.withColumn("g", F.lit(0))
+    return (ta.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(r - 1)))),
+            tb.withColumn("g", F.pmod(F.col("bj"), F.lit(r))))
+
+
 def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int = 512) -> Matrix:
     """``A·B`` over dense tiles."""
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
@@ -67,7 +89,9 @@ def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int
     _limit_batches(spark, tile)
     ta = to_tiles(a, tile).select("bi", F.col("bj").alias("bk"), F.col("pos").alias("pa"), F.col("val").alias("va"))
     tb = to_tiles(b, tile).select(F.col("bi").alias("bk"), "bj", F.col("pos").alias("pb"), F.col("val").alias("vb"))
-    pairs = ta.join(tb, "bk")
+    nb_k, nb_n = -(-a.n_cols // tile), -(-b.n_cols // tile)
+    ta, tb = _bucketed(ta, tb, _replication(spark, nb_k, nb_n))
+    pairs = ta.join(tb, ["bk", "g"])
     prods = pairs.mapInPandas(products_fn(tile, vt, ["bi", "bj"], sparse=True), TILE_SCHEMA)
     out_schema = f"row int, col int, value {vt}"
     cells = prods.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
@@ -109,7 +133,8 @@ def multiply_strassen_tiled(a: Matrix | DataFrame, b: Matrix | DataFrame, *, til
         .select("path", "bi", F.col("bj").alias("bk"), F.col("tile").alias("ta"))
     right = _tile_down(to_tiles(b, tile), BETA, hk, hn, tile, vt) \
         .select("path", F.col("bi").alias("bk"), "bj", F.col("tile").alias("tb"))
-    prods = left.join(right, ["path", "bk"]).mapInPandas(
+    left, right = _bucketed(left, right, _replication(spark, (7 ** levels) * hk[-1], hn[-1]))
+    prods = left.join(right, ["path", "bk", "g"]).mapInPandas(
         products_fn(tile, vt, ["path", "bi", "bj"], sparse=False), "path long, bi int, bj int, tile binary")
 
     cur = prods.select("path", "bi", "bj", "tile", F.lit(1).cast(wt).alias("w"))
