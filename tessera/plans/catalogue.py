@@ -21,7 +21,7 @@ from ..operators.multiply import multiply
 from ..operators.quadrants import merge, split, split_tagged
 from ..operators.strassen import operands, strassen
 from ..session import scratch_path
-from ..sources.generate import generate_int, generate_random
+from ..sources.generate import generate_int_over, generate_random_over
 from ..sources.io import roundtrip
 from ..sources.tables import (EVENT_TYPES, embedding_matrix, order_part, part_brand, supplier_part,
                               user_event)
@@ -190,16 +190,22 @@ def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
     return log.select("order", "matrix_size", "algorithm", "status")
 
 
-def q_generate_int(spark: SparkSession, sf: str) -> DataFrame:
-    """Integer matrix (i·31 + j·17 + i·j·7) mod 100 in the supplier × part shape."""
+def _supplier_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, int, int]:
     q = supplier_part(spark, sf)
-    return generate_int(spark, q.n_rows, q.n_cols).df
+    rows = spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet").select("l_suppkey").distinct()
+    return rows, q.n_rows, q.n_cols
+
+
+def q_generate_int(spark: SparkSession, sf: str) -> DataFrame:
+    """Integer matrix (i·31 + j·17 + i·j·7) mod 100: every part column of each supplier in lineitem."""
+    rows, n_rows, n_cols = _supplier_rows(spark, sf)
+    return generate_int_over(rows, n_rows, n_cols).df
 
 
 def q_generate_random(spark: SparkSession, sf: str) -> DataFrame:
-    """Seeded uniform [0, 1000) doubles in the supplier × part shape (rows-only check)."""
-    q = supplier_part(spark, sf)
-    return generate_random(spark, q.n_rows, q.n_cols, seed=42).df
+    """Seeded uniform [0, 1000) doubles on the same cells (rows-only check)."""
+    rows, n_rows, n_cols = _supplier_rows(spark, sf)
+    return generate_random_over(rows, n_rows, n_cols, seed=42).df
 
 
 def q_scan_matrix(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,8 +335,9 @@ SQL: dict[str, str] = {
                 "FROM lineitem "
                 "UNION ALL SELECT CAST(3 AS BIGINT), CAST(max(vec_id) + 1 AS BIGINT), 'strassen', 'success' "
                 "FROM embeddings"),
-    "generate_int": ("WITH d AS (SELECT max(l_suppkey) + 1 AS n, max(l_partkey) + 1 AS m FROM lineitem), "
-                     "i AS (SELECT unnest(range(n)) AS i FROM d), j AS (SELECT unnest(range(m)) AS j FROM d) "
+    "generate_int": ("WITH d AS (SELECT max(l_partkey) + 1 AS m FROM lineitem), "
+                     "i AS (SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS i FROM lineitem), "
+                     "j AS (SELECT unnest(range(m)) AS j FROM d) "
                      'SELECT CAST(i AS INTEGER) AS "row", CAST(j AS INTEGER) AS col, '
                      "CAST((i * 31 + j * 17 + i * j * 7) % 100 AS BIGINT) AS value FROM i CROSS JOIN j"),
     "scan_matrix": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_QSP})',

@@ -70,7 +70,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--results", required=True)
     m.add_argument("--orders", type=int, nargs="+", required=True)
     m.add_argument("--algorithm", default="strassen",
-                   choices=["standard", "strassen", "blocked", "strassen_tiled"])
+                   choices=["standard", "strassen", "blocked", "strassen_tiled", "auto"])
     m.add_argument("--threshold", type=int, default=STRASSEN_THRESHOLD)
     m.add_argument("--max-depth", type=int, default=MAX_DEPTH)
     m.add_argument("--levels", type=int, default=None)

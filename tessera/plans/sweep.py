@@ -20,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..matrix import Matrix
-from ..operators.blocked import multiply_blocked, multiply_strassen_tiled
-from ..operators.multiply import multiply
+from ..operators.choose import product
 from ..operators.strassen import STRASSEN_THRESHOLD, MAX_DEPTH, levels_for, strassen
 from ..sources.io import write_matrix
 
@@ -51,17 +50,15 @@ class SweepCase:
 
 
 def _algorithm(name: str, threshold: int, max_depth: int, tile: int, levels: int | None):
-    if name == "standard":
-        return (lambda a, b: multiply(a, b)), 0
+    """A product function for the sweep, and the Strassen levels it uses (None = size rule)."""
     if name == "strassen":
         def run(a: Matrix, b: Matrix) -> Matrix:
             lv = levels if levels is not None else levels_for(max(a.n_rows, a.n_cols, b.n_cols), threshold, max_depth)
             return strassen(a, b, levels=lv)
         return run, levels
-    if name == "blocked":
-        return (lambda a, b: multiply_blocked(a, b, tile=tile)), 0
-    if name == "strassen_tiled":
-        return (lambda a, b: multiply_strassen_tiled(a, b, tile=tile, levels=levels or 1)), levels or 1
+    if name in ("standard", "blocked", "strassen_tiled", "auto"):
+        fixed = (levels or 1) if name == "strassen_tiled" else 0
+        return (lambda a, b: product(a, b, algorithm=name, tile=tile, levels=levels)), fixed
     raise ValueError(f"unknown algorithm {name!r}")
 
 

@@ -93,3 +93,15 @@ def test_from_table_sums_duplicates_and_from_array(spark):
     arr = spark.createDataFrame([(0, [1.0, 2.0]), (1, [3.0, 4.0])], "id long, e array<float>")
     e = from_array_column(arr, "id", "e", n_rows=2, n_cols=2)
     np.testing.assert_array_equal(to_dense(e), [[1, 2], [3, 4]])
+
+
+def test_generators_over_table_rows_match_range_generators(spark):
+    from tessera.sources.generate import generate_int_over, generate_random_over
+    rows = spark.createDataFrame([(0,), (2,), (2,), (4,)], "k long").distinct()
+    g = generate_int_over(rows, 5, 3).df.toPandas()
+    assert sorted(set(g["row"])) == [0, 2, 4] and len(g) == 9
+    full = generate_int(spark, 5, 3).df.toPandas().merge(g, on=["row", "col"])
+    assert (full["value_x"] == full["value_y"]).all()
+    r = generate_random_over(rows, 5, 3, seed=9).df.toPandas().merge(
+        generate_random(spark, 5, 3, seed=9).df.toPandas(), on=["row", "col"])
+    assert len(r) == 9 and (r["value_x"] == r["value_y"]).all()

@@ -95,3 +95,17 @@ def test_blocked_bigint_overflow_raises(spark):
     with pytest.raises(Exception) as e:
         multiply_blocked(big, bt, tile=2).df.collect()
     assert "overflow" in str(e.value).lower()
+
+
+def test_chooser_rule_and_dispatch(spark):
+    from tessera.operators.choose import choose_algorithm, product
+    assert choose_algorithm(2048, 2048, 2048, 2048 ** 2, 2048 ** 2) == "blocked"
+    assert choose_algorithm(2048, 2048, 2048, 1000, 2048 ** 2) == "standard"       # sparse A
+    assert choose_algorithm(64, 64, 64, 64 ** 2, 64 ** 2) == "standard"            # small
+    a = generate_int(spark, 12, value_type="double")
+    b = generate_int(spark, 12, a=13, b=29, value_type="double")
+    want = ma(12) @ mb(12)
+    for alg in ("auto", "standard", "strassen", "blocked", "strassen_tiled"):
+        np.testing.assert_array_equal(to_dense(product(a, b, algorithm=alg, tile=4, levels=1)), want)
+    with pytest.raises(ValueError):
+        product(a, b, algorithm="nope")
