@@ -126,16 +126,35 @@ def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
     return m.df.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(VALUE).cast(vt).alias("val"))
 
 
-def _cell_bound(m: Matrix, measure_cells: int) -> int | None:
+def _count_key(m: Matrix):
+    """Identity of the cell count of ``m``: the optimised plan of ``count(*)``.
+
+    Column pruning removes coordinate projections, so ``Q`` and ``Qᵀ`` give
+    the same plan and share one count.
+    """
+    try:
+        return m.df.agg(F.count(F.lit(1)))._jdf.queryExecution().optimizedPlan().semanticHash()
+    except Exception:  # pragma: no cover - private API guard
+        return None
+
+
+def _cell_bound(m: Matrix, measure_cells: int, counted: dict | None = None) -> int | None:
     """A proven upper bound on the cells of ``m``: its shape, or one exact count.
 
     Counting is only worth it when the shape bound is loose but not huge; a
     larger side is never counted (it could not be broadcast anyway).
+    ``counted`` shares counts between the two operands of one product.
     """
     bound = m.max_cells
     if bound is None or bound <= DEFAULT_BROADCAST_CELLS or bound > measure_cells:
         return bound
-    return min(bound, m.df.count())
+    key = _count_key(m) if counted is not None else None
+    if key is not None and key in counted:
+        return min(bound, counted[key])
+    n = m.df.count()
+    if key is not None:
+        counted[key] = n
+    return min(bound, n)
 
 
 def _spread(side: DataFrame, m: Matrix, bound: int | None) -> DataFrame:
@@ -184,12 +203,13 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
         left, right = _salted(left, right, hot_keys)
         keys = ["key", "salt"]
     else:
-        bound_b = _cell_bound(b, measure_cells)
+        counted: dict = {}
+        bound_b = _cell_bound(b, measure_cells, counted)
         if bound_b is not None and bound_b <= broadcast_cells:
             right = F.broadcast(right)
-            left = _spread(left, a, _cell_bound(a, measure_cells))
+            left = _spread(left, a, _cell_bound(a, measure_cells, counted))
         else:
-            bound_a = _cell_bound(a, measure_cells)
+            bound_a = _cell_bound(a, measure_cells, counted)
             if bound_a is not None and bound_a <= broadcast_cells:
                 left = F.broadcast(left)
                 right = _spread(right, b, bound_b)

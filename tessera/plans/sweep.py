@@ -4,7 +4,7 @@ For every case the operands are materialised (persisted, counted), the
 product is materialised, then written as Parquet; each phase is timed around
 a real action.  A case that fails is logged with ``status='failed'`` and the
 error text, and the sweep goes on.  The log is a DataFrame with a fixed
-schema, appended as JSON under the output folder.
+schema, appended as JSON under the output folder, partitioned by ``order``.
 """
 
 from __future__ import annotations
@@ -110,5 +110,5 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
             for df in held:
                 df.unpersist()
     log = spark.createDataFrame(records, LOG_SCHEMA)
-    log.coalesce(1).write.mode("append").json(f"{out_dir}/run_log")
+    log.coalesce(1).write.mode("append").partitionBy("order").json(f"{out_dir}/run_log")
     return log
