@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coefficients import ALPHA, BETA, PATH_BASE, down_terms, up_terms
 from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
+from ..session import shared_dir
 from .multiply import multiply, result_type
 
 # The reference's recursion cut-offs (size threshold, depth cap).
@@ -108,10 +109,13 @@ def _digit(path: Column, level: int, levels: int) -> Column:
 
 def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None = None,
              threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH,
-             compact_zeros: bool = False, **mult_opts) -> Matrix:
+             compact_zeros: bool = False, cut_lineage: bool = False, **mult_opts) -> Matrix:
     """``A·B`` by Strassen's method with ``levels`` levels (default: from the size rule).
 
     ``mult_opts`` go to the leaf :func:`multiply` (``skew``, ``broadcast_cells``, …).
+    ``cut_lineage`` writes both operand sets with a reliable ``checkpoint()``
+    to the shared checkpoint folder before the leaf join, so a lost executor
+    during the leaf never sends Spark back through the down step.
     """
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
     if a.n_cols != b.n_rows:
@@ -140,6 +144,9 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
         _pack(F.col("path"), F.col(ROW)).alias(ROW), _pack(F.col("path"), F.col(COL)).alias(COL), VALUE)
     b_leaf = operands(b, "B", levels, drop_zeros=True, dims=(k_, n_)).select(
         _pack(F.col("path"), F.col(ROW)).alias(ROW), F.col(COL), VALUE)
+    if cut_lineage:
+        shared_dir(a_leaf.sparkSession)  # make sure a checkpoint folder is registered
+        a_leaf, b_leaf = a_leaf.checkpoint(eager=True), b_leaf.checkpoint(eager=True)
     leaf = multiply(Matrix(a_leaf, paths * hm[-1], paths * hk), Matrix(b_leaf, paths * hk, hn[-1]), **mult_opts)
     cur = leaf.df.select(F.shiftright(F.col(ROW), 32).alias("path"),
                          F.col(ROW).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(ROW),

@@ -101,8 +101,8 @@ def brand_number(p_brand: str | Column) -> Column:
 def part_brand(spark: SparkSession, sf_dir: str) -> Matrix:
     """I[part, brand − 1] = 1: one cell per part (p_partkey is the primary key)."""
     part = _read(spark, sf_dir, "part")
-    n_p, = _extent(part, "p_partkey")
-    r = part.agg(F.max(brand_number("p_brand")).alias("b")).first()
+    r = part.agg(F.max("p_partkey").alias("p"), F.max(brand_number("p_brand")).alias("b")).first()
+    n_p = int(r["p"]) + 1 if r["p"] is not None else 0
     n_b = int(r["b"] or 0)
     m = from_table(part, "p_partkey", brand_number("p_brand") - 1, F.lit(1.0), unique=True)
     return Matrix(m.df, n_p, n_b)

@@ -109,3 +109,12 @@ def test_chooser_rule_and_dispatch(spark):
         np.testing.assert_array_equal(to_dense(product(a, b, algorithm=alg, tile=4, levels=1)), want)
     with pytest.raises(ValueError):
         product(a, b, algorithm="nope")
+
+
+def test_strassen_cut_lineage_checkpoints_operands(spark):
+    a = generate_int(spark, 20, value_type="double")
+    b = generate_int(spark, 20, a=13, b=29, value_type="double")
+    c = strassen(a, b, levels=2, cut_lineage=True)
+    plan = c.df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Range" not in plan  # operands come from the checkpoint
+    np.testing.assert_array_equal(to_dense(c), ma(20) @ mb(20))
