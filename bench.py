@@ -4,7 +4,7 @@ Each query is built and fully executed into Spark's ``noop`` sink (every
 row is produced; nothing is shipped to Python).  One warm-up pass primes the
 JVM, then each query is timed ``BENCH_REPEATS`` times and the best run is
 kept.  Also times dense multiplies of generated BIGINT matrices at the
-reference's sizes (n = 256 … 2048) next to the published one-process C
+reference's sizes (n = 256 … 4096) next to the published one-process C
 numbers.  Prints ONE JSON line.
 """
 
@@ -32,8 +32,8 @@ HEADLINE = [
 ]
 
 # Published one-process C timings (seconds) for standard / Strassen at these sizes.
-C_STANDARD = {256: 0.031930, 512: 0.262357, 1024: 2.375312, 2048: 18.679352}
-C_STRASSEN = {256: 0.025925, 512: 0.185067, 1024: 1.308123, 2048: 9.095583}
+C_STANDARD = {256: 0.031930, 512: 0.262357, 1024: 2.375312, 2048: 18.679352, 4096: 543.389312}
+C_STRASSEN = {256: 0.025925, 512: 0.185067, 1024: 1.308123, 2048: 9.095583, 4096: 64.286988}
 
 
 def _run(df) -> None:
@@ -53,7 +53,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "2"))
-    dense_sizes = [int(x) for x in os.environ.get("BENCH_DENSE_SIZES", "256,512,1024,2048").split(",") if x]
+    dense_sizes = [int(x) for x in os.environ.get("BENCH_DENSE_SIZES", "256,512,1024,2048,4096").split(",") if x]
     spark = build_session(f"local[{cpus}]", app="tessera-bench")
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
