@@ -9,11 +9,12 @@ from .matrix import (COO_BIGINT, COO_DOUBLE, Matrix, as_matrix, cell_count, comp
 from .operators.elementwise import add, add_by_join, align, linear_combination, subtract
 from .operators.multiply import find_hot_keys, gram, multiply
 from .operators.quadrants import merge, split, split_tagged
+from .operators.choose import choose_algorithm, product
 from .operators.strassen import levels_for, operands, strassen
 
 __all__ = [
     "COO_BIGINT", "COO_DOUBLE", "Matrix", "add", "add_by_join", "align", "as_matrix", "cell_count",
-    "compact", "coo_schema", "find_hot_keys", "gram", "levels_for", "linear_combination", "merge",
-    "multiply", "operands", "split", "split_tagged", "strassen", "subtract", "transpose", "validate",
-    "validation_report",
+    "choose_algorithm", "compact", "coo_schema", "find_hot_keys", "gram", "levels_for", "linear_combination",
+    "merge", "multiply", "operands", "product", "split", "split_tagged", "strassen", "subtract", "transpose",
+    "validate", "validation_report",
 ]

@@ -47,14 +47,17 @@ def _limit_batches(spark: SparkSession, tile: int) -> None:
 def to_tiles(m: Matrix, tile: int) -> DataFrame:
     """``(bi, bj, pos, val)``: the cells of each non-empty block as flat positions and values.
 
-    Built in the JVM with one aggregate; a group holds at most ``tile²`` cells
-    (unique coordinates), and the two lists of one group are filled in the
-    same row order.  Tiles are made dense only inside the product tasks.
+    Built in the JVM.  Cells are first summed per ``(bi, bj, pos)`` — map-side
+    partial aggregation collapses copies of a coordinate before any shuffle —
+    so a block's lists hold at most ``tile²`` entries whatever the input, and
+    the two lists of one group are filled in the same row order.  Tiles are
+    made dense only inside the product tasks.
     """
     cells = m.df.select(
         (F.col(ROW) / tile).cast("int").alias("bi"), (F.col(COL) / tile).cast("int").alias("bj"),
         ((F.col(ROW) % tile) * tile + (F.col(COL) % tile)).cast("int").alias("pos"), F.col(VALUE))
-    return cells.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
+    summed = cells.groupBy("bi", "bj", "pos").agg(F.sum(VALUE).cast(m.value_type).alias(VALUE))
+    return summed.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
 
 
 def _replication(spark: SparkSession, inner_keys: int, col_blocks: int) -> int:

@@ -157,6 +157,16 @@ def _cell_bound(m: Matrix, measure_cells: int, counted: dict | None = None) -> i
     return min(bound, n)
 
 
+def _known_bound(m: Matrix, counted: dict) -> int | None:
+    """The shape bound, tightened by a count already taken in this call (never a new job)."""
+    bound = m.max_cells
+    if counted and bound is not None and bound > SPREAD_CELLS:
+        key = _count_key(m)
+        if key in counted:
+            return min(bound, counted[key])
+    return bound
+
+
 def _spread(side: DataFrame, m: Matrix, bound: int | None) -> DataFrame:
     """Hash-partition a proven-small streamed side by its outer index.
 
@@ -207,7 +217,7 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
         bound_b = _cell_bound(b, measure_cells, counted)
         if bound_b is not None and bound_b <= broadcast_cells:
             right = F.broadcast(right)
-            left = _spread(left, a, _cell_bound(a, measure_cells, counted))
+            left = _spread(left, a, _known_bound(a, counted))
         else:
             bound_a = _cell_bound(a, measure_cells, counted)
             if bound_a is not None and bound_a <= broadcast_cells:
