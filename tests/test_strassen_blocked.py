@@ -118,3 +118,15 @@ def test_strassen_cut_lineage_checkpoints_operands(spark):
     plan = c.df._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" in plan and "Range" not in plan  # operands come from the checkpoint
     np.testing.assert_array_equal(to_dense(c), ma(20) @ mb(20))
+
+
+def test_tiles_collapse_copies_of_a_coordinate(spark):
+    # one coordinate copied many times (a "group of copies"): summed before tiles are gathered
+    rows = [(1, 1, 1.0)] * 500 + [(0, 0, 2.0), (2, 3, 4.0)]
+    a = Matrix(spark.createDataFrame(rows, "row int, col int, value double"), 4, 4)
+    from tessera.operators.blocked import to_tiles
+    t = to_tiles(a, 4).collect()
+    assert len(t) == 1 and len(t[0]["pos"]) == 3
+    eye = Matrix(spark.createDataFrame([(i, i, 1.0) for i in range(4)], "row int, col int, value double"), 4, 4)
+    got = {(r["row"], r["col"]): r["value"] for r in multiply_blocked(a, eye, tile=4).df.collect()}
+    assert got == {(0, 0): 2.0, (1, 1): 500.0, (2, 3): 4.0}
