@@ -130,7 +130,8 @@ def q_multiply_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
-    return supplier_part(spark, sf, lines="odd"), supplier_part(spark, sf, lines="even")
+    """Quantities of returned lines and of all other lines: together the whole table."""
+    return supplier_part(spark, sf, lines="returned"), supplier_part(spark, sf, lines="kept")
 
 
 def q_add_matrices(spark: SparkSession, sf: str) -> DataFrame:
@@ -255,8 +256,8 @@ def _cells(row: str, col: str, value: str, table: str, where: str = "", vt: str
 SQL_QOP = _cells("l_orderkey", "l_partkey", "l_quantity", "lineitem")
 SQL_QSP = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem")
 SQL_QSP_INT = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", vt="BIGINT")
-SQL_QSP_ODD = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_linenumber % 2 = 1")
-SQL_QSP_EVEN = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_linenumber % 2 = 0")
+SQL_QSP_RETURNED = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_returnflag = 'R'")
+SQL_QSP_KEPT = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_returnflag IS DISTINCT FROM 'R'")
 SQL_IPB = (r"SELECT CAST(p_partkey AS INTEGER) AS r, "
            r"CAST(CAST(regexp_extract(p_brand, '#(\d+)$', 1) AS INTEGER) - 1 AS INTEGER) AS c, "
            r"CAST(1.0 AS DOUBLE) AS v FROM part")
@@ -285,7 +286,7 @@ SQL_E_GRAM = (f"WITH e AS ({SQL_E}) "
 
 
 def _elementwise_sql(op: str) -> str:
-    return (f"WITH a AS ({SQL_QSP_ODD}), b AS ({SQL_QSP_EVEN}) "
+    return (f"WITH a AS ({SQL_QSP_RETURNED}), b AS ({SQL_QSP_KEPT}) "
             f'SELECT coalesce(a.r, b.r) AS "row", coalesce(a.c, b.c) AS col, '
             f"CAST(coalesce(a.v, 0) {op} coalesce(b.v, 0) AS DOUBLE) AS value "
             f"FROM a FULL OUTER JOIN b ON a.r = b.r AND a.c = b.c")

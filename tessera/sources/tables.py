@@ -76,17 +76,19 @@ def order_part(spark: SparkSession, sf_dir: str, *, with_shape: bool = False) ->
 
 def supplier_part(spark: SparkSession, sf_dir: str, *, lines: str = "all",
                   value_type: str = "double") -> Matrix:
-    """Q[supplier, part] = Σ l_quantity; ``lines`` = all | odd | even ``l_linenumber``.
+    """Q[supplier, part] = Σ l_quantity over ``lines``: all, returned (``l_returnflag = 'R'``)
+    or kept (every other line, NULL flags included).
 
-    The shape always covers the whole table so that both halves share it.
+    Returned and kept lines partition the table; the shape always covers the
+    whole table so both parts share it.
     """
     li = _read(spark, sf_dir, "lineitem")
     n_s, n_p = _extent(li, "l_suppkey", "l_partkey")
     src = li
-    if lines == "odd":
-        src = li.filter(F.col("l_linenumber") % 2 == 1)
-    elif lines == "even":
-        src = li.filter(F.col("l_linenumber") % 2 == 0)
+    if lines == "returned":
+        src = li.filter(F.col("l_returnflag") == "R")
+    elif lines == "kept":
+        src = li.filter(~F.col("l_returnflag").eqNullSafe("R"))
     elif lines != "all":
         raise ValueError(lines)
     m = from_table(src, "l_suppkey", "l_partkey", "l_quantity", value_type=value_type)
