@@ -50,11 +50,15 @@ class Matrix:
 
     ``n_rows`` / ``n_cols`` may be ``None`` when unknown; :meth:`with_shape`
     fills them in with one small aggregate (a single-row result).
+    ``unique`` records that the producer guarantees one record per
+    coordinate (an aggregate, a generator); tables from outside are not
+    assumed unique.
     """
 
     df: DataFrame
     n_rows: int | None = None
     n_cols: int | None = None
+    unique: bool = False
 
     @property
     def value_type(self) -> str:
@@ -103,7 +107,7 @@ def zero_value(value_type: str) -> Column:
 def transpose(m: Matrix) -> Matrix:
     """Aᵀ: swap the two coordinate columns (no shuffle)."""
     df = m.df.select(F.col(COL).alias(ROW), F.col(ROW).alias(COL), F.col(VALUE))
-    return Matrix(df, m.n_cols, m.n_rows)
+    return Matrix(df, m.n_cols, m.n_rows, m.unique)
 
 
 def compact(m: Matrix, eps: float = 0.0) -> Matrix:

@@ -47,17 +47,19 @@ def _limit_batches(spark: SparkSession, tile: int) -> None:
 def to_tiles(m: Matrix, tile: int) -> DataFrame:
     """``(bi, bj, pos, val)``: the cells of each non-empty block as flat positions and values.
 
-    Built in the JVM.  Cells are first summed per ``(bi, bj, pos)`` — map-side
-    partial aggregation collapses copies of a coordinate before any shuffle —
-    so a block's lists hold at most ``tile²`` entries whatever the input, and
-    the two lists of one group are filled in the same row order.  Tiles are
-    made dense only inside the product tasks.
+    Built in the JVM; the two lists of one group are filled in the same row
+    order, and tiles are made dense only inside the product tasks.  A block's
+    lists hold at most ``tile²`` entries: guaranteed by the producer when the
+    matrix is marked ``unique``, otherwise cells are first summed per
+    ``(bi, bj, pos)`` — map-side partial aggregation collapses copies of a
+    coordinate before any shuffle.
     """
     cells = m.df.select(
         (F.col(ROW) / tile).cast("int").alias("bi"), (F.col(COL) / tile).cast("int").alias("bj"),
         ((F.col(ROW) % tile) * tile + (F.col(COL) % tile)).cast("int").alias("pos"), F.col(VALUE))
-    summed = cells.groupBy("bi", "bj", "pos").agg(F.sum(VALUE).cast(m.value_type).alias(VALUE))
-    return summed.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
+    if not m.unique:
+        cells = cells.groupBy("bi", "bj", "pos").agg(F.sum(VALUE).cast(m.value_type).alias(VALUE))
+    return cells.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
 
 
 def _replication(spark: SparkSession, inner_keys: int, col_blocks: int) -> int:
@@ -98,7 +100,7 @@ def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int
     prods = pairs.mapInPandas(products_fn(tile, vt, ["bi", "bj"], sparse=True), TILE_SCHEMA)
     out_schema = f"row int, col int, value {vt}"
     cells = prods.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
-    return Matrix(cells, a.n_rows, b.n_cols)
+    return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
 def _tile_down(tiles: DataFrame, table: dict, hr: list[int], hc: list[int], tile: int, vt: str) -> DataFrame:
@@ -152,4 +154,4 @@ def multiply_strassen_tiled(a: Matrix | DataFrame, b: Matrix | DataFrame, *, til
     cur = cur.filter((F.col("bi") < nb_m) & (F.col("bj") < nb_n)).select("bi", "bj", "w", "tile")
     out_schema = f"row int, col int, value {vt}"
     cells = cur.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
-    return Matrix(cells, a.n_rows, b.n_cols)
+    return Matrix(cells, a.n_rows, b.n_cols, unique=True)

@@ -43,7 +43,7 @@ def linear_combination(terms: list[tuple[Matrix, int | float]]) -> Matrix:
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
     out = stacked.groupBy(ROW, COL).agg(F.sum(VALUE).cast(vt).alias(VALUE))
-    return Matrix(out, *shape)
+    return Matrix(out, *shape, unique=True)
 
 
 def add(a: Matrix | DataFrame, b: Matrix | DataFrame) -> Matrix:
@@ -76,5 +76,5 @@ def add_by_join(a: Matrix | DataFrame, b: Matrix | DataFrame, sign: int = 1) ->
     shape = _shape(a, b)
     j = align(a, b)
     v = F.col("a") + F.col("b") if sign >= 0 else F.col("a") - F.col("b")
-    return Matrix(j.select(ROW, COL, v.alias(VALUE)), *shape)
+    return Matrix(j.select(ROW, COL, v.alias(VALUE)), *shape, unique=a.unique and b.unique)
 

@@ -229,7 +229,7 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
     prod = l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
                                   (F.col("l.val") * F.col("r.val")).alias("p"))
     out = prod.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
-    return Matrix(out.select(F.col("i").alias(ROW), F.col("j").alias(COL), VALUE), a.n_rows, b.n_cols)
+    return Matrix(out.select(F.col("i").alias(ROW), F.col("j").alias(COL), VALUE), a.n_rows, b.n_cols, unique=True)
 
 
 def gram(m: Matrix, *, transpose_first: bool = False, **opts) -> Matrix:

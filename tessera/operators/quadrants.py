@@ -30,7 +30,7 @@ def _quadrant(m: Matrix, hr: int, hc: int, qi: int, qj: int) -> Matrix:
     )
     n_r = hr if qi == 0 else m.n_rows - hr
     n_c = hc if qj == 0 else m.n_cols - hc
-    return Matrix(df, n_r, n_c)
+    return Matrix(df, n_r, n_c, m.unique)
 
 
 def split(m: Matrix) -> tuple[Matrix, Matrix, Matrix, Matrix]:
@@ -81,4 +81,4 @@ def merge(c11: Matrix, c12: Matrix, c21: Matrix, c22: Matrix,
 
     out = placed(c11, 0, 0).unionByName(placed(c12, 0, hc)).unionByName(placed(c21, hr, 0)) \
         .unionByName(placed(c22, hr, hc))
-    return Matrix(out, n_rows, n_cols)
+    return Matrix(out, n_rows, n_cols, all(q.unique for q in (c11, c12, c21, c22)))

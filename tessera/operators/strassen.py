@@ -147,7 +147,8 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
     if cut_lineage:
         shared_dir(a_leaf.sparkSession)  # make sure a checkpoint folder is registered
         a_leaf, b_leaf = a_leaf.checkpoint(eager=True), b_leaf.checkpoint(eager=True)
-    leaf = multiply(Matrix(a_leaf, paths * hm[-1], paths * hk), Matrix(b_leaf, paths * hk, hn[-1]), **mult_opts)
+    leaf = multiply(Matrix(a_leaf, paths * hm[-1], paths * hk, unique=True),
+                    Matrix(b_leaf, paths * hk, hn[-1], unique=True), **mult_opts)
     cur = leaf.df.select(F.shiftright(F.col(ROW), 32).alias("path"),
                          F.col(ROW).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(ROW),
                          F.col(COL), F.col(VALUE), F.lit(1).cast(wt).alias("w"))
@@ -164,7 +165,7 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
             (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
     cur = cur.filter((F.col(ROW) < m_) & (F.col(COL) < n_))
     out = cur.groupBy(ROW, COL).agg(F.sum(F.col("w") * F.col(VALUE)).cast(vt).alias(VALUE))
-    c = Matrix(out, m_, n_)
+    c = Matrix(out, m_, n_, unique=True)
     return _compact(c) if compact_zeros else c
 
 

@@ -49,7 +49,7 @@ def _supplier_brand(spark: SparkSession, sf: str) -> Matrix:
     q = supplier_part(spark, sf)
     i = part_brand(spark, sf)
     n_parts = max(q.n_cols, i.n_rows)
-    return multiply(Matrix(q.df, q.n_rows, n_parts), Matrix(i.df, n_parts, i.n_cols))
+    return multiply(Matrix(q.df, q.n_rows, n_parts, q.unique), Matrix(i.df, n_parts, i.n_cols, i.unique))
 
 
 def q_multiply_rect(spark: SparkSession, sf: str) -> DataFrame:

@@ -34,7 +34,7 @@ def from_table(df: DataFrame, row: str | Column, col: str | Column, value: str |
     ).filter(F.col(ROW).isNotNull() & F.col(COL).isNotNull())
     if not unique:
         cells = cells.groupBy(ROW, COL).agg(F.sum(VALUE).cast(vt).alias(VALUE))
-    return Matrix(cells, n_rows, n_cols)
+    return Matrix(cells, n_rows, n_cols, unique=True)
 
 
 def from_array_column(df: DataFrame, row: str | Column, array: str | Column,
@@ -70,7 +70,7 @@ def order_part(spark: SparkSession, sf_dir: str, *, with_shape: bool = False) ->
     m = from_table(li, "l_orderkey", "l_partkey", "l_quantity")
     if with_shape:
         n_o, n_p = _extent(li, "l_orderkey", "l_partkey")
-        m = Matrix(m.df, n_o, n_p)
+        m = Matrix(m.df, n_o, n_p, m.unique)
     return m
 
 
@@ -92,7 +92,7 @@ def supplier_part(spark: SparkSession, sf_dir: str, *, lines: str = "all",
     elif lines != "all":
         raise ValueError(lines)
     m = from_table(src, "l_suppkey", "l_partkey", "l_quantity", value_type=value_type)
-    return Matrix(m.df, n_s, n_p)
+    return Matrix(m.df, n_s, n_p, m.unique)
 
 
 def brand_number(p_brand: str | Column) -> Column:
@@ -107,7 +107,7 @@ def part_brand(spark: SparkSession, sf_dir: str) -> Matrix:
     n_p = int(r["p"]) + 1 if r["p"] is not None else 0
     n_b = int(r["b"] or 0)
     m = from_table(part, "p_partkey", brand_number("p_brand") - 1, F.lit(1.0), unique=True)
-    return Matrix(m.df, n_p, n_b)
+    return Matrix(m.df, n_p, n_b, m.unique)
 
 
 def embedding_matrix(spark: SparkSession, sf_dir: str) -> Matrix:
@@ -128,4 +128,4 @@ def user_event(spark: SparkSession, sf_dir: str) -> Matrix:
     code = F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col("event_type")) - 1
     src = ev.select("user_id", code.alias("etype")).filter(F.col("etype") >= 0)
     m = from_table(src, "user_id", "etype", F.lit(1.0))
-    return Matrix(m.df, n_u, len(EVENT_TYPES))
+    return Matrix(m.df, n_u, len(EVENT_TYPES), m.unique)
