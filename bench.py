@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tessera.operators.blocked import multiply_blocked  # noqa: E402
+from tessera.operators.blocked import multiply_blocked, multiply_strassen_tiled  # noqa: E402
 from tessera.operators.multiply import multiply  # noqa: E402
 from tessera.operators.strassen import strassen  # noqa: E402
 from tessera.plans.catalogue import QUERIES  # noqa: E402
@@ -70,9 +70,12 @@ def main() -> None:
         tile = 512 if n >= 2048 else (256 if n >= 512 else 128)
         for label, fn in (("blocked", lambda: multiply_blocked(a, b, tile=tile)),
                           ("standard", lambda: multiply(a, b)),
-                          ("strassen_L1", lambda: strassen(a, b, levels=1))):
-            if label != "blocked" and n > 512:
+                          ("strassen_L1", lambda: strassen(a, b, levels=1)),
+                          ("strassen_tiled_L1", lambda: multiply_strassen_tiled(a, b, tile=tile, levels=1))):
+            if label in ("standard", "strassen_L1") and n > 512:
                 continue  # coordinate form at n³ scalar products is not the dense path
+            if label == "strassen_tiled_L1" and not 1024 <= n <= 2048:
+                continue
             _run(fn().df)
             dense[f"dense_{label}_{n}"] = round(_time(lambda: _run(fn().df), repeats), 3)
 
