@@ -3,20 +3,27 @@
 Plan: ``A(i,k,u) ⋈ B(k,j,v)`` on ``k`` → ``u·v`` → ``groupBy(i, j).sum``.
 Catalyst puts the product inside the join's codegen stage and splits the
 sum into a map-side partial aggregate and a final one, so only one record
-per distinct ``(i, j)`` per join task is shuffled.
+per distinct ``(i, j)`` per join task is shuffled.  Both sides are
+projected to one ``(key, other, val)`` layout, so a self-product (``QᵀQ``)
+scans, aggregates and shuffles its operand once (``ReusedExchange``).
 
 Scale decisions, all made from facts rather than estimates:
 
-* **Broadcast** a side only when its shape proves it small: with unique
-  coordinates a matrix holds at most ``n_rows·n_cols`` cells.  Otherwise both
-  sides are shuffled on ``k`` by Spark itself (``ENSURE_REQUIREMENTS``
-  exchanges), which keeps AQE's skew-join splitting available.
-* **Hot inner keys** (``skew="salt"``): one small statistics job finds every
-  ``k`` whose share of the join work exceeds ``hot_fraction`` (so at most
-  ``1/hot_fraction`` keys, a proven bound) and spreads each over ``S(k)``
-  salt buckets: the side with more cells for that key is split by a hash of
-  its outer index, the other side's cells for that key are copied to the
-  ``S(k)`` buckets.  Every product is still formed exactly once.
+* **Broadcast** a side only behind a proven bound: with unique coordinates a
+  matrix holds at most ``n_rows·n_cols`` cells; when that bound is loose but
+  below ``MEASURE_CELLS`` one exact count may prove the side small (the two
+  operands of a self-product share it).  Otherwise both sides are shuffled on
+  ``k`` by Spark itself (``ENSURE_REQUIREMENTS`` exchanges), which keeps AQE's
+  skew-join splitting available.
+* **Spread**: when one side is broadcast and the other is proven small too,
+  the streamed side is hash-partitioned by its outer index, so the products
+  use every task and the final ``groupBy(i, j)`` needs no shuffle.
+* **Hot inner keys** (``skew="salt"``): two small jobs over per-key counts
+  find every ``k`` whose products exceed one task's budget (fewer than
+  ``1/hot_fraction`` keys can qualify, a proven bound) and spread each over
+  ``S(k)`` salt buckets: the side with more cells for that key is split by a
+  hash of its outer index, the other side's cells for that key are copied to
+  the ``S(k)`` buckets.  Every product is still formed exactly once.
 """
 
 from __future__ import annotations
