@@ -4,7 +4,8 @@ For every case the operands are materialised (persisted, counted), the
 product is materialised, then written as Parquet; each phase is timed around
 a real action.  A case that fails is logged with ``status='failed'`` and the
 error text, and the sweep goes on.  The log is a DataFrame with a fixed
-schema, appended as JSON under the output folder, partitioned by ``order``.
+schema; each record is appended as JSON under the output folder (partitioned
+by ``order``) as soon as its case ends.
 """
 
 from __future__ import annotations
@@ -109,6 +110,8 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
         finally:
             for df in held:
                 df.unpersist()
-    log = spark.createDataFrame(records, LOG_SCHEMA)
-    log.coalesce(1).write.mode("append").partitionBy("order").json(f"{out_dir}/run_log")
-    return log
+        # Each record is appended as soon as its case ends, so a sweep that
+        # dies part-way keeps the log of every finished size.
+        spark.createDataFrame(records[-1:], LOG_SCHEMA).coalesce(1).write.mode("append") \
+            .partitionBy("order").json(f"{out_dir}/run_log")
+    return spark.createDataFrame(records, LOG_SCHEMA)
