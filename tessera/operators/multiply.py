@@ -214,22 +214,27 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
     right = _side(b, ROW, COL, vt)
     keys = ["key"]
 
-    if skew == "salt" and hot_keys is None:
-        hot_keys = find_hot_keys(a, b, **hot_opts)
-    if hot_keys:
-        left, right = _salted(left, right, hot_keys)
-        keys = ["key", "salt"]
-    else:
+    broadcast_side = None
+    if not hot_keys:
         counted: dict = {}
         bound_b = _cell_bound(b, measure_cells, counted)
         if bound_b is not None and bound_b <= broadcast_cells:
+            broadcast_side = "right"
             right = F.broadcast(right)
             left = _spread(left, a, _known_bound(a, counted))
         else:
             bound_a = _cell_bound(a, measure_cells, counted)
             if bound_a is not None and bound_a <= broadcast_cells:
+                broadcast_side = "left"
                 left = F.broadcast(left)
                 right = _spread(right, b, bound_b)
+    # Hot inner keys only matter when the join shuffles on k: a broadcast
+    # join has no key exchange to skew.
+    if broadcast_side is None and skew == "salt" and hot_keys is None:
+        hot_keys = find_hot_keys(a, b, **hot_opts)
+    if hot_keys:
+        left, right = _salted(left, right, hot_keys)
+        keys = ["key", "salt"]
 
     l, r = left.alias("l"), right.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]

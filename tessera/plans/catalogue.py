@@ -124,9 +124,13 @@ def q_multiply_strassen_odd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_multiply_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """U·Uᵀ joins on only five inner keys: every key is hot and gets salted."""
+    """U·Uᵀ joins on only five inner keys: every key is hot and gets salted.
+
+    ``broadcast_cells=0`` treats U as too large to broadcast, as it is at full
+    scale, so the salted shuffle join runs at every scale.
+    """
     u = user_event(spark, sf)
-    return multiply(u, transpose(u), skew="salt", min_products_per_task=1000).df
+    return multiply(u, transpose(u), skew="salt", broadcast_cells=0, min_products_per_task=1000).df
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:

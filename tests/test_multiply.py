@@ -81,12 +81,24 @@ def test_hot_keys_are_salted_exactly(spark):
     b = from_dense(spark, np.arange(1, 4 * 30 + 1).reshape(4, 30) % 11)
     hot = find_hot_keys(a, b, min_products_per_task=100, tasks=16)
     assert any(h.k == 0 and h.salts > 1 for h in hot)
-    salted = multiply(a, b, skew="salt", min_products_per_task=100, tasks=16)
+    salted = multiply(a, b, skew="salt", broadcast_cells=0, min_products_per_task=100, tasks=16)
     plain = multiply(a, b, broadcast_cells=0)
     np.testing.assert_array_equal(to_dense(salted), to_dense(plain))
     assert "salt" in salted.df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_proven_small_side_is_broadcast_before_any_hot_key_search(spark):
+    rows = [(i, 0, 1.0) for i in range(50)]
+    a = Matrix(spark.createDataFrame(rows, "row int, col int, value double"), 50, 1)
+    b = Matrix(spark.createDataFrame([(0, j, 1.0) for j in range(50)], "row int, col int, value double"), 1, 50)
+    sc = spark.sparkContext
+    before = len(sc.statusTracker().getJobIdsForGroup(None))
+    c = multiply(a, b, skew="salt", min_products_per_task=1, tasks=16)
+    assert len(sc.statusTracker().getJobIdsForGroup(None)) == before  # no statistics jobs
+    assert "BroadcastHashJoin" in c.df._jdf.queryExecution().sparkPlan().toString()
+    assert c.df.count() == 2500
+
+
 def test_broadcast_only_with_shape_bound(spark):
     a = generate_int(spark, 30, value_type="double")
     small = generate_int(spark, 30, a=13, b=29, value_type="double")
