@@ -2,7 +2,6 @@ import numpy as np
 import pytest
 
 from conftest import from_dense, ma, mb, to_dense
-from tessera.matrix import Matrix
 from tessera.operators.elementwise import add, add_by_join, align, linear_combination, subtract
 from tessera.operators.quadrants import merge, split, split_tagged
 from tessera.sources.generate import generate_int

@@ -1,7 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from conftest import from_dense, ma, mb, to_dense
 from tessera.matrix import Matrix, transpose

@@ -1,7 +1,7 @@
 """Plan properties the scale design relies on, checked with explain output."""
 
 import __spark_entry__ as E
-from tessera.matrix import Matrix, transpose
+from tessera.matrix import transpose
 from tessera.operators.multiply import multiply
 from tessera.sources.generate import generate_int
 from tessera.sources.tables import order_part
