@@ -34,7 +34,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
+from ..matrix import COL, ROW, VALUE, Matrix, as_matrix, transpose
 
 # Defaults of the size rules below.
 DEFAULT_BROADCAST_CELLS = 1_000_000      # ≈ 32 MB of (k, j, v) rows
@@ -244,7 +244,48 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
     return Matrix(out.select(F.col("i").alias(ROW), F.col("j").alias(COL), VALUE), a.n_rows, b.n_cols, unique=True)
 
 
-def gram(m: Matrix, *, transpose_first: bool = False, **opts) -> Matrix:
-    """``M·Mᵀ`` (rows against rows), or ``Mᵀ·M`` with ``transpose_first``."""
-    from ..matrix import transpose
-    return multiply(transpose(m), m, **opts) if transpose_first else multiply(m, transpose(m), **opts)
+def gram(m: Matrix | DataFrame, *, transpose_first: bool = False,
+         broadcast_cells: int = DEFAULT_BROADCAST_CELLS, skew: str = "aqe",
+         measure_cells: int = MEASURE_CELLS, **hot_opts) -> Matrix:
+    """``M·Mᵀ`` (rows against rows), or ``MᵀM`` with ``transpose_first``.
+
+    The product is symmetric, so only the pairs with ``i ≤ j`` are formed
+    and summed; each off-diagonal cell is then emitted as ``(i, j)`` and
+    ``(j, i)`` by a narrow explode.  Half the products, half the aggregation
+    and half the final shuffle of :func:`multiply`, with the same cells and
+    the same broadcast / spread / salting decisions (both join sides are one
+    DataFrame, so Spark also reads and shuffles the operand only once).
+    """
+    m = as_matrix(m)
+    vt = m.value_type
+    key, outer = (ROW, COL) if transpose_first else (COL, ROW)
+    n_out = m.n_cols if transpose_first else m.n_rows
+    side = _side(m, key, outer, vt)
+    left, right = side, side
+    keys = ["key"]
+    hot_keys = None
+    bound = _cell_bound(m, measure_cells, {})
+    if bound is not None and bound <= broadcast_cells:
+        right = F.broadcast(right)
+        left = _spread(left, m, bound)
+    else:
+        if skew == "salt":
+            mt = transpose(m) if not transpose_first else m
+            mm = m if not transpose_first else transpose(m)
+            hot_keys = find_hot_keys(mm, mt, **hot_opts)
+        if hot_keys:
+            left, right = _salted(left, right, hot_keys)
+            keys = ["key", "salt"]
+    l, r = left.alias("l"), right.alias("r")
+    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    cond.append(F.col("l.other") <= F.col("r.other"))
+    prod = l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
+                                  (F.col("l.val") * F.col("r.val")).alias("p"))
+    upper = prod.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
+    both = F.when(F.col("i") < F.col("j"),
+                  F.array(F.struct(F.col("i").alias("r"), F.col("j").alias("c")),
+                          F.struct(F.col("j").alias("r"), F.col("i").alias("c")))) \
+        .otherwise(F.array(F.struct(F.col("i").alias("r"), F.col("j").alias("c"))))
+    out = upper.select(F.explode(both).alias("rc"), VALUE) \
+        .select(F.col("rc.r").alias(ROW), F.col("rc.c").alias(COL), VALUE)
+    return Matrix(out, n_out, n_out, unique=True)

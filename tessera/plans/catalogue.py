@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..matrix import COL, ROW, VALUE, Matrix, cell_count, transpose, validation_report
 from ..operators.blocked import multiply_blocked, multiply_strassen_tiled
 from ..operators.elementwise import add, add_by_join, subtract
-from ..operators.multiply import multiply
+from ..operators.multiply import gram, multiply
 from ..operators.quadrants import merge, split, split_tagged
 from ..operators.strassen import operands, strassen
 from ..session import scratch_path
@@ -39,9 +39,11 @@ TILE = 64
 # ---------------------------------------------------------------------------
 
 def q_multiply_sparse(spark: SparkSession, sf: str) -> DataFrame:
-    """Part co-purchase QᵀQ, Q[order, part] = Σ quantity (the flagship)."""
-    q = order_part(spark, sf)
-    return multiply(transpose(q), q).df
+    """Part co-purchase QᵀQ, Q[order, part] = Σ quantity (the flagship).
+
+    A Gram product: only part pairs with i ≤ j are formed, then mirrored.
+    """
+    return gram(order_part(spark, sf), transpose_first=True).df
 
 
 def _supplier_brand(spark: SparkSession, sf: str) -> Matrix:
@@ -68,7 +70,7 @@ def _embeddings_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
 
 def q_gram_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     """E·Eᵀ over the embedding vectors (coordinate form), rounded to 6 places."""
-    return _rounded(multiply(*_embeddings_gram(spark, sf), skew="salt"))
+    return _rounded(gram(embedding_matrix(spark, sf), skew="salt"))
 
 
 def _supplier_gram(spark: SparkSession, sf: str, value_type: str = "double") -> tuple[Matrix, Matrix]:

@@ -106,3 +106,18 @@ def test_broadcast_only_with_shape_bound(spark):
     plan2 = multiply(a, unknown, broadcast_cells=10).df._jdf.queryExecution().sparkPlan().toString()
     assert "SortMergeJoin" in plan2
     np.testing.assert_array_equal(to_dense(multiply(a, small)), ma(30) @ mb(30))
+
+
+def test_gram_equals_full_product(spark):
+    from tessera.operators.multiply import gram
+    a = generate_int(spark, 9, 5, value_type="double")
+    x = ma(9, 5)
+    np.testing.assert_array_equal(to_dense(gram(a)), x @ x.T)
+    np.testing.assert_array_equal(to_dense(gram(a, transpose_first=True)), x.T @ x)
+    # same cell set as the general multiply, also on the shuffle and salted paths
+    sparse = from_dense(spark, np.array([[1, 0, 2], [0, 0, 3], [4, 0, 0], [0, 0, 0]]))
+    want = multiply(sparse, transpose(sparse)).df.count()
+    for opts in ({}, {"broadcast_cells": 0}, {"broadcast_cells": 0, "skew": "salt", "min_products_per_task": 1, "tasks": 8}):
+        g = gram(sparse, **opts)
+        assert g.df.count() == want
+        np.testing.assert_array_equal(to_dense(g), to_dense(multiply(sparse, transpose(sparse))))
