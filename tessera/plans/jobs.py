@@ -54,7 +54,8 @@ def multiply_sweep(spark: SparkSession, base: str, results: str, orders: list[in
                    algorithm: str = "strassen", threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH,
                    tile: int = 512, levels: int | None = None, value_type: str = "double") -> DataFrame:
     return run_sweep(spark, path_cases(spark, base, orders, value_type=value_type), results,
-                     algorithm=algorithm, threshold=threshold, max_depth=max_depth, tile=tile, levels=levels)
+                     algorithm=algorithm, threshold=threshold, max_depth=max_depth, tile=tile, levels=levels,
+                     timing_path=lambda n: paths(base, n, results).timing)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -69,8 +69,12 @@ def _now() -> str:
 
 def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algorithm: str = "strassen",
               threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH, tile: int = 512,
-              levels: int | None = None) -> DataFrame:
-    """Run every case; return the run log (also appended as JSON to ``{out_dir}/run_log``)."""
+              levels: int | None = None, timing_path: Callable[[int], str] | None = None) -> DataFrame:
+    """Run every case; return the run log (also appended as JSON to ``{out_dir}/run_log``).
+
+    ``timing_path(order)``, when given, also receives each case's record as a
+    one-row JSON dataset (overwritten), the per-size timing file layout.
+    """
     run, fixed_levels = _algorithm(algorithm, threshold, max_depth, tile, levels)
     records = []
     for case in cases:
@@ -112,6 +116,8 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
                 df.unpersist()
         # Each record is appended as soon as its case ends, so a sweep that
         # dies part-way keeps the log of every finished size.
-        spark.createDataFrame(records[-1:], LOG_SCHEMA).coalesce(1).write.mode("append") \
-            .partitionBy("order").json(f"{out_dir}/run_log")
+        record = spark.createDataFrame(records[-1:], LOG_SCHEMA).coalesce(1)
+        record.write.mode("append").partitionBy("order").json(f"{out_dir}/run_log")
+        if timing_path is not None:
+            record.write.mode("overwrite").json(timing_path(case.order))
     return spark.createDataFrame(records, LOG_SCHEMA)

@@ -91,3 +91,5 @@ def test_generate_then_multiply_sweep_on_paths(spark):
     dc = np.zeros((8, 8))
     dc[c.row, c.col] = c.value
     np.testing.assert_allclose(dc, da @ db, rtol=1e-9)
+    timing = spark.read.schema(LOG_SCHEMA).json(paths(base, 3, res).timing).collect()
+    assert len(timing) == 1 and timing[0]["status"] == "success" and timing[0]["order"] == 3
