@@ -62,15 +62,19 @@ def _cores(master: str) -> int:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for written tables: ``spark.checkpoint.dir``.
 
-    It is read from the session.  Only when it is unset (local tests, bench)
-    a fresh folder is made under the system temp dir and registered, so that
-    ``DataFrame.checkpoint()`` and our written tables land in the same place.
+    It is read from the session.  Only when it is unset in local mode (tests,
+    bench) a fresh folder is made under the system temp dir and registered, so
+    that ``DataFrame.checkpoint()`` and our written tables land in the same
+    place; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                               "(HDFS, object store); a machine-local temporary folder is not used")
         d = tempfile.mkdtemp(prefix="tessera-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
