@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, decontaminate, token_output, topk, toxicity, warc
+from tessera.llm import bpe, decontaminate, line_dedup, ngram_join, token_output, topk, toxicity, warc
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_ngram_jaccard_join": ngram_join.op2_ngram_jaccard_join,
     "op3_token_output": token_output.op3_token_output,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_top_k": topk.op7_exact_top_k,
@@ -14,6 +16,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_ngram_jaccard_join": ngram_join.OP2_SQL,
     "op7_exact_top_k": topk.OP7_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
 }
