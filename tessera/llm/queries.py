@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, decontaminate, line_dedup, ngram_join, suffix_dedup, token_output, topk, toxicity, warc
+from tessera.llm import bpe, decontaminate, line_dedup, ngram_join, pii, suffix_dedup, token_output, topk, toxicity, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_ngram_jaccard_join": ngram_join.op2_ngram_jaccard_join,
     "op3_token_output": token_output.op3_token_output,
+    "op4_pii": pii.op4_pii,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_exact_top_k": topk.op7_exact_top_k,
