@@ -57,41 +57,59 @@ def _followed(hook: DataFrame) -> DataFrame:
             return hook
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], leaders: int = 64) -> DataFrame:
     """``node, root`` of the components of all verified links between members of a common bucket.
 
-    ``members(key, node)``: nodes that share a key are candidates;
-    ``verify(pairs(a, b))`` returns the pairs that are links.  In every round
-    some members of each bucket (one in the first round, twice as many in each
-    that follows, out of its smallest components first) are compared with the
-    members of other components and then leave the bucket, as they have been
-    compared with all.  A bucket is done when its members are one component,
-    so a group of copies costs one comparison each and never all pairs, and
-    every candidate pair is either compared or already in one component.
+    ``members(key, node, size, cap)``: nodes that share a key are candidates if
+    neither's ``size`` is above the other's ``cap``; ``verify(pairs(a, b))``
+    returns the candidates that are links.  In every round some members of each
+    bucket are compared with the members of other components and then leave it,
+    as nothing is left to compare them with: first the member that stands in
+    most buckets (in a group of copies the one the others come from), then
+    ``leaders`` members out of different components, smallest components first,
+    and 16 times as many in each round that follows.  Members whose cap is below
+    every size in the bucket leave at once.  A bucket is done when its members
+    are one component, so a group of copies costs one comparison each and never
+    all pairs, and every candidate pair is compared or in one component.
     """
     spark = members.sparkSession
-    members = written(spark, members.select("key", "node").distinct(), "members")
-    now = members
-    lead = members.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n")).filter("n > 1")
-    now, lead = now.withColumn("root", F.col("node")), lead.select("key", F.col("lead").alias("lead_root"), "lead")
-    links, leaders = None, 1
+    members = members.select("key", "node", "size", "cap").distinct()
+    members = written(spark, members, "members")
+    degree = members.groupBy("node").agg(F.count("*").alias("degree"))
+    members = written(spark, members.join(degree, "node"), "members")
+    top = F.max(F.struct("degree", (-F.col("node")).alias("minus"), F.col("size").alias("lead_size"), F.col("cap").alias("lead_cap")))
+    lead = (members.groupBy("key").agg(top.alias("top"), F.min("size").alias("low"))
+            .select("key", (-F.col("top.minus")).alias("lead"), "top.lead_size", "top.lead_cap", "low"))
+    now = members.select("key", "node", "size", "cap").join(lead, "key").filter("node <> lead")
+    links = written(spark, verify(_pairs(now)).select("a", "b"), "links")
+    now = written(spark, now.filter("cap >= low").select("key", "node", "size", "cap"), "members")
+    roots = connected(links)
     while True:
-        pairs = (now.join(lead, "key").filter("root <> lead_root")
-                 .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
-        new = written(spark, verify(pairs).select("a", "b"), "links")
-        links = new if links is None else links.unionByName(new)
-        members = now.select("key", "node").join(
-            lead.select("key", F.col("lead").alias("node")), ["key", "node"], "left_anti")
-        roots = connected(links)
-        leaders *= 2
-        now = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        now = written(spark, now, "members")
-        open_keys = now.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-        now = written(spark, now.join(open_keys.select("key"), "key", "left_semi"), "open")
+        now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        now = written(spark, now.select("key", "node", "size", "cap", "root"), "members")
+        open_keys = (now.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.min("size").alias("low"))
+                     .filter("first <> last").select("key", "low"))
+        now = now.join(open_keys, "key").filter("cap >= low").select("key", "node", "size", "cap", "root")
+        now = written(spark, now, "open")
         if now.isEmpty():
             return roots
         smallest = Window.partitionBy("key").orderBy("n", F.xxhash64("root"), "root")
-        lead = (now.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("node").alias("lead"))
+        first = F.min(F.struct("node", F.col("size").alias("lead_size"), F.col("cap").alias("lead_cap")))
+        lead = (now.groupBy("key", "root").agg(F.count("*").alias("n"), first.alias("first"))
                 .withColumn("r", F.row_number().over(smallest)).filter(F.col("r") <= leaders)
-                .select("key", F.col("root").alias("lead_root"), "lead"))
+                .select("key", F.col("root").alias("lead_root"), F.col("first.node").alias("lead"), "first.lead_size", "first.lead_cap"))
         lead = written(spark, lead, "leaders")
+        pairs = _pairs(now.join(lead, "key").filter("root <> lead_root"))
+        new = written(spark, verify(pairs).select("a", "b"), "links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            roots = connected(links)
+        gone = lead.select("key", F.col("lead").alias("node"))
+        now = now.select("key", "node", "size", "cap").join(gone, ["key", "node"], "left_anti")
+        leaders *= 16
+
+
+def _pairs(led: DataFrame) -> DataFrame:
+    """Distinct candidate pairs of members and their leaders."""
+    return (led.filter("size <= lead_cap and lead_size <= cap")
+            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())

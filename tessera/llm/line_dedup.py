@@ -218,7 +218,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     members = written(spark, _candidates(docs), "bands")
     nodes = written(spark, members.select("node").distinct(), "nodes")
     texts = written(spark, _texts(docs, nodes), "texts")
-    roots = link_buckets(members, _verifier(texts))
+    free = F.lit(0).cast("long")  # sizes are not known here
+    roots = link_buckets(members.select("key", "node", free.alias("size"), free.alias("cap")), _verifier(texts))
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("text_hash").alias("t"), F.col("line").alias("l"))
     first = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = first.join(roots, "node", "left").select("node", "first", "n", "root")

@@ -17,9 +17,12 @@ joins on its zero words.  No link is lost.
 Before the sketches, sets that cannot link are put aside: if more than a fifth
 of a set's elements occur in no other set, no set shares four fifths with it.
 The elements counted for this are those whose hash is below ``COUNTED`` of the
-range; they are fewer than all, so the bound only gets weaker.  Sets are
-compared once (``Jaccard`` on the elements themselves), copies are one class
-from the start, and ``link_buckets`` links each class to few others.
+range; they are fewer than all, so the bound only gets weaker.  The sets
+left over are counted again among themselves, now all their elements.  With
+``u`` elements of its own a set of ``n`` links only with sets of at most
+``1.25 n - 2.25 u`` elements, which candidates are held to.  Copies are one class
+from the start, ``link_buckets`` compares each class with few others, and the
+comparison is exact, on the elements themselves.
 
 Null, empty and wordless texts have an empty set and link with nothing.  Rows
 without ``doc_id`` take part in nothing and come back with null as component.
@@ -44,7 +47,7 @@ from tessera.llm.shingles import mix, shingle_sets, signed
 SHINGLE = 5
 PERCENT = 80
 #: Share of the hash range whose elements are counted to put sets aside.
-COUNTED = 0.4
+COUNTED = 0.5
 _BELOW = np.uint64(int(COUNTED * 2**64))
 RATIO = 1.25
 #: Words beyond D + 1, so that those other than zero exceed D in most sets.
@@ -142,28 +145,37 @@ def sketch_keys(s: np.ndarray, k: int) -> np.ndarray:
     return mix(mix(word[used]) + used.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + np.uint64(k + 1))
 
 
+def _own(sets: DataFrame) -> DataFrame:
+    """``rep, own``: elements of a set that no other of ``sets`` holds."""
+    held = (sets.select("rep", F.explode("elements").alias("element"))
+            .groupBy("element").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")))
+    return held.filter("rep = other").groupBy("rep").agg(F.count("*").alias("own"))
+
+
 def _members(sets: DataFrame) -> DataFrame:
-    """``key, node``: the keys that at least two sets hold."""
+    """``key, node, size, cap``: the keys that at least two sets hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, held = [], [], 0
+        parts: list[tuple] = []
+        held = 0
+        names = ["key", "node", "size", "cap"]
         for b in batches:
             col = b.column("elements")
             off, flat = col.offsets.to_numpy(), col.values.to_numpy().view(np.uint64)
-            for i, rep in enumerate(b.column("rep").to_numpy()):
+            for i, (rep, own) in enumerate(zip(b.column("rep").to_pylist(), b.column("own").to_pylist(), strict=True)):
                 s = flat[off[i]:off[i + 1]]
-                k = band(len(s))
-                own = np.concatenate([sketch_keys(s, j) for j in ((k, k - 1) if k else (k,))])
-                keys.append(signed(own))
-                nodes.append(np.full(len(own), rep))
-                held += len(own)
-                if held > 1 << 21:
-                    yield flagged(["key", "node"], [np.concatenate(keys), np.concatenate(nodes)])
-                    keys, nodes, held = [], [], 0
-        if keys:
-            yield flagged(["key", "node"], [np.concatenate(keys), np.concatenate(nodes)])
+                n, k = len(s), band(len(s))
+                keys = np.concatenate([sketch_keys(s, j) for j in ((k, k - 1) if k else (k,))])
+                cap = ((100 + PERCENT) * (n - own)) // PERCENT - n  # with 80 percent: 1.25 n - 2.25 own
+                parts.append((signed(keys), *(np.full(len(keys), x) for x in (rep, n, cap))))
+                held += len(keys)
+                if held > 1 << 20:
+                    yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
+                    parts, held = [], 0
+        if parts:
+            yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
 
-    return shared_rows(sets.mapInArrow(run, "key long, node long, flag int"))
+    return shared_rows(sets.select("rep", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
 
 
 def _verifier(sets: DataFrame):
@@ -172,12 +184,9 @@ def _verifier(sets: DataFrame):
     def verify(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("elements").alias("sa"))
         b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("sb"))
-        sizes = a.drop("sa"), b.drop("sb")
-        close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT
-        pairs = pairs.join(sizes[0], "a").join(sizes[1], "b").filter(close).select("a", "b")
-        both = pairs.join(b, "b").join(a, "a")
         shared = F.size(F.array_intersect("sa", "sb"))
-        return both.filter(shared * 100 >= (F.col("na") + F.col("nb") - shared) * PERCENT).select("a", "b")
+        return (pairs.join(b, "b").join(a, "a")
+                .filter(shared * 100 >= (F.col("na") + F.col("nb") - shared) * PERCENT).select("a", "b"))
 
     return verify
 
@@ -193,6 +202,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_classes = written(spark, open_classes, "classes")
     sets = written(spark, _sets(docs, open_classes), "sets")
     # an id held by several documents may stand for several sets: they are one component in any case
+    sets = sets.join(_own(sets), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    sets = written(spark, sets.filter(F.col("own") * 100 <= F.col("n") * (100 - PERCENT)), "sets")
     roots = link_buckets(_members(sets), _verifier(sets))
     of_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("root", "rep").alias("root"))
     return (rows.join(of_class, "cls", "left")
