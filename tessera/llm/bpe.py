@@ -64,7 +64,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class BpeQueries:
     """One DuckDB database with the merge table and the vocabulary of a rank file."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 1_000_000):
+    def __init__(self, path: str, pattern: str, limit: int = 800_000):
         import duckdb
         import regex
 
@@ -72,7 +72,7 @@ class BpeQueries:
         self._limit = limit
         self.ranks = read_ranks(path)
         self._find = regex.compile(pattern).findall
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         get = self.ranks.get
         pairs = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t))
                  if (a := get(t[:i])) is not None and (b := get(t[i:])) is not None]

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import written
+from tessera.llm.shingles import mix
+
+#: Members of a bucket that a task compares with as many others.
+BLOCK = 4096
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -57,59 +63,109 @@ def _followed(hook: DataFrame) -> DataFrame:
             return hook
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], leaders: int = 64) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame, percent: int) -> DataFrame:
     """``node, root`` of the components of all verified links between members of a common bucket.
 
     ``members(key, node, size, cap)``: nodes that share a key are candidates if
     neither's ``size`` is above the other's ``cap``; ``verify(pairs(a, b))``
-    returns the candidates that are links.  In every round some members of each
-    bucket are compared with the members of other components and then leave it,
-    as nothing is left to compare them with: first the member that stands in
-    most buckets (in a group of copies the one the others come from), then
-    ``leaders`` members out of different components, smallest components first,
-    and 16 times as many in each round that follows.  Members whose cap is below
-    every size in the bucket leave at once.  A bucket is done when its members
-    are one component, so a group of copies costs one comparison each and never
-    all pairs, and every candidate pair is compared or in one component.
+    returns the candidates that are links (a Jaccard similarity of ``percent``
+    or more).  ``sketches(node, n, bits)`` holds each node's number of elements
+    and its parity sketch (``parity_sketch``).
+
+    First every member of a bucket is compared with the one that stands in most
+    buckets (in a group of copies the one the others come from): one comparison
+    a member.  Buckets that are one component then are done.  In the others
+    members of different components are compared by their sketches, whose
+    Hamming distance is at most the symmetric difference, inside tasks of
+    ``BLOCK`` times ``BLOCK`` members; only pairs that the sketches let through
+    leave the task and are verified.  Every candidate pair is so either compared
+    or in one component.
     """
     spark = members.sparkSession
-    members = members.select("key", "node", "size", "cap").distinct()
-    members = written(spark, members, "members")
+    members = written(spark, members.select("key", "node", "size", "cap").distinct(), "members")
     degree = members.groupBy("node").agg(F.count("*").alias("degree"))
     members = written(spark, members.join(degree, "node"), "members")
     top = F.max(F.struct("degree", (-F.col("node")).alias("minus"), F.col("size").alias("lead_size"), F.col("cap").alias("lead_cap")))
     lead = (members.groupBy("key").agg(top.alias("top"), F.min("size").alias("low"))
             .select("key", (-F.col("top.minus")).alias("lead"), "top.lead_size", "top.lead_cap", "low"))
     now = members.select("key", "node", "size", "cap").join(lead, "key").filter("node <> lead")
-    links = written(spark, verify(_pairs(now)).select("a", "b"), "links")
-    now = written(spark, now.filter("cap >= low").select("key", "node", "size", "cap"), "members")
+    now = written(spark, now, "led")
+    pairs = (now.filter("size <= lead_cap and lead_size <= cap")
+             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
+    links = written(spark, verify(pairs).select("a", "b"), "links")
     roots = connected(links)
-    while True:
-        now = now.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        now = written(spark, now.select("key", "node", "size", "cap", "root"), "members")
-        open_keys = (now.groupBy("key").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.min("size").alias("low"))
-                     .filter("first <> last").select("key", "low"))
-        now = now.join(open_keys, "key").filter("cap >= low").select("key", "node", "size", "cap", "root")
-        now = written(spark, now, "open")
-        if now.isEmpty():
-            return roots
-        smallest = Window.partitionBy("key").orderBy("n", F.xxhash64("root"), "root")
-        first = F.min(F.struct("node", F.col("size").alias("lead_size"), F.col("cap").alias("lead_cap")))
-        lead = (now.groupBy("key", "root").agg(F.count("*").alias("n"), first.alias("first"))
-                .withColumn("r", F.row_number().over(smallest)).filter(F.col("r") <= leaders)
-                .select("key", F.col("root").alias("lead_root"), F.col("first.node").alias("lead"), "first.lead_size", "first.lead_cap"))
-        lead = written(spark, lead, "leaders")
-        pairs = _pairs(now.join(lead, "key").filter("root <> lead_root"))
-        new = written(spark, verify(pairs).select("a", "b"), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            roots = connected(links)
-        gone = lead.select("key", F.col("lead").alias("node"))
-        now = now.select("key", "node", "size", "cap").join(gone, ["key", "node"], "left_anti")
-        leaders *= 16
-
-
-def _pairs(led: DataFrame) -> DataFrame:
-    """Distinct candidate pairs of members and their leaders."""
-    return (led.filter("size <= lead_cap and lead_size <= cap")
-            .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
+    now = (now.filter("cap >= low").join(roots, "node", "left")
+           .select("key", "node", "size", "cap", F.coalesce("root", "node").alias("root")))
+    now = written(spark, now, "open")
+    groups = now.groupBy("key", "root").agg(F.count("*").alias("m"))
+    groups = groups.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("m"), F.count("*").alias("roots"))
+    now = now.join(groups.filter("roots > 1"), "key").join(sketches, "node")
+    new = written(spark, verify(_across(now, percent)).select("a", "b"), "links")
+    return roots if new.isEmpty() else connected(links.unionByName(new))
+
+
+def parity_sketch(elements: np.ndarray) -> bytes:
+    """Each 64-bit element flips one bit of a power of two of them, about two an element."""
+    bits = 64
+    while bits < 2 * len(elements):
+        bits *= 2
+    odd = np.bincount((mix(elements + np.uint64(0x632BE59BD9B4E019)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    """The sketch of fewer bits: halves are joined by XOR, as bit numbers are taken modulo a power of two."""
+    while len(sketch) > words:
+        sketch = sketch[:len(sketch) // 2] ^ sketch[len(sketch) // 2:]
+    return sketch
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``a, b`` of different roots in a common bucket that the sketches let through."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    rows = rows.withColumn("minor", F.col("root") != F.col("main")).withColumn("blocks", blocks)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    at = ["key", "x", "y"]
+    dealt = (rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                         "node", "size", "cap", "root", "minor", "n", "bits")
+             .repartition(n, *at).sortWithinPartitions(*at))
+    names = ["node", "size", "cap", "root", "minor", "n"]
+
+    def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, size, cap, root, minor, count = (t.column(c).to_numpy() for c in names)
+        if not minor.any():
+            return
+        sketch = [np.frombuffer(x, np.uint64) for x in t.column("bits").to_pylist()]
+        words = min(map(len, sketch))
+        bits = np.stack([_folded(x, words) for x in sketch])
+        rows_at = max(1, (1 << 21) // bits.size)
+        few = np.flatnonzero(minor)
+        for a in range(0, len(few), rows_at):
+            i = few[a:a + rows_at]
+            apart = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            ok = apart * (100 + percent) <= (100 - percent) * (count[i][:, None] + count[None, :])
+            ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
+            p, q = np.nonzero(ok)
+            if len(p):
+                x, y = node[i[p]], node[q]
+                pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t])
+            if not t.num_rows:
+                continue
+            k, x, y = (t.column(c).to_numpy() for c in at)
+            start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+            for a, e in zip(start[:-1], start[1:], strict=True):
+                yield from compare(t.slice(int(a), int(e - a)))
+            held = t.slice(int(start[-1]))
+        if held is not None and held.num_rows:
+            yield from compare(held)
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()

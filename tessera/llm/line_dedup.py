@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, table, written
-from tessera.llm.components import link_buckets
+from tessera.llm.components import link_buckets, parity_sketch
 from tessera.llm.sharing import Sieve, flagged, shared_rows
 from tessera.llm.shingles import mix, prefix_sums, signed, spans_hash
 
@@ -161,7 +161,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, held, seen = [], [], 0, np.zeros(0, np.int64)
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             lines, node = _distinct(b.column("text").to_pylist())
             new = ~np.isin(node, seen)
             lines, node = [x for x, k in zip(lines, new, strict=True) if k], node[new]
@@ -172,7 +172,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
             keys.append(key)
             nodes.append(node[line])
             held += len(key)
-            if held > 1 << 21:
+            if held > 1 << 18:
                 yield flagged(["key", "node"], [np.concatenate(keys), np.concatenate(nodes)])
                 keys, nodes, held = [], [], 0
         if keys:
@@ -196,6 +196,22 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.join(nodes, "node", "left_semi")
 
 
+def _sketches(texts: DataFrame) -> DataFrame:
+    """``node, n, bits`` of every line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "content", 1 << 19):
+            if not b.num_rows:
+                continue
+            h, at = _shingle_hashes(b.column("content").to_pylist())
+            sets = [np.unique(h[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], pa.binary())],
+                names=["node", "n", "bits"])
+
+    return texts.select("node", "content").mapInArrow(run, "node long, n long, bits binary")
+
+
 def _verifier(texts: DataFrame):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -218,8 +234,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     members = written(spark, _candidates(docs), "bands")
     nodes = written(spark, members.select("node").distinct(), "nodes")
     texts = written(spark, _texts(docs, nodes), "texts")
-    free = F.lit(0).cast("long")  # sizes are not known here
-    roots = link_buckets(members.select("key", "node", free.alias("size"), free.alias("cap")), _verifier(texts))
+    free = F.lit(0).cast("long")  # sizes are not known yet: every pair is a candidate
+    roots = link_buckets(members.select("key", "node", free.alias("size"), free.alias("cap")), _verifier(texts), _sketches(texts), 80)
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("text_hash").alias("t"), F.col("line").alias("l"))
     first = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
     first = first.join(roots, "node", "left").select("node", "first", "n", "root")

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, table, written
-from tessera.llm.components import link_buckets
+from tessera.llm.components import link_buckets, parity_sketch
 from tessera.llm.sharing import Sieve, flagged, shared_rows
 from tessera.llm.shingles import mix, shingle_sets, signed
 
@@ -65,7 +65,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n, cls`` per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_class(s) for s in sets], pa.int64())],
@@ -78,7 +78,7 @@ def _lonely(docs: DataFrame) -> DataFrame:
     """``cls, lonely``: counted elements of a class that no other class holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             cls = np.array([set_class(s) for s in sets], np.int64)
             _, once = np.unique(cls, return_index=True)
@@ -101,7 +101,7 @@ def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
             yield b.filter(pa.array(sieve.may_hold(b.column("doc_id").to_numpy())))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             rows = [(r, signed(s)) for r, c, s in zip(b.column("rep").to_pylist(), b.column("cls").to_pylist(), sets, strict=True)
                     if set_class(s) == c]
@@ -169,7 +169,7 @@ def _members(sets: DataFrame) -> DataFrame:
                 cap = ((100 + PERCENT) * (n - own)) // PERCENT - n  # with 80 percent: 1.25 n - 2.25 own
                 parts.append((signed(keys), *(np.full(len(keys), x) for x in (rep, n, cap))))
                 held += len(keys)
-                if held > 1 << 20:
+                if held > 1 << 18:
                     yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
                     parts, held = [], 0
         if parts:
@@ -178,6 +178,19 @@ def _members(sets: DataFrame) -> DataFrame:
     return shared_rows(sets.select("rep", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
 
 
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``node, n, bits`` of every set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column("elements")
+            off, flat = col.offsets.to_numpy(), col.values.to_numpy().view(np.uint64)
+            bits = [parity_sketch(flat[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("n"), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+
+    return sets.select("rep", "n", "elements").mapInArrow(run, "node long, n long, bits binary")
+
+
 def _verifier(sets: DataFrame):
     """Pairs whose sets link."""
 
@@ -204,7 +217,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # an id held by several documents may stand for several sets: they are one component in any case
     sets = sets.join(_own(sets), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     sets = written(spark, sets.filter(F.col("own") * 100 <= F.col("n") * (100 - PERCENT)), "sets")
-    roots = link_buckets(_members(sets), _verifier(sets))
+    roots = link_buckets(_members(sets), _verifier(sets), _sketches(sets), PERCENT)
     of_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("root", "rep").alias("root"))
     return (rows.join(of_class, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),

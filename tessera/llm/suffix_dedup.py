@@ -85,7 +85,7 @@ def _minimizers(docs: DataFrame) -> DataFrame:
         seen = np.zeros(0, np.int64)
         parts: list[tuple] = []
         held = 0
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             node = b.column("node").to_numpy()
             new = np.zeros(len(node), bool)
             new[np.unique(node, return_index=True)[1]] = True
@@ -96,7 +96,7 @@ def _minimizers(docs: DataFrame) -> DataFrame:
             got = stretches(_bytes(b.column("text").filter(pa.array(new))))
             parts.append((got["key"], node[new][got["doc"]], got["pos"].astype(np.int32)))
             held += len(got["key"])
-            if held > 1 << 21:
+            if held > 1 << 18:
                 yield flagged(["key", "node", "pos"], [np.concatenate(x) for x in zip(*parts, strict=True)])
                 parts, held = [], 0
         if parts:
@@ -115,7 +115,7 @@ def _windows(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[tuple, int] = {}  # smallest id per stretch of this task, forgotten when too many
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text", 1 << 19):
             texts = _bytes(b.column("text"))
             node, rep = b.column("node").to_numpy(), b.column("rep").to_numpy()
             got = stretches(texts)
@@ -284,7 +284,7 @@ def _covered(windows: DataFrame) -> DataFrame:
             t = t.filter(pc.invert(t.column("settled")))
             t = t if held is None else pa.concat_tables([held, t])
             held = t
-            if t.num_rows > 200_000:
+            if t.num_rows > 50_000:
                 key = t.column("key").to_numpy()
                 cut = int(np.searchsorted(key, key[-1]))  # the last key may go on
                 if cut:

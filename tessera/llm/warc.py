@@ -62,9 +62,10 @@ def records(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, archiv
     first = keys.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("ids")).filter("ids > 1")
     revisits = (keys.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first_id")))
                 .select("digest", "page_id", "first_id"))
-    at = ["page_id", "digest"]
-    a, b = full.repartition(files, *at).alias("a"), revisits.repartition(files, *at).alias("b")
-    both = a.join(b, F.col("a.page_id").eqNullSafe(F.col("b.page_id")) & (F.col("a.digest") == F.col("b.digest")), "left")
+    at = ["name", "digest"]  # a name is never null, so the join keeps to this partitioning
+    name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    a, b = (x.withColumn("name", name).repartition(files, *at).alias(y) for x, y in ((full, "a"), (revisits, "b")))
+    both = a.join(b, (F.col("a.name") == F.col("b.name")) & (F.col("a.digest") == F.col("b.digest")), "left")
     is_revisit = F.col("b.first_id").isNotNull()
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
                     F.col("a.size").cast("string"), F.lit(CRLF + CRLF))
