@@ -3,6 +3,10 @@
 A tile is a dense ``b × b`` block stored as one BINARY value (row-major
 float64, or int64 for BIGINT matrices).  These functions run inside Spark
 tasks on Arrow batches; Spark does the partitioning and the shuffles.
+
+Integer tiles never wrap: products and sums that leave the BIGINT range
+raise.  Float tiles with infinite or NaN entries are multiplied over their
+stored entries only, so padding adds no ``inf · 0``.
 """
 
 from __future__ import annotations
@@ -18,11 +22,12 @@ from pyspark import cloudpickle
 # not the package is installed on the executors.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Largest magnitude an int64 tile product may reach before it is treated as
-# an overflow (the float64 shadow product is compared against it).
-INT_LIMIT = float(2 ** 62)
 # Integers below this magnitude are exact in float64.
 EXACT_LIMIT = float(2 ** 53)
+# Products whose float64 shadow stays below this cannot leave the BIGINT range.
+SAFE_LIMIT = float(2 ** 62)
+BIGINT_MIN, BIGINT_MAX = -(2 ** 63), 2 ** 63 - 1
+OVERFLOW = "BIGINT overflow in tile arithmetic"
 
 
 def dtype_for(value_type: str):
@@ -38,33 +43,78 @@ def encode(tile: np.ndarray) -> bytes:
 
 
 def densify(pos, val, b: int, dtype) -> np.ndarray:
-    """Dense tile from the sparse (flat position, value) lists built in the JVM."""
+    """Dense tile from the sparse (flat position, value) lists built in the JVM; positions are unique."""
     t = np.zeros(b * b, dtype=dtype)
     p = np.asarray(pos, dtype=np.int64)
     if p.size:
-        np.add.at(t, p, np.asarray(val).astype(dtype))
+        t[p] = np.asarray(val).astype(dtype)
     return t.reshape(b, b)
 
 
+def stored(pos, b: int) -> np.ndarray:
+    """Which entries of a tile are stored cells."""
+    m = np.zeros(b * b, dtype=bool)
+    m[np.asarray(pos, dtype=np.int64)] = True
+    return m.reshape(b, b)
+
+
 def checked_matmul(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Tile product; integer tiles are exact and raise instead of wrapping around.
 
     When ``max|x|·max|y|·k < 2^53`` every partial sum is an integer that a
     double holds exactly, so the product runs on the float64 (BLAS) path and
-    is converted back without loss; otherwise int64 arithmetic is used with
-    an overflow check.
+    is converted back without loss.  Otherwise int64 arithmetic is used; an
+    entry whose float64 shadow is near the limit is recomputed with unbounded
+    integers, and a single product outside the range raises as well.
     """
     if x.dtype != np.int64:
         return x @ y
     if x.size == 0 or y.size == 0:
         return np.zeros((x.shape[0], y.shape[1]), dtype=np.int64)
-    bound = float(np.abs(x).max()) * float(np.abs(y).max()) * x.shape[1]
-    if bound < EXACT_LIMIT:
+    fx, fy = np.abs(x.astype(np.float64)), np.abs(y.astype(np.float64))
+    if float(fx.max()) * float(fy.max()) * x.shape[1] < EXACT_LIMIT:
         return np.rint(x.astype(np.float64) @ y.astype(np.float64)).astype(np.int64)
-    shadow = x.astype(np.float64) @ y.astype(np.float64)
-    if np.abs(shadow).max() >= INT_LIMIT:
-        raise ArithmeticError("BIGINT overflow in tile product")
-    return x @ y
+    for k in np.flatnonzero(fx.max(axis=0) * fy.max(axis=1) >= SAFE_LIMIT):
+        col, row = [int(v) for v in x[:, k]], [int(v) for v in y[k, :]]
+        ends = [u * v for u in (min(col), max(col)) for v in (min(row), max(row))]
+        if min(ends) < BIGINT_MIN or max(ends) > BIGINT_MAX:
+            raise ArithmeticError(OVERFLOW)
+    with np.errstate(over="ignore"):
+        out = x @ y
+    for i, j in np.argwhere(fx @ fy >= SAFE_LIMIT):
+        exact = sum(int(u) * int(v) for u, v in zip(x[i], y[:, j]))
+        if not BIGINT_MIN <= exact <= BIGINT_MAX:
+            raise ArithmeticError(OVERFLOW)
+    return out
+
+
+def stored_matmul(x: np.ndarray, mx: np.ndarray, y: np.ndarray, my: np.ndarray) -> np.ndarray:
+    """Float product over stored entries only; used where an entry is not finite."""
+    out = np.zeros((x.shape[0], y.shape[1]))
+    for k in range(x.shape[1]):
+        i, j = np.flatnonzero(mx[:, k]), np.flatnonzero(my[k])
+        if i.size and j.size:
+            with np.errstate(invalid="ignore"):
+                out[np.ix_(i, j)] += np.outer(x[i, k], y[k, j])
+    return out
+
+
+def checked_add(acc: np.ndarray, w, tile: np.ndarray) -> np.ndarray:
+    """``acc + w·tile`` for ``w`` = ±1 (or any weight that is exact); BIGINT raises instead of wrapping."""
+    if acc.dtype != np.int64:
+        with np.errstate(invalid="ignore"):
+            return acc + acc.dtype.type(w) * tile
+    w = int(w)
+    if w != 1 and tile.size:
+        ends = [w * int(tile.min()), w * int(tile.max())]
+        if min(ends) < BIGINT_MIN or max(ends) > BIGINT_MAX:
+            raise ArithmeticError(OVERFLOW)
+        tile = tile * np.int64(w)
+    with np.errstate(over="ignore"):
+        out = acc + tile
+    if (((acc ^ out) & (tile ^ out)) < 0).any():
+        raise ArithmeticError(OVERFLOW)
+    return out
 
 
 def weighted_sum_fn(b: int, value_type: str, key_names: list[str]):
@@ -75,7 +125,7 @@ def weighted_sum_fn(b: int, value_type: str, key_names: list[str]):
         acc = np.zeros((b, b), dtype=dt)
         for pdf in it:
             for w, pos, val in zip(pdf["w"].to_numpy(), pdf["pos"], pdf["val"]):
-                acc += dt(w) * densify(pos, val, b, dt)
+                acc = checked_add(acc, w, densify(pos, val, b, dt))
         out = {name: [k] for name, k in zip(key_names, key)}
         out["tile"] = [encode(acc)]
         yield pd.DataFrame(out)
@@ -87,22 +137,23 @@ def products_fn(b: int, value_type: str, keep: list[str], sparse: bool):
     """mapInPandas function: each joined row's tile pair → one dense product tile.
 
     ``sparse`` inputs are ``(pa, va)`` / ``(pb, vb)`` position/value lists,
-    otherwise dense ``ta`` / ``tb`` bytes.
+    otherwise dense ``ta`` / ``tb`` bytes.  Output rows are yielded one at a
+    time, so a task holds one batch of inputs and one product.
     """
     dt = dtype_for(value_type)
 
+    def product(row) -> np.ndarray:
+        if not sparse:
+            return checked_matmul(decode(row.ta, b, dt), decode(row.tb, b, dt))
+        x, y = densify(row.pa, row.va, b, dt), densify(row.pb, row.vb, b, dt)
+        if dt is np.float64 and not (np.isfinite(x).all() and np.isfinite(y).all()):
+            return stored_matmul(x, stored(row.pa, b), y, stored(row.pb, b))
+        return checked_matmul(x, y)
+
     def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            if sparse:
-                xs = (densify(p, v, b, dt) for p, v in zip(pdf["pa"], pdf["va"]))
-                ys = (densify(p, v, b, dt) for p, v in zip(pdf["pb"], pdf["vb"]))
-            else:
-                xs = (decode(x, b, dt) for x in pdf["ta"])
-                ys = (decode(y, b, dt) for y in pdf["tb"])
-            tiles = [encode(checked_matmul(x, y)) for x, y in zip(xs, ys)]
-            out = pdf[keep].copy()
-            out["tile"] = tiles
-            yield out
+            for row in pdf.itertuples(index=False):
+                yield pd.DataFrame({**{c: [getattr(row, c)] for c in keep}, "tile": [encode(product(row))]})
 
     return products
 
@@ -117,7 +168,7 @@ def cells_fn(b: int, value_type: str, n_rows: int, n_cols: int):
         for pdf in it:
             ws = pdf["w"].to_numpy() if "w" in pdf.columns else np.ones(len(pdf), dtype=dt)
             for w, buf in zip(ws, pdf["tile"]):
-                acc += dt(w) * decode(buf, b, dt)
+                acc = checked_add(acc, w, decode(buf, b, dt))
         li, lj = np.nonzero(acc)
         rows = li + bi * b
         cols = lj + bj * b

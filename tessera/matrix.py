@@ -100,6 +100,11 @@ def as_matrix(m: Matrix | DataFrame, n_rows: int | None = None, n_cols: int | No
     return Matrix(m.select(ROW, COL, VALUE), n_rows, n_cols)
 
 
+def required(column: Column, kind: str, name: str) -> Column:
+    """``column`` cast to ``kind``; a NULL fails the task that meets it (no extra job)."""
+    return F.coalesce(column.cast(kind), F.raise_error(F.lit(f"NULL {name} in a matrix cell")).cast(kind))
+
+
 def zero_value(value_type: str) -> Column:
     return F.lit(0).cast("bigint") if value_type == "bigint" else F.lit(0.0)
 

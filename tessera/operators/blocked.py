@@ -11,9 +11,9 @@ arithmetic is numpy.
 
 Every group is bounded: a tile holds at most ``b²`` cells, a Strassen
 operand tile sums at most ``2^L`` quadrant tiles, and output blocks are
-streamed.  The tile size bounds a record at ``8·b²`` bytes, and the Arrow
-batch size is lowered for the session so a batch stays near
-``TARGET_BATCH_BYTES``.
+streamed.  The tile size bounds a record at ``8·b²`` bytes and Spark's own
+``spark.sql.execution.arrow.maxBytesPerBatch`` bounds a batch; no session
+setting is changed.  NULL values raise.
 
 Output cells are the non-zero entries of C (the coordinate form can also
 hold explicit zeros; use :func:`tessera.compact` on it to compare).
@@ -26,24 +26,13 @@ from pyspark.sql import functions as F
 
 from ..functions.coefficients import ALPHA, BETA, PATH_BASE, down_terms, up_terms
 from ..functions.tiles import cells_fn, products_fn, weighted_sum_fn
-from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
+from ..matrix import COL, ROW, VALUE, Matrix, as_matrix, required
 from .multiply import result_type
 from .strassen import halves
 
-TARGET_BATCH_BYTES = 64 * 1024 * 1024
-BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 TILE_SCHEMA = "bi int, bj int, tile binary"
 
 
-def _limit_batches(spark: SparkSession, tile: int) -> None:
-    """Keep Arrow batches of tiles near TARGET_BATCH_BYTES (never raises the current value)."""
-    per = max(1, TARGET_BATCH_BYTES // (8 * tile * tile))
-    cur = int(spark.conf.get(BATCH_CONF, "10000"))
-    if cur <= 0 or cur > per:
-        spark.conf.set(BATCH_CONF, str(per))
-
-
 def to_tiles(m: Matrix, tile: int) -> DataFrame:
     """``(bi, bj, pos, val)``: the cells of each non-empty block as flat positions and values.
 
@@ -59,7 +48,10 @@ def to_tiles(m: Matrix, tile: int) -> DataFrame:
         ((F.col(ROW) % tile) * tile + (F.col(COL) % tile)).cast("int").alias("pos"), F.col(VALUE))
     if not m.unique:
         cells = cells.groupBy("bi", "bj", "pos").agg(F.sum(VALUE).cast(m.value_type).alias(VALUE))
-    return cells.groupBy("bi", "bj").agg(F.collect_list("pos").alias("pos"), F.collect_list(VALUE).alias("val"))
+    # One list of (position, value) pairs: two lists would drop NULLs independently and fall out of step.
+    pairs = F.collect_list(F.struct(F.col("pos"), required(F.col(VALUE), m.value_type, VALUE).alias("val")))
+    return cells.groupBy("bi", "bj").agg(pairs.alias("cells")).select(
+        "bi", "bj", F.col("cells.pos").alias("pos"), F.col("cells.val").alias("val"))
 
 
 def _replication(spark: SparkSession, inner_keys: int, col_blocks: int) -> int:
@@ -91,7 +83,6 @@ def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int
     vt = result_type(a, b)
     a, b = a.cast(vt), b.cast(vt)
     spark = a.df.sparkSession
-    _limit_batches(spark, tile)
     ta = to_tiles(a, tile).select("bi", F.col("bj").alias("bk"), F.col("pos").alias("pa"), F.col("val").alias("va"))
     tb = to_tiles(b, tile).select(F.col("bi").alias("bk"), "bj", F.col("pos").alias("pb"), F.col("val").alias("vb"))
     nb_k, nb_n = -(-a.n_cols // tile), -(-b.n_cols // tile)
@@ -130,7 +121,6 @@ def multiply_strassen_tiled(a: Matrix | DataFrame, b: Matrix | DataFrame, *, til
     wt = "bigint" if vt == "bigint" else "double"
     a, b = a.cast(vt), b.cast(vt)
     spark = a.df.sparkSession
-    _limit_batches(spark, tile)
     nb_m, nb_k, nb_n = [-(-x // tile) for x in (a.n_rows, a.n_cols, b.n_cols)]
     hm, hk, hn = halves(nb_m, levels), halves(nb_k, levels), halves(nb_n, levels)
 

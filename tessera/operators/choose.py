@@ -4,11 +4,14 @@ The coordinate join forms one record per scalar product, which is right for
 sparse operands and wrong for large dense ones; tiles turn the dense inner
 loop into numpy products.  The rule needs the density, so it counts cells
 (one job per operand) unless the caller passes the counts.
+
+Whatever algorithm runs, :func:`product` returns the same cells: those whose
+value is not zero.  BIGINT overflow raises in all of them.
 """
 
 from __future__ import annotations
 
-from ..matrix import Matrix, as_matrix
+from ..matrix import Matrix, as_matrix, compact
 from .blocked import multiply_blocked, multiply_strassen_tiled
 from .multiply import multiply
 from .strassen import strassen
@@ -30,18 +33,21 @@ def choose_algorithm(n_rows: int, n_inner: int, n_cols: int, cells_a: int, cells
 
 def product(a: Matrix, b: Matrix, *, algorithm: str = "auto", tile: int = DEFAULT_TILE,
             levels: int | None = None, cells: tuple[int, int] | None = None, **opts) -> Matrix:
-    """``A·B`` by a named algorithm, or by :func:`choose_algorithm` when ``"auto"``.
+    """The non-zero cells of ``A·B`` by a named algorithm, or by :func:`choose_algorithm` when ``"auto"``.
 
     Algorithms: ``standard``, ``strassen``, ``blocked``, ``strassen_tiled``.
+    ``opts`` go to the coordinate forms; the tiled forms take none and refuse them.
     """
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
     if algorithm == "auto":
         ca, cb = cells if cells is not None else (a.df.count(), b.df.count())
-        algorithm = choose_algorithm(a.n_rows, a.n_cols, b.n_cols, ca, cb, tile=tile)
+        algorithm = "standard" if opts else choose_algorithm(a.n_rows, a.n_cols, b.n_cols, ca, cb, tile=tile)
+    if opts and algorithm in ("blocked", "strassen_tiled"):
+        raise TypeError(f"{algorithm} takes no {', '.join(sorted(opts))}")
     if algorithm == "standard":
-        return multiply(a, b, **opts)
+        return compact(multiply(a, b, **opts))
     if algorithm == "strassen":
-        return strassen(a, b, levels=levels, **opts)
+        return strassen(a, b, levels=levels, **{"compact_zeros": True, **opts})
     if algorithm == "blocked":
         return multiply_blocked(a, b, tile=tile)
     if algorithm == "strassen_tiled":

@@ -10,17 +10,16 @@ scans, aggregates and shuffles its operand once (``ReusedExchange``).
 Scale decisions, all made from facts rather than estimates:
 
 * **Broadcast** a side only behind a proven bound: with unique coordinates a
-  matrix holds at most ``n_rows·n_cols`` cells; when that bound is loose but
-  below ``MEASURE_CELLS`` one exact count may prove the side small (the two
-  operands of a self-product share it).  Otherwise both sides are shuffled on
-  ``k`` by Spark itself (``ENSURE_REQUIREMENTS`` exchanges), which keeps AQE's
-  skew-join splitting available.
+  matrix holds at most ``n_rows·n_cols`` cells.  Nothing is counted for it; any
+  other side is shuffled on ``k`` by Spark itself (``ENSURE_REQUIREMENTS``
+  exchanges), which leaves AQE free to broadcast what turns out small and to
+  split what turns out skewed.
 * **Spread**: when one side is broadcast and the other is proven small too,
   the streamed side is hash-partitioned by its outer index, so the products
   use every task and the final ``groupBy(i, j)`` needs no shuffle.
 * **Hot inner keys** (``skew="salt"``): two small jobs over per-key counts
-  find every ``k`` whose products exceed one task's budget (fewer than
-  ``1/hot_fraction`` keys can qualify, a proven bound) and spread each over
+  find every ``k`` whose products exceed one task's budget (fewer keys than
+  tasks can qualify, a proven bound) and spread each over
   ``S(k)`` salt buckets: the side with more cells for that key is split by a
   hash of its outer index, the other side's cells for that key are copied to
   the ``S(k)`` buckets.  Every product is still formed exactly once.
@@ -38,11 +37,8 @@ from ..matrix import COL, ROW, VALUE, Matrix, as_matrix, transpose
 
 # Defaults of the size rules below.
 DEFAULT_BROADCAST_CELLS = 1_000_000      # ≈ 32 MB of (k, j, v) rows
-DEFAULT_HOT_FRACTION = 1.0 / 1024        # a key is hot above this share of all products
 DEFAULT_PRODUCTS_PER_TASK = 20_000_000   # products one salted task should form
-DEFAULT_MAX_SALT = 1024
 SPREAD_CELLS = 16_000_000                # a streamed side this small may be re-spread by row
-MEASURE_CELLS = 100 * DEFAULT_BROADCAST_CELLS  # shape bounds up to this are worth one count
 
 
 @dataclass(frozen=True)
@@ -74,15 +70,13 @@ def join_statistics(a: Matrix, b: Matrix) -> DataFrame:
     return st.withColumn("work", F.col("left_cells") * F.col("right_cells"))
 
 
-def find_hot_keys(a: Matrix, b: Matrix, *, hot_fraction: float = DEFAULT_HOT_FRACTION,
-                  min_products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
-                  tasks: int | None = None,
-                  max_salt: int = DEFAULT_MAX_SALT) -> list[HotKey]:
+def find_hot_keys(a: Matrix, b: Matrix, *, min_products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
+                  tasks: int | None = None) -> list[HotKey]:
     """Inner keys whose products exceed one task's budget.
 
-    The budget is ``max(min_products_per_task, total/tasks, total·hot_fraction)``
-    with ``tasks`` = 4 × default parallelism, so fewer than ``1/hot_fraction``
-    keys can qualify (shares sum to one): the collected list is bounded.  A
+    The budget is ``max(min_products_per_task, total/tasks)`` with ``tasks`` =
+    4 × default parallelism, so fewer than ``tasks`` keys can qualify (shares
+    sum to one): the collected list is bounded by the cluster.  A
     hot key gets ``S(k) = ceil(work/budget)`` salt buckets.  Two small jobs
     over per-key counts (map-side combined).
     """
@@ -91,14 +85,14 @@ def find_hot_keys(a: Matrix, b: Matrix, *, hot_fraction: float = DEFAULT_HOT_FRA
     st = join_statistics(a, b).cache()
     try:
         total = st.agg(F.sum("work").alias("w")).first()["w"] or 0
-        budget = max(min_products_per_task, math.ceil(total / max(1, tasks)), math.ceil(total * hot_fraction))
+        budget = max(min_products_per_task, math.ceil(total / max(1, tasks)))
         rows = st.filter(F.col("work") > F.lit(budget)).collect()
     finally:
         st.unpersist()
     hot = []
     for r in rows:
         big = max(r["left_cells"], r["right_cells"])
-        salts = min(max_salt, big, math.ceil(r["work"] / budget))
+        salts = min(big, math.ceil(r["work"] / budget))
         if salts > 1:
             hot.append(HotKey(int(r["k"]), int(r["left_cells"]), int(r["right_cells"]), int(salts)))
     return hot
@@ -108,7 +102,7 @@ def _salted(left: DataFrame, right: DataFrame, hot: list[HotKey]) -> tuple[DataF
     spark = left.sparkSession
     plan = spark.createDataFrame(
         [(h.k, h.salts, h.split_left) for h in hot], "key int, salts int, split_left boolean")
-    plan = F.broadcast(plan)  # fewer than 1/hot_fraction rows: bounded
+    plan = F.broadcast(plan)  # fewer rows than tasks: bounded
 
     def tag(df: DataFrame, is_left: bool) -> DataFrame:
         d = df.join(plan, "key", "left")
@@ -133,45 +127,15 @@ def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
     return m.df.select(F.col(key).alias("key"), F.col(other).alias("other"), F.col(VALUE).cast(vt).alias("val"))
 
 
-def _count_key(m: Matrix):
-    """Identity of the cell count of ``m``: the optimised plan of ``count(*)``.
-
-    Column pruning removes coordinate projections, so ``Q`` and ``Qᵀ`` give
-    the same plan and share one count.
-    """
-    try:
-        return m.df.agg(F.count(F.lit(1)))._jdf.queryExecution().optimizedPlan().semanticHash()
-    except Exception:  # pragma: no cover - private API guard
-        return None
+def _cell_bound(m: Matrix) -> int | None:
+    """A proven upper bound on the cells of ``m``: its shape, if coordinates are unique."""
+    return m.max_cells if m.unique else None
 
 
-def _cell_bound(m: Matrix, measure_cells: int, counted: dict | None = None) -> int | None:
-    """A proven upper bound on the cells of ``m``: its shape, or one exact count.
-
-    Counting is only worth it when the shape bound is loose but not huge; a
-    larger side is never counted (it could not be broadcast anyway).
-    ``counted`` shares counts between the two operands of one product.
-    """
-    bound = m.max_cells
-    if bound is None or bound <= DEFAULT_BROADCAST_CELLS or bound > measure_cells:
-        return bound
-    key = _count_key(m) if counted is not None else None
-    if key is not None and key in counted:
-        return min(bound, counted[key])
-    n = m.df.count()
-    if key is not None:
-        counted[key] = n
-    return min(bound, n)
-
-
-def _known_bound(m: Matrix, counted: dict) -> int | None:
-    """The shape bound, tightened by a count already taken in this call (never a new job)."""
-    bound = m.max_cells
-    if counted and bound is not None and bound > SPREAD_CELLS:
-        key = _count_key(m)
-        if key in counted:
-            return min(bound, counted[key])
-    return bound
+def _known_options(opts: dict) -> None:
+    unknown = set(opts) - {"min_products_per_task", "tasks"}
+    if unknown:
+        raise TypeError(f"unknown options: {', '.join(sorted(unknown))}")
 
 
 def _spread(side: DataFrame, m: Matrix, bound: int | None) -> DataFrame:
@@ -196,19 +160,18 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
              broadcast_cells: int = DEFAULT_BROADCAST_CELLS,
              skew: str = "aqe",
              hot_keys: list[HotKey] | None = None,
-             measure_cells: int = MEASURE_CELLS,
              **hot_opts) -> Matrix:
     """Standard multiplication ``C[i,j] = Σ_k A[i,k]·B[k,j]`` (coordinate form).
 
     Output cells are the ``(i, j)`` with at least one matching ``k``.  Works
     for rectangular operands and for ``A·A``.  ``skew`` is ``"aqe"`` (leave
     runtime splitting to adaptive execution) or ``"salt"`` (detect and salt
-    hot inner keys as described in the module docstring).  A side whose
-    shape bound is above ``broadcast_cells`` but at most ``measure_cells`` is
-    counted once, so a loose bound (a sparse matrix) can still be proven small.
+    hot inner keys as described in the module docstring); ``hot_opts`` go to
+    :func:`find_hot_keys`, and unknown names are refused.
     """
     a, b = as_matrix(a), as_matrix(b)
     _inner_dim(a, b)
+    _known_options(hot_opts)
     vt = result_type(a, b)
     left = _side(a, COL, ROW, vt)
     right = _side(b, ROW, COL, vt)
@@ -216,18 +179,15 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
 
     broadcast_side = None
     if not hot_keys:
-        counted: dict = {}
-        bound_b = _cell_bound(b, measure_cells, counted)
+        bound_a, bound_b = _cell_bound(a), _cell_bound(b)
         if bound_b is not None and bound_b <= broadcast_cells:
             broadcast_side = "right"
             right = F.broadcast(right)
-            left = _spread(left, a, _known_bound(a, counted))
-        else:
-            bound_a = _cell_bound(a, measure_cells, counted)
-            if bound_a is not None and bound_a <= broadcast_cells:
-                broadcast_side = "left"
-                left = F.broadcast(left)
-                right = _spread(right, b, bound_b)
+            left = _spread(left, a, bound_a)
+        elif bound_a is not None and bound_a <= broadcast_cells:
+            broadcast_side = "left"
+            left = F.broadcast(left)
+            right = _spread(right, b, bound_b)
     # Hot inner keys only matter when the join shuffles on k: a broadcast
     # join has no key exchange to skew.
     if broadcast_side is None and skew == "salt" and hot_keys is None:
@@ -245,8 +205,7 @@ def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
 
 
 def gram(m: Matrix | DataFrame, *, transpose_first: bool = False,
-         broadcast_cells: int = DEFAULT_BROADCAST_CELLS, skew: str = "aqe",
-         measure_cells: int = MEASURE_CELLS, **hot_opts) -> Matrix:
+         broadcast_cells: int = DEFAULT_BROADCAST_CELLS, skew: str = "aqe", **hot_opts) -> Matrix:
     """``M·Mᵀ`` (rows against rows), or ``MᵀM`` with ``transpose_first``.
 
     The product is symmetric, so only the pairs with ``i ≤ j`` are formed
@@ -264,7 +223,8 @@ def gram(m: Matrix | DataFrame, *, transpose_first: bool = False,
     left, right = side, side
     keys = ["key"]
     hot_keys = None
-    bound = _cell_bound(m, measure_cells, {})
+    _known_options(hot_opts)
+    bound = _cell_bound(m)
     if bound is not None and bound <= broadcast_cells:
         right = F.broadcast(right)
         left = _spread(left, m, bound)

@@ -122,9 +122,9 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
         raise ValueError(f"inner dimensions differ: {a.shape} · {b.shape}")
     m_, k_, n_ = a.n_rows, a.n_cols, b.n_cols
     if levels is None:
-        levels = levels_for(max(m_, k_, n_), threshold, max_depth)
+        levels = levels_for(min(m_, k_, n_), threshold, max_depth)
     if levels == 0:
-        c = multiply(a, b)
+        c = multiply(a, b, **mult_opts)
         return _compact(c) if compact_zeros else c
     vt = result_type(a, b)
     if a.value_type != vt:

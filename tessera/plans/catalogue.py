@@ -23,8 +23,7 @@ from ..operators.strassen import operands, strassen
 from ..session import scratch_path
 from ..sources.generate import generate_int_over, generate_random_over
 from ..sources.io import roundtrip
-from ..sources.tables import (EVENT_TYPES, embedding_matrix, order_part, part_brand, supplier_part,
-                              user_event)
+from ..sources.tables import embedding_matrix, order_part, part_brand, supplier_part, user_event
 from .compare import compare_algorithms
 from .sweep import SweepCase, run_sweep
 
@@ -65,42 +64,42 @@ def _rounded(m: Matrix) -> DataFrame:
 
 def _embeddings_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
     e = embedding_matrix(spark, sf)
-    return e, transpose(e)
+    return transpose(e), e
 
 
 def q_gram_embeddings(spark: SparkSession, sf: str) -> DataFrame:
-    """E·Eᵀ over the embedding vectors (coordinate form), rounded to 6 places."""
-    return _rounded(gram(embedding_matrix(spark, sf), skew="salt"))
+    """EᵀE, component by component over all embedding vectors (coordinate form), rounded to 6 places."""
+    return _rounded(gram(embedding_matrix(spark, sf), transpose_first=True, skew="salt"))
 
 
-def _supplier_gram(spark: SparkSession, sf: str, value_type: str = "double") -> tuple[Matrix, Matrix]:
-    q = supplier_part(spark, sf, value_type=value_type)
-    return q, transpose(q)
+def _purchase_gram(spark: SparkSession, sf: str, value_type: str = "double") -> tuple[Matrix, Matrix]:
+    q = order_part(spark, sf, value_type=value_type)
+    return transpose(q), q
 
 
 def _brand_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
-    """S and Sᵀ for the dense supplier × brand matrix S (integer-valued doubles)."""
+    """Sᵀ and S for the dense supplier × brand matrix S (integer-valued doubles)."""
     s = _supplier_brand(spark, sf)
-    return s, transpose(s)
+    return transpose(s), s
 
 
 def q_multiply_standard(spark: SparkSession, sf: str) -> DataFrame:
-    """Supplier co-supply Q·Qᵀ, Q[supplier, part] = Σ quantity."""
-    return multiply(*_supplier_gram(spark, sf)).df
+    """Part co-purchase QᵀQ, Q[order, part] = Σ quantity, by the general join."""
+    return multiply(*_purchase_gram(spark, sf)).df
 
 
 def q_multiply_integer(spark: SparkSession, sf: str) -> DataFrame:
-    """Q·Qᵀ with BIGINT cells (exact integer arithmetic, overflow raises)."""
-    return multiply(*_supplier_gram(spark, sf, "bigint")).df
+    """QᵀQ with BIGINT cells (exact integer arithmetic, overflow raises)."""
+    return multiply(*_purchase_gram(spark, sf, "bigint")).df
 
 
 def q_multiply_blocked(spark: SparkSession, sf: str) -> DataFrame:
-    """E·Eᵀ over dense tiles, rounded to 6 places."""
+    """EᵀE over dense tiles, rounded to 6 places."""
     return _rounded(multiply_blocked(*_embeddings_gram(spark, sf), tile=TILE))
 
 
 def q_multiply_strassen_tiled(spark: SparkSession, sf: str) -> DataFrame:
-    """E·Eᵀ by one Strassen level over dense tiles, rounded to 6 places."""
+    """EᵀE by one Strassen level over dense tiles, rounded to 6 places."""
     return _rounded(multiply_strassen_tiled(*_embeddings_gram(spark, sf), tile=TILE, levels=1))
 
 
@@ -110,29 +109,30 @@ def q_strassen_operands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_multiply_strassen_1(spark: SparkSession, sf: str) -> DataFrame:
-    """S·Sᵀ (supplier × supplier over brands) by Strassen, one level."""
+    """SᵀS (brand × brand over suppliers) by Strassen, one level."""
     return strassen(*_brand_gram(spark, sf), levels=1, compact_zeros=True).df
 
 
 def q_multiply_strassen_2(spark: SparkSession, sf: str) -> DataFrame:
-    """S·Sᵀ by Strassen, two levels (inner size 25 padded to 28)."""
+    """SᵀS by Strassen, two levels (25 brands padded to 28)."""
     return strassen(*_brand_gram(spark, sf), levels=2, compact_zeros=True).df
 
 
 def q_multiply_strassen_odd(spark: SparkSession, sf: str) -> DataFrame:
-    """U·Uᵀ, U[user, event type]: inner size 5, padded per dimension, two levels."""
+    """UᵀU, U[user, event type]: odd sizes, padded per dimension, two levels."""
     u = user_event(spark, sf)
-    return strassen(u, transpose(u), levels=2, compact_zeros=True).df
+    return strassen(transpose(u), u, levels=2, compact_zeros=True).df
 
 
 def q_multiply_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """U·Uᵀ joins on only five inner keys: every key is hot and gets salted.
+    """U·(UᵀU): users × event types over as few inner keys as there are types, every key hot and salted.
 
-    ``broadcast_cells=0`` treats U as too large to broadcast, as it is at full
-    scale, so the salted shuffle join runs at every scale.
+    ``broadcast_cells=0`` treats both sides as too large to broadcast, so the
+    salted shuffle join runs at every scale.
     """
     u = user_event(spark, sf)
-    return multiply(u, transpose(u), skew="salt", broadcast_cells=0, min_products_per_task=1000).df
+    w = multiply(transpose(u), u)
+    return multiply(u, w, skew="salt", broadcast_cells=0, min_products_per_task=1000).df
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
@@ -166,11 +166,14 @@ def q_cell_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_validate_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    return validation_report(order_part(spark, sf))
+    """The contract's counters on the raw lines, where a part may stand twice in an order."""
+    lines = spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet")
+    return validation_report(lines.select(F.col("l_orderkey").alias(ROW), F.col("l_partkey").alias(COL),
+                                          F.col("l_quantity").alias(VALUE)))
 
 
 def q_compare_algorithms(spark: SparkSession, sf: str) -> DataFrame:
-    """Standard against one-level Strassen on S·Sᵀ."""
+    """Standard against one-level Strassen on SᵀS."""
     a, b = _brand_gram(spark, sf)
     return compare_algorithms(a, b, levels=1)
 
@@ -178,21 +181,20 @@ def q_compare_algorithms(spark: SparkSession, sf: str) -> DataFrame:
 def _sweep_cases(spark: SparkSession, sf: str) -> list[SweepCase]:
     def users():
         u = user_event(spark, sf)
-        return u, transpose(u)
+        return transpose(u), u
 
     def suppliers():
         return _brand_gram(spark, sf)
 
     def vectors():
-        e = embedding_matrix(spark, sf)
-        return e, transpose(e)
+        return _embeddings_gram(spark, sf)
 
     sizes = [user_event(spark, sf).n_rows, supplier_part(spark, sf).n_rows, embedding_matrix(spark, sf).n_rows]
     return [SweepCase(i + 1, n, f) for i, (n, f) in enumerate(zip(sizes, (users, suppliers, vectors)))]
 
 
 def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Sweep Strassen (one level) over U·Uᵀ, S·Sᵀ and E·Eᵀ; the run log."""
+    """Sweep Strassen (one level) over UᵀU, SᵀS and EᵀE; the run log."""
     log = run_sweep(spark, _sweep_cases(spark, sf), scratch_path(spark, "sweep"), algorithm="strassen", levels=1)
     return log.select("order", "matrix_size", "algorithm", "status")
 
@@ -261,7 +263,7 @@ def _cells(row: str, col: str, value: str, table: str, where: str = "", vt: str
 
 SQL_QOP = _cells("l_orderkey", "l_partkey", "l_quantity", "lineitem")
 SQL_QSP = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem")
-SQL_QSP_INT = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", vt="BIGINT")
+SQL_QOP_INT = _cells("l_orderkey", "l_partkey", "l_quantity", "lineitem", vt="BIGINT")
 SQL_QSP_RETURNED = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_returnflag = 'R'")
 SQL_QSP_KEPT = _cells("l_suppkey", "l_partkey", "l_quantity", "lineitem", "l_returnflag IS DISTINCT FROM 'R'")
 SQL_IPB = (r"SELECT CAST(p_partkey AS INTEGER) AS r, "
@@ -269,10 +271,8 @@ SQL_IPB = (r"SELECT CAST(p_partkey AS INTEGER) AS r, "
            r"CAST(1.0 AS DOUBLE) AS v FROM part")
 SQL_E = ("SELECT CAST(vec_id AS INTEGER) AS r, CAST(unnest(range(len(embedding))) AS INTEGER) AS c, "
          "CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings")
-_EVENT_LIST = "[" + ", ".join(f"'{t}'" for t in EVENT_TYPES) + "]"
-SQL_U = (f"SELECT CAST(user_id AS INTEGER) AS r, CAST(list_position({_EVENT_LIST}, event_type) - 1 AS INTEGER) AS c, "
-         f"CAST(count(*) AS DOUBLE) AS v FROM events WHERE list_position({_EVENT_LIST}, event_type) IS NOT NULL "
-         f"GROUP BY 1, 2")
+SQL_U = ("SELECT CAST(user_id AS INTEGER) AS r, CAST(k - 1 AS INTEGER) AS c, CAST(count(*) AS DOUBLE) AS v "
+         "FROM (SELECT user_id, dense_rank() OVER (ORDER BY event_type NULLS FIRST) AS k FROM events) GROUP BY 1, 2")
 
 
 def _gram_sql(cells: str, vt: str = "DOUBLE", rows_of: str = "r", inner: str = "c",
@@ -287,8 +287,8 @@ def _gram_sql(cells: str, vt: str = "DOUBLE", rows_of: str = "r", inner: str = "
 SQL_S = (f"WITH a AS ({SQL_QSP}), b AS ({SQL_IPB}) "
          f"SELECT a.r AS r, b.c AS c, CAST(sum(a.v * b.v) AS DOUBLE) AS v FROM a JOIN b ON a.c = b.r GROUP BY 1, 2")
 SQL_E_GRAM = (f"WITH e AS ({SQL_E}) "
-              f'SELECT x.r AS "row", y.r AS col, round(sum(x.v * y.v), 6) AS value '
-              f"FROM e x JOIN e y ON x.c = y.c GROUP BY 1, 2")
+              f'SELECT x.c AS "row", y.c AS col, round(sum(x.v * y.v), 6) AS value '
+              f"FROM e x JOIN e y ON x.r = y.r GROUP BY 1, 2")
 
 
 def _elementwise_sql(op: str) -> str:
@@ -308,8 +308,8 @@ SQL: dict[str, str] = {
     "multiply_sparse": _gram_sql(SQL_QOP, rows_of="c", inner="r"),
     "multiply_rect": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_S})',
     "gram_embeddings": SQL_E_GRAM,
-    "multiply_standard": _gram_sql(SQL_QSP),
-    "multiply_integer": _gram_sql(SQL_QSP_INT, vt="BIGINT"),
+    "multiply_standard": _gram_sql(SQL_QOP, rows_of="c", inner="r"),
+    "multiply_integer": _gram_sql(SQL_QOP_INT, vt="BIGINT", rows_of="c", inner="r"),
     "multiply_blocked": SQL_E_GRAM,
     "multiply_strassen_tiled": SQL_E_GRAM,
     "strassen_operands": (f"WITH q AS ({SQL_QSP}), h AS ({_HALF}), alpha(p, qi, qj, w) AS (VALUES {_ALPHA_VALUES}) "
@@ -317,10 +317,13 @@ SQL: dict[str, str] = {
                           f"CAST(q.c % h.hc AS INTEGER) AS col, CAST(sum(a.w * q.v) AS DOUBLE) AS value "
                           f"FROM q CROSS JOIN h JOIN alpha a ON q.r // h.hr = a.qi AND q.c // h.hc = a.qj "
                           f"GROUP BY 1, 2, 3"),
-    "multiply_strassen_1": _gram_sql(SQL_S, nonzero=True),
-    "multiply_strassen_2": _gram_sql(SQL_S, nonzero=True),
-    "multiply_strassen_odd": _gram_sql(SQL_U, nonzero=True),
-    "multiply_hot_keys": _gram_sql(SQL_U),
+    "multiply_strassen_1": _gram_sql(SQL_S, nonzero=True, rows_of="c", inner="r"),
+    "multiply_strassen_2": _gram_sql(SQL_S, nonzero=True, rows_of="c", inner="r"),
+    "multiply_strassen_odd": _gram_sql(SQL_U, nonzero=True, rows_of="c", inner="r"),
+    "multiply_hot_keys": (f"WITH u AS ({SQL_U}), w AS (SELECT x.c AS r, y.c AS c, sum(x.v * y.v) AS v "
+                          f"FROM u x JOIN u y ON x.r = y.r GROUP BY 1, 2) "
+                          f'SELECT u.r AS "row", w.c AS col, CAST(sum(u.v * w.v) AS DOUBLE) AS value '
+                          f"FROM u JOIN w ON u.c = w.r GROUP BY 1, 2"),
     "add_matrices": _elementwise_sql("+"),
     "add_matrices_join": _elementwise_sql("+"),
     "subtract_matrices": _elementwise_sql("-"),
@@ -332,9 +335,11 @@ SQL: dict[str, str] = {
                         f"q.v AS value FROM q CROSS JOIN h"),
     "merge_quadrants": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_QSP})',
     "cell_count": f"SELECT CAST(count(*) AS BIGINT) AS n_cells FROM ({SQL_QOP})",
-    "validate_matrix": (f"SELECT CAST(count(*) AS BIGINT) AS n_cells, CAST(0 AS BIGINT) AS null_coordinates, "
-                        f"CAST(0 AS BIGINT) AS null_values, CAST(0 AS BIGINT) AS duplicate_coordinates "
-                        f"FROM ({SQL_QOP})"),
+    "validate_matrix": ("SELECT CAST(sum(n) AS BIGINT) AS n_cells, "
+                        "count(*) FILTER (r IS NULL OR c IS NULL) AS null_coordinates, "
+                        "CAST(sum(nulls) AS BIGINT) AS null_values, count(*) FILTER (n > 1) AS duplicate_coordinates "
+                        "FROM (SELECT l_orderkey AS r, l_partkey AS c, count(*) AS n, "
+                        "count(*) FILTER (l_quantity IS NULL) AS nulls FROM lineitem GROUP BY 1, 2)"),
     "compare_algorithms": "SELECT CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS n_mismatch",
     "run_log": ('SELECT CAST(1 AS BIGINT) AS "order", CAST(max(user_id) + 1 AS BIGINT) AS matrix_size, '
                 "'strassen' AS algorithm, 'success' AS status FROM events "

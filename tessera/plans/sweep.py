@@ -54,11 +54,11 @@ def _algorithm(name: str, threshold: int, max_depth: int, tile: int, levels: int
     """A product function for the sweep, and the Strassen levels it uses (None = size rule)."""
     if name == "strassen":
         def run(a: Matrix, b: Matrix) -> Matrix:
-            lv = levels if levels is not None else levels_for(max(a.n_rows, a.n_cols, b.n_cols), threshold, max_depth)
+            lv = levels if levels is not None else levels_for(min(a.n_rows, a.n_cols, b.n_cols), threshold, max_depth)
             return strassen(a, b, levels=lv)
         return run, levels
     if name in ("standard", "blocked", "strassen_tiled", "auto"):
-        fixed = (levels or 1) if name == "strassen_tiled" else 0
+        fixed = (1 if levels is None else levels) if name == "strassen_tiled" else 0
         return (lambda a, b: product(a, b, algorithm=name, tile=tile, levels=levels)), fixed
     raise ValueError(f"unknown algorithm {name!r}")
 
@@ -93,7 +93,7 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
             t1 = time.perf_counter()
             lv = fixed_levels
             if algorithm == "strassen" and levels is None:
-                lv = levels_for(max(a.n_rows, a.n_cols, b.n_cols), threshold, max_depth)
+                lv = levels_for(min(a.n_rows, a.n_cols, b.n_cols), threshold, max_depth)
             c = run(a, b)
             c.df.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(c.df)
@@ -110,7 +110,7 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
             msg = f"{type(e).__name__}: {e}".strip()
             traceback.print_exc()
             records.append((case.order, case.matrix_size, None, None, None, None, None, None, None, None,
-                            msg[:2000], round(time.perf_counter() - t0, 3), _now(), "failed"))
+                            msg, round(time.perf_counter() - t0, 3), _now(), "failed"))
         finally:
             for df in held:
                 df.unpersist()

@@ -35,7 +35,7 @@ def build_session(master: str = "local[8]", app: str = "tessera", shuffle_partit
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("TESSERA_DRIVER_MEMORY", "16g"),
+        "spark.driver.memory": os.environ.get("TESSERA_DRIVER_MEMORY", "8g"),
         "spark.sql.files.maxPartitionBytes": "128MB",
     }
     conf.update(extra or {})

@@ -8,10 +8,10 @@ aggregated shuffle, unless the caller knows the keys are unique already
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..matrix import COL, ROW, VALUE, Matrix
+from ..matrix import COL, ROW, VALUE, Matrix, required
 
 
 def _c(x: str | Column) -> Column:
@@ -23,15 +23,15 @@ def from_table(df: DataFrame, row: str | Column, col: str | Column, value: str |
                unique: bool = False, value_type: str = "double") -> Matrix:
     """Coordinate matrix ``M[row, col] = Σ value`` from a table.
 
-    Keys are cast to INT (ANSI mode raises if a key does not fit).  Rows with
-    a NULL key are not cells and are left out; NULL values count as 0.
+    Keys are cast to INT (ANSI mode raises if a key does not fit).  NULL keys
+    and NULL values are rejected: the task that meets one fails.
     """
     vt = "bigint" if value_type in ("bigint", "long") else "double"
     cells = df.select(
-        _c(row).cast("int").alias(ROW),
-        _c(col).cast("int").alias(COL),
-        F.coalesce(_c(value).cast(vt), F.lit(0).cast(vt)).alias(VALUE),
-    ).filter(F.col(ROW).isNotNull() & F.col(COL).isNotNull())
+        required(_c(row), "int", ROW).alias(ROW),
+        required(_c(col), "int", COL).alias(COL),
+        required(_c(value), vt, VALUE).alias(VALUE),
+    )
     if not unique:
         cells = cells.groupBy(ROW, COL).agg(F.sum(VALUE).cast(vt).alias(VALUE))
     return Matrix(cells, n_rows, n_cols, unique=True)
@@ -42,11 +42,11 @@ def from_array_column(df: DataFrame, row: str | Column, array: str | Column,
     """Dense rows stored as an array column: ``M[row, pos] = array[pos]`` (0-based).
 
     ``posexplode`` is a narrow per-record generator, so the matrix is produced
-    without any shuffle; row keys are assumed unique (one array per row).
+    without any shuffle; row keys are assumed unique (one array per row).  A
+    NULL or empty array has no cells; NULL row keys and elements are rejected.
     """
-    cells = df.select(_c(row).cast("int").alias(ROW), F.posexplode(_c(array)).alias(COL, VALUE))
-    cells = cells.select(ROW, F.col(COL).cast("int").alias(COL), F.col(VALUE).cast("double").alias(VALUE))
-    cells = cells.filter(F.col(ROW).isNotNull() & F.col(VALUE).isNotNull())
+    cells = df.select(required(_c(row), "int", ROW).alias(ROW), F.posexplode(_c(array)).alias(COL, VALUE))
+    cells = cells.select(ROW, F.col(COL).cast("int").alias(COL), required(F.col(VALUE), "double", VALUE).alias(VALUE))
     return Matrix(cells, n_rows, n_cols)
 
 
@@ -64,10 +64,10 @@ def _extent(df: DataFrame, *cols: str) -> list[int]:
     return [int(r[c]) + 1 if r[c] is not None else 0 for c in cols]
 
 
-def order_part(spark: SparkSession, sf_dir: str, *, with_shape: bool = False) -> Matrix:
+def order_part(spark: SparkSession, sf_dir: str, *, with_shape: bool = False, value_type: str = "double") -> Matrix:
     """Q[order, part] = Σ l_quantity (sparse; a few parts per order)."""
     li = _read(spark, sf_dir, "lineitem")
-    m = from_table(li, "l_orderkey", "l_partkey", "l_quantity")
+    m = from_table(li, "l_orderkey", "l_partkey", "l_quantity", value_type=value_type)
     if with_shape:
         n_o, n_p = _extent(li, "l_orderkey", "l_partkey")
         m = Matrix(m.df, n_o, n_p, m.unique)
@@ -117,15 +117,17 @@ def embedding_matrix(spark: SparkSession, sf_dir: str) -> Matrix:
     return from_array_column(emb, "vec_id", "embedding", n_rows=int(r["n"]) + 1, n_cols=int(r["d"]))
 
 
-# The event types of the ``events`` table, in column order.
-EVENT_TYPES = ("click", "view", "purchase", "signup", "error")
-
-
 def user_event(spark: SparkSession, sf_dir: str) -> Matrix:
-    """U[user, event type] = number of events (types in EVENT_TYPES order)."""
-    ev = _read(spark, sf_dir, "events")
+    """U[user, event type] = number of events; the distinct types found in the table, NULL
+    first and then in order, are the columns."""
+    ev = _read(spark, sf_dir, "events").select("user_id", "event_type")
     n_u, = _extent(ev, "user_id")
-    code = F.array_position(F.array(*[F.lit(t) for t in EVENT_TYPES]), F.col("event_type")) - 1
-    src = ev.select("user_id", code.alias("etype")).filter(F.col("etype") >= 0)
-    m = from_table(src, "user_id", "etype", F.lit(1.0))
-    return Matrix(m.df, n_u, len(EVENT_TYPES), m.unique)
+    counts = ev.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    # the window sees one row per distinct type
+    types = ev.select("event_type").distinct().withColumn(
+        "etype", F.row_number().over(Window.orderBy(F.col("event_type").asc_nulls_first())) - 1)
+    types = types.withColumnRenamed("event_type", "kind")
+    n_types = types.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    coded = counts.join(types, F.col("event_type").eqNullSafe(F.col("kind")))
+    m = from_table(coded, "user_id", "etype", "n", unique=True)
+    return Matrix(m.df, n_u, int(n_types), m.unique)
