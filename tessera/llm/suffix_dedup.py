@@ -38,7 +38,7 @@ from tessera.llm.sharing import Sieve, flagged, shared_rows
 from tessera.llm.shingles import prefix_sums, signed, spans_hash
 
 LENGTH = 50
-GRAM = 12
+GRAM = 18
 #: Depth to which multikey quicksort sorts before blind tries take over.
 SHALLOW = 16
 _LAST = (1 << 63) - 1
@@ -374,34 +374,69 @@ def repeated_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classes, covered.groupBy("node").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
 
 
-def dedup_passages(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept binary`` per row of ``docs(doc_id, text)``."""
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs(order_id, node, text)``, and ``found(rep, of, spans)`` with a row per class of equal texts."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("order_id"),
                        F.xxhash64("text").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     classes, ranges = repeated_ranges(docs)
     found = classes.join(ranges, "node", "left").select(F.col("rep"), F.col("node").alias("of"), "spans")
-    firsts = docs.join(found, (F.col("order_id") == F.col("rep")) & (F.col("node") == F.col("of")), "left")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            out = []
-            for i, t, first, spans in zip(b.column("order_id").to_pylist(), _bytes(b.column("text")), b.column("rep").to_pylist(),
-                                          b.column("spans").to_pylist(), strict=True):
-                if first is None and len(t) >= LENGTH:  # a copy
-                    kept, gone, n = b"", len(t), 1
-                else:
-                    kept, gone, n = cut(t, [(s["first"], s["last"]) for s in spans or ()])
-                out.append((None if i == _LAST else i, len(t), gone, n, kept))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                                                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return firsts.select("order_id", "text", "rep", "spans").mapInArrow(
-        apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return docs, written(docs.sparkSession, found, "ranges")
+
+
+def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "text"):
+        out = []
+        for i, t, first, spans in zip(b.column("order_id").to_pylist(), _bytes(b.column("text")), b.column("rep").to_pylist(),
+                                      b.column("spans").to_pylist(), strict=True):
+            if first is None and len(t) >= LENGTH:  # a copy
+                kept, gone, n = b"", len(t), 1
+            else:
+                kept, gone, n = cut(t, [(s["first"], s["last"]) for s in spans or ()])
+            out.append((None if i == _LAST else i, len(t), gone, n, kept))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+                                             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+
+
+_KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+
+
+def dedup_passages(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept binary`` per row of ``docs(doc_id, text)``."""
+    docs, found = _prepared(docs)
+    firsts = docs.join(found, (docs.order_id == found.rep) & (docs.node == found.of), "left")
+    return firsts.select("order_id", "text", "rep", "spans").mapInArrow(_apply, _KEPT)
+
+
+def passage_report(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256``: as ``dedup_passages``, moving only texts that are cut.
+
+    Whole and wholly removed texts are answered from their length and hash.
+    """
+    docs, found = _prepared(docs)
+    cut_ones = found.filter("spans is not null")
+    sieve = Sieve(cut_ones, "rep")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(sieve.may_hold(b.column("order_id").to_numpy())))
+
+    texts = docs.mapInArrow(sift, docs.schema)
+    cut_rows = (texts.join(cut_ones, (texts.order_id == cut_ones.rep) & (texts.node == cut_ones.of))
+                .select("order_id", "text", "rep", "spans").mapInArrow(_apply, _KEPT)
+                .select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")))
+    brief = docs.select("order_id", "node", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
+    state = found.select("rep", "of", F.col("spans").isNotNull().alias("is_cut"))
+    rest = brief.join(state, (brief.order_id == state.rep) & (brief.node == state.of), "left").filter("is_cut is null or not is_cut")
+    copy = F.col("rep").isNull() & (F.col("n_bytes") >= LENGTH)
+    rest = rest.select(F.when(F.col("order_id") != _LAST, F.col("order_id")).alias("doc_id"), "n_bytes",
+                       F.when(copy, F.col("n_bytes")).otherwise(0).alias("n_removed"),
+                       F.when(copy, 1).otherwise(0).cast("long").alias("n_spans"),
+                       F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.col("whole")).alias("kept_sha256"))
+    return cut_rows.unionByName(rest)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text of ``documents``."""
-    return dedup_passages(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return passage_report(table(spark, sf_dir, "documents"))

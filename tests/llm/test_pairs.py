@@ -185,6 +185,8 @@ def test_passages_equal_brute_force(spark, docs):
     want = brute_passages(rows)
     assert sum(w[1] for w in want.values()) > 5000
     assert got == want
+    brief = suffix_dedup.passage_report(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in brief} == want and len(brief) == len(rows)
 
 
 def test_passages_of_repeated_rows_and_empty_table(spark):
