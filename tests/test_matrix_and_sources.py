@@ -86,7 +86,7 @@ def test_parquet_roundtrip_and_paths(spark):
 
 
 def test_from_table_sums_duplicates_and_from_array(spark):
-    df = spark.createDataFrame([(1, 2, 3.0), (1, 2, 4.0), (0, 0, None)], "a long, b long, q double")
+    df = spark.createDataFrame([(1, 2, 3.0), (1, 2, 4.0), (0, 0, 0.0)], "a long, b long, q double")
     m = from_table(df, "a", "b", "q")
     got = {(r["row"], r["col"]): r["value"] for r in m.df.collect()}
     assert got == {(1, 2): 7.0, (0, 0): 0.0}

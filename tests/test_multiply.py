@@ -87,8 +87,8 @@ def test_hot_keys_are_salted_exactly(spark):
 
 def test_proven_small_side_is_broadcast_before_any_hot_key_search(spark):
     rows = [(i, 0, 1.0) for i in range(50)]
-    a = Matrix(spark.createDataFrame(rows, "row int, col int, value double"), 50, 1)
-    b = Matrix(spark.createDataFrame([(0, j, 1.0) for j in range(50)], "row int, col int, value double"), 1, 50)
+    a = Matrix(spark.createDataFrame(rows, "row int, col int, value double"), 50, 1, unique=True)
+    b = Matrix(spark.createDataFrame([(0, j, 1.0) for j in range(50)], "row int, col int, value double"), 1, 50, unique=True)
     sc = spark.sparkContext
     before = len(sc.statusTracker().getJobIdsForGroup(None))
     c = multiply(a, b, skew="salt", min_products_per_task=1, tasks=16)
