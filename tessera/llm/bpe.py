@@ -64,7 +64,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class BpeQueries:
     """One DuckDB database with the merge table and the vocabulary of a rank file."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 800_000):
+    def __init__(self, path: str, pattern: str, limit: int = 400_000):
         import duckdb
         import regex
 
@@ -86,7 +86,7 @@ class BpeQueries:
         self._db.execute("CREATE TABLE vocab AS SELECT * FROM v")
         self._byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
-    def merge(self, words: list[bytes], block: int = 50_000) -> list[np.ndarray]:
+    def merge(self, words: list[bytes], block: int = 10_000) -> list[np.ndarray]:
         """Ids per word; a word that is itself in the vocabulary is one token."""
         out: list = [None] * len(words)
         todo = []
@@ -217,7 +217,7 @@ def round_trip(df: DataFrame, vocab: str, pattern: str, text: str = "text") -> D
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 4 << 20):
+        for b in slices(batches, "text"):
             _, cache = _queries(vocab, pattern)
             texts = b.column("text").to_pylist()
             raw, back = cache.encode_texts(texts)
