@@ -63,14 +63,15 @@ def _followed(hook: DataFrame) -> DataFrame:
             return hook
 
 
-def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], sketches: DataFrame, percent: int) -> DataFrame:
+def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                 sketches: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """``node, root`` of the components of all verified links between members of a common bucket.
 
     ``members(key, node, size, cap)``: nodes that share a key are candidates if
     neither's ``size`` is above the other's ``cap``; ``verify(pairs(a, b))``
     returns the candidates that are links (a Jaccard similarity of ``percent``
-    or more).  ``sketches(node, n, bits)`` holds each node's number of elements
-    and its parity sketch (``parity_sketch``).
+    or more).  ``sketches(nodes(node))`` returns ``node, n, bits``: each node's
+    number of elements and its parity sketch (``parity_sketch``).
 
     First every member of a bucket is compared with the one that stands in most
     buckets (in a group of copies the one the others come from): one comparison
@@ -78,8 +79,10 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
     members of different components are compared by their sketches, whose
     Hamming distance is at most the symmetric difference, inside tasks of
     ``BLOCK`` times ``BLOCK`` members; only pairs that the sketches let through
-    leave the task and are verified.  Every candidate pair is so either compared
-    or in one component.
+    leave the task and are verified.  In rounds every member first names the
+    nearest one of another component, one pair a member, until no round finds
+    a link; the buckets that are still not one component then hand out all
+    pairs.  Every candidate pair is so either compared or in one component.
     """
     spark = members.sparkSession
     members = written(spark, members.select("key", "node", "size", "cap").distinct(), "members")
@@ -94,20 +97,34 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame], s
              .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
     links = written(spark, verify(pairs).select("a", "b"), "links")
     roots = connected(links)
-    now = (now.filter("cap >= low").join(roots, "node", "left")
-           .select("key", "node", "size", "cap", F.coalesce("root", "node").alias("root")))
-    now = written(spark, now, "open")
-    groups = now.groupBy("key", "root").agg(F.count("*").alias("m"))
-    groups = groups.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("m"), F.count("*").alias("roots"))
-    now = now.join(groups.filter("roots > 1"), "key").join(sketches, "node")
-    new = written(spark, verify(_across(now, percent)).select("a", "b"), "links")
-    return roots if new.isEmpty() else connected(links.unionByName(new))
+    now = now.filter("cap >= low").select("key", "node", "size", "cap")
+    bits = None
+    while True:
+        both = now.join(roots, "node", "left").select("key", "node", "size", "cap", F.coalesce("root", "node").alias("root"))
+        both = written(spark, both, "open")
+        groups = both.groupBy("key", "root").agg(F.count("*").alias("m"))
+        groups = groups.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("m"), F.count("*").alias("roots"))
+        both = written(spark, both.join(groups.filter("roots > 1"), "key"), "open")
+        if both.isEmpty():
+            return roots
+        if bits is None:
+            bits = written(spark, sketches(both.select("node").distinct()), "sketches")
+        now, rows = both.select("key", "node", "size", "cap"), both.join(bits, "node")
+        new = written(spark, verify(_across(rows, percent, True)).select("a", "b"), "links")
+        nearest = not new.isEmpty()
+        if not nearest:
+            new = written(spark, verify(_across(rows, percent, False)).select("a", "b"), "links")
+            if new.isEmpty():
+                return roots
+        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+        if not nearest:
+            return roots
 
 
 def parity_sketch(elements: np.ndarray) -> bytes:
-    """Each 64-bit element flips one bit of a power of two of them, about two an element."""
+    """Each 64-bit element flips one bit of a power of two of them, about four an element."""
     bits = 64
-    while bits < 2 * len(elements):
+    while bits < 4 * len(elements):
         bits *= 2
     odd = np.bincount((mix(elements + np.uint64(0x632BE59BD9B4E019)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
@@ -120,8 +137,9 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
-def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct ``a, b`` of different roots in a common bucket that the sketches let through."""
+def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Distinct ``a, b`` of different roots in a common bucket that the sketches let through; with
+    ``nearest`` one for each node outside its bucket's main root."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     rows = rows.withColumn("minor", F.col("root") != F.col("main")).withColumn("blocks", blocks)
@@ -147,7 +165,11 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             apart = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
             ok = apart * (100 + percent) <= (100 - percent) * (count[i][:, None] + count[None, :])
             ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
-            p, q = np.nonzero(ok)
+            if nearest:
+                apart = np.where(ok, apart / (count[i][:, None] + count[None, :]), np.inf)
+                p, q = np.flatnonzero(ok.any(axis=1)), apart.argmin(axis=1)[ok.any(axis=1)]
+            else:
+                p, q = np.nonzero(ok)
             if len(p):
                 x, y = node[i[p]], node[q]
                 pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)

@@ -21,16 +21,18 @@ treated alike.  An empty table gives no rows.  Extra columns pass through.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from tessera.llm.common import slices, table, written
 from tessera.llm.components import link_buckets, parity_sketch
 from tessera.llm.sharing import Sieve, flagged, shared_rows
-from tessera.llm.shingles import mix, prefix_sums, signed, spans_hash
+from tessera.llm.shingles import mix, signed
 
 SHINGLE = 9
 SIMILARITY = 0.8
@@ -38,8 +40,9 @@ BANDS, ROWS = 12, 3
 #: Lines of at least so many shingles use bins; those up to a quarter more use both schemes.
 BINNED = 200
 _RNG = np.random.default_rng(11)
-_FUNCTIONS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FUNCTIONS = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _BAND = _RNG.integers(0, 1 << 63, (BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SPANS = _RNG.integers(0, 1 << 63, SHINGLE.bit_length(), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -48,27 +51,28 @@ def lines_of(text: str | None) -> list[str]:
 
 def node_of(lines: list[str]) -> np.ndarray:
     """64-bit name of each line without outer white space; 0 for a blank line."""
-    raw = [x.strip().encode() for x in lines]
-    size = np.array([len(r) for r in raw], np.int64)
-    end = np.cumsum(size)
-    if not len(raw) or not end[-1]:
-        return np.zeros(len(raw), np.int64)
-    h = spans_hash(prefix_sums(np.frombuffer(b"".join(raw), np.uint8)), end - size, end)
-    return np.where(size > 0, signed(mix(h + size.astype(np.uint64))), 0)
+    return np.array([xxh3_64_intdigest(s) if (s := x.strip()) else 0 for x in lines], np.uint64).view(np.int64)
 
 
 def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each shingle of all lines, and the number of shingles before each line."""
-    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-    size = np.array([len(x) for x in lines], np.int64)
-    first = np.cumsum(size) - size
-    count = np.maximum(size - SHINGLE + 1, 1)
-    at = np.cumsum(count) - count
-    start = np.repeat(first - at, count) + np.arange(count.sum())
-    # polynomial over the code points: four bytes each
-    sums = prefix_sums(points.view(np.uint8))
-    end = np.minimum(start + SHINGLE, np.repeat(first + size, count))
-    return spans_hash(sums, 4 * start, 4 * end), np.concatenate([at, [count.sum()]])
+    """Hash of each shingle of all lines, and the number of shingles before each line.
+
+    Lines shorter than a shingle are filled up with NUL, so that every line is cut alike.
+    """
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    end = np.cumsum([len(x) for x in lines])
+    # spans of 2, 4 and 8 code points, each from two of half the length, and one more point
+    span, width = points, 1
+    for f in _SPANS[:-1]:
+        span = span[:-width] * f + span[width:]
+        width *= 2
+    span = span[:-1] * _SPANS[-1] + points[width:]
+    inside = np.ones(len(points), bool)
+    for j in range(1, SHINGLE):
+        inside[end - j] = False
+    count = np.diff(end, prepend=0) - SHINGLE + 1
+    return mix(span[inside[:len(span)]]), np.concatenate([[0], np.cumsum(count)])
 
 
 def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +85,9 @@ def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         take = np.concatenate([np.arange(at[i], at[i + 1]) for i in short]) if len(short) < len(count) else np.arange(len(h))
         hs = h[take]
         cut = np.concatenate([[0], np.cumsum(count[short])[:-1]])
-        signature = np.stack([np.minimum.reduceat((hs * f) ^ (hs >> np.uint64(31)), cut) for f in _FUNCTIONS], axis=1)
+        # 32 bits are enough for minima of few shingles: one half of the functions take the low bits, one the high bits
+        halves = hs.astype(np.uint32), (hs >> np.uint64(32)).astype(np.uint32)
+        signature = np.stack([np.minimum.reduceat(halves[i % 2] * f, cut) for i, f in enumerate(_FUNCTIONS)], axis=1).astype(np.uint64)
         out_line.append(np.repeat(short, BANDS))
         out_key.append(_keys(signature, 1).ravel())
     if len(long):
@@ -122,10 +128,14 @@ def _keys(signature: np.ndarray, scheme: int) -> np.ndarray:
     return mix(parts.sum(axis=2) + np.uint64(scheme) * _BAND[:, 0])
 
 
+@lru_cache(maxsize=16)
+def _shingles(line: str) -> frozenset[str]:
+    return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+
+
 def similar(a: str, b: str) -> bool:
     """Exact Jaccard of the shingle sets against ``SIMILARITY``."""
-    x = {a[i:i + SHINGLE] for i in range(max(1, len(a) - SHINGLE + 1))}
-    y = {b[i:i + SHINGLE] for i in range(max(1, len(b) - SHINGLE + 1))}
+    x, y = _shingles(a), _shingles(b)
     if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
         return False
     both = len(x & y)
@@ -196,8 +206,8 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.join(nodes, "node", "left_semi")
 
 
-def _sketches(texts: DataFrame) -> DataFrame:
-    """``node, n, bits`` of every line."""
+def _sketches(texts: DataFrame):
+    """``node, n, bits`` of given lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "content", 1 << 19):
@@ -209,12 +219,15 @@ def _sketches(texts: DataFrame) -> DataFrame:
                 [b.column("node"), pa.array([len(s) for s in sets], pa.int64()), pa.array([parity_sketch(s) for s in sets], pa.binary())],
                 names=["node", "n", "bits"])
 
-    return texts.select("node", "content").mapInArrow(run, "node long, n long, bits binary")
+    def sketches(nodes: DataFrame) -> DataFrame:
+        return texts.join(nodes, "node", "left_semi").select("node", "content").mapInArrow(run, "node long, n long, bits binary")
+
+    return sketches
 
 
 def _verifier(texts: DataFrame):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "y"):
             ok = pa.array([similar(x, y) for x, y in zip(b.column("x").to_pylist(), b.column("y").to_pylist(), strict=True)], pa.bool_())
             yield b.select(["a", "b"]).filter(ok)
 

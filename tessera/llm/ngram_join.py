@@ -178,8 +178,8 @@ def _members(sets: DataFrame) -> DataFrame:
     return shared_rows(sets.select("rep", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
 
 
-def _sketches(sets: DataFrame) -> DataFrame:
-    """``node, n, bits`` of every set."""
+def _sketches(sets: DataFrame):
+    """``node, n, bits`` of given sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -188,7 +188,11 @@ def _sketches(sets: DataFrame) -> DataFrame:
             bits = [parity_sketch(flat[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("n"), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
 
-    return sets.select("rep", "n", "elements").mapInArrow(run, "node long, n long, bits binary")
+    def sketches(nodes: DataFrame) -> DataFrame:
+        wanted = sets.join(nodes.withColumnRenamed("node", "rep"), "rep", "left_semi")
+        return wanted.select("rep", "n", "elements").mapInArrow(run, "node long, n long, bits binary")
+
+    return sketches
 
 
 def _verifier(sets: DataFrame):
