@@ -82,8 +82,7 @@ def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     long, short = np.flatnonzero(count >= BINNED), np.flatnonzero(count < BINNED * 1.25)
     out_line, out_key = [], []
     if len(short):
-        take = np.concatenate([np.arange(at[i], at[i + 1]) for i in short]) if len(short) < len(count) else np.arange(len(h))
-        hs = h[take]
+        hs = h[np.repeat(count < BINNED * 1.25, count)]
         cut = np.concatenate([[0], np.cumsum(count[short])[:-1]])
         # 32 bits are enough for minima of few shingles: one half of the functions take the low bits, one the high bits
         halves = hs.astype(np.uint32), (hs >> np.uint64(32)).astype(np.uint32)
@@ -91,21 +90,13 @@ def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out_line.append(np.repeat(short, BANDS))
         out_key.append(_keys(signature, 1).ravel())
     if len(long):
-        row = np.repeat(np.arange(len(count)), count)
-        mine = count[row] >= BINNED
-        hl, rl = h[mine], row[mine]
-        renumber = np.zeros(len(count), np.int64)
-        renumber[long] = np.arange(len(long))
-        # one number per shingle: line, bin and the rest of the hash, so that a sort finds the minima
-        bins = ((hl >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
-        slot = renumber[rl].astype(np.uint64) * np.uint64(m) + bins
-        packed = np.sort((slot << np.uint64(32)) | (hl & np.uint64(0xFFFFFFFF)))
-        slots = packed >> np.uint64(32)
-        first = np.concatenate([[True], slots[1:] != slots[:-1]])
-        signature = np.zeros(len(long) * m, np.uint64)
-        filled = np.zeros(len(long) * m, bool)
-        signature[slots[first]] = (packed[first] & np.uint64(0xFFFFFFFF)) + np.uint64(1)
-        filled[slots[first]] = True
+        hl = h[np.repeat(count >= BINNED, count)]
+        slot = ((hl >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
+        slot += np.repeat(np.arange(len(long)) * m, count[long])
+        signature = np.full(len(long) * m, np.iinfo(np.uint64).max)
+        np.minimum.at(signature, slot, (hl & np.uint64(0xFFFFFFFF)) + np.uint64(1))
+        filled = signature != np.iinfo(np.uint64).max
+        signature[~filled] = 0
         signature, filled = signature.reshape(-1, m), filled.reshape(-1, m)
         for shift in range(1, m):
             if filled.all():
