@@ -93,8 +93,9 @@ def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         hl = h[np.repeat(count >= BINNED, count)]
         slot = ((hl >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         slot += np.repeat(np.arange(len(long)) * m, count[long])
-        signature = np.full(len(long) * m, np.iinfo(np.uint64).max)
-        np.minimum.at(signature, slot, (hl & np.uint64(0xFFFFFFFF)) + np.uint64(1))
+        signature = np.full(len(long) * m, np.iinfo(np.uint64).max, np.uint64)
+        low = (hl & np.uint64(0xFFFFFFFF)) + np.uint64(1)
+        np.minimum.at(signature, slot, low)
         filled = signature != np.iinfo(np.uint64).max
         signature[~filled] = 0
         signature, filled = signature.reshape(-1, m), filled.reshape(-1, m)
