@@ -163,7 +163,7 @@ def _candidates(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, nodes, held, seen = [], [], 0, np.zeros(0, np.int64)
-        for b in slices(batches, "text", 1 << 19):
+        for b in slices(batches, "text", 1 << 17):
             lines, node = _distinct(b.column("text").to_pylist())
             new = ~np.isin(node, seen)
             lines, node = [x for x, k in zip(lines, new, strict=True) if k], node[new]
@@ -202,7 +202,7 @@ def _sketches(texts: DataFrame):
     """``node, n, bits`` of given lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "content", 1 << 19):
+        for b in slices(batches, "content", 1 << 17):
             if not b.num_rows:
                 continue
             h, at = _shingle_hashes(b.column("content").to_pylist())

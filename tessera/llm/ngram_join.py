@@ -65,7 +65,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n, cls`` per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 19):
+        for b in slices(batches, "text", 1 << 17):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_class(s) for s in sets], pa.int64())],
@@ -78,7 +78,7 @@ def _lonely(docs: DataFrame) -> DataFrame:
     """``cls, lonely``: counted elements of a class that no other class holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 19):
+        for b in slices(batches, "text", 1 << 17):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             cls = np.array([set_class(s) for s in sets], np.int64)
             _, once = np.unique(cls, return_index=True)
@@ -101,7 +101,7 @@ def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
             yield b.filter(pa.array(sieve.may_hold(b.column("doc_id").to_numpy())))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 19):
+        for b in slices(batches, "text", 1 << 17):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
             rows = [(r, signed(s)) for r, c, s in zip(b.column("rep").to_pylist(), b.column("cls").to_pylist(), sets, strict=True)
                     if set_class(s) == c]
