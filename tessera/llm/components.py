@@ -102,9 +102,14 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     while True:
         both = now.join(roots, "node", "left").select("key", "node", "size", "cap", F.coalesce("root", "node").alias("root"))
         both = written(spark, both, "open")
-        groups = both.groupBy("key", "root").agg(F.count("*").alias("m"))
-        groups = groups.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("m"), F.count("*").alias("roots"))
-        both = written(spark, both.join(groups.filter("roots > 1"), "key"), "open")
+        per = both.groupBy("key", "root").agg(F.count("*").alias("m"), F.min("size").alias("low"), F.max("cap").alias("high"))
+        main = (per.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("all"), F.count("*").alias("roots"))
+                .filter("roots > 1"))
+        # of a bucket's main component only members that may link with one of the others are looked at again
+        others = (per.join(main, "key").filter("root <> main").groupBy("key", "main", F.col("all").alias("m"))
+                  .agg(F.min("low").alias("low"), F.max("high").alias("high")))
+        both = both.join(others, "key").filter("root <> main or (size <= high and cap >= low)").drop("low", "high")
+        both = written(spark, both, "open")
         if both.isEmpty():
             return roots
         if bits is None:
