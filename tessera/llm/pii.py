@@ -230,7 +230,8 @@ def find(docs: DataFrame) -> DataFrame:
     edges = (items.select("kind", "value", "base", F.explode(F.array("one", "two")).alias("pattern")).filter("pattern <> 0")
              .groupBy("kind", "value", "pattern").agg(F.max("base").alias("base")))
     edges = written(spark, edges, "edges")
-    patterns = edges.filter("base").groupBy("pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("pattern")
+    # whatever has that many instances may be believed in a later round, also if none of them is a base span
+    patterns = edges.groupBy("kind", "pattern").agg(F.count("*").alias("n")).filter(F.col("n") >= SUPPORT).select("pattern").distinct()
     patterns = written(spark, patterns, "patterns")
     known = bootstrap(edges, pattern_totals(docs, patterns))
     span = F.struct("start", "kind", "end")

@@ -142,6 +142,18 @@ def test_bootstrap_finds_unseen_numbers_in_learned_contexts(spark):
     assert pii.find(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_bootstrap_learns_contexts_from_what_it_found(spark):
+    rows = [(i, f"please reach me at desk line +1 (212) 555-{1000 + i} soon", "", "") for i in range(6)]
+    rows += [(10 + i, f"please reach me at desk line 555-987{i} soon", "", "") for i in range(3)]
+    rows += [(20 + i, f"office hours, ext: 555-987{i} at noon", "", "") for i in range(3)]
+    rows += [(30, "ask for ext: 444-1234 tonight", "", ""), (31, "a crate of 7654321 nails", "", "")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all([(s.kind, t[s.start:s.end]) for s in got[i].found] == [(3, t.split()[-2])] for i, t, _, _ in rows if 10 <= i < 20)
+    # no base span ever stands after 'ext:'
+    assert [(s.kind, s.start, s.end) for s in got[30].found] == [(3, 13, 21)]
+    assert not got[31].base and not got[31].found
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("aeiou") + rng.choice("lmnrst") for _ in range(3)) for _ in range(200)]
