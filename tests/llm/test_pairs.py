@@ -138,6 +138,20 @@ def test_line_dedup_of_similar_and_repeated_lines(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def lines_left(spark, lines):
+    """The lines that stay of documents of one line each, and those that brute force keeps."""
+    left = line_dedup.dedup_lines(spark.createDataFrame([(i, x, "", "") for i, x in enumerate(lines)], SCHEMA)).filter("n_removed = 0")
+    root = groups([(i, j) for j in range(len(lines)) for i in range(j) if line_dedup.similar(lines[i], lines[j])], range(len(lines)))
+    return sorted(r.doc_id for r in left.collect()), sorted({min(j for j in root if root[j] == root[i]) for i in root})
+
+
+def test_line_dedup_of_rules_and_refrains_of_different_length(spark):
+    refrain = "row, row, row your boat gently down the stream, "
+    lines = ["-" * 40, "-" * 120, "Ha " * 6, "Ha " * 40, refrain * 2, refrain + "and home", refrain * 4, "=" * 30, "=-" * 15, "=" * 100]
+    got, want = lines_left(spark, lines)
+    assert got == want == [0, 2, 4, 5, 7, 8]
+
+
 def test_both_signature_schemes_agree_on_equal_shingle_sets():
     import numpy as np
 
