@@ -3,8 +3,8 @@
 A line's set holds its distinct nine-character shingles (a shorter line is one
 shingle); lines are compared without white space at their ends.  Equal lines
 are one node from the start.  A node's signature has ``BANDS * ROWS`` minima:
-lines of many shingles deal one hash per shingle out to that many bins (an
-empty bin takes the next one's value), shorter lines take that many hash
+lines of many distinct shingles deal one hash per shingle out to that many bins
+(an empty bin takes the next one's value), lines of fewer take that many hash
 functions, and lines near the limit do both, so that similar lines always share
 a scheme.  Lines whose signatures agree in one band are candidates (two lines
 of similarity 0.8 are missed with probability 2 in 10,000), candidates are
@@ -37,7 +37,7 @@ from tessera.llm.shingles import mix, signed
 SHINGLE = 9
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 3
-#: Lines of at least so many shingles use bins; those up to a quarter more use both schemes.
+#: Lines of at least so many distinct shingles use bins; those up to a quarter more use both schemes.
 BINNED = 200
 _RNG = np.random.default_rng(11)
 _FUNCTIONS = _RNG.integers(0, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -75,14 +75,33 @@ def _shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return mix(span[inside[:len(span)]]), np.concatenate([[0], np.cumsum(count)])
 
 
+def _set_sizes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Shingles of each line: distinct ones where that is below ``BINNED * 1.25`` and the positions are not.
+
+    A line that repeats itself has far fewer distinct shingles than positions.
+    Lines whose positions are below the limit already use the functions, whatever
+    repeats; of the others, distinct values of ten bits are a bound from below.
+    """
+    size = np.diff(at)
+    many = size >= BINNED * 1.25
+    big = np.flatnonzero(many)
+    seen = np.zeros(len(big) << 10, bool)
+    seen[np.repeat(np.arange(len(big)) << 10, size[big]) + (h[np.repeat(many, size)] >> np.uint64(54)).astype(np.int64)] = True
+    least = np.count_nonzero(seen.reshape(-1, 1 << 10), axis=1)
+    for i in big[least < BINNED * 1.25]:
+        size[i] = len(np.unique(h[at[i]:at[i + 1]]))
+    return size
+
+
 def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """``(line index, key)`` of all band keys of distinct non-blank lines."""
     h, at = _shingle_hashes(lines)
     count, m = np.diff(at), BANDS * ROWS
-    long, short = np.flatnonzero(count >= BINNED), np.flatnonzero(count < BINNED * 1.25)
+    n = _set_sizes(h, at)
+    long, short = np.flatnonzero(n >= BINNED), np.flatnonzero(n < BINNED * 1.25)
     out_line, out_key = [], []
     if len(short):
-        hs = h[np.repeat(count < BINNED * 1.25, count)]
+        hs = h[np.repeat(n < BINNED * 1.25, count)]
         cut = np.concatenate([[0], np.cumsum(count[short])[:-1]])
         # 32 bits are enough for minima of few shingles: one half of the functions take the low bits, one the high bits
         halves = hs.astype(np.uint32), (hs >> np.uint64(32)).astype(np.uint32)
@@ -90,7 +109,7 @@ def band_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out_line.append(np.repeat(short, BANDS))
         out_key.append(_keys(signature, 1).ravel())
     if len(long):
-        hl = h[np.repeat(count >= BINNED, count)]
+        hl = h[np.repeat(n >= BINNED, count)]
         slot = ((hl >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         slot += np.repeat(np.arange(len(long)) * m, count[long])
         signature = np.full(len(long) * m, np.iinfo(np.uint64).max, np.uint64)

@@ -152,6 +152,14 @@ def test_line_dedup_of_rules_and_refrains_of_different_length(spark):
     assert got == want == [0, 2, 4, 5, 7, 8]
 
 
+def test_line_dedup_of_phrases_repeated_any_number_of_times(spark):
+    rng = random.Random(5)
+    phrases = ["".join(rng.choice("abcdefgh ") for _ in range(n)) + "." for n in (99, 40, 180, 230, 300)]
+    lines = ["-" * 180, "-" * 300, "-" * 2000, *(p * k for p in phrases for k in (2, 3, 10))]
+    got, want = lines_left(spark, lines)
+    assert got == want == [0, 3, 6, 9, 12, 15]
+
+
 def test_both_signature_schemes_agree_on_equal_shingle_sets():
     import numpy as np
 
