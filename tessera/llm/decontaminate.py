@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from uuid import uuid4
 
 import ahocorasick
 import numpy as np
@@ -78,7 +79,7 @@ def window_blocks(items: DataFrame, size: int = WINDOW,
     cuts.unpersist()
 
 
-_AUTOMATA: dict[int, object] = {}
+_AUTOMATA: dict[str, object] = {}
 
 
 def _automaton(bc) -> ahocorasick.Automaton | None:
@@ -95,10 +96,10 @@ def _automaton(bc) -> ahocorasick.Automaton | None:
 
 
 class _Block:
-    """A broadcast block with an id that workers can key on."""
+    """A broadcast block with an id that workers can key on, never given twice."""
 
-    def __init__(self, spark: SparkSession, rows: list[tuple], key: str):
-        self._bc, self.id = spark.sparkContext.broadcast(rows), key
+    def __init__(self, spark: SparkSession, rows: list[tuple]):
+        self._bc, self.id = spark.sparkContext.broadcast(rows), uuid4().hex
 
     @property
     def value(self) -> list[tuple]:
@@ -159,7 +160,7 @@ def mark(docs: DataFrame, items: DataFrame, text: str = "text", size: int = WIND
     k = 0
     while rows is not None:
         after = next(blocks, None)
-        block = _Block(docs.sparkSession, rows, f"{id(items)}-{id(rows)}-{k}")
+        block = _Block(docs.sparkSession, rows)
         out = [f for f in fields if keep_text or after is not None or f.name != text]
         docs = docs.mapInArrow(_scan(block, text, [f.name for f in out], k == 0), T.StructType([*out, *HITS]))
         rows, k = after, k + 1

@@ -99,6 +99,14 @@ def test_decontamination_equals_brute_force(spark, max_chars):
             assert decontaminate.words(r.text[s:e]) == decontaminate.words(r.text)[a:b]
 
 
+def test_decontamination_against_two_benchmarks_at_the_same_address(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "id", lambda _: 0, raising=False)
+    docs = spark.createDataFrame([(i, "first second", "", "") for i in range(8)], SCHEMA).coalesce(1)
+    for item, text in ((1, "first"), (2, "second"), (3, "first second")):
+        items = spark.createDataFrame([(item, text)], "item_id long, text string")
+        assert [r.hit_items for r in decontaminate.mark(docs, items).collect()] == [[str(item)]] * 8
+
+
 def test_decontamination_of_empty_tables(spark):
     docs, none = spark.createDataFrame([(1, "a b", "", "")], SCHEMA), spark.createDataFrame([], "item_id long, text string")
     assert [r.hit_items for r in decontaminate.mark(docs, none).collect()] == [[]]
