@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, table, written
 from tessera.llm.sharing import Sieve
-from tessera.llm.shingles import mix, signed, word_hashes
+from tessera.llm.shingles import LOWER, mix, prefix_sums, signed, spans_hash, word_bounds, word_hashes
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -124,11 +124,6 @@ def instances(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     return out
 
 
-def before(text: str, start: int) -> str:
-    """The two words before a place, one string; no white space word is longer than 60 characters here."""
-    return " ".join(text[max(0, start - 120):start].split()[-2:])
-
-
 _ITEMS = "array<struct<kind:int,start:int,end:int,base:boolean,value:long,one:long,two:long>>"
 
 
@@ -139,14 +134,16 @@ def _scan(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            found, contexts, values = [], [], []
+            found, texts, places, values = [], [], [], []
             for t in b.column("text").to_pylist():
                 base = base_spans(t) if t else []
                 other = instances(t, base) if t else []
                 found.append([(k, a, e, True) for a, k, e in base] + [(k, a, e, False) for a, k, e in other])
-                contexts += [before(t, a) for _, a, _, _ in found[-1]]
+                if found[-1]:
+                    texts.append(t)
+                    places.append([a for _, a, _, _ in found[-1]])
                 values += [re.sub(r"\s", "", t[a:e]) for _, a, e, _ in found[-1]]
-            one, two = context_patterns(contexts)
+            one, two = context_patterns(texts, places)
             value = _text_hashes(values)
             rows, i = [], 0
             for f in found:
@@ -163,17 +160,39 @@ def _text_hashes(values: list[str]) -> np.ndarray:
     return signed(h[at[:-1]]) if len(values) else np.zeros(0, np.int64)
 
 
-def context_patterns(contexts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the last word and of the last two words of each context (0 where there are none)."""
-    h, at = word_hashes(contexts)
-    one, two = np.zeros(len(contexts), np.uint64), np.zeros(len(contexts), np.uint64)
-    last, n = at[1:] - 1, np.diff(at)
-    a, b = n >= 1, n >= 2
-    one[a] = one_word(h[last[a]])
-    two[b] = two_words(h[last[b] - 1], h[last[b]])
+def context_patterns(texts: list[str], places: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the word and of the two words before each place of each text (0 where there are none).
+
+    Words are those of ``word_hashes``, of any length and any white space apart; one that a place cuts ends there.
+    """
+    if not texts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    raw = [t.encode() for t in texts]
+    a = np.frombuffer(b"\n".join(raw).translate(LOWER) + b"\n", np.uint8)
+    first = np.cumsum([0, *(len(r) + 1 for r in raw[:-1])])
+    at = np.concatenate([f + _byte_offsets(r, p) for f, r, p in zip(first, raw, places, strict=True)])
+    first = np.repeat(first, [len(p) for p in places])
+    start, end = word_bounds(a)
+    if not len(start):
+        return np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    sums = prefix_sums(a)
+    last = np.searchsorted(start, at) - 1
+    one, two = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    n = last - np.searchsorted(start, first) + 1
+    h = spans_hash(sums, start[np.maximum(last, 0)], np.minimum(end[np.maximum(last, 0)], at))
+    h2 = spans_hash(sums, start[np.maximum(last - 1, 0)], end[np.maximum(last - 1, 0)])
+    one[n >= 1] = one_word(h[n >= 1])
+    two[n >= 2] = two_words(h2[n >= 2], h[n >= 2])
     return signed(one), signed(two)
 
 
+def _byte_offsets(raw: bytes, places: list[int]) -> np.ndarray:
+    """Byte offsets of code points of a text."""
+    if raw.isascii():
+        return np.array(places, np.int64)
+    return np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)[places]
+
+
 def one_word(h: np.ndarray) -> np.ndarray:
     return mix(h + _ONE)
 

@@ -11,7 +11,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ORDER = _RNG.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LENGTH = _ORDER[-1] * np.arange(64, dtype=np.uint64)
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _POWERS = np.ones(1, np.uint64), np.ones(1, np.uint64)
@@ -51,16 +51,20 @@ def spans_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * down[start])
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word of bytes that end in white space."""
+    space = _SPACE[raw]
+    inside = ~space
+    return np.flatnonzero(inside & np.concatenate([[True], space[:-1]])), np.flatnonzero(space & np.concatenate([[False], inside[:-1]]))
+
+
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hash per word (A-Z in lower case, words parted by ASCII white space) of all texts, and the
     number of words before each text (one more entry than texts)."""
-    raw = [(t or "").encode().translate(_LOWER) for t in texts]
+    raw = [(t or "").encode().translate(LOWER) for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
     a = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
-    space = _SPACE[a]
-    inside = ~space
-    start = np.flatnonzero(inside & np.concatenate([[True], space[:-1]]))
-    end = np.flatnonzero(space & np.concatenate([[False], inside[:-1]]))
+    start, end = word_bounds(a)
     hashes = spans_hash(prefix_sums(a), start, end) if len(start) else np.zeros(0, np.uint64)
     return hashes, np.concatenate([[0], np.searchsorted(start, ends)])
 

@@ -162,6 +162,30 @@ def test_bootstrap_learns_contexts_from_what_it_found(spark):
     assert not got[31].base and not got[31].found
 
 
+def test_contexts_are_whole_words_however_far(spark):
+    link, gap, nbsp = "https://example.org/" + "x" * 150, " " * 150, "desk\u00a0line"
+    rows, n = [], 0
+    for before in (link, f"Line{gap}", f"é {nbsp}"):
+        rows += [(n + i, f"note {before} +1 (212) 555-{1000 + i} soon", "", "") for i in range(6)]
+        rows.append((n + 6, f"note {before} 555-9{n:03d} soon", "", ""))
+        n += 10
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, t, _, _ in rows:
+        assert [t[s.start:s.end] for s in got[i].found] == ([t.split()[-2]] if i % 10 == 6 else [])
+
+
+def test_context_patterns_equal_the_words_before():
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("aB é\n\t") for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    places = [sorted(rng.sample(range(len(t)), min(3, len(t)))) for t in texts]
+    one, two = pii.context_patterns(texts, places)
+    cut = [t[:p] for t, ps in zip(texts, places, strict=True) for p in ps]
+    h, at = pii.word_hashes(cut)
+    for k, (x, y) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        assert one[k] == (pii.signed(pii.one_word(h[y - 1:y]))[0] if y > x else 0)
+        assert two[k] == (pii.signed(pii.two_words(h[y - 2:y - 1], h[y - 1:y]))[0] if y > x + 1 else 0)
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(2)
     plain = ["".join(rng.choice("aeiou") + rng.choice("lmnrst") for _ in range(3)) for _ in range(200)]
