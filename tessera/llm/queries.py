@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tessera.llm import bpe, decontaminate, line_dedup, ngram_join, pii, suffix_dedup, token_output, topk, toxicity, warc
+from tessera.llm import (
+    bpe, decontaminate, kmeans, line_dedup, ngram_join, pii, suffix_dedup,
+    token_output, topk, toxicity, warc)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,10 +17,12 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_warc": warc.op10_warc,
+    "op11_centroid_clustering": kmeans.op11_centroid_clustering,
 }
 
 SQL = {
     "op2_ngram_jaccard_join": ngram_join.OP2_SQL,
     "op7_exact_top_k": topk.OP7_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
+    "op11_centroid_clustering": kmeans.OP11_SQL,
 }
