@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import (
-    bpe, decontaminate, kmeans, line_dedup, ngram_join, pii, suffix_dedup,
+    bpe, decontaminate, kmeans, line_dedup, ngram_join, pii, secrets_scan, suffix_dedup,
     token_output, topk, toxicity, warc)
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op9_decontamination": decontaminate.op9_decontamination,
     "op10_warc": warc.op10_warc,
     "op11_centroid_clustering": kmeans.op11_centroid_clustering,
+    "op12_secret_scan": secrets_scan.op12_secret_scan,
 }
 
 SQL = {
