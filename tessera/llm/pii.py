@@ -267,9 +267,14 @@ def _text(spans: F.Column) -> F.Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of(kind: int):
+    """A filter of one parameter: a second one would be the place in the array."""
+    return lambda s: s["kind"] == kind
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every text of ``documents``."""
     got = find(table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.filter("base", _of(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return got.select("doc_id", *counts, F.sha2(_text(F.col("base")), 256).alias("base_sha256"),
                       _text(F.concat("base", "found")).alias("spans"))
