@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm import (
-    bpe, decontaminate, kmeans, line_dedup, ngram_join, pii, secrets_scan, suffix_dedup,
+    bpe, decontaminate, kmeans, lexical, line_dedup, ngram_join, pii, secrets_scan, suffix_dedup,
     token_output, topk, toxicity, warc)
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op10_warc": warc.op10_warc,
     "op11_centroid_clustering": kmeans.op11_centroid_clustering,
     "op12_secret_scan": secrets_scan.op12_secret_scan,
+    "op13_ranked_search": lexical.op13_ranked_search,
 }
 
 SQL = {
@@ -26,4 +27,5 @@ SQL = {
     "op7_exact_top_k": topk.OP7_SQL,
     "op9_decontamination": decontaminate.OP9_SQL,
     "op11_centroid_clustering": kmeans.OP11_SQL,
+    "op13_ranked_search": lexical.OP13_SQL,
 }
