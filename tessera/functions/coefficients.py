@@ -1,4 +1,4 @@
-"""Strassen's coefficient tables and the column expressions built from them.
+"""Strassen's coefficient tables.
 
 Quadrants are numbered ``q = 2·qi + qj`` (11 → 0, 12 → 1, 21 → 2, 22 → 3) and
 the seven products ``p = 1..7``.  A product's left operand is
@@ -8,9 +8,6 @@ quadrant is ``C_q = Σ γ[p][q]·M_p``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Strassen's seven products, as (quadrant, weight) pairs.
 #   M1 = (A11 + A22)(B11 + B22)      C11 = M1 + M4 - M5 + M7
 #   M2 = (A21 + A22) B11             C12 = M3 + M5
@@ -72,19 +69,6 @@ def by_product(table: dict) -> list[list[tuple[int, int]]]:
     return out
 
 
-def _struct_lists(lists: list[list[tuple[int, int]]], a: str, b: str, weight_type: str) -> Column:
-    return F.array(*[
-        F.array(*[F.struct(F.lit(x).alias(a), F.lit(w).cast(weight_type).alias("w")) for x, w in lst])
-        if lst else F.array().cast(f"array<struct<{a}:int,w:{weight_type}>>")
-        for lst in lists
-    ])
-
-
-def down_terms(table: dict, quadrant: Column, weight_type: str = "double") -> Column:
-    """``array<struct<p:int, w>>`` of the products a cell in ``quadrant`` feeds."""
-    return F.element_at(_struct_lists(by_quadrant(table), "p", "w", weight_type), quadrant + 1)
-
-
-def up_terms(product: Column, weight_type: str = "double") -> Column:
-    """``array<struct<q:int, w>>`` of the result quadrants product ``p`` is added into."""
-    return F.element_at(_struct_lists(by_product(GAMMA), "q", "w", weight_type), product + 1)
+def by_result() -> list[list[tuple[int, int]]]:
+    """For each result quadrant index, the (product, weight) pairs that sum to it."""
+    return by_quadrant(GAMMA)

@@ -16,6 +16,7 @@ from typing import Any, Iterator, Tuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 
 # Ship these helpers to Python workers by value: tasks then run whether or
@@ -117,66 +118,146 @@ def checked_add(acc: np.ndarray, w, tile: np.ndarray) -> np.ndarray:
     return out
 
 
-def weighted_sum_fn(b: int, value_type: str, key_names: list[str]):
-    """Grouped function: ``Σ w·tile`` over sparse tiles of a group → one dense tile row."""
+def _product(b: int, value_type: str):
+    """Product of two tiles given as (dense tile, positions of its stored cells or None)."""
     dt = dtype_for(value_type)
 
-    def summed(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        acc = np.zeros((b, b), dtype=dt)
-        for pdf in it:
-            for w, pos, val in zip(pdf["w"].to_numpy(), pdf["pos"], pdf["val"]):
-                acc = checked_add(acc, w, densify(pos, val, b, dt))
-        out = {name: [k] for name, k in zip(key_names, key)}
-        out["tile"] = [encode(acc)]
-        yield pd.DataFrame(out)
+    def product(x: np.ndarray, px, y: np.ndarray, py) -> np.ndarray:
+        if dt is np.float64 and px is not None and not (np.isfinite(x).all() and np.isfinite(y).all()):
+            return stored_matmul(x, stored(px, b), y, stored(py, b))
+        return checked_matmul(x, y)
 
-    return summed
+    return product
+
+
+def _tile_reader(batch: pa.RecordBatch, b: int, dt):
+    """Row number → (dense tile, stored positions or None), from ``pos``/``val`` lists or ``tile`` bytes."""
+    if "tile" in batch.schema.names:
+        tiles = batch.column("tile")
+        return lambda r: (decode(tiles[r].as_buffer(), b, dt), None)
+    pos, val = batch.column("pos"), batch.column("val")
+    ends, cells, values = pos.offsets.to_numpy(), pos.values.to_numpy(), val.values.to_numpy(zero_copy_only=False)
+    v0 = val.offsets.to_numpy()
 
+    def read(r: int):
+        p = cells[ends[r]:ends[r + 1]]
+        return densify(p, values[v0[r]:v0[r + 1]], b, dt), p
 
-def products_fn(b: int, value_type: str, keep: list[str], sparse: bool):
-    """mapInPandas function: each joined row's tile pair → one dense product tile.
+    return read
 
-    ``sparse`` inputs are ``(pa, va)`` / ``(pb, vb)`` position/value lists,
-    otherwise dense ``ta`` / ``tb`` bytes.  Output rows are yielded one at a
-    time, so a task holds one batch of inputs and one product.
+
+def cell_batch(bi: int, bj: int, tile: np.ndarray, b: int, n_rows: int, n_cols: int) -> pa.RecordBatch:
+    """The non-zero cells of a block, inside the true shape."""
+    li, lj = np.nonzero(tile)
+    rows, cols = li + bi * b, lj + bj * b
+    keep = (rows < n_rows) & (cols < n_cols)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(rows[keep].astype(np.int32)), pa.array(cols[keep].astype(np.int32)), pa.array(tile[li[keep], lj[keep]])],
+        names=["row", "col", "value"])
+
+
+def stationary_fn(b: int, value_type: str, shape: tuple[int, int] | None):
+    """mapInArrow function over rows sorted by (group, bk, side, idx): sums of tile products per group.
+
+    A group is one super-block of C and one slab of the inner dimension.  Its
+    tiles of A and B stream by in the order of the inner block ``bk``: those of
+    A (side 0) at one ``bk`` are held, each tile of B is multiplied with them
+    at once and the products are added to the group's blocks of C, which stay
+    in the task until the group ends.  So a task holds the blocks of one
+    super-block, one column of A tiles and one B tile, however long the inner
+    dimension is, and each block of C leaves it once.
+
+    With ``shape`` the blocks leave as cells, otherwise as ``(path, bi, bj, slab, tile)``.
     """
     dt = dtype_for(value_type)
+    product = _product(b, value_type)
+
+    def leave(path: int, slab: int, blocks: dict) -> Iterator[pa.RecordBatch]:
+        for (bi, bj), t in blocks.items():
+            if shape is not None:
+                yield cell_batch(bi, bj, t, b, *shape)
+            else:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path], pa.int64()), *(pa.array([x], pa.int32()) for x in (bi, bj, slab)), pa.array([encode(t)], pa.binary())],
+                    names=["path", "bi", "bj", "slab", "tile"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, inner, left, blocks = None, None, [], {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            read = _tile_reader(batch, b, dt)
+            keys = [batch.column(c).to_pylist() for c in ("path", "si", "sj", "slab")]
+            for r, (*key, bk, side, idx) in enumerate(zip(*keys, *(batch.column(c).to_pylist() for c in ("bk", "side", "idx")), strict=True)):
+                if key != at:
+                    if blocks:
+                        yield from leave(at[0], at[3], blocks)
+                    at, inner, blocks = key, None, {}
+                if bk != inner:
+                    inner, left = bk, []
+                t, pos = read(r)
+                if side == 0:
+                    left.append((idx, t, pos))
+                    continue
+                for bi, x, px in left:
+                    p = product(x, px, t, pos)
+                    blocks[bi, idx] = checked_add(blocks[bi, idx], 1, p) if (bi, idx) in blocks else p
+        if blocks:
+            yield from leave(at[0], at[3], blocks)
+
+    return run
+
+
+def tile_cells_fn(b: int, value_type: str, shape: tuple[int, int]):
+    """mapInArrow function: the cells of every ``(bi, bj, tile)`` row."""
+    dt = dtype_for(value_type)
 
-    def product(row) -> np.ndarray:
-        if not sparse:
-            return checked_matmul(decode(row.ta, b, dt), decode(row.tb, b, dt))
-        x, y = densify(row.pa, row.va, b, dt), densify(row.pb, row.vb, b, dt)
-        if dt is np.float64 and not (np.isfinite(x).all() and np.isfinite(y).all()):
-            return stored_matmul(x, stored(row.pa, b), y, stored(row.pb, b))
-        return checked_matmul(x, y)
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                yield pd.DataFrame({**{c: [getattr(row, c)] for c in keep}, "tile": [encode(product(row))]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tiles = batch.column("tile")
+            for r, (bi, bj) in enumerate(zip(batch.column("bi").to_pylist(), batch.column("bj").to_pylist())):
+                yield cell_batch(bi, bj, decode(tiles[r].as_buffer(), b, dt), b, *shape)
 
-    return products
+    return run
 
 
-def cells_fn(b: int, value_type: str, n_rows: int, n_cols: int):
-    """Grouped function: ``Σ w·tile`` of one output block → its non-zero cells."""
+def sum_tiles_fn(b: int, value_type: str, key_names: list[str], shape: tuple[int, int] | None):
+    """Grouped function: the sum of a group's tiles, as one tile row or (with ``shape``) as cells."""
     dt = dtype_for(value_type)
 
-    def cells(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bi, bj = int(key[0]), int(key[1])
+    def summed(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc = np.zeros((b, b), dtype=dt)
         for pdf in it:
-            ws = pdf["w"].to_numpy() if "w" in pdf.columns else np.ones(len(pdf), dtype=dt)
-            for w, buf in zip(ws, pdf["tile"]):
-                acc = checked_add(acc, w, decode(buf, b, dt))
-        li, lj = np.nonzero(acc)
-        rows = li + bi * b
-        cols = lj + bj * b
-        keep = (rows < n_rows) & (cols < n_cols)
-        yield pd.DataFrame({
-            "row": rows[keep].astype(np.int32),
-            "col": cols[keep].astype(np.int32),
-            "value": acc[li[keep], lj[keep]],
-        })
-
-    return cells
+            for buf in pdf["tile"]:
+                acc = checked_add(acc, 1, decode(buf, b, dt))
+        row = dict(zip(key_names, key))
+        if shape is not None:
+            yield cell_batch(int(row["bi"]), int(row["bj"]), acc, b, *shape).to_pandas()
+        else:
+            yield pd.DataFrame({**{n: [k] for n, k in row.items()}, "tile": [encode(acc)]})
+
+    return summed
+
+
+def combine_fn(b: int, value_type: str, case: str, sums: dict[int, list[tuple[int, int]]], key_names: list[str], sparse: bool):
+    """Grouped function: the tiles of a group, one or none per value of ``case``, into ``Σ w·tile`` per sum.
+
+    Sums without any tile give no row.  ``key_names`` are repeated on every output row.
+    """
+    dt = dtype_for(value_type)
+
+    def combined(key: Tuple[Any, ...], it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tiles: dict[int, np.ndarray] = {}
+        for pdf in it:
+            read = (densify(p, v, b, dt) for p, v in zip(pdf["pos"], pdf["val"])) if sparse else (decode(t, b, dt) for t in pdf["tile"])
+            for c, t in zip(pdf[case], read):
+                tiles[c] = checked_add(tiles[c], 1, t) if c in tiles else t
+        for out, terms in sums.items():
+            terms = [(c, w) for c, w in terms if c in tiles]
+            if terms:
+                acc = np.zeros((b, b), dtype=dt)
+                for c, w in terms:
+                    acc = checked_add(acc, w, tiles[c])
+                yield pd.DataFrame({**{n: [k] for n, k in zip(key_names, key)}, "out": np.array([out], np.int32), "tile": [encode(acc)]})
+
+    return combined

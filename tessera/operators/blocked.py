@@ -1,17 +1,19 @@
 """Tiled (blocked) multiplication for dense matrices, plain and Strassen.
 
-Cells are gathered per ``b × b`` block ``(bi, bj)`` in the JVM; the product
-joins A-tiles and B-tiles on the inner block index (A tiles copied to a few
-buckets when there are too few inner blocks to keep every core busy), forms each tile product
-right after the join (``mapInPandas``, one numpy ``@`` per pair), and sums
-the partial tiles of each output block with a grouped function that streams
-its input (``applyInPandas`` on an iterator), finally unpacking the block
-into non-zero cells.  Spark plans all joins and shuffles; only the per-tile
-arithmetic is numpy.
-
-Every group is bounded: a tile holds at most ``b²`` cells, a Strassen
-operand tile sums at most ``2^L`` quadrant tiles, and output blocks are
-streamed.  The tile size bounds a record at ``8·b²`` bytes and Spark's own
+Cells are gathered per ``b × b`` block ``(bi, bj)`` in the JVM.  The product is
+output-stationary: C is cut into super-blocks of ``side × side`` tiles, each a
+partition key; the tiles of A and B that a super-block needs are shipped to it,
+sorted by the inner block index, and multiplied and summed as they stream by,
+so every block of C leaves its task once and is never shuffled as a partial
+product.  Where C has too few super-blocks for the cluster, or one would have
+to stream too many tiles, the inner dimension is cut into slabs too; their
+partial blocks are added in a tree whose groups hold at most ``FAN_IN`` tiles.
+:func:`plan_grid` picks the side and the slabs by the tiles shipped.
+
+Every task is bounded, whatever the matrix: ``STATIONARY_BYTES`` of blocks of
+C, one column of A tiles and one B tile in the product, ``FAN_IN`` streamed
+tiles in a sum, four or seven tiles in a Strassen combination.  The tile size
+bounds a record at ``8·b²`` bytes (a stored cell: 12) and Spark's own
 ``spark.sql.execution.arrow.maxBytesPerBatch`` bounds a batch; no session
 setting is changed.  NULL values raise.
 
@@ -21,16 +23,58 @@ hold explicit zeros; use :func:`tessera.compact` on it to compare).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.coefficients import ALPHA, BETA, PATH_BASE, down_terms, up_terms
-from ..functions.tiles import cells_fn, products_fn, weighted_sum_fn
+from ..functions.coefficients import ALPHA, BETA, PATH_BASE, by_product, by_result
+from ..functions.tiles import combine_fn, stationary_fn, sum_tiles_fn, tile_cells_fn
 from ..matrix import COL, ROW, VALUE, Matrix, as_matrix, required
 from .multiply import result_type
 from .strassen import halves
 
-TILE_SCHEMA = "bi int, bj int, tile binary"
+# Bounds of a product task and of a tree of partial sums.
+STATIONARY_BYTES = 64 << 20   # blocks of C that a task holds
+GROUP_TILES = 16_384          # tiles that one group streams
+FAN_IN = 32                   # partial blocks summed by one group of the tree
+SLAB_FLOPS = 200_000_000      # no slab is cut below this much arithmetic
+
+
+@dataclass(frozen=True)
+class Grid:
+    """Super-blocks of ``side_m × side_n`` tiles of C, and slabs of the inner dimension."""
+
+    side_m: int
+    side_n: int
+    slabs: int
+
+
+def plan_grid(nb_m: int, nb_k: int, nb_n: int, tile: int, tasks: int, products: int = 1) -> Grid:
+    """The grid that ships the fewest tiles among those that keep ``tasks`` busy (or come closest).
+
+    A tile of A goes to ``ceil(nb_n/side_n)`` super-blocks, one of B to
+    ``ceil(nb_m/side_m)``, and with slabs each block of C is shipped once per
+    slab.  ``products`` counts independent products of this size (Strassen).
+    """
+    best = None
+    side = 1
+    while True:
+        m, n = min(side, max(1, nb_m)), min(side, max(1, nb_n))
+        if side > 1 and m * n * tile * tile * 8 > STATIONARY_BYTES:
+            break
+        across, down = -(-nb_n // n), -(-nb_m // m)
+        work = m * n * nb_k * 2 * tile ** 3
+        wanted = min(-(-tasks // max(1, across * down * products)), max(1, work // SLAB_FLOPS))
+        slabs = max(1, min(nb_k, max(wanted, -(-(m + n) * nb_k // GROUP_TILES))))
+        shipped = nb_m * nb_k * across + nb_k * nb_n * down + (nb_m * nb_n * slabs if slabs > 1 else 0)
+        key = (-min(tasks, across * down * slabs * products), shipped)
+        if best is None or key < best[0]:
+            best = key, Grid(m, n, slabs)
+        if side >= max(nb_m, nb_n):
+            break
+        side *= 2
+    return best[1]
 
 
 def to_tiles(m: Matrix, tile: int) -> DataFrame:
@@ -54,94 +98,108 @@ def to_tiles(m: Matrix, tile: int) -> DataFrame:
         "bi", "bj", F.col("cells.pos").alias("pos"), F.col("cells.val").alias("val"))
 
 
-def _replication(spark: SparkSession, inner_keys: int, col_blocks: int) -> int:
-    """Copies of each A tile so the tile join has enough distinct keys.
+def _stationary(ta: DataFrame, tb: DataFrame, grid: Grid, nb_m: int, nb_n: int, tile: int, vt: str,
+                shape: tuple[int, int] | None, levels: int = 0) -> DataFrame:
+    """Blocks of the products ``ta·tb`` per path; ``ta(path, bi, bk, …)``, ``tb(path, bk, bj, …)`` with equal tile columns.
 
-    Dense matrices have few inner blocks (n/b), so a join on the inner block
-    alone runs on a handful of tasks.  Copy A tiles to ``r`` buckets and key
-    B tiles by ``bj mod r``: each (A, B) tile pair still meets exactly once,
-    the join gets ``inner_keys·r`` keys, and ``r`` is only as large as
-    needed for about two tasks per core (``r = 1`` when there are enough
-    inner blocks already).
+    Returns cells when ``shape`` is given and no slabs have to be added, else ``(path, bi, bj, tile)``.
     """
-    target = 2 * spark.sparkContext.defaultParallelism
-    return int(max(1, min(col_blocks, -(-target // max(1, inner_keys)))))
-
-
-def _bucketed(ta: DataFrame, tb: DataFrame, r: int) -> tuple[DataFrame, DataFrame]:
-    if r <= 1:
-        return ta.withColumn("g", F.lit(0)), tb.withColumn("g", F.lit(0))
-    return (ta.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(r - 1)))),
-            tb.withColumn("g", F.pmod(F.col("bj"), F.lit(r))))
+    across, down = -(-nb_n // grid.side_n), -(-nb_m // grid.side_m)
+    data = [c for c in ta.columns if c in ("pos", "val", "tile")]
+    slab = F.pmod(F.col("bk"), F.lit(grid.slabs)).cast("int").alias("slab")
+
+    def copies(n: int) -> F.Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = ta.select("path", (F.col("bi") / grid.side_m).cast("int").alias("si"), copies(across).alias("sj"), slab, "bk",
+                     F.lit(0).alias("side"), F.col("bi").alias("idx"), *data)
+    right = tb.select("path", copies(down).alias("si"), (F.col("bj") / grid.side_n).cast("int").alias("sj"), slab, "bk",
+                      F.lit(1).alias("side"), F.col("bj").alias("idx"), *data)
+    # groups are numbered and dealt in turn, so no task gets more than one group above another
+    number = sum((F.shiftright("path", 3 * d).bitwiseAND(F.lit(PATH_BASE - 1)) - 1) * 7 ** d for d in range(levels)) if levels else F.lit(0)
+    group = ((number * down + F.col("si")) * across + F.col("sj")) * grid.slabs + F.col("slab")
+    groups = 7 ** levels * down * across * grid.slabs
+    parts = min(groups, max(_tasks(ta.sparkSession), groups // 64))
+    dealt = left.unionByName(right).repartitionById(parts, F.pmod(group, F.lit(parts)).cast("int"))
+    dealt = dealt.sortWithinPartitions("path", "si", "sj", "slab", "bk", "side", "idx")
+    if shape is not None and grid.slabs == 1:
+        return dealt.mapInArrow(stationary_fn(tile, vt, shape), f"row int, col int, value {vt}")
+    blocks = dealt.mapInArrow(stationary_fn(tile, vt, None), "path long, bi int, bj int, slab int, tile binary")
+    slabs = grid.slabs
+    while slabs > FAN_IN:
+        blocks = blocks.withColumn("slab", (F.col("slab") / FAN_IN).cast("int")).groupBy("path", "bi", "bj", "slab").applyInPandas(
+            sum_tiles_fn(tile, vt, ["path", "bi", "bj", "slab"], None), "path long, bi int, bj int, slab int, tile binary")
+        slabs = -(-slabs // FAN_IN)
+    if slabs == 1:
+        return blocks.drop("slab")
+    out = "path long, bi int, bj int, tile binary" if shape is None else f"row int, col int, value {vt}"
+    return blocks.groupBy("path", "bi", "bj").applyInPandas(sum_tiles_fn(tile, vt, ["path", "bi", "bj"], shape), out)
+
+
+def _tasks(spark: SparkSession) -> int:
+    return 2 * spark.sparkContext.defaultParallelism
 
 
 def multiply_blocked(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int = 512) -> Matrix:
-    """``A·B`` over dense tiles."""
+    """``A·B`` over dense tiles, output-stationary."""
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
     if a.n_cols != b.n_rows:
         raise ValueError(f"inner dimensions differ: {a.shape} · {b.shape}")
     vt = result_type(a, b)
     a, b = a.cast(vt), b.cast(vt)
-    spark = a.df.sparkSession
-    ta = to_tiles(a, tile).select("bi", F.col("bj").alias("bk"), F.col("pos").alias("pa"), F.col("val").alias("va"))
-    tb = to_tiles(b, tile).select(F.col("bi").alias("bk"), "bj", F.col("pos").alias("pb"), F.col("val").alias("vb"))
-    nb_k, nb_n = -(-a.n_cols // tile), -(-b.n_cols // tile)
-    ta, tb = _bucketed(ta, tb, _replication(spark, nb_k, nb_n))
-    pairs = ta.join(tb, ["bk", "g"])
-    prods = pairs.mapInPandas(products_fn(tile, vt, ["bi", "bj"], sparse=True), TILE_SCHEMA)
-    out_schema = f"row int, col int, value {vt}"
-    cells = prods.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
+    path = F.lit(0).cast("long").alias("path")
+    ta = to_tiles(a, tile).select(path, "bi", F.col("bj").alias("bk"), "pos", "val")
+    tb = to_tiles(b, tile).select(path, F.col("bi").alias("bk"), "bj", "pos", "val")
+    nb_m, nb_k, nb_n = [-(-x // tile) for x in (a.n_rows, a.n_cols, b.n_cols)]
+    grid = plan_grid(nb_m, nb_k, nb_n, tile, _tasks(a.df.sparkSession))
+    cells = _stationary(ta, tb, grid, nb_m, nb_n, tile, vt, (a.n_rows, b.n_cols))
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)
 
 
 def _tile_down(tiles: DataFrame, table: dict, hr: list[int], hc: list[int], tile: int, vt: str) -> DataFrame:
-    """Strassen operands over tiles: ``(path, bi, bj, tile)`` with ``7^L`` paths."""
-    wt = "bigint" if vt == "bigint" else "double"
-    cur = tiles.select("bi", "bj", "pos", "val", F.lit(0).cast("long").alias("path"), F.lit(1).cast(wt).alias("w"))
-    for h_r, h_c in zip(hr, hc):
-        q = (F.pmod(F.floor(F.col("bi") / h_r), F.lit(2)) * 2 + F.pmod(F.floor(F.col("bj") / h_c), F.lit(2))).cast("int")
-        cur = cur.select("bi", "bj", "pos", "val", "path", "w", F.explode(down_terms(table, q, wt)).alias("t"))
-        cur = cur.select("bi", "bj", "pos", "val", (F.col("path") * PATH_BASE + F.col("t.p")).alias("path"),
-                         (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
-    cur = cur.select("path", (F.col("bi") % hr[-1]).cast("int").alias("bi"),
-                     (F.col("bj") % hc[-1]).cast("int").alias("bj"), "w", "pos", "val")
-    return cur.groupBy("path", "bi", "bj").applyInPandas(
-        weighted_sum_fn(tile, vt, ["path", "bi", "bj"]), "path long, bi int, bj int, tile binary")
+    """Strassen operands over tiles: ``(path, bi, bj, tile)`` with ``7^L`` paths.
+
+    Per level the (up to) four tiles at one place of the quadrants meet in a
+    group, one record shuffled per tile, and leave as up to seven sums.
+    """
+    cur = tiles.select(F.lit(0).cast("long").alias("path"), "bi", "bj", "pos", "val")
+    sums = {p: terms for p, terms in enumerate(by_product(table)) if terms}
+    for lvl, (h_r, h_c) in enumerate(zip(hr, hc)):
+        q = F.when(F.col("bi") >= h_r, 2).otherwise(0) + F.when(F.col("bj") >= h_c, 1).otherwise(0)
+        data = ["pos", "val"] if lvl == 0 else ["tile"]
+        met = cur.select("path", (F.col("bi") % h_r).cast("int").alias("bi"), (F.col("bj") % h_c).cast("int").alias("bj"), q.alias("q"), *data)
+        cur = met.groupBy("path", "bi", "bj").applyInPandas(
+            combine_fn(tile, vt, "q", sums, ["path", "bi", "bj"], sparse=lvl == 0), "path long, bi int, bj int, out int, tile binary") \
+            .select((F.col("path") * PATH_BASE + F.col("out")).alias("path"), "bi", "bj", "tile")
+    return cur
 
 
 def multiply_strassen_tiled(a: Matrix | DataFrame, b: Matrix | DataFrame, *, tile: int = 512,
                             levels: int = 1) -> Matrix:
-    """Strassen over tiles: coefficient re-keying on block indices, numpy products at the leaves."""
+    """Strassen over tiles: operands and results are combined per level, the ``7^L`` products are output-stationary."""
     if levels == 0:
         return multiply_blocked(a, b, tile=tile)
     a, b = as_matrix(a).with_shape(), as_matrix(b).with_shape()
     if a.n_cols != b.n_rows:
         raise ValueError(f"inner dimensions differ: {a.shape} · {b.shape}")
     vt = result_type(a, b)
-    wt = "bigint" if vt == "bigint" else "double"
     a, b = a.cast(vt), b.cast(vt)
-    spark = a.df.sparkSession
     nb_m, nb_k, nb_n = [-(-x // tile) for x in (a.n_rows, a.n_cols, b.n_cols)]
     hm, hk, hn = halves(nb_m, levels), halves(nb_k, levels), halves(nb_n, levels)
 
-    left = _tile_down(to_tiles(a, tile), ALPHA, hm, hk, tile, vt) \
-        .select("path", "bi", F.col("bj").alias("bk"), F.col("tile").alias("ta"))
-    right = _tile_down(to_tiles(b, tile), BETA, hk, hn, tile, vt) \
-        .select("path", F.col("bi").alias("bk"), "bj", F.col("tile").alias("tb"))
-    left, right = _bucketed(left, right, _replication(spark, (7 ** levels) * hk[-1], hn[-1]))
-    prods = left.join(right, ["path", "bk", "g"]).mapInPandas(
-        products_fn(tile, vt, ["path", "bi", "bj"], sparse=False), "path long, bi int, bj int, tile binary")
-
-    cur = prods.select("path", "bi", "bj", "tile", F.lit(1).cast(wt).alias("w"))
-    for lvl in range(levels - 1, -1, -1):
-        d = F.shiftright(F.col("path"), 3 * (levels - 1 - lvl)).bitwiseAND(F.lit(PATH_BASE - 1)).cast("int")
-        cur = cur.select("path", "bi", "bj", "tile", "w", F.explode(up_terms(d, wt)).alias("t"))
-        cur = cur.select(
-            "path",
-            (F.col("bi") + F.floor(F.col("t.q") / 2).cast("int") * F.lit(hm[lvl])).cast("int").alias("bi"),
-            (F.col("bj") + F.pmod(F.col("t.q"), F.lit(2)) * F.lit(hn[lvl])).cast("int").alias("bj"),
-            "tile", (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
-    cur = cur.filter((F.col("bi") < nb_m) & (F.col("bj") < nb_n)).select("bi", "bj", "w", "tile")
-    out_schema = f"row int, col int, value {vt}"
-    cells = cur.groupBy("bi", "bj").applyInPandas(cells_fn(tile, vt, a.n_rows, b.n_cols), out_schema)
+    left = _tile_down(to_tiles(a, tile), ALPHA, hm, hk, tile, vt).withColumnRenamed("bj", "bk")
+    right = _tile_down(to_tiles(b, tile), BETA, hk, hn, tile, vt).withColumnRenamed("bi", "bk")
+    grid = plan_grid(hm[-1], hk[-1], hn[-1], tile, _tasks(a.df.sparkSession), products=7 ** levels)
+    cur = _stationary(left, right, grid, hm[-1], hn[-1], tile, vt, None, levels)
+
+    sums = {q: terms for q, terms in enumerate(by_result())}
+    for h_r, h_c in zip(reversed(hm), reversed(hn)):
+        met = cur.select(F.shiftright("path", 3).alias("path"), "bi", "bj",
+                         F.col("path").bitwiseAND(F.lit(PATH_BASE - 1)).cast("int").alias("p"), "tile")
+        cur = met.groupBy("path", "bi", "bj").applyInPandas(
+            combine_fn(tile, vt, "p", sums, ["path", "bi", "bj"], sparse=False), "path long, bi int, bj int, out int, tile binary")
+        cur = cur.select("path", (F.col("bi") + F.when(F.col("out") >= 2, h_r).otherwise(0)).cast("int").alias("bi"),
+                         (F.col("bj") + F.col("out") % 2 * h_c).cast("int").alias("bj"), "tile")
+    cells = cur.filter((F.col("bi") < nb_m) & (F.col("bj") < nb_n)).mapInArrow(
+        tile_cells_fn(tile, vt, (a.n_rows, b.n_cols)), f"row int, col int, value {vt}")
     return Matrix(cells, a.n_rows, b.n_cols, unique=True)

@@ -17,23 +17,28 @@ Scale decisions, all made from facts rather than estimates:
 * **Spread**: when one side is broadcast and the other is proven small too,
   the streamed side is hash-partitioned by its outer index, so the products
   use every task and the final ``groupBy(i, j)`` needs no shuffle.
-* **Hot inner keys** (``skew="salt"``): two small jobs over per-key counts
-  find every ``k`` whose products exceed one task's budget (fewer keys than
-  tasks can qualify, a proven bound) and spread each over
-  ``S(k)`` salt buckets: the side with more cells for that key is split by a
-  hash of its outer index, the other side's cells for that key are copied to
-  the ``S(k)`` buckets.  Every product is still formed exactly once.
+* **Work-balanced keys** (``skew="route"``, the default): the number of
+  products a key makes, ``left cells × right cells``, is counted in the same
+  plan.  Both sides are shuffled on ``k`` once; counting per key needs no
+  further shuffle, and Spark reuses that exchange for the join, so operands are
+  computed once and no job runs before the product's own.  Keys with more
+  products than one task's budget (fewer than tasks can have that, a proven
+  bound) form a small table of routes, joined to both sides: light keys meet
+  where they are, a heavy key's cells are dealt to a grid of ``a × b`` buckets
+  by hashes of their outer indices, each left cell copied to ``b`` of them and
+  each right cell to ``a``.  Every product is formed exactly once and no task
+  gets more of a key than its budget.  ``skew="aqe"`` leaves skew to runtime
+  splitting alone.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..matrix import COL, ROW, VALUE, Matrix, as_matrix, transpose
+from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
 
 # Defaults of the size rules below.
 DEFAULT_BROADCAST_CELLS = 1_000_000      # ≈ 32 MB of (k, j, v) rows
@@ -46,11 +51,12 @@ class HotKey:
     k: int
     left_cells: int
     right_cells: int
-    salts: int
+    left_buckets: int
+    right_buckets: int
 
     @property
-    def split_left(self) -> bool:
-        return self.left_cells >= self.right_cells
+    def salts(self) -> int:
+        return self.left_buckets * self.right_buckets
 
 
 def _inner_dim(a: Matrix, b: Matrix) -> None:
@@ -62,59 +68,89 @@ def result_type(a: Matrix, b: Matrix) -> str:
     return "bigint" if a.value_type == "bigint" and b.value_type == "bigint" else "double"
 
 
-def join_statistics(a: Matrix, b: Matrix) -> DataFrame:
+def _default_tasks(df: DataFrame) -> int:
+    return 4 * df.sparkSession.sparkContext.defaultParallelism
+
+
+def _key_cells(side: DataFrame, name: str) -> DataFrame:
+    """Cells per key.  The checksum reads every column, so that the exchange below is the join's own and is reused."""
+    return side.groupBy("key").agg(F.count(F.lit(1)).alias(name),
+                                   F.bit_xor(F.xxhash64("other", "val")).alias(f"{name}_sum"))
+
+
+def join_statistics(left: DataFrame, right: DataFrame) -> DataFrame:
     """Per inner key: cells on each side and the number of products ``work``."""
-    ka = a.df.groupBy(F.col(COL).alias("k")).agg(F.count(F.lit(1)).alias("left_cells"))
-    kb = b.df.groupBy(F.col(ROW).alias("k")).agg(F.count(F.lit(1)).alias("right_cells"))
-    st = ka.alias("x").join(kb.alias("y"), F.col("x.k") == F.col("y.k")).select("x.k", "left_cells", "right_cells")
-    return st.withColumn("work", F.col("left_cells") * F.col("right_cells"))
+    st = _key_cells(left, "left_cells").join(_key_cells(right, "right_cells"), "key")
+    st = st.filter(F.col("left_cells_sum").isNotNull() & F.col("right_cells_sum").isNotNull())
+    return st.select("key", "left_cells", "right_cells",
+                     (F.col("left_cells").cast("double") * F.col("right_cells")).alias("work"))
+
+
+def routes(left: DataFrame, right: DataFrame, *, min_products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
+           tasks: int | None = None) -> DataFrame:
+    """Heavy keys with their grids: ``key, left_cells, right_cells, left_buckets, right_buckets``; lazy.
+
+    The budget is ``max(min_products_per_task, total/tasks)``, so fewer than
+    ``tasks`` keys (default 4 × parallelism) can exceed it: their shares sum
+    to one.  With ``c = sqrt(budget)`` a bucket gets about ``c`` left cells,
+    and as many right cells as the budget allows beside them.
+    """
+    if tasks is None:
+        tasks = _default_tasks(left)
+    st = join_statistics(left, right)
+    total = st.agg(F.coalesce(F.sum("work"), F.lit(0.0)).alias("total")).scalar()
+    budget = F.greatest(F.lit(float(min_products_per_task)), total / F.lit(float(tasks)))
+    heavy = st.withColumn("budget", budget).filter(F.col("work") > F.col("budget"))
+    heavy = heavy.withColumn("left_buckets", F.ceil(F.col("left_cells") / F.sqrt("budget")).cast("int"))
+    beside = F.col("right_cells") * F.col("left_cells") / F.col("left_buckets")
+    return heavy.select("key", "left_cells", "right_cells", "left_buckets",
+                        F.greatest(F.lit(1), F.ceil(beside / F.col("budget"))).cast("int").alias("right_buckets"))
 
 
 def find_hot_keys(a: Matrix, b: Matrix, *, min_products_per_task: int = DEFAULT_PRODUCTS_PER_TASK,
                   tasks: int | None = None) -> list[HotKey]:
-    """Inner keys whose products exceed one task's budget.
+    """The heavy inner keys of ``a·b``, as a list (for inspection; :func:`multiply` joins them as a table)."""
+    vt = result_type(a, b)
+    got = routes(_side(a, COL, ROW, vt), _side(b, ROW, COL, vt), min_products_per_task=min_products_per_task, tasks=tasks)
+    return [HotKey(*map(int, r)) for r in got.collect()]
+
 
-    The budget is ``max(min_products_per_task, total/tasks)`` with ``tasks`` =
-    4 × default parallelism, so fewer than ``tasks`` keys can qualify (shares
-    sum to one): the collected list is bounded by the cluster.  A
-    hot key gets ``S(k) = ceil(work/budget)`` salt buckets.  Two small jobs
-    over per-key counts (map-side combined).
+def _dealt(side: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame:
+    """The heavy keys' cells of one side, copied to the buckets of their grids.
+
+    A bucket is ``x·right_buckets + y``, for the hash ``x`` of the left outer index and ``y`` of the right one.
     """
-    if tasks is None:
-        tasks = 4 * a.df.sparkSession.sparkContext.defaultParallelism
-    st = join_statistics(a, b).cache()
-    try:
-        total = st.agg(F.sum("work").alias("w")).first()["w"] or 0
-        budget = max(min_products_per_task, math.ceil(total / max(1, tasks)))
-        rows = st.filter(F.col("work") > F.lit(budget)).collect()
-    finally:
-        st.unpersist()
-    hot = []
-    for r in rows:
-        big = max(r["left_cells"], r["right_cells"])
-        salts = min(big, math.ceil(r["work"] / budget))
-        if salts > 1:
-            hot.append(HotKey(int(r["k"]), int(r["left_cells"]), int(r["right_cells"]), int(salts)))
-    return hot
-
-
-def _salted(left: DataFrame, right: DataFrame, hot: list[HotKey]) -> tuple[DataFrame, DataFrame]:
-    spark = left.sparkSession
-    plan = spark.createDataFrame(
-        [(h.k, h.salts, h.split_left) for h in hot], "key int, salts int, split_left boolean")
-    plan = F.broadcast(plan)  # fewer rows than tasks: bounded
-
-    def tag(df: DataFrame, is_left: bool) -> DataFrame:
-        d = df.join(plan, "key", "left")
-        s = F.coalesce(F.col("salts"), F.lit(1))
-        split_me = F.col("split_left") if is_left else ~F.col("split_left")
-        bucket = F.when(
-            s > 1,
-            F.when(split_me, F.array(F.pmod(F.hash(F.col("other")), s))).otherwise(F.sequence(F.lit(0), s - 1)),
-        ).otherwise(F.array(F.lit(0)))
-        return d.select("key", "other", "val", F.explode(bucket).alias("salt"))
-
-    return tag(left, True), tag(right, False)
+    mine = F.pmod(F.hash("other"), F.col(own))
+    every = F.sequence(F.lit(0), F.col(other) - 1)
+    if own == "left_buckets":
+        bucket = F.transform(every, lambda y: mine * F.col("right_buckets") + y)
+    else:
+        bucket = F.transform(every, lambda x: x * F.col("right_buckets") + mine)
+    return side.join(F.broadcast(heavy), "key").select("key", "other", "val", F.explode(bucket).alias("salt"))
+
+
+def _pairs(left: DataFrame, right: DataFrame, keys: list[str], upper: bool) -> DataFrame:
+    """``(i, j, p)`` of the cells that meet; ``upper`` keeps ``i ≤ j``."""
+    l, r = left.alias("l"), right.alias("r")
+    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    if upper:
+        cond.append(F.col("l.other") <= F.col("r.other"))
+    return l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
+                                  (F.col("l.val") * F.col("r.val")).alias("p"))
+
+
+def _routed_pairs(left: DataFrame, right: DataFrame, upper: bool, hot_keys: list[HotKey] | None, **opts) -> DataFrame:
+    """:func:`_pairs` with light keys where the shuffle on the key put them and heavy ones dealt over their grids."""
+    left, right = left.repartition("key"), right.repartition("key")
+    if hot_keys is None:
+        heavy = routes(left, right, **opts).select("key", "left_buckets", "right_buckets")
+    else:
+        heavy = left.sparkSession.createDataFrame([(h.k, h.left_buckets, h.right_buckets) for h in hot_keys],
+                                                  "key long, left_buckets int, right_buckets int")
+    # fewer rows than tasks: bounded
+    light = _pairs(left.join(F.broadcast(heavy.select("key")), "key", "left_anti"), right, ["key"], upper)
+    return light.unionByName(_pairs(_dealt(left, heavy, "left_buckets", "right_buckets"),
+                                    _dealt(right, heavy, "right_buckets", "left_buckets"), ["key", "salt"], upper))
 
 
 def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:
@@ -156,63 +192,61 @@ def _spread(side: DataFrame, m: Matrix, bound: int | None) -> DataFrame:
     return side.repartition(par, "other")
 
 
-def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, *,
-             broadcast_cells: int = DEFAULT_BROADCAST_CELLS,
-             skew: str = "aqe",
-             hot_keys: list[HotKey] | None = None,
-             **hot_opts) -> Matrix:
-    """Standard multiplication ``C[i,j] = Σ_k A[i,k]·B[k,j]`` (coordinate form).
+def _check_skew(skew: str, opts: dict) -> None:
+    if skew not in ("route", "salt", "aqe"):
+        raise ValueError(f"unknown skew handling {skew!r}")
+    _known_options(opts)
 
-    Output cells are the ``(i, j)`` with at least one matching ``k``.  Works
-    for rectangular operands and for ``A·A``.  ``skew`` is ``"aqe"`` (leave
-    runtime splitting to adaptive execution) or ``"salt"`` (detect and salt
-    hot inner keys as described in the module docstring); ``hot_opts`` go to
-    :func:`find_hot_keys`, and unknown names are refused.
-    """
+
+def _summed(products: DataFrame, vt: str) -> DataFrame:
+    return products.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
+
+
+def products(a: Matrix | DataFrame, b: Matrix | DataFrame, *, broadcast_cells: int = DEFAULT_BROADCAST_CELLS,
+             skew: str = "route", hot_keys: list[HotKey] | None = None, **route_opts) -> DataFrame:
+    """The scalar products ``(i, j, p)`` of ``A·B``, one per pair of cells that share an inner index."""
     a, b = as_matrix(a), as_matrix(b)
     _inner_dim(a, b)
-    _known_options(hot_opts)
+    _check_skew(skew, route_opts)
     vt = result_type(a, b)
-    left = _side(a, COL, ROW, vt)
-    right = _side(b, ROW, COL, vt)
-    keys = ["key"]
-
-    broadcast_side = None
+    left, right = _side(a, COL, ROW, vt), _side(b, ROW, COL, vt)
     if not hot_keys:
         bound_a, bound_b = _cell_bound(a), _cell_bound(b)
         if bound_b is not None and bound_b <= broadcast_cells:
-            broadcast_side = "right"
-            right = F.broadcast(right)
-            left = _spread(left, a, bound_a)
-        elif bound_a is not None and bound_a <= broadcast_cells:
-            broadcast_side = "left"
-            left = F.broadcast(left)
-            right = _spread(right, b, bound_b)
-    # Hot inner keys only matter when the join shuffles on k: a broadcast
-    # join has no key exchange to skew.
-    if broadcast_side is None and skew == "salt" and hot_keys is None:
-        hot_keys = find_hot_keys(a, b, **hot_opts)
-    if hot_keys:
-        left, right = _salted(left, right, hot_keys)
-        keys = ["key", "salt"]
+            return _pairs(_spread(left, a, bound_a), F.broadcast(right), ["key"], False)
+        if bound_a is not None and bound_a <= broadcast_cells:
+            return _pairs(F.broadcast(left), _spread(right, b, bound_b), ["key"], False)
+    # Heavy keys only matter when the join shuffles on k: a broadcast join has no key exchange to skew.
+    if skew == "aqe" and not hot_keys:
+        return _pairs(left, right, ["key"], False)
+    return _routed_pairs(left, right, False, hot_keys or None, **route_opts)
 
-    l, r = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    prod = l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
-                                  (F.col("l.val") * F.col("r.val")).alias("p"))
-    out = prod.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
+
+def multiply(a: Matrix | DataFrame, b: Matrix | DataFrame, **opts) -> Matrix:
+    """Standard multiplication ``C[i,j] = Σ_k A[i,k]·B[k,j]`` (coordinate form).
+
+    Output cells are the ``(i, j)`` with at least one matching ``k``.  Works
+    for rectangular operands and for ``A·A``.  ``opts`` are those of
+    :func:`products`: ``skew`` is ``"route"`` (count and balance work per key
+    in the plan, as the module says; ``"salt"`` is the same) or ``"aqe"``
+    (leave runtime splitting to adaptive execution); ``hot_keys`` gives the
+    heavy keys instead of counting; ``min_products_per_task`` and ``tasks`` go
+    to :func:`routes`, and unknown names are refused.
+    """
+    a, b = as_matrix(a), as_matrix(b)
+    out = _summed(products(a, b, **opts), result_type(a, b))
     return Matrix(out.select(F.col("i").alias(ROW), F.col("j").alias(COL), VALUE), a.n_rows, b.n_cols, unique=True)
 
 
 def gram(m: Matrix | DataFrame, *, transpose_first: bool = False,
-         broadcast_cells: int = DEFAULT_BROADCAST_CELLS, skew: str = "aqe", **hot_opts) -> Matrix:
+         broadcast_cells: int = DEFAULT_BROADCAST_CELLS, skew: str = "route", **route_opts) -> Matrix:
     """``M·Mᵀ`` (rows against rows), or ``MᵀM`` with ``transpose_first``.
 
     The product is symmetric, so only the pairs with ``i ≤ j`` are formed
     and summed; each off-diagonal cell is then emitted as ``(i, j)`` and
     ``(j, i)`` by a narrow explode.  Half the products, half the aggregation
     and half the final shuffle of :func:`multiply`, with the same cells and
-    the same broadcast / spread / salting decisions (both join sides are one
+    the same broadcast / spread / routing decisions (both join sides are one
     DataFrame, so Spark also reads and shuffles the operand only once).
     """
     m = as_matrix(m)
@@ -220,28 +254,15 @@ def gram(m: Matrix | DataFrame, *, transpose_first: bool = False,
     key, outer = (ROW, COL) if transpose_first else (COL, ROW)
     n_out = m.n_cols if transpose_first else m.n_rows
     side = _side(m, key, outer, vt)
-    left, right = side, side
-    keys = ["key"]
-    hot_keys = None
-    _known_options(hot_opts)
+    _check_skew(skew, route_opts)
     bound = _cell_bound(m)
     if bound is not None and bound <= broadcast_cells:
-        right = F.broadcast(right)
-        left = _spread(left, m, bound)
+        pairs = _pairs(_spread(side, m, bound), F.broadcast(side), ["key"], True)
+    elif skew == "aqe":
+        pairs = _pairs(side, side, ["key"], True)
     else:
-        if skew == "salt":
-            mt = transpose(m) if not transpose_first else m
-            mm = m if not transpose_first else transpose(m)
-            hot_keys = find_hot_keys(mm, mt, **hot_opts)
-        if hot_keys:
-            left, right = _salted(left, right, hot_keys)
-            keys = ["key", "salt"]
-    l, r = left.alias("l"), right.alias("r")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
-    cond.append(F.col("l.other") <= F.col("r.other"))
-    prod = l.join(r, cond).select(F.col("l.other").alias("i"), F.col("r.other").alias("j"),
-                                  (F.col("l.val") * F.col("r.val")).alias("p"))
-    upper = prod.groupBy("i", "j").agg(F.sum("p").cast(vt).alias(VALUE))
+        pairs = _routed_pairs(side, side, True, None, **route_opts)
+    upper = _summed(pairs, vt)
     both = F.when(F.col("i") < F.col("j"),
                   F.array(F.struct(F.col("i").alias("r"), F.col("j").alias("c")),
                           F.struct(F.col("j").alias("r"), F.col("i").alias("c")))) \

@@ -8,7 +8,7 @@ and pushed into a Parquet scan when the input is one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..matrix import COL, ROW, VALUE, Matrix
@@ -57,6 +57,12 @@ def split_tagged(m: Matrix) -> DataFrame:
     )
 
 
+def placed_by(tagged: DataFrame, q: Column, hr: int, hc: int) -> DataFrame:
+    """Inverse of :func:`split_tagged`: cells moved to the places of their quadrants ``q``, one narrow projection."""
+    return tagged.select((F.col(ROW) + F.when(q >= 20, hr).otherwise(0)).cast("int").alias(ROW),
+                         (F.col(COL) + F.when(q % 10 == 2, hc).otherwise(0)).cast("int").alias(COL), F.col(VALUE))
+
+
 def merge(c11: Matrix, c12: Matrix, c21: Matrix, c22: Matrix,
           n_rows: int | None = None, n_cols: int | None = None) -> Matrix:
     """Inverse of :func:`split`: shift each quadrant into place and stack (bag union).

@@ -2,17 +2,18 @@
 
 Instead of a driver-side recursion, every level is a re-keying of cells:
 
-* **down** — a cell of A at ``(row, col)`` lies in one quadrant per level; it
-  is copied to each product that uses that quadrant (coefficient table α),
-  with the product digits appended to a ``path`` and the weights multiplied.
-  All ``L`` levels are chained ``explode`` steps (narrow), followed by a single
-  ``groupBy(path, row mod h, col mod h).sum(w·value)`` — one shuffle for any
-  ``L``.  B goes the same way with β.
+* **down** — per level, the (up to) four cells that share a position within
+  their quadrants meet in one row: ``groupBy(path, row mod h, col mod h)`` with
+  one conditional sum per quadrant, one record shuffled per cell.  All seven
+  operands are then sums inside that row (coefficient table α, B with β), and
+  the product's digit is appended to ``path``.  Level ``l`` shuffles
+  ``(7/4)^(l-1)`` records per cell of A: 11.2 in all for four levels, where
+  copying a cell to every product that uses it would shuffle ``3^4 = 81``.
 * **leaf** — all ``7^L`` products in one join on ``(path, k)``: a single
   batched :func:`multiply` on path-packed coordinates.
-* **up** — the leaf products, summed per ``(path, i, j)``, are each
-  sent through γ to its place in C (chained explodes again) and summed by
-  ``(row, col)``.
+* **up** — per level, the seven products of one path prefix meet in one row
+  by ``(path div 8, row, col)``, and the four quadrants are sums inside it
+  (coefficient table γ), moved to their places.
 
 Shapes may be odd or rectangular: each dimension is padded (as a number,
 no cells are added) to a multiple of ``2^L``, and cells outside the true
@@ -27,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coefficients import ALPHA, BETA, PATH_BASE, down_terms, up_terms
+from ..functions.coefficients import ALPHA, BETA, PATH_BASE, by_product, by_result
 from ..matrix import COL, ROW, VALUE, Matrix, as_matrix
 from ..session import shared_dir
 from .multiply import multiply, result_type
@@ -55,24 +56,55 @@ def halves(n: int, levels: int) -> list[int]:
     return [p >> l for l in range(1, levels + 1)]
 
 
-def _weight_type(vt: str) -> str:
-    return "bigint" if vt == "bigint" else "double"
+def _by_case(case: Column, cases: list[int]) -> list[Column]:
+    """One sum per case: NULL where a group has no such cell."""
+    return [F.sum(F.when(case == c, F.col(VALUE))).alias(f"v{c}") for c in cases]
+
+
+def _combination(terms: list[tuple[int, int]], vt: str) -> Column:
+    """``Σ w·v`` over the ``(case, w)`` terms, w = ±1; NULL if none of them has a cell."""
+    signed = [F.col(f"v{c}") if w > 0 else -F.col(f"v{c}") for c, w in terms]
+    if len(signed) == 1:
+        return signed[0]
+    zero = F.lit(0).cast(vt)
+    total = sum((F.coalesce(x, zero) for x in signed[1:]), F.coalesce(signed[0], zero))
+    return F.when(F.coalesce(*signed).isNotNull(), total)
+
+
+def _exploded(df: DataFrame, keys: list[str], sums: dict[int, list[tuple[int, int]]], name: str, vt: str) -> DataFrame:
+    """One row per sum that has a cell: ``keys, name, value``."""
+    each = F.array(*[F.struct(F.lit(k).alias(name), _combination(terms, vt).cast(vt).alias(VALUE)) for k, terms in sums.items()])
+    return df.select(*keys, F.explode(each).alias("x")).select(*keys, f"x.{name}", f"x.{VALUE}").filter(F.col(VALUE).isNotNull())
 
 
 def _down(df: DataFrame, table: dict, hr: list[int], hc: list[int], vt: str) -> DataFrame:
-    """Chained per-level explode: ``(path, w, row, col, value)`` before the sum."""
-    wt = _weight_type(vt)
-    cur = df.select(F.col(ROW), F.col(COL), F.col(VALUE).cast(vt).alias(VALUE),
-                    F.lit(0).cast("long").alias("path"), F.lit(1).cast(wt).alias("w"))
+    """``(path, row, col, value)`` after one grouping per level; coordinates are local to the deepest quadrant."""
+    cur = df.select(F.lit(0).cast("long").alias("path"), ROW, COL, F.col(VALUE).cast(vt).alias(VALUE))
+    sums = {p: terms for p, terms in enumerate(by_product(table)) if terms}
     for h_r, h_c in zip(hr, hc):
-        q = (F.pmod(F.floor(F.col(ROW) / h_r), F.lit(2)) * 2 + F.pmod(F.floor(F.col(COL) / h_c), F.lit(2))).cast("int")
-        cur = cur.select(ROW, COL, VALUE, "path", "w", F.explode(down_terms(table, q, wt)).alias("t"))
-        cur = cur.select(ROW, COL, VALUE,
-                         (F.col("path") * PATH_BASE + F.col("t.p")).alias("path"),
-                         (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
+        q = F.when(F.col(ROW) >= h_r, 2).otherwise(0) + F.when(F.col(COL) >= h_c, 1).otherwise(0)
+        cur = cur.select("path", (F.col(ROW) % h_r).cast("int").alias(ROW), (F.col(COL) % h_c).cast("int").alias(COL),
+                         q.alias("q"), VALUE)
+        met = cur.groupBy("path", ROW, COL).agg(*_by_case(F.col("q"), [0, 1, 2, 3]))
+        cur = _exploded(met, ["path", ROW, COL], sums, "p", vt) \
+            .select((F.col("path") * PATH_BASE + F.col("p")).alias("path"), ROW, COL, VALUE)
     return cur
 
 
+def _up(cur: DataFrame, hr: list[int], hc: list[int], vt: str) -> DataFrame:
+    """Products ``(path, row, col, value)`` combined level by level, deepest first, into cells of C."""
+    sums = {q: terms for q, terms in enumerate(by_result())}
+    for h_r, h_c in zip(reversed(hr), reversed(hc)):
+        digit = F.col("path").bitwiseAND(F.lit(PATH_BASE - 1))
+        cur = cur.select(F.shiftright("path", 3).alias("path"), ROW, COL, digit.alias("p"), VALUE)
+        met = cur.groupBy("path", ROW, COL).agg(*_by_case(F.col("p"), list(range(1, PATH_BASE))))
+        cur = _exploded(met, ["path", ROW, COL], sums, "q", vt).select(
+            "path",
+            (F.col(ROW) + F.when(F.col("q") >= 2, h_r).otherwise(0)).cast("int").alias(ROW),
+            (F.col(COL) + F.col("q") % 2 * h_c).cast("int").alias(COL), VALUE)
+    return cur.select(ROW, COL, VALUE)
+
+
 def operands(m: Matrix, side: str, levels: int, *,
              drop_zeros: bool = False, dims: tuple[int, int] | None = None) -> DataFrame:
     """The ``7^L`` Strassen operands of one side: ``(path, row, col, value)``.
@@ -89,10 +121,7 @@ def operands(m: Matrix, side: str, levels: int, *,
     hr, hc = halves(dims[0], levels), halves(dims[1], levels)
     if levels == 0:
         return m.df.select(F.lit(0).cast("long").alias("path"), ROW, COL, VALUE)
-    d = _down(m.df, table, hr, hc, vt)
-    grouped = d.groupBy("path", (F.col(ROW) % hr[-1]).cast("int").alias(ROW),
-                        (F.col(COL) % hc[-1]).cast("int").alias(COL))
-    out = grouped.agg(F.sum(F.col("w") * F.col(VALUE)).cast(vt).alias(VALUE))
+    out = _down(m.df, table, hr, hc, vt)
     if drop_zeros:
         out = out.filter(F.col(VALUE) != 0)
     return out
@@ -102,11 +131,6 @@ def _pack(path: Column, k: Column) -> Column:
     return F.shiftleft(path.cast("long"), 32).bitwiseOR(k.cast("long"))
 
 
-def _digit(path: Column, level: int, levels: int) -> Column:
-    shift = 3 * (levels - 1 - level)  # PATH_BASE = 8: three bits per level
-    return F.shiftright(path, shift).bitwiseAND(F.lit(PATH_BASE - 1)).cast("int")
-
-
 def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None = None,
              threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH,
              compact_zeros: bool = False, cut_lineage: bool = False, **mult_opts) -> Matrix:
@@ -131,7 +155,6 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
         a = a.cast(vt)
     if b.value_type != vt:
         b = b.cast(vt)
-    wt = _weight_type(vt)
     hm, hn = halves(m_, levels), halves(n_, levels)
 
     # Leaf: the 7^L products are one batched multiply.  Packing the path into
@@ -149,22 +172,9 @@ def strassen(a: Matrix | DataFrame, b: Matrix | DataFrame, *, levels: int | None
         a_leaf, b_leaf = a_leaf.checkpoint(eager=True), b_leaf.checkpoint(eager=True)
     leaf = multiply(Matrix(a_leaf, paths * hm[-1], paths * hk, unique=True),
                     Matrix(b_leaf, paths * hk, hn[-1], unique=True), **mult_opts)
-    cur = leaf.df.select(F.shiftright(F.col(ROW), 32).alias("path"),
-                         F.col(ROW).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(ROW),
-                         F.col(COL), F.col(VALUE), F.lit(1).cast(wt).alias("w"))
-
-    # Up: the leaf block is the deepest quadrant; level L-1 … 0 place it in C.
-    for lvl in range(levels - 1, -1, -1):
-        d = _digit(F.col("path"), lvl, levels)
-        cur = cur.select("path", ROW, COL, VALUE, "w", F.explode(up_terms(d, wt)).alias("t"))
-        cur = cur.select(
-            "path",
-            (F.col(ROW) + F.floor(F.col("t.q") / 2).cast("int") * F.lit(hm[lvl])).cast("int").alias(ROW),
-            (F.col(COL) + F.pmod(F.col("t.q"), F.lit(2)) * F.lit(hn[lvl])).cast("int").alias(COL),
-            VALUE,
-            (F.col("w") * F.col("t.w")).cast(wt).alias("w"))
-    cur = cur.filter((F.col(ROW) < m_) & (F.col(COL) < n_))
-    out = cur.groupBy(ROW, COL).agg(F.sum(F.col("w") * F.col(VALUE)).cast(vt).alias(VALUE))
+    leaf_cells = leaf.df.select(F.shiftright(F.col(ROW), 32).alias("path"),
+                                F.col(ROW).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias(ROW), COL, VALUE)
+    out = _up(leaf_cells, hm, hn, vt).filter((F.col(ROW) < m_) & (F.col(COL) < n_))
     c = Matrix(out, m_, n_, unique=True)
     return _compact(c) if compact_zeros else c
 
