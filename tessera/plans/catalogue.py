@@ -21,16 +21,16 @@ from ..operators.multiply import gram, multiply
 from ..operators.quadrants import merge, split, split_tagged
 from ..operators.strassen import operands, strassen
 from ..session import scratch_path
-from ..sources.generate import generate_int_over, generate_random_over
-from ..sources.io import roundtrip
+from ..sources.generate import generate_int_over, generate_random_over, perturb_int, perturb_random
+from ..sources.io import read_matrix, read_merged, read_split, roundtrip, write_matrix, write_quadrants
 from ..sources.tables import embedding_matrix, order_part, part_brand, supplier_part, user_event
-from .compare import compare_algorithms
+from .compare import check_product, compare_algorithms
 from .sweep import SweepCase, run_sweep
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Tile edge for the tiled queries: the embedding width, so E is one column of tiles.
-TILE = 64
+# Tile edge for the tiled queries: a quarter of the embedding width, so E has four columns of tiles.
+TILE = 16
 
 
 # ---------------------------------------------------------------------------
@@ -69,7 +69,7 @@ def _embeddings_gram(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
 
 def q_gram_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     """EᵀE, component by component over all embedding vectors (coordinate form), rounded to 6 places."""
-    return _rounded(gram(embedding_matrix(spark, sf), transpose_first=True, skew="salt"))
+    return _rounded(gram(embedding_matrix(spark, sf), transpose_first=True))
 
 
 def _purchase_gram(spark: SparkSession, sf: str, value_type: str = "double") -> tuple[Matrix, Matrix]:
@@ -125,14 +125,14 @@ def q_multiply_strassen_odd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_multiply_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """U·(UᵀU): users × event types over as few inner keys as there are types, every key hot and salted.
+    """U·(UᵀU): users × event types over as few inner keys as there are types, every key heavy and dealt over a grid.
 
     ``broadcast_cells=0`` treats both sides as too large to broadcast, so the
-    salted shuffle join runs at every scale.
+    shuffle join with routed keys runs at every scale.
     """
     u = user_event(spark, sf)
     w = multiply(transpose(u), u)
-    return multiply(u, w, skew="salt", broadcast_cells=0, min_products_per_task=1000).df
+    return multiply(u, w, broadcast_cells=0, min_products_per_task=1000).df
 
 
 def _halves(spark: SparkSession, sf: str) -> tuple[Matrix, Matrix]:
@@ -173,11 +173,17 @@ def q_validate_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_compare_algorithms(spark: SparkSession, sf: str) -> DataFrame:
-    """Standard against one-level Strassen on SᵀS."""
+    """Standard against one-level Strassen on SᵀS, with the cell count and checksum of Strassen's product."""
     a, b = _brand_gram(spark, sf)
     return compare_algorithms(a, b, levels=1)
 
 
+def q_check_product(spark: SparkSession, sf: str) -> DataFrame:
+    """QᵀQ (part co-purchase, BIGINT) checked against Q in linear time by eight vectors of signs."""
+    a, b = _purchase_gram(spark, sf, "bigint")
+    return check_product(a, b, multiply(a, b))
+
+
 def _sweep_cases(spark: SparkSession, sf: str) -> list[SweepCase]:
     def users():
         u = user_event(spark, sf)
@@ -189,14 +195,18 @@ def _sweep_cases(spark: SparkSession, sf: str) -> list[SweepCase]:
     def vectors():
         return _embeddings_gram(spark, sf)
 
+    def unequal():
+        return user_event(spark, sf), embedding_matrix(spark, sf)
+
     sizes = [user_event(spark, sf).n_rows, supplier_part(spark, sf).n_rows, embedding_matrix(spark, sf).n_rows]
-    return [SweepCase(i + 1, n, f) for i, (n, f) in enumerate(zip(sizes, (users, suppliers, vectors)))]
+    return [SweepCase(i + 1, n, f) for i, (n, f) in enumerate(zip([*sizes, sizes[0]], (users, suppliers, vectors, unequal)))]
 
 
 def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Sweep Strassen (one level) over UᵀU, SᵀS and EᵀE; the run log."""
+    """Sweep Strassen (one level) over UᵀU, SᵀS, EᵀE and U·E, whose shapes do not fit; the run log, read from its files."""
     log = run_sweep(spark, _sweep_cases(spark, sf), scratch_path(spark, "sweep"), algorithm="strassen", levels=1)
-    return log.select("order", "matrix_size", "algorithm", "status")
+    return log.select("order", "matrix_size", F.coalesce("algorithm", F.lit("")).alias("algorithm"),
+                      F.coalesce("n_cells", F.lit(0)).alias("n_cells"), "status")
 
 
 def _supplier_rows(spark: SparkSession, sf: str) -> tuple[DataFrame, int, int]:
@@ -212,17 +222,54 @@ def q_generate_int(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_generate_random(spark: SparkSession, sf: str) -> DataFrame:
-    """Seeded uniform [0, 1000) doubles on the same cells (rows-only check)."""
+    """Seeded uniform [0, 1000) doubles on the same cells."""
     rows, n_rows, n_cols = _supplier_rows(spark, sf)
     return generate_random_over(rows, n_rows, n_cols, seed=42).df
 
 
+def _order_part(spark: SparkSession, sf: str, value_type: str) -> Matrix:
+    return order_part(spark, sf, with_shape=True, value_type=value_type)
+
+
+def q_perturb_int(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[order, part] (BIGINT) plus the integer generator's value at each of its cells."""
+    return perturb_int(_order_part(spark, sf, "bigint")).df
+
+
+def q_perturb_random(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[order, part] plus seeded uniform noise in [0, 1) at each of its cells."""
+    return perturb_random(_order_part(spark, sf, "double"), seed=42, high=1.0).df
+
+
 def q_scan_matrix(spark: SparkSession, sf: str) -> DataFrame:
     """Q[supplier, part] written as Parquet in the shared folder and scanned back."""
     q = supplier_part(spark, sf)
     return roundtrip(spark, q, scratch_path(spark, "scan")).df
 
 
+def q_scan_checked(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[supplier, part] written and scanned back with the contract checked in the plan, uniqueness too."""
+    q = supplier_part(spark, sf)
+    path = scratch_path(spark, "scan")
+    write_matrix(Matrix(q.df, q.n_rows, q.n_cols), path)
+    return read_matrix(spark, path, check=True).df
+
+
+def q_merge_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[supplier, part] written by quadrant and merged again by one scan."""
+    path = scratch_path(spark, "quadrants")
+    write_quadrants(supplier_part(spark, sf), path)
+    return read_merged(spark, path).df
+
+
+def q_split_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """Q11 + Q22 of Q[supplier, part] read from a quadrant layout: two of four folders are scanned."""
+    path = scratch_path(spark, "quadrants")
+    write_quadrants(supplier_part(spark, sf), path)
+    q11, _, _, q22 = read_split(spark, path)
+    return add(q11, q22).df
+
+
 QUERIES: dict[str, Query] = {
     "multiply_sparse": q_multiply_sparse,
     "multiply_rect": q_multiply_rect,
@@ -244,10 +291,16 @@ QUERIES: dict[str, Query] = {
     "cell_count": q_cell_count,
     "validate_matrix": q_validate_matrix,
     "compare_algorithms": q_compare_algorithms,
+    "check_product": q_check_product,
     "run_log": q_run_log,
     "generate_int": q_generate_int,
     "generate_random": q_generate_random,
+    "perturb_int": q_perturb_int,
+    "perturb_random": q_perturb_random,
     "scan_matrix": q_scan_matrix,
+    "scan_checked": q_scan_checked,
+    "merge_layout": q_merge_layout,
+    "split_layout": q_split_layout,
 }
 
 
@@ -298,6 +351,17 @@ def _elementwise_sql(op: str) -> str:
             f"FROM a FULL OUTER JOIN b ON a.r = b.r AND a.c = b.c")
 
 
+def _uniform_sql(counter: str, seed: int = 42) -> str:
+    """The generator's number in [0, 1) for a counter."""
+    return f"(('0x' || substr(md5('{seed}:' || CAST({counter} AS BIGINT)), 1, 13))::BIGINT::DOUBLE / 4503599627370496::DOUBLE)"
+
+
+def _checked_sql(product: str, columns: str) -> str:
+    """Non-zero cells and checksum of a product, after ``columns``."""
+    return (f'SELECT {columns}, CAST(count(*) FILTER (value <> 0) AS BIGINT) AS n_cells, '
+            f'CAST(coalesce(sum(CAST(value AS DOUBLE) * (("row" * 31 + col * 17) % 101 + 1)), 0) AS DOUBLE) AS checksum FROM ({product})')
+
+
 _ALPHA_VALUES = ("(1, 0, 0, 1.0), (1, 1, 1, 1.0), (2, 1, 0, 1.0), (2, 1, 1, 1.0), (3, 0, 0, 1.0), "
                  "(4, 1, 1, 1.0), (5, 0, 0, 1.0), (5, 0, 1, 1.0), (6, 1, 0, 1.0), (6, 0, 0, -1.0), "
                  "(7, 0, 1, 1.0), (7, 1, 1, -1.0)")
@@ -340,19 +404,37 @@ SQL: dict[str, str] = {
                         "CAST(sum(nulls) AS BIGINT) AS null_values, count(*) FILTER (n > 1) AS duplicate_coordinates "
                         "FROM (SELECT l_orderkey AS r, l_partkey AS c, count(*) AS n, "
                         "count(*) FILTER (l_quantity IS NULL) AS nulls FROM lineitem GROUP BY 1, 2)"),
-    "compare_algorithms": "SELECT CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS n_mismatch",
-    "run_log": ('SELECT CAST(1 AS BIGINT) AS "order", CAST(max(user_id) + 1 AS BIGINT) AS matrix_size, '
-                "'strassen' AS algorithm, 'success' AS status FROM events "
-                "UNION ALL SELECT CAST(2 AS BIGINT), CAST(max(l_suppkey) + 1 AS BIGINT), 'strassen', 'success' "
-                "FROM lineitem "
-                "UNION ALL SELECT CAST(3 AS BIGINT), CAST(max(vec_id) + 1 AS BIGINT), 'strassen', 'success' "
-                "FROM embeddings"),
+    "compare_algorithms": _checked_sql(_gram_sql(SQL_S, nonzero=True, rows_of="c", inner="r"),
+                                       "CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS n_mismatch"),
+    "check_product": _checked_sql(_gram_sql(SQL_QOP_INT, vt="BIGINT", rows_of="c", inner="r"),
+                                  'CAST(8 AS INTEGER) AS trials, count(DISTINCT "row") AS n_rows, '
+                                  "CAST(0.0 AS DOUBLE) AS max_abs_diff, CAST(0 AS BIGINT) AS n_mismatch"),
+    "run_log": ('SELECT CAST(1 AS BIGINT) AS "order", (SELECT CAST(max(user_id) + 1 AS BIGINT) FROM events) AS matrix_size, '
+                f"'strassen' AS algorithm, count(*) AS n_cells, 'success' AS status FROM ({_gram_sql(SQL_U, rows_of='c', inner='r')}) "
+                "UNION ALL SELECT CAST(2 AS BIGINT), (SELECT CAST(max(l_suppkey) + 1 AS BIGINT) FROM lineitem), 'strassen', "
+                f"count(*), 'success' FROM ({_gram_sql(SQL_S, rows_of='c', inner='r')}) "
+                "UNION ALL SELECT CAST(3 AS BIGINT), (SELECT CAST(max(vec_id) + 1 AS BIGINT) FROM embeddings), 'strassen', "
+                f"count(*), 'success' FROM ({SQL_E_GRAM}) "
+                "UNION ALL SELECT CAST(4 AS BIGINT), (SELECT CAST(max(user_id) + 1 AS BIGINT) FROM events), '', 0, 'failed'"),
     "generate_int": ("WITH d AS (SELECT max(l_partkey) + 1 AS m FROM lineitem), "
                      "i AS (SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS i FROM lineitem), "
                      "j AS (SELECT unnest(range(m)) AS j FROM d) "
                      'SELECT CAST(i AS INTEGER) AS "row", CAST(j AS INTEGER) AS col, '
                      "CAST((i * 31 + j * 17 + i * j * 7) % 100 AS BIGINT) AS value FROM i CROSS JOIN j"),
+    "generate_random": ("WITH d AS (SELECT max(l_partkey) + 1 AS m FROM lineitem), "
+                        "i AS (SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS i FROM lineitem), "
+                        "j AS (SELECT unnest(range(m)) AS j FROM d) "
+                        'SELECT CAST(i AS INTEGER) AS "row", CAST(j AS INTEGER) AS col, '
+                        f"{_uniform_sql('i * m + j')} * 1000::DOUBLE + 0::DOUBLE AS value FROM i CROSS JOIN j CROSS JOIN d"),
+    "perturb_int": (f'SELECT r AS "row", c AS col, CAST(v + (r::BIGINT * 31 + c::BIGINT * 17 + r::BIGINT * c::BIGINT * 7) % 100 '
+                    f"AS BIGINT) AS value FROM ({SQL_QOP_INT})"),
+    "perturb_random": ("WITH d AS (SELECT max(l_partkey) + 1 AS m FROM lineitem) "
+                       f'SELECT r AS "row", c AS col, v + ({_uniform_sql("r::BIGINT * m + c")} * 1::DOUBLE + 0::DOUBLE) AS value '
+                       f"FROM ({SQL_QOP}) CROSS JOIN d"),
     "scan_matrix": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_QSP})',
+    "scan_checked": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_QSP})',
+    "merge_layout": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_QSP})',
+    "split_layout": (f"WITH q AS ({SQL_QSP}), h AS ({_HALF}) "
+                     f'SELECT CAST(q.r % h.hr AS INTEGER) AS "row", CAST(q.c % h.hc AS INTEGER) AS col, '
+                     f"CAST(sum(q.v) AS DOUBLE) AS value FROM q CROSS JOIN h WHERE (q.r < h.hr) = (q.c < h.hc) GROUP BY 1, 2"),
 }
-
-# generate_random has no oracle: DuckDB has no xxhash64; the driver checks rows only.

@@ -3,7 +3,8 @@
 ``generate``: for each order ``n``, write two ``2^n × 2^n`` operands to
 ``{base}/matrices_{n}/matrix{1,2}.parquet`` (seeded, reproducible).
 ``multiply``: sweep the orders — read both operands, multiply, write the
-product and the run log under ``{results}``.
+product and the run log under ``{results}``.  Orders that an earlier run has
+finished are skipped unless ``--anew`` is given.
 
     python -m tessera.plans.jobs generate --base DIR --orders 4 5 6
     python -m tessera.plans.jobs multiply --base DIR --results DIR --orders 4 5 6 --algorithm strassen
@@ -52,9 +53,10 @@ def path_cases(spark: SparkSession, base: str, orders: list[int], *, value_type:
 
 def multiply_sweep(spark: SparkSession, base: str, results: str, orders: list[int], *,
                    algorithm: str = "strassen", threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH,
-                   tile: int = 512, levels: int | None = None, value_type: str = "double") -> DataFrame:
+                   tile: int = 512, levels: int | None = None, value_type: str = "double",
+                   resume: bool = True) -> DataFrame:
     return run_sweep(spark, path_cases(spark, base, orders, value_type=value_type), results,
-                     algorithm=algorithm, threshold=threshold, max_depth=max_depth, tile=tile, levels=levels,
+                     algorithm=algorithm, threshold=threshold, max_depth=max_depth, tile=tile, levels=levels, resume=resume,
                      timing_path=lambda n: paths(base, n, results).timing)
 
 
@@ -77,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--levels", type=int, default=None)
     m.add_argument("--tile", type=int, default=512)
     m.add_argument("--value-type", default="double", choices=["double", "bigint"])
+    m.add_argument("--anew", action="store_true")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"tessera-{args.cmd}").getOrCreate()
     if args.cmd == "generate":
@@ -85,7 +88,7 @@ def main(argv: list[str] | None = None) -> None:
     else:
         log = multiply_sweep(spark, args.base, args.results, args.orders, algorithm=args.algorithm,
                              threshold=args.threshold, max_depth=args.max_depth, tile=args.tile,
-                             levels=args.levels, value_type=args.value_type)
+                             levels=args.levels, value_type=args.value_type, resume=not args.anew)
         log.show(truncate=False)
 
 

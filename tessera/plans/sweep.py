@@ -3,9 +3,12 @@
 For every case the operands are materialised (persisted, counted), the
 product is materialised, then written as Parquet; each phase is timed around
 a real action.  A case that fails is logged with ``status='failed'`` and the
-error text, and the sweep goes on.  The log is a DataFrame with a fixed
-schema; each record is appended as JSON under the output folder (partitioned
-by ``order``) as soon as its case ends.
+error text, and the sweep goes on.
+
+A sweep can be killed and started again: a case ends with its record, which
+replaces the folder ``run_log/order=N`` after the product is written, so the
+log is the manifest of what is done.  Cases with a ``success`` record are not
+run again.  The log is a DataFrame with a fixed schema, read from these files.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import types as T
 from ..matrix import Matrix
 from ..operators.choose import product
 from ..operators.strassen import STRASSEN_THRESHOLD, MAX_DEPTH, levels_for, strassen
-from ..sources.io import write_matrix
+from ..sources.io import exists, result_path, write_matrix
 
 LOG_SCHEMA = T.StructType([
     T.StructField("order", T.LongType(), False),
@@ -67,17 +70,30 @@ def _now() -> str:
     return datetime.now(timezone.utc).isoformat()
 
 
+def read_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The run log of a sweep, one record per case that has ended; empty before the first."""
+    path = f"{out_dir.rstrip('/')}/run_log"
+    if not exists(spark, path):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    # JSON comes back nullable; the records, one per case, get the log's schema again
+    return spark.createDataFrame(spark.read.schema(LOG_SCHEMA).json(path).select(LOG_SCHEMA.names).collect(), LOG_SCHEMA)
+
+
 def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algorithm: str = "strassen",
               threshold: int = STRASSEN_THRESHOLD, max_depth: int = MAX_DEPTH, tile: int = 512,
-              levels: int | None = None, timing_path: Callable[[int], str] | None = None) -> DataFrame:
-    """Run every case; return the run log (also appended as JSON to ``{out_dir}/run_log``).
+              levels: int | None = None, resume: bool = True,
+              timing_path: Callable[[int], str] | None = None) -> DataFrame:
+    """Run every case that has not ended well yet; return the run log, read from ``{out_dir}/run_log``.
 
-    ``timing_path(order)``, when given, also receives each case's record as a
-    one-row JSON dataset (overwritten), the per-size timing file layout.
+    ``resume=False`` runs all cases anew.  ``timing_path(order)``, when given,
+    also receives each case's record as a one-row JSON dataset (overwritten),
+    the per-size timing file layout.
     """
     run, fixed_levels = _algorithm(algorithm, threshold, max_depth, tile, levels)
-    records = []
+    done = {r["order"] for r in read_log(spark, out_dir).filter("status = 'success'").select("order").collect()} if resume else set()
     for case in cases:
+        if case.order in done:
+            continue
         t0 = time.perf_counter()
         held: list[DataFrame] = []
         try:
@@ -101,23 +117,21 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
             t_compute = time.perf_counter() - t1
 
             t2 = time.perf_counter()
-            write_matrix(c, f"{out_dir}/matrices_{case.order}/product_{case.order}")
+            write_matrix(c, result_path(out_dir, case.order))
             t_write = time.perf_counter() - t2
-            records.append((case.order, case.matrix_size, algorithm, threshold, lv, round(t_load, 3),
-                            round(t_compute, 3), round(t_write, 3), round(time.perf_counter() - t0, 3),
-                            n_cells, None, None, _now(), "success"))
+            record = (case.order, case.matrix_size, algorithm, threshold, lv, round(t_load, 3),
+                      round(t_compute, 3), round(t_write, 3), round(time.perf_counter() - t0, 3),
+                      n_cells, None, None, _now(), "success")
         except Exception as e:  # a failed size is recorded and the sweep goes on
             msg = f"{type(e).__name__}: {e}".strip()
             traceback.print_exc()
-            records.append((case.order, case.matrix_size, None, None, None, None, None, None, None, None,
-                            msg, round(time.perf_counter() - t0, 3), _now(), "failed"))
+            record = (case.order, case.matrix_size, None, None, None, None, None, None, None, None,
+                      msg, round(time.perf_counter() - t0, 3), _now(), "failed")
         finally:
             for df in held:
                 df.unpersist()
-        # Each record is appended as soon as its case ends, so a sweep that
-        # dies part-way keeps the log of every finished size.
-        record = spark.createDataFrame(records[-1:], LOG_SCHEMA).coalesce(1)
-        record.write.mode("append").partitionBy("order").json(f"{out_dir}/run_log")
+        row = spark.createDataFrame([record], LOG_SCHEMA).coalesce(1)
+        row.drop("order").write.mode("overwrite").json(f"{out_dir.rstrip('/')}/run_log/order={case.order}")
         if timing_path is not None:
-            record.write.mode("overwrite").json(timing_path(case.order))
-    return spark.createDataFrame(records, LOG_SCHEMA)
+            row.write.mode("overwrite").json(timing_path(case.order))
+    return read_log(spark, out_dir)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tessera.plans.catalogue import QUERIES, SQL
 from tessera.plans.compare import compare_algorithms
 from tessera.plans.sweep import LOG_SCHEMA, SweepCase, run_sweep
 from tessera.session import scratch_path
@@ -37,7 +38,7 @@ def test_sweep_logs_failures_and_continues(spark):
     assert rows[1]["n_cells"] == 36 and rows[1]["compute_time_seconds"] >= 0
     written = spark.read.schema(LOG_SCHEMA).json(f"{out}/run_log")
     assert written.count() == 3
-    assert spark.read.parquet(f"{out}/matrices_1/product_1").count() == 36
+    assert spark.read.parquet(f"{out}/matrices_1/strassen_result_1").count() == 36
 
 
 def test_entry_smoke(spark):
@@ -47,13 +48,13 @@ def test_entry_smoke(spark):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_queries_match_oracle_small(spark, name):
     con = duckdb.connect()
     for t in ("lineitem", "part", "embeddings", "events"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    got = E.queries()[name](spark, SF).toPandas()
-    want = con.execute(E.oracle_sql()[name]).df()
+    got = QUERIES[name](spark, SF).toPandas()
+    want = con.execute(SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     cols = sorted(got.columns)
@@ -67,7 +68,8 @@ def test_queries_match_oracle_small(spark, name):
 
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"generate_random"}
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql())
 
 
 def test_generate_then_multiply_sweep_on_paths(spark):
@@ -87,7 +89,7 @@ def test_generate_then_multiply_sweep_on_paths(spark):
     da, db = np.zeros((8, 8)), np.zeros((8, 8))
     da[a.row, a.col] = a.value
     db[b.row, b.col] = b.value
-    c = spark.read.parquet(f"{res}/matrices_3/product_3").toPandas()
+    c = spark.read.parquet(f"{res}/matrices_3/strassen_result_3").toPandas()
     dc = np.zeros((8, 8))
     dc[c.row, c.col] = c.value
     np.testing.assert_allclose(dc, da @ db, rtol=1e-9)

@@ -82,7 +82,7 @@ def test_parquet_roundtrip_and_paths(spark):
     assert read_matrix(spark, p).df.count() == 36
     sp = paths("/data", 12, "/out")
     assert sp.operand_a == "/data/matrices_12/matrix1.parquet"
-    assert sp.result == "/out/matrices_12/product_12"
+    assert sp.result == "/out/matrices_12/strassen_result_12"
 
 
 def test_from_table_sums_duplicates_and_from_array(spark):
