@@ -24,10 +24,13 @@ left over are counted again among themselves, now all their elements.  With
 from the start, ``link_buckets`` compares each class with few others, and the
 comparison is exact, on the elements themselves.
 
+The nodes that are joined are sets, not documents: a set's name is its
+``cls``.  Only at the end come the ids in.  Rows with the same id are different
+documents of one component, so an id that stands at several sets links them.
+
 Null, empty and wordless texts have an empty set and link with nothing.  Rows
 without ``doc_id`` take part in nothing and come back with null as component.
-Rows with the same id are different documents of one component.  An empty table
-gives no rows; extra columns are ignored.
+An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, table, written
-from tessera.llm.components import link_buckets, parity_sketch
+from tessera.llm.components import connected, link_buckets, parity_sketch
 from tessera.llm.sharing import Sieve, flagged, shared_rows
 from tessera.llm.shingles import mix, shingle_sets, signed
 
@@ -93,7 +96,7 @@ def _lonely(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``rep, n, elements`` of the given ``classes(cls, rep)``, read again from their first document."""
+    """``cls, n, elements`` of the given ``classes(cls, rep)``, read again from the document ``rep``."""
     sieve = Sieve(classes, "rep")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,15 +106,18 @@ def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 17):
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
-            rows = [(r, signed(s)) for r, c, s in zip(b.column("rep").to_pylist(), b.column("cls").to_pylist(), sets, strict=True)
-                    if set_class(s) == c]
+            rows = {c: signed(s) for c, s in zip(b.column("cls").to_pylist(), sets, strict=True) if set_class(s) == c}
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r for r, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
-                 pa.array([s for _, s in rows], pa.list_(pa.int64()))], names=["rep", "n", "elements"])
+                [pa.array(list(rows), pa.int64()), pa.array([len(s) for s in rows.values()], pa.int64()),
+                 pa.array(list(rows.values()), pa.list_(pa.int64()))], names=["cls", "n", "elements"])
 
     kept = docs.filter("doc_id is not null").mapInArrow(sift, "doc_id long, text string")
-    return (kept.join(classes, kept.doc_id == classes.rep).select("rep", "cls", "text")
-            .mapInArrow(build, "rep long, n long, elements array<long>"))
+    sets = (kept.join(classes, kept.doc_id == classes.rep).select("cls", "text")
+            .mapInArrow(build, "cls long, n long, elements array<long>"))
+    sets = written(docs.sparkSession, sets, "sets")
+    if sets.count() > classes.count():  # rows that repeat an id and its text
+        sets = written(docs.sparkSession, sets.dropDuplicates(["cls"]), "sets")
+    return sets
 
 
 def band(n: int) -> int:
@@ -146,10 +152,10 @@ def sketch_keys(s: np.ndarray, k: int) -> np.ndarray:
 
 
 def _own(sets: DataFrame) -> DataFrame:
-    """``rep, own``: elements of a set that no other of ``sets`` holds."""
-    held = (sets.select("rep", F.explode("elements").alias("element"))
-            .groupBy("element").agg(F.min("rep").alias("rep"), F.max("rep").alias("other")))
-    return held.filter("rep = other").groupBy("rep").agg(F.count("*").alias("own"))
+    """``cls, own``: elements of a set that no other of ``sets`` holds."""
+    held = (sets.select("cls", F.explode("elements").alias("element"))
+            .groupBy("element").agg(F.min("cls").alias("cls"), F.max("cls").alias("other")))
+    return held.filter("cls = other").groupBy("cls").agg(F.count("*").alias("own"))
 
 
 def _members(sets: DataFrame) -> DataFrame:
@@ -162,12 +168,12 @@ def _members(sets: DataFrame) -> DataFrame:
         for b in batches:
             col = b.column("elements")
             off, flat = col.offsets.to_numpy(), col.values.to_numpy().view(np.uint64)
-            for i, (rep, own) in enumerate(zip(b.column("rep").to_pylist(), b.column("own").to_pylist(), strict=True)):
+            for i, (cls, own) in enumerate(zip(b.column("cls").to_pylist(), b.column("own").to_pylist(), strict=True)):
                 s = flat[off[i]:off[i + 1]]
                 n, k = len(s), band(len(s))
                 keys = np.concatenate([sketch_keys(s, j) for j in ((k, k - 1) if k else (k,))])
                 cap = ((100 + PERCENT) * (n - own)) // PERCENT - n  # with 80 percent: 1.25 n - 2.25 own
-                parts.append((signed(keys), *(np.full(len(keys), x) for x in (rep, n, cap))))
+                parts.append((signed(keys), *(np.full(len(keys), x) for x in (cls, n, cap))))
                 held += len(keys)
                 if held > 1 << 18:
                     yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
@@ -175,7 +181,7 @@ def _members(sets: DataFrame) -> DataFrame:
         if parts:
             yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
 
-    return shared_rows(sets.select("rep", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
+    return shared_rows(sets.select("cls", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
 
 
 def _sketches(sets: DataFrame):
@@ -186,11 +192,11 @@ def _sketches(sets: DataFrame):
             col = b.column("elements")
             off, flat = col.offsets.to_numpy(), col.values.to_numpy().view(np.uint64)
             bits = [parity_sketch(flat[x:y]) for x, y in zip(off[:-1], off[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("rep"), b.column("n"), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([b.column("cls"), b.column("n"), pa.array(bits, pa.binary())], names=["node", "n", "bits"])
 
     def sketches(nodes: DataFrame) -> DataFrame:
-        wanted = sets.join(nodes.withColumnRenamed("node", "rep"), "rep", "left_semi")
-        return wanted.select("rep", "n", "elements").mapInArrow(run, "node long, n long, bits binary")
+        wanted = sets.join(nodes.withColumnRenamed("node", "cls"), "cls", "left_semi")
+        return wanted.select("cls", "n", "elements").mapInArrow(run, "node long, n long, bits binary")
 
     return sketches
 
@@ -199,8 +205,8 @@ def _verifier(sets: DataFrame):
     """Pairs whose sets link."""
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("elements").alias("sa"))
-        b = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("sb"))
+        a = sets.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("elements").alias("sa"))
+        b = sets.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("sb"))
         shared = F.size(F.array_intersect("sa", "sb"))
         return (pairs.join(b, "b").join(a, "a")
                 .filter(shared * 100 >= (F.col("na") + F.col("nb") - shared) * PERCENT).select("a", "b"))
@@ -217,15 +223,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_classes = (classes.join(_lonely(docs), "cls", "left")
                     .filter(F.coalesce("lonely", F.lit(0)) * 100 <= F.col("n") * (100 - PERCENT)).select("cls", "rep"))
     open_classes = written(spark, open_classes, "classes")
-    sets = written(spark, _sets(docs, open_classes), "sets")
-    # an id held by several documents may stand for several sets: they are one component in any case
-    sets = sets.join(_own(sets), "rep", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+    sets = _sets(docs, open_classes)
+    sets = sets.join(_own(sets), "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     sets = written(spark, sets.filter(F.col("own") * 100 <= F.col("n") * (100 - PERCENT)), "sets")
     roots = link_buckets(_members(sets), _verifier(sets), _sketches(sets), PERCENT)
-    of_class = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("cls", F.coalesce("root", "rep").alias("root"))
+    several = written(spark, _same_id(rows), "same-id")
+    if not several.isEmpty():
+        roots = connected(several.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    of_class = classes.join(roots, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
+    least = of_class.groupBy("root").agg(F.min("rep").alias("component"))
+    of_class = of_class.select("cls", "root").join(least, "root").select("cls", "component")
     return (rows.join(of_class, "cls", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("root"))).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def _same_id(rows: DataFrame) -> DataFrame:
+    """``a, b``: classes of one id, each with the smallest of them."""
+    held = rows.filter("n > 0 and doc_id is not null").select("doc_id", "cls")
+    several = held.groupBy("doc_id").agg(F.min("cls").alias("a"), F.max("cls").alias("last")).filter("a <> last").select("doc_id", "a")
+    return held.join(several, "doc_id").filter("cls <> a").select("a", F.col("cls").alias("b")).distinct()
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

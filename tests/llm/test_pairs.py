@@ -77,6 +77,39 @@ def test_ngram_join_repeated_rows_and_empty_table(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def one_component_per_id(rows):
+    """Brute force over rows: an id's rows are different documents of one component."""
+    sets = [(i, shingles(t)) for i, t in rows]
+    ids = sorted({i for i, s in sets if s})
+    links = [(a, b) for x, (a, s) in enumerate(sets) for b, t in sets[:x] if s and t and 100 * len(s & t) >= 80 * len(s | t)]
+    root = groups(links, ids)
+    return sorted((i, len(s), root[i] if s else i) for i, s in sets)
+
+
+def test_ngram_join_of_an_id_with_two_texts(spark):
+    """Each text of id 5 is 0.85 similar to that of another id: all four are one component."""
+    first, second = [f"a{k}" for k in range(100)], [f"b{k}" for k in range(100)]
+    rows = [(1, first), (2, second), (5, [*first[:92], *(f"c{k}" for k in range(8))]), (5, [*second[:92], *(f"d{k}" for k in range(8))])]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(1, ""), (9, "other words here")]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == one_component_per_id(rows)
+    assert {r.component_id for r in got if r.doc_id in (2, 5)} == {1}
+
+
+def test_ngram_join_of_random_tables_with_repeated_ids(spark):
+    rng = random.Random(31)
+    base = [words(rng, rng.randint(4, 60)) for _ in range(8)]
+    rows = []
+    for _ in range(70):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            w[rng.randrange(len(w))] = rng.choice("xyz") * 3
+        rows.append((rng.randint(0, 45), " ".join(w)))
+    rows += rows[:10]
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == one_component_per_id(rows)
+
+
 def test_sketch_keys_share_a_word_for_every_linked_pair():
     import numpy as np
 
