@@ -1,17 +1,23 @@
 """Toxicity scores by a factorization machine over hashed terms.
 
 A text's terms are its distinct words in lower case and their beginnings of
-three to seven letters, hashed to ``2**BITS`` numbers.  On a bounded sample of
-labelled rows Spark counts how many toxic and clean texts hold each term; the
-``TERMS`` most telling ones are the machine's inputs.  It has a bias, a weight
-and ``FACTORS`` latent numbers per term, so that two terms met in one text (an
-insult and whom it is aimed at) count beyond the sum of their weights; it
-learns by logistic loss.  The sum over pairs is taken in linear time,
+three to seven letters, hashed to ``2**BITS`` numbers.  The machine has a bias,
+a weight and ``FACTORS`` latent numbers per term, so that two terms met in one
+text (an insult and whom it is aimed at) count beyond the sum of their weights;
+it learns by logistic loss.  The sum over pairs is taken in linear time,
 ``(|sum v|^2 - sum |v|^2) / 2``.
 
-``SAMPLE`` bounds the labelled rows the model is fitted on (those with the
-smallest hash of their id); scoring covers every whole text.  Labels, language,
-source and id are never inputs of a score.
+Its inputs are found on a bounded sample of labelled rows in two ways.  Spark
+counts how many toxic and clean texts hold each term: the ``TERMS`` that tell
+most by themselves.  A term can also tell only beside another, as common in
+clean texts as in toxic ones; so a first machine over all words that stand in
+``MIN_TEXTS`` of the sample's texts is fitted, by steps over few texts with
+strong decay, and the words whose factors, weighed by their texts, stand out by far are
+inputs too, ``PAIRED`` at most.  The final machine is fitted on these inputs.
+
+``SAMPLE`` bounds the labelled rows the model is fitted on (ids with the
+smallest hash; an id with several texts gives its smallest one); scoring covers
+every whole text.  Labels, language, source and id are never inputs of a score.
 
 Null, empty and wordless texts get the bias's score.  A row of ``labels``
 without id or label is left out; an id labelled twice is toxic if one row says
@@ -40,11 +46,18 @@ TERMS = 4096
 FACTORS = 4
 SAMPLE = 20_000
 MIN_TEXTS = 4
+#: Words taken for their factors: at most so many, each so many times as strong as the middle one.
+PAIRED, STRONG = 256, 20
 THRESHOLD = 0.7
 
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+def word_term(word: str) -> int:
+    """Hashed term of the whole word."""
+    return zlib.crc32((word + "$").encode()) >> (32 - BITS)
+
+
 def word_terms(word: str) -> tuple[int, ...]:
     """Hashed terms of a word."""
     return tuple({zlib.crc32(t.encode()) >> (32 - BITS)
@@ -133,6 +146,77 @@ def active(found: set[str], terms: np.ndarray, cache: dict[str, tuple[int, ...]]
     return out
 
 
+def _sample_words(texts: DataFrame) -> np.ndarray:
+    """Hashed words that stand in ``MIN_TEXTS`` texts of the sample, ascending; there are at most ``2**BITS``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            sets = [np.unique(np.array([word_term(w) for w in text_words(t)], np.int32)) for t in b.column("text").to_pylist()]
+            term, n = np.unique(np.concatenate([np.zeros(0, np.int32), *sets]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
+
+    counts = texts.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return np.array(sorted(r.term for r in counts.filter(F.col("n") >= MIN_TEXTS).select("term").collect()), np.int64)
+
+
+def _word_inputs(texts: DataFrame, words: np.ndarray) -> list[tuple[np.ndarray, int]]:
+    """Per text the places of its words in ``words`` and its label: a bounded sample, as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 2 << 20):
+            rows = []
+            for t in b.column("text").to_pylist():
+                found = np.array([word_term(w) for w in text_words(t)], np.int64)
+                at = np.minimum(np.searchsorted(words, found), len(words) - 1)
+                rows.append(np.unique(at[words[at] == found]).astype("<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.binary())], names=["toxic", "places"])
+
+    got = texts.select("toxic", "text").mapInArrow(run, "toxic int, places binary").orderBy("places", "toxic").collect()
+    return [(np.frombuffer(r.places, "<i4"), r.toxic) for r in got]
+
+
+def paired(rows: list[tuple[np.ndarray, int]], m: int, keep: int = PAIRED, factors: int = FACTORS, epochs: int = 6,
+           seed: int = 7, step: int = 256, rate: float = 0.1, decay: float = 0.005) -> np.ndarray:
+    """Of ``m`` words those whose factors stand out in a machine over all of them, at most ``keep``.
+
+    Adagrad over ``step`` texts at a time; decay falls on the words of those texts.  With few texts
+    there are more epochs, so that about as many steps are made.
+    """
+    rng = np.random.default_rng(seed)
+    y = np.array([r[1] for r in rows], float)
+    size = np.array([len(r[0]) for r in rows])
+    p = rng.normal(0, 0.02, (m, factors + 1)).astype(np.float32)
+    p[:, 0] = 0
+    past, bias, bias_past = np.full(p.shape, 1e-6, np.float32), 0.0, 1e-6
+    for _ in range(max(epochs, min(40, 100_000 // max(1, len(rows))))):
+        order = rng.permutation(len(rows))
+        for a in range(0, len(rows), step):
+            part = order[a:a + step]
+            part = part[size[part] > 0]
+            if not len(part):
+                continue
+            idx = np.concatenate([rows[i][0] for i in part])
+            row = np.repeat(np.arange(len(part)), size[part])
+            first = np.concatenate([[0], np.cumsum(size[part])[:-1]])
+            v = p[idx]
+            s = np.add.reduceat(v, first, axis=0)
+            out = bias + s[:, 0] + 0.5 * ((s[:, 1:] ** 2).sum(1) - np.add.reduceat((v[:, 1:] ** 2).sum(1), first))
+            g = (_sigmoid(out) - y[part]).astype(np.float32)
+            grad = g[row][:, None] * np.concatenate([np.ones((len(idx), 1), np.float32), s[row][:, 1:] - v[:, 1:]], axis=1)
+            by = np.argsort(idx, kind="stable")
+            cut = np.flatnonzero(np.concatenate([[True], idx[by][1:] != idx[by][:-1]]))
+            at = idx[by][cut]
+            total = np.add.reduceat(grad[by], cut, axis=0) / len(part) + decay * p[at]
+            past[at] += total * total
+            p[at] -= rate * total / np.sqrt(past[at])
+            bias_past += float(g.mean()) ** 2
+            bias -= rate * float(g.mean()) / np.sqrt(bias_past)
+    texts = np.bincount(np.concatenate([np.zeros(0, np.int64), *(r[0] for r in rows)]).astype(np.int64), minlength=m)
+    strength = (p[:, 1:].astype(float) ** 2).sum(1) * texts
+    order = np.lexsort((np.arange(m), -strength))[:keep]
+    return np.sort(order[strength[order] > STRONG * np.median(strength)])
+
+
 def learn(texts: DataFrame, terms: int = TERMS, factors: int = FACTORS, epochs: int = 150, seed: int = 7) -> Machine:
     """Fit on ``texts(text, toxic)``, a bounded sample."""
     n = {r.toxic: r.n for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -146,7 +230,11 @@ def learn(texts: DataFrame, terms: int = TERMS, factors: int = FACTORS, epochs:
     chi = F.pow(a - expected, 2) / expected + F.pow(b - (a + b) + expected, 2) / ((a + b) * (neg / (pos + neg)))
     best = (counts.filter(a + b >= MIN_TEXTS).select("term", chi.alias("chi"))
             .orderBy(F.desc("chi"), "term").limit(terms).collect())
-    chosen = np.array(sorted(r.term for r in best if r.chi > 10.8), dtype=np.int64)  # p < 0.001, one degree of freedom
+    telling = {r.term for r in best if r.chi > 10.8}  # p < 0.001, one degree of freedom
+    words = _sample_words(texts)
+    if len(words):
+        telling.update(words[paired(_word_inputs(texts, words), len(words))].tolist())
+    chosen = np.array(sorted(telling), dtype=np.int64)
     rows = _inputs(texts, chosen).groupBy("inputs", "toxic").agg(F.count("*").alias("n")).orderBy("inputs", "toxic").collect()
     return fit(chosen, [(r.inputs, r.toxic, r.n) for r in rows], factors, epochs, seed)
 
@@ -182,11 +270,12 @@ def fit(terms: np.ndarray, rows: list[tuple], factors: int, epochs: int, seed: i
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``text, toxic`` of at most ``size`` labelled rows that are not held out."""
+    """``text, toxic`` of at most ``size`` labelled ids that are not held out."""
     ids = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
            .groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").cast("int").alias("toxic"))
            .orderBy(F.xxhash64("id"), "id").limit(size))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("id")).groupBy("id").agg(
+        F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD, keep_text: bool = True) -> DataFrame:
