@@ -7,6 +7,14 @@ to the merge table, contracts the leftmost pair of minimum rank of every word
 when no word has a pair left.  Decoding joins ids to the vocabulary
 and aggregates the byte strings in position order.
 
+No merge joins two bytes that stand side by side in no vocabulary entry, so
+words are first cut there, and each distinct part goes through the query once.
+Parts above ``LONG`` bytes take a second query that contracts several pairs a
+step: of the pairs of minimum rank all that do not overlap, left to right, up to
+the first whose new token makes a pair of a rank as low with a neighbour.  Until
+there the next minimal pair is the next one on the right anyway, so the ids are
+those of one by one.
+
 Only the distinct words of a batch that the worker has not seen lately go
 through the query; their number per batch is bounded by the batch's bytes.
 Null and empty texts have no tokens.  Repeated rows and ids are kept.  Extra
@@ -22,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import id_bytes, slices, table
+from tessera.llm.common import slices, table
 from tessera.llm.pretoken import ChunkCache
 
 MERGE_SQL = """
@@ -49,9 +58,42 @@ WITH RECURSIVE state(word, pos, tok, npos, ntok, done) AS (
 SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY word ORDER BY word
 """
 
+LONG_SQL = """
+WITH RECURSIVE state(word, pos, tok, done) AS (
+    SELECT word, pos, tok, false FROM start
+    UNION ALL
+    (WITH cur AS (
+        SELECT word, pos, tok, lead(tok) OVER w AS ntok, row_number() OVER w AS k
+        FROM state WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)),
+    ranked AS (
+        SELECT cur.*, m.rank, min(m.rank) OVER (PARTITION BY cur.word) AS low
+        FROM cur LEFT JOIN merges m ON m.l = tok AND m.r = ntok),
+    cand AS (
+        SELECT *, coalesce(rank = low, false) AS c,
+               row_number() OVER (PARTITION BY word, coalesce(rank = low, false) ORDER BY pos) AS j FROM ranked),
+    apart AS (
+        SELECT *, c AND row_number() OVER (PARTITION BY word, c, k - j ORDER BY pos) % 2 = 1 AS may FROM cand),
+    sides AS (
+        SELECT *, CASE WHEN lag(may, 2) OVER w THEN low ELSE lag(tok) OVER w END AS before, lead(tok, 2) OVER w AS after
+        FROM apart WINDOW w AS (PARTITION BY word ORDER BY pos)),
+    first_low AS (
+        SELECT s.word, min(k) AS k FROM sides s
+        LEFT JOIN merges x ON x.l = before AND x.r = low LEFT JOIN merges y ON y.l = low AND y.r = after
+        WHERE may AND (x.rank <= low OR y.rank <= low) GROUP BY s.word),
+    hits AS (
+        SELECT s.*, may AND s.k <= coalesce(f.k, s.k) AS hit FROM sides s LEFT JOIN first_low f USING (word)),
+    gone AS (SELECT *, coalesce(lag(hit) OVER (PARTITION BY word ORDER BY pos), false) AS gone FROM hits)
+    SELECT word, pos, CASE WHEN hit THEN low ELSE tok END, low IS NULL FROM gone WHERE NOT gone)
+)
+SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE done GROUP BY word ORDER BY word
+"""
+
+#: Bytes of a part from which on it takes the second query, and of the parts of one query.
+LONG, BLOCK_BYTES = 64, 400_000
+
 DECODE_SQL = """
 SELECT doc, string_agg(v.hex, '' ORDER BY pos) AS hex
-FROM ids JOIN vocab v USING (tok) GROUP BY doc
+FROM ids JOIN vocab v USING (tok) GROUP BY doc ORDER BY doc
 """
 
 
@@ -70,50 +112,83 @@ class BpeQueries:
 
         self._pieces: dict[str, tuple[bytes, bytes]] = {}  # at most ``limit`` and those of one batch
         self._limit = limit
-        self.ranks = read_ranks(path)
+        ranks = read_ranks(path)
         self._find = regex.compile(pattern).findall
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
-        get = self.ranks.get
-        pairs = [(a, b, r) for t, r in self.ranks.items() for i in range(1, len(t))
+        # no folder to spill to: what a query holds is bounded by ``BLOCK_BYTES``
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        get = ranks.get
+        pairs = [(a, b, r) for t, r in ranks.items() for i in range(1, len(t))
                  if (a := get(t[:i])) is not None and (b := get(t[i:])) is not None]
-        left, right, rank = (pa.array(x, pa.int32()) for x in zip(*pairs, strict=True))
+        left, right, rank = (np.array(x, np.int32) for x in zip(*pairs, strict=True))
         merges = pa.table({"l": left, "r": right, "rank": rank})
-        vocab = pa.table({"tok": pa.array(list(self.ranks.values()), pa.int32()),
-                          "hex": pa.array([t.hex() for t in self.ranks])})
+        vocab = pa.table({"tok": pa.array(list(ranks.values()), pa.int32()), "hex": pa.array([t.hex() for t in ranks])})
         self._db.register("m", merges)
         self._db.execute("CREATE TABLE merges AS SELECT * FROM m")
         self._db.register("v", vocab)
         self._db.execute("CREATE TABLE vocab AS SELECT * FROM v")
-        self._byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-
-    def merge(self, words: list[bytes], block: int = 10_000) -> list[np.ndarray]:
-        """Ids per word; a word that is itself in the vocabulary is one token."""
-        out: list = [None] * len(words)
-        todo = []
-        for i, w in enumerate(words):
-            r = self.ranks.get(w)
-            if r is None:
-                todo.append(i)
-            else:
-                out[i] = np.array([r], dtype=np.int32)
-        for at in range(0, len(todo), block):
-            part = todo[at:at + block]
-            size = np.array([len(words[i]) for i in part])
-            raw = np.frombuffer(b"".join(words[i] for i in part), dtype=np.uint8)
-            first = np.repeat(np.cumsum(size) - size, size)
-            pos = (np.arange(len(raw)) - first).astype(np.int32)
-            tok, last = self._byte[raw], pos + 1 == np.repeat(size, size)
-            start = pa.table({"word": np.repeat(np.arange(len(part), dtype=np.int32), size), "pos": pos, "tok": tok,
-                              "npos": np.where(last, np.int32(-1), pos + np.int32(1)),
-                              "ntok": np.where(last, np.int32(-1), np.roll(tok, -1))})
-            self._db.register("start", start)
-            got = self._db.sql(MERGE_SQL).to_arrow_table()
-            ids = got.column("ids").combine_chunks()
-            flat, off = ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-            off = off - off[0]
-            for k, i in enumerate(part):
-                out[i] = flat[off[k]:off[k + 1]]
-        return out
+        self._byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+        self._size = np.zeros(max(ranks.values()) + 1, np.int64)  # bytes of a token
+        self._size[list(ranks.values())] = [len(t) for t in ranks]
+        self._meet = np.zeros((256, 256), bool)  # bytes that stand side by side in an entry
+        for t in ranks:
+            b = np.frombuffer(t, np.uint8)
+            self._meet[b[:-1], b[1:]] = True
+
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and where each word's begin (one more entry than words)."""
+        size = np.array([len(w) for w in words], np.int64)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        if not len(raw):
+            return np.zeros(0, np.int32), np.zeros(len(words) + 1, np.int64)
+        ends = np.cumsum(size)
+        cut = np.zeros(len(raw) + 1, bool)
+        cut[0] = True
+        cut[ends] = True
+        cut[1:-1] |= ~self._meet[raw[:-1], raw[1:]]
+        at = np.flatnonzero(cut)
+        flat = raw.tobytes()
+        parts = [flat[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+        distinct = {p: i for i, p in enumerate(dict.fromkeys(parts))}
+        ids, off = self._merged(list(distinct))
+        use = np.fromiter(map(distinct.__getitem__, parts), np.int64, len(parts))
+        n = off[use + 1] - off[use]
+        out = ids[np.repeat(off[use] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return out, np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, np.concatenate([[0], ends]))]
+
+    def _merged(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts, and where each part's begin."""
+        size = np.array([len(p) for p in parts], np.int64)
+        order = np.argsort(size > LONG, kind="stable")  # short ones first
+        n_short = int((size <= LONG).sum())
+        blocks = np.cumsum(size[order]) // BLOCK_BYTES
+        flat: list[np.ndarray] = []
+        count = np.zeros(len(parts), np.int64)
+        for members, query in ((order[:n_short], MERGE_SQL), (order[n_short:], LONG_SQL)):
+            for block in np.split(members, np.flatnonzero(np.diff(blocks[:n_short] if query is MERGE_SQL else blocks[n_short:])) + 1):
+                if len(block):
+                    ids, n = self._contracted([parts[i] for i in block], query)
+                    flat.append(ids)
+                    count[block] = n
+        ids = np.concatenate(flat)
+        start = np.zeros(len(parts), np.int64)
+        start[order] = np.cumsum(count[order]) - count[order]
+        n = count
+        ids = ids[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        return ids, np.concatenate([[0], np.cumsum(n)])
+
+    def _contracted(self, parts: list[bytes], query: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the parts of one query, and how many each has."""
+        size = np.array([len(p) for p in parts])
+        raw = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        pos = (np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)).astype(np.int32)
+        tok, last = self._byte[raw], pos + 1 == np.repeat(size, size)
+        start = pa.table({"word": np.repeat(np.arange(len(parts), dtype=np.int32), size), "pos": pos, "tok": tok,
+                          "npos": np.where(last, np.int32(-1), pos + np.int32(1)),
+                          "ntok": np.where(last, np.int32(-1), np.roll(tok, -1))})
+        self._db.register("start", start)
+        got = self._db.sql(query).to_arrow_table()
+        ids = got.column("ids").combine_chunks()
+        return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False), np.diff(ids.offsets.to_numpy())
 
     def encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
         """Id bytes per chunk, each regex match of it merged separately, and the bytes they decode to."""
@@ -124,8 +199,10 @@ class BpeQueries:
             if len(known) > self._limit:
                 known.clear()
                 new = list({p for f in found for p in f})
-            ids = self.merge([p.encode() for p in new])
-            known.update(zip(new, zip(map(id_bytes, ids), self.decode(ids), strict=True), strict=True))
+            ids, off = self.merge([p.encode() for p in new])
+            raw = ids.astype("<u4").tobytes()
+            at = (4 * off).tolist()
+            known.update(zip(new, zip([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], self.decode_many(ids, off), strict=True), strict=True))
         out = []
         for f in found:
             if len(f) == 1:
@@ -135,7 +212,16 @@ class BpeQueries:
                 out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
         return out
 
-    def decode(self, ids: list[np.ndarray], block: int = 2_000_000) -> list[bytes]:
+    def decode_many(self, ids: np.ndarray, off: np.ndarray, together: int = 400) -> list[bytes]:
+        """Bytes of many short sequences, decoded some hundred at a time as one and cut by their tokens' lengths."""
+        ends = off[::together].tolist()
+        if ends[-1] != off[-1]:
+            ends.append(int(off[-1]))
+        text = b"".join(self.decode([ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]))
+        at = np.concatenate([[0], np.cumsum(self._size[ids])])[off].tolist()
+        return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def decode(self, ids: list[np.ndarray], block: int = 500_000) -> list[bytes]:
         """Bytes per id sequence, in blocks of about ``block`` tokens."""
         out, at = [b""] * len(ids), 0
         while at < len(ids):
@@ -149,8 +235,11 @@ class BpeQueries:
                 self._db.register("ids", pa.table({
                     "doc": np.repeat(np.arange(at, end, dtype=np.int32), size), "pos": np.arange(n) - first,
                     "tok": np.concatenate(ids[at:end]).astype(np.int32)}))
-                for doc, text in self._db.execute(DECODE_SQL).fetchall():
-                    out[doc] = bytes.fromhex(text)
+                got = self._db.sql(DECODE_SQL).to_arrow_table()
+                text = bytes.fromhex("".join(got.column("hex").to_pylist()))
+                place = np.concatenate([[0], np.cumsum(pc.utf8_length(got.column("hex")).to_numpy())]) // 2
+                for doc, a, b in zip(got.column("doc").to_pylist(), place[:-1].tolist(), place[1:].tolist(), strict=True):
+                    out[doc] = text[a:b]
             at = end
         return out
 

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ import public_tokenizers as P
 import pytest
 
 from tessera.llm import bpe, decontaminate, pii, token_output, topk, toxicity, warc
+from tessera.session import scratch_path
 
 SCHEMA = "doc_id long, text string, score string, ids string"
 ODD = ["a  b   c \n d\n e\n\n  f  ", "  x", " ", "", "\n \n", "a \n", "don't  'll 12 ３ ²", "a\x1c b \x1c c", "<|endoftext|> x",
@@ -37,6 +39,33 @@ def test_bpe_equals_tiktoken_and_round_trips(spark, texts):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+def test_bpe_of_long_matches(spark):
+    """Single matches of up to 200,000 letters, with and without repeats, in seconds."""
+    import tiktoken
+
+    rng = random.Random(8)
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    words = ["a" * 200_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "aab" * 3000, "the" * 4000, "ab" * 700 + "the" * 50,
+             "\u4e2d\u6587\u5b57" * 4000, "=" * 5000, "\n" * 5000, *("".join(rng.choices(a, k=rng.randint(60, 300))) for a in ("ab", "the", "etaoin") * 20)]
+    queries = bpe.BpeQueries(path, P.PATTERN)
+    start = time.time()
+    ids, off = queries.merge([w.encode() for w in words])
+    assert time.time() - start < 60
+    for w, a, b in zip(words, off[:-1], off[1:], strict=True):
+        assert ids[a:b].tolist() == enc.encode_ordinary(w), w[:20]
+    assert queries.decode_many(ids, off, 7) == [w.encode() for w in words]
+    assert queries.merge([])[1].tolist() == [0] and queries.merge([b"", b"a", b""])[1].tolist() == [0, 0, 1, 1]
+
+
+def test_bpe_query_rows(spark, texts):
+    path = scratch_path(spark, "bpe")
+    spark.createDataFrame(texts, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    rows = bpe.op8_byte_bpe(spark, path).collect()
+    digest = sorted((r.doc_id or -1, r.decoded_sha256) for r in rows)
+    assert digest == sorted((i or -1, hashlib.sha256((t or "").encode()).hexdigest()) for i, t, _, _ in texts)
+
+
 def test_bpe_encode_then_decode_columns(spark, texts):
     path = P.path("byte_bpe_50k.tiktoken")
     df = bpe.encode(spark.createDataFrame(texts[:60], SCHEMA), path, P.PATTERN)
