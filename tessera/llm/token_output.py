@@ -7,7 +7,10 @@ lists by run length and bit packing, keeps a row index per
 files by stripe and skips stripes and row groups by the index.
 
 Each distinct chunk of text (``pretoken``) is encoded by the library once per
-worker.  Null and empty texts hold only the end id; rows of the same ``doc_id``
+worker while it is kept, many new ones as one string; Arrow splits and
+numbers a batch's chunks, so that Python meets only the distinct ones.  A text
+that holds one of the vocabulary's added tokens goes to the library whole.
+Null and empty texts hold only the end id; rows of the same ``doc_id``
 are kept, in order of their text; a null ``doc_id`` comes first; an empty table
 gives no rows.  Columns other than the id and the text play no part.
 """
@@ -20,41 +23,144 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import id_bytes, slices, table
-from tessera.llm.pretoken import ChunkCache
+from tessera.llm.common import slices, table, written
+from tessera.llm.pretoken import chunks
 from tessera.session import scratch_path
 
-_CACHES: dict[str, ChunkCache] = {}
+#: White space next to white space, or a space at the end, may be cut only with care (more than needed match).
+_UNSAFE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] [\s\x0b\x1c-\x1f\x85\p{Z}]|[\s\x0b\x1c-\x1f\x85\p{Z}] \z"
 
 
-def _cache(vocab: str) -> ChunkCache:
-    if vocab not in _CACHES:
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        from tokenizers import Tokenizer
+def _joined(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64)
 
-        tok = Tokenizer.from_file(vocab)
-        tok.encode_special_tokens = True  # their strings in a text are ordinary text
 
-        def encode(new: list[str]) -> list[tuple[bytes, ...]]:
-            return [(id_bytes(e.ids),) for e in tok.encode_batch_fast(new, add_special_tokens=False)]
+class Interned:
+    """Ids of text chunks, encoded by the library once while they are kept.
+
+    Chunk number ``i`` has ``ids[start[i]:start[i + 1]]``; number 0 is the empty one.  All are
+    forgotten when there are more than ``limit`` or they hold more than ``limit_chars`` characters.
+    """
+
+    def __init__(self, vocab: str, limit: int = 800_000, limit_chars: int = 32 << 20):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+        from tokenizers import Tokenizer
 
-        _CACHES[vocab] = ChunkCache(encode, limit=1_000_000)
-    return _CACHES[vocab]
+        self._tok = Tokenizer.from_file(vocab)
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        vocabulary = self._tok.get_vocab(with_added_tokens=False)
+        self._size = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self._size[i] = len(token)  # byte-level: a character a byte
+        self._limit, self._limit_chars = limit, limit_chars
+        self._forget()
+
+    def _forget(self) -> None:
+        self._number, self._chars = {"": 0}, 0
+        self._ids, self._start = np.zeros(0, np.int32), np.zeros(2, np.int64)
+
+    def _each(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks of one word after a space each, encoded as one string, and how many each has by its bytes."""
+        text = "".join(chunks)
+        if not any(a in text for a in self._added):
+            ids = np.array(self._tok.encode(text, add_special_tokens=False).ids, np.int32)
+            reach = np.cumsum(self._size[np.minimum(ids, len(self._size) - 1)])
+            ends = np.cumsum([len(c.encode()) for c in chunks])
+            cut = np.searchsorted(reach, ends) + 1
+            if len(reach) and cut[-1] == len(ids) and (reach[cut - 1] == ends).all():
+                return ids, np.diff(cut, prepend=0)
+        return _joined(self._each(chunks))
+
+    def _learn(self, chunks: list[str]) -> None:
+        words = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1:].split() == [c[1:]]]
+        other = list(set(chunks).difference(words))
+        found = [_joined(self._each(other))] if other else []
+        for at in range(0, len(words), 20_000):
+            found.append(self._together(words[at:at + 20_000]))
+        first = len(self._number)
+        self._number.update(zip([*other, *words], range(first, first + len(chunks)), strict=True))
+        self._chars += sum(map(len, chunks))
+        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(np.concatenate([n for _, n in found]))])
+        self._ids = np.concatenate([self._ids, *(ids for ids, _ in found)])
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        new = [c for c in dict.fromkeys(chunks) if c not in self._number]
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self._number.__getitem__, chunks), np.int64, len(chunks))
+
+    def _sequences(self, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids per text, whose chunks are ``numbers`` up to its end."""
+        n = self._start[numbers + 1] - self._start[numbers]
+        total = np.cumsum(n)
+        flat = self._ids[np.repeat(self._start[numbers] - (total - n), n) + np.arange(total[-1] if len(total) else 0)]
+        at = np.concatenate([[0], np.concatenate([[0], total])[ends]]).tolist()
+        return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        """Texts that may be cut before every space."""
+        lists = pc.split_pattern(texts, " ")
+        off = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
+        off = off - off[0]
+        words, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        numbers = self._numbers([" " + w for w in words.tolist()])[place]
+        numbers[off[:-1]] = self._numbers(words[place[off[:-1]]].tolist())
+        return self._sequences(numbers, off[1:])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids per text (null: none)."""
+        if len(self._number) > self._limit or self._chars > self._limit_chars:
+            self._forget()
+        texts = pc.fill_null(texts, "")
+        whole = np.zeros(len(texts), bool)
+        for a in self._added:
+            whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        careful = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False) & ~whole
+        out: list = [None] * len(texts)
+
+        def put(mask: np.ndarray, found: list[np.ndarray]) -> None:
+            for i, ids in zip(np.flatnonzero(mask).tolist(), found, strict=True):
+                out[i] = ids
+
+        if whole.any():
+            put(whole, self._each(texts.filter(pa.array(whole)).to_pylist()))
+        if careful.any():
+            cut = [chunks(t) for t in texts.filter(pa.array(careful)).to_pylist()]
+            put(careful, self._sequences(self._numbers([c for cs in cut for c in cs]), np.cumsum([len(cs) for cs in cut])))
+        plain = ~whole & ~careful
+        if plain.any():
+            put(plain, self._plain(texts.filter(pa.array(plain))))
+        return out
+
+
+_KEPT: dict[str, Interned] = {}
+
+
+def _interned(vocab: str) -> Interned:
+    """The worker's chunks of a vocabulary."""
+    if vocab not in _KEPT:
+        _KEPT[vocab] = Interned(vocab)
+    return _KEPT[vocab]
 
 
 def tokenize(df: DataFrame, vocab: str, end_id: int) -> DataFrame:
     """``doc_id, ids array<int>`` per row of ``df(doc_id, text)``, ``end_id`` appended."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = id_bytes([end_id])
+        end = np.array([end_id], np.int32)
         for b in slices(batches, "text", 4 << 20):
-            raw, = _cache(vocab).encode_texts(b.column("text").to_pylist())
-            off = np.concatenate([[0], np.cumsum([len(r) // 4 + 1 for r in raw])]).astype(np.int32)
-            flat = np.frombuffer(b"".join([r + end for r in raw]), dtype="<i4")
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(off, pa.array(flat))],
+            found = _interned(vocab).encode(b.column("text"))
+            off = np.concatenate([[0], np.cumsum([len(x) + 1 for x in found])]).astype(np.int32)
+            flat = np.concatenate([x for ids in found for x in (ids, end)])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(off, pa.array(flat, pa.int32()))],
                                              names=["doc_id", "ids"])
 
     return df.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -99,7 +205,7 @@ def positions(spark: SparkSession, path: str) -> DataFrame:
         "doc_id", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1).cast("int").alias("file"),
         F.monotonically_increasing_id().alias("row"), "ids",
     ).mapInArrow(run, "doc_id long, file int, row long, n_tokens long, ids_crc32 long")
-    rows = rows.persist()
+    rows = written(spark, rows, "token-rows")
     sums = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     before = F.sum("total").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("file", F.coalesce(before, F.lit(0)).alias("base"))

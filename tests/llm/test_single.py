@@ -78,8 +78,7 @@ def test_bpe_encode_then_decode_columns(spark, texts):
 def test_token_files(spark, texts, tmp_path):
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))  # as the contract calls it
     token_output.write_tokens(spark.createDataFrame(texts, SCHEMA), str(tmp_path / "t"), P.path("byte_bpe_50k.json"), files=5)
     rows = token_output.positions(spark, str(tmp_path / "t")).collect()
     start = 0
@@ -97,6 +96,24 @@ def test_token_files(spark, texts, tmp_path):
     assert token_output.positions(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_chunks_encode_as_whole_texts():
+    from tokenizers import Tokenizer
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    tok = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    pieces = ["a", "word", "é", "'s", "'", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "\x0b", "12", "<|endoftext|>", "<|", ".", "don't", "\u4e2d", "x" * 50]
+    texts = ["".join(rng.choices(pieces, [3, 3, 1, 1, 1, 9, 1, 1, 1, .3, .3, .2, .2, .2, 1, .2, .3, 1, 1, 1, .2], k=rng.randint(0, 25))) for _ in range(3000)]
+    texts += ["hello <|endoftext|> world", "a  <|endoftext|>", " lead", "", "plain words only here " * 300]
+    own = token_output.Interned(P.path("byte_bpe_50k.json"), limit=200)  # forgets often
+    for at in range(0, len(texts), 500):
+        part = texts[at:at + 500]
+        for t, ids in zip(part, own.encode(pa.array(part)), strict=True):
+            assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t
+    assert [x.tolist() for x in own.encode(pa.array([None, "hello <|endoftext|> world"], pa.string()))] == [[], [31373, 220, 50256, 995]]
+
+
 def brute_hits(text, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
     w, hit, found = cut(text), set(), set()
