@@ -95,3 +95,13 @@ def test_generate_then_multiply_sweep_on_paths(spark):
     np.testing.assert_allclose(dc, da @ db, rtol=1e-9)
     timing = spark.read.schema(LOG_SCHEMA).json(paths(base, 3, res).timing).collect()
     assert len(timing) == 1 and timing[0]["status"] == "success" and timing[0]["order"] == 3
+
+
+def test_entry_keeps_the_matrix_queries_when_a_library_is_missing():
+    """Whatever import fails below the corpus operators, the other queries stay registered."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    said = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True).stdout.split()
+    assert said == [str(len(QUERIES)), str(len(SQL))]
