@@ -124,6 +124,14 @@ def q_multiply_strassen_odd(spark: SparkSession, sf: str) -> DataFrame:
     return strassen(transpose(u), u, levels=2, compact_zeros=True).df
 
 
+def q_multiply_strassen_rect(spark: SparkSession, sf: str) -> DataFrame:
+    """Q[supplier, part] · I[part, brand] by Strassen, two levels: three different odd or uneven sizes, sparse operands."""
+    q, i = supplier_part(spark, sf), part_brand(spark, sf)
+    n_parts = max(q.n_cols, i.n_rows)
+    return strassen(Matrix(q.df, q.n_rows, n_parts, q.unique), Matrix(i.df, n_parts, i.n_cols, i.unique),
+                    levels=2, compact_zeros=True).df
+
+
 def q_multiply_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """U·(UᵀU): users × event types over as few inner keys as there are types, every key heavy and dealt over a grid.
 
@@ -282,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "multiply_strassen_1": q_multiply_strassen_1,
     "multiply_strassen_2": q_multiply_strassen_2,
     "multiply_strassen_odd": q_multiply_strassen_odd,
+    "multiply_strassen_rect": q_multiply_strassen_rect,
     "multiply_hot_keys": q_multiply_hot_keys,
     "add_matrices": q_add_matrices,
     "add_matrices_join": q_add_matrices_join,
@@ -384,6 +393,7 @@ SQL: dict[str, str] = {
     "multiply_strassen_1": _gram_sql(SQL_S, nonzero=True, rows_of="c", inner="r"),
     "multiply_strassen_2": _gram_sql(SQL_S, nonzero=True, rows_of="c", inner="r"),
     "multiply_strassen_odd": _gram_sql(SQL_U, nonzero=True, rows_of="c", inner="r"),
+    "multiply_strassen_rect": f'SELECT r AS "row", c AS col, v AS value FROM ({SQL_S}) WHERE v <> 0',
     "multiply_hot_keys": (f"WITH u AS ({SQL_U}), w AS (SELECT x.c AS r, y.c AS c, sum(x.v * y.v) AS v "
                           f"FROM u x JOIN u y ON x.r = y.r GROUP BY 1, 2) "
                           f'SELECT u.r AS "row", w.c AS col, CAST(sum(u.v * w.v) AS DOUBLE) AS value '
