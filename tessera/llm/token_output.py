@@ -66,35 +66,41 @@ class Interned:
     def _each(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.int32) for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _together(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of chunks of one word after a space each, encoded as one string, and how many each has by its bytes."""
-        text = "".join(chunks)
+    def _together(self, chunks: list[str], between: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks, encoded as one string with a line feed ``between`` them or nothing, and how many each has by its bytes."""
+        text = between.join(chunks)
         if not any(a in text for a in self._added):
             ids = np.array(self._tok.encode(text, add_special_tokens=False).ids, np.int32)
             reach = np.cumsum(self._size[np.minimum(ids, len(self._size) - 1)])
-            ends = np.cumsum([len(c.encode()) for c in chunks])
-            cut = np.searchsorted(reach, ends) + 1
-            if len(reach) and cut[-1] == len(ids) and (reach[cut - 1] == ends).all():
-                return ids, np.diff(cut, prepend=0)
+            ends = np.cumsum([len(c.encode()) + len(between) for c in chunks]) - len(between)
+            cut = np.searchsorted(reach, ends)  # the last token of each chunk
+            first = np.concatenate([[0], cut[:-1] + 1 + len(between)])
+            whole = len(reach) > 0 and cut[-1] + 1 == len(ids) and (reach[cut] == ends).all()
+            if whole and (not between or (reach[cut[:-1] + 1] == ends[:-1] + 1).all()):
+                n = cut + 1 - first
+                return ids[np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())], n
         return _joined(self._each(chunks))
 
     def _learn(self, chunks: list[str]) -> None:
-        words = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1:].split() == [c[1:]]]
-        other = list(set(chunks).difference(words))
+        # without white space at their ends, chunks stay apart when they are joined: a space leads each, or a line feed parts them
+        words = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1:].strip() == c[1:]]
+        leading = [c for c in chunks if c.strip() == c]
+        other = list(set(chunks).difference(words, leading))
         found = [_joined(self._each(other))] if other else []
-        for at in range(0, len(words), 20_000):
-            found.append(self._together(words[at:at + 20_000]))
+        for part, between in ((words, ""), (leading, "\n")):
+            found += [self._together(part[at:at + 20_000], between) for at in range(0, len(part), 20_000)]
         first = len(self._number)
-        self._number.update(zip([*other, *words], range(first, first + len(chunks)), strict=True))
+        self._number.update(zip([*other, *words, *leading], range(first, first + len(chunks)), strict=True))
         self._chars += sum(map(len, chunks))
         self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(np.concatenate([n for _, n in found]))])
         self._ids = np.concatenate([self._ids, *(ids for ids, _ in found)])
 
     def _numbers(self, chunks: list[str]) -> np.ndarray:
-        new = [c for c in dict.fromkeys(chunks) if c not in self._number]
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self._number.__getitem__, chunks), np.int64, len(chunks))
+        got = list(map(self._number.get, chunks))
+        if None in got:
+            self._learn(list(dict.fromkeys(c for c, n in zip(chunks, got, strict=True) if n is None)))
+            got = list(map(self._number.get, chunks))
+        return np.array(got, np.int64)
 
     def _sequences(self, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Ids per text, whose chunks are ``numbers`` up to its end."""
