@@ -106,7 +106,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class BpeQueries:
     """One DuckDB database with the merge table and the vocabulary of a rank file."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 400_000):
+    def __init__(self, path: str, pattern: str, limit: int = 250_000):
         import duckdb
         import regex
 
@@ -115,7 +115,7 @@ class BpeQueries:
         ranks = read_ranks(path)
         self._find = regex.compile(pattern).findall
         # no folder to spill to: what a query holds is bounded by ``BLOCK_BYTES``
-        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self._db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         get = ranks.get
         pairs = [(a, b, r) for t, r in ranks.items() for i in range(1, len(t))
                  if (a := get(t[:i])) is not None and (b := get(t[i:])) is not None]
@@ -251,7 +251,7 @@ def _queries(path: str, pattern: str) -> tuple[BpeQueries, ChunkCache]:
     """The worker's database and cache for a vocabulary."""
     if (path, pattern) not in _QUERIES:
         q = BpeQueries(path, pattern)
-        _QUERIES[path, pattern] = q, ChunkCache(q.encode_chunks, 2)
+        _QUERIES[path, pattern] = q, ChunkCache(q.encode_chunks, 2, limit=200_000)
     return _QUERIES[path, pattern]
 
 
