@@ -48,7 +48,7 @@ def tables():
     vecs = [(i, [rng.choice([-1.0, -0.25, 0.5, 1.0]) for _ in range(64)], 0) for i in range(150)]
     vecs += [(200 + i, vecs[i][1], 0) for i in range(20)] + [(300, None, 1), (301, [1.0, None], 1), (302, [float("nan")] * 64, 1)]
     pages = [(i, f"http://h{i % 5}.example/{i % 40}", rng.choice([None, "", "<p>same</p>", f"<p>{i}</p>", "<b>é</b>"])) for i in range(120)]
-    rows = [(i, t, rng.choice(["en", None]), None, t and len(t), "clash", 1, 2, "clash") for i, t in docs]
+    rows = [(i, t, rng.choice(["en", None]), None, None if t is None else len(t), "clash", 1, 2, "clash") for i, t in docs]
     return {"documents": rows, "labels": [(i, 1, int(i % 9 == 0)) for i in range(150)] + [(None, 1, 1), (3, 1, None)],
             "benchmark": items, "embeddings": vecs, "pages": pages}
 
