@@ -11,9 +11,9 @@ Scale decisions, all made from facts rather than estimates:
 
 * **Broadcast** a side only behind a proven bound: with unique coordinates a
   matrix holds at most ``n_rows·n_cols`` cells.  Nothing is counted for it; any
-  other side is shuffled on ``k`` by Spark itself (``ENSURE_REQUIREMENTS``
-  exchanges), which leaves AQE free to broadcast what turns out small and to
-  split what turns out skewed.
+  other side is shuffled on ``k`` and merged, by hint: Spark's own estimate
+  follows the size of the files, and operands that Strassen's levels multiply,
+  or one row per key, outgrow it many times in the driver that broadcasts them.
 * **Spread**: when one side is broadcast and the other is proven small too,
   the streamed side is hash-partitioned by its outer index, so the products
   use every task and the final ``groupBy(i, j)`` needs no shuffle.
@@ -79,8 +79,12 @@ def _key_cells(side: DataFrame, name: str) -> DataFrame:
 
 
 def join_statistics(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Per inner key: cells on each side and the number of products ``work``."""
-    st = _key_cells(left, "left_cells").join(_key_cells(right, "right_cells"), "key")
+    """Per inner key: cells on each side and the number of products ``work``.
+
+    One row per key is as long as the operands: merged where the keys already
+    lie, never broadcast, whatever the planner guesses from file sizes.
+    """
+    st = _key_cells(left, "left_cells").join(_key_cells(right, "right_cells").hint("merge"), "key")
     st = st.filter(F.col("left_cells_sum").isNotNull() & F.col("right_cells_sum").isNotNull())
     return st.select("key", "left_cells", "right_cells",
                      (F.col("left_cells").cast("double") * F.col("right_cells")).alias("work"))
@@ -129,9 +133,11 @@ def _dealt(side: DataFrame, heavy: DataFrame, own: str, other: str) -> DataFrame
     return side.join(F.broadcast(heavy), "key").select("key", "other", "val", F.explode(bucket).alias("salt"))
 
 
-def _pairs(left: DataFrame, right: DataFrame, keys: list[str], upper: bool) -> DataFrame:
-    """``(i, j, p)`` of the cells that meet; ``upper`` keeps ``i ≤ j``."""
+def _pairs(left: DataFrame, right: DataFrame, keys: list[str], upper: bool, how: str | None = None) -> DataFrame:
+    """``(i, j, p)`` of the cells that meet; ``upper`` keeps ``i ≤ j``, ``how`` is a join hint."""
     l, r = left.alias("l"), right.alias("r")
+    if how:
+        r = r.hint(how)
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     if upper:
         cond.append(F.col("l.other") <= F.col("r.other"))
@@ -148,9 +154,9 @@ def _routed_pairs(left: DataFrame, right: DataFrame, upper: bool, hot_keys: list
         heavy = left.sparkSession.createDataFrame([(h.k, h.left_buckets, h.right_buckets) for h in hot_keys],
                                                   "key long, left_buckets int, right_buckets int")
     # fewer rows than tasks: bounded
-    light = _pairs(left.join(F.broadcast(heavy.select("key")), "key", "left_anti"), right, ["key"], upper)
+    light = _pairs(left.join(F.broadcast(heavy.select("key")), "key", "left_anti"), right, ["key"], upper, "merge")
     return light.unionByName(_pairs(_dealt(left, heavy, "left_buckets", "right_buckets"),
-                                    _dealt(right, heavy, "right_buckets", "left_buckets"), ["key", "salt"], upper))
+                                    _dealt(right, heavy, "right_buckets", "left_buckets"), ["key", "salt"], upper, "merge"))
 
 
 def _side(m: Matrix, key: str, other: str, vt: str) -> DataFrame:

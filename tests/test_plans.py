@@ -1,6 +1,7 @@
 """Plan properties the scale design relies on, checked with explain output."""
 
 import __spark_entry__ as E
+from plan_metrics import executed
 from tessera.matrix import transpose
 from tessera.operators.multiply import multiply
 from tessera.sources.generate import generate_int
@@ -51,3 +52,18 @@ def test_every_registered_query_reads_the_tables(spark):
             continue  # a log of jobs that read the tables (checked in test_jobs_and_entry)
         plan = q(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "parquet" in plan.lower() or "Relation" in plan, name
+
+
+def test_no_row_per_key_is_broadcast_on_the_planners_guess(spark):
+    a = generate_int(spark, 30, 300, value_type="double")
+    b = generate_int(spark, 300, 30, a=13, b=29, value_type="double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")  # Spark's default
+    try:
+        df = multiply(a, b, broadcast_cells=0).df
+        assert df.count() == 900
+        _, ops = executed(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    sent = [p.metrics().apply("numOutputRows").value() for name, p in ops if name == "BroadcastExchangeExec"]
+    assert sum(sent) == 0  # no key is heavy
