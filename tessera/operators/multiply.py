@@ -72,6 +72,15 @@ def _default_tasks(df: DataFrame) -> int:
     return 4 * df.sparkSession.sparkContext.defaultParallelism
 
 
+def _product_tasks(df: DataFrame) -> int:
+    """Partitions of the shuffle on the key, by number: products outgrow the cells that are shuffled.
+
+    Left to its own, adaptive execution merges partitions by the bytes of the
+    cells, down to a task a core, and one task then sums all their products.
+    """
+    return max(_default_tasks(df), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _key_cells(side: DataFrame, name: str) -> DataFrame:
     """Cells per key.  The checksum reads every column, so that the exchange below is the join's own and is reused."""
     return side.groupBy("key").agg(F.count(F.lit(1)).alias(name),
@@ -147,7 +156,8 @@ def _pairs(left: DataFrame, right: DataFrame, keys: list[str], upper: bool, how:
 
 def _routed_pairs(left: DataFrame, right: DataFrame, upper: bool, hot_keys: list[HotKey] | None, **opts) -> DataFrame:
     """:func:`_pairs` with light keys where the shuffle on the key put them and heavy ones dealt over their grids."""
-    left, right = left.repartition("key"), right.repartition("key")
+    n = _product_tasks(left)
+    left, right = left.repartition(n, "key"), right.repartition(n, "key")
     if hot_keys is None:
         heavy = routes(left, right, **opts).select("key", "left_buckets", "right_buckets")
     else:
