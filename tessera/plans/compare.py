@@ -79,14 +79,18 @@ def check_product(a: Matrix, b: Matrix, c: Matrix, *, trials: int = 8, seed: int
     def sums(of: list[Column], size: Column) -> list[Column]:
         return [F.sum(x).alias(n) for x, n in zip(of, names)] + [F.sum(size).alias("size")]
 
-    bx = b.df.groupBy(F.col(ROW).alias("k")).agg(*sums(_signed(value, COL, trials, seed), F.abs(value.cast("double"))))
+    # Cells are dealt by row before they are summed: sums of every trial, kept per task,
+    # would be one wide record per row and task, more of them the more tasks there are.
+    bx = b.df.repartition(ROW).groupBy(F.col(ROW).alias("k")).agg(*sums(_signed(value, COL, trials, seed), F.abs(value.cast("double"))))
     if b.n_rows is not None and b.n_rows * (trials + 1) <= DEFAULT_BROADCAST_CELLS:
         bx = F.broadcast(bx)  # a row per row of b: bounded by its shape
-    met = a.df.withColumnRenamed(VALUE, "u").join(bx, F.col(COL) == F.col("k"))
+    else:
+        bx = bx.hint("merge")  # a row per row of b is as long as the operands
+    met = a.df.repartition(COL).withColumnRenamed(VALUE, "u").join(bx, F.col(COL) == F.col("k")).repartition(ROW)
     u = F.col("u").cast(number)
     abx = met.groupBy(ROW).agg(*sums([u * F.col(n) for n in names], F.abs(u.cast("double")) * F.col("size")))
     nothing = [F.lit(0).cast("long").alias("cells"), F.lit(0.0).alias("checksum")]
-    cx = c.df.groupBy(ROW).agg(*sums(_signed(-value, COL, trials, seed), F.abs(value.cast("double"))),
+    cx = c.df.repartition(ROW).groupBy(ROW).agg(*sums(_signed(-value, COL, trials, seed), F.abs(value.cast("double"))),
                                F.count_if(F.col(VALUE) != 0).alias("cells"),
                                F.sum(F.col(VALUE).cast("double") * cell_weight()).alias("checksum"))
     both = abx.select("*", *nothing).unionByName(cx)

@@ -16,3 +16,16 @@ def test_products_keep_their_tasks_however_small_the_cells(spark):
     a = generate_int(spark, 20, 300)
     assert len(per_task(products(transpose(a), a, broadcast_cells=0))) > 10
     assert len(per_task(products(a, transpose(a), broadcast_cells=0))) > 10
+
+
+def test_check_shuffles_cells_and_not_sums_per_task(spark):
+    cells = spark.range(3000).select((F.col("id") % 1000).cast("int").alias("row"),
+                                     (F.col("id") * 7 % 997).cast("int").alias("col"), F.lit(2).cast("long").alias("value"))
+    one = spark.range(1000).select(F.col("id").cast("int").alias("row"), F.col("id").cast("int").alias("col"),
+                                   F.lit(1).cast("long").alias("value"))
+    c = Matrix(cells.repartition(8).persist(), unique=True)
+    rows, ops = executed(check_product(c, Matrix(one, unique=True), c))
+    assert (rows[0]["n_mismatch"], rows[0]["n_cells"], rows[0]["max_abs_diff"]) == (0, 3000, 0.0)
+    size = sum(p.metrics().apply("dataSize").value() for name, p in ops if name == "ShuffleExchangeExec")
+    assert size < 1_100_000
+    c.df.unpersist()
