@@ -100,9 +100,11 @@ def run_sweep(spark: SparkSession, cases: list[SweepCase], out_dir: str, *, algo
             a, b = case.load()
             a = a.with_shape()
             b = b.with_shape()
-            for m in (a, b):
+            # both are registered before either is filled: an operand made from the other reads its cells
+            for m in (b, a):
                 m.df.persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(m.df)
+            for m in (b, a):
                 m.df.count()
             t_load = time.perf_counter() - t0
 

@@ -29,3 +29,17 @@ def test_check_shuffles_cells_and_not_sums_per_task(spark):
     size = sum(p.metrics().apply("dataSize").value() for name, p in ops if name == "ShuffleExchangeExec")
     assert size < 1_100_000
     c.df.unpersist()
+
+
+def test_sweep_makes_an_operand_and_its_transpose_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(v):
+        made.add(1)
+        return v
+
+    m = from_dense(spark, ma(6, 4))
+    b = m.with_df(m.df.withColumn("value", F.udf(seen, "double")("value")))
+    n = m.df.count()
+    log = run_sweep(spark, [SweepCase(1, 6, lambda: (transpose(b), b))], str(tmp_path), levels=1).first()
+    assert log["status"] == "success" and made.value == n
