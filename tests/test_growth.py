@@ -18,6 +18,19 @@ def test_products_keep_their_tasks_however_small_the_cells(spark):
     assert len(per_task(products(a, transpose(a), broadcast_cells=0))) > 10
 
 
+def test_rows_are_generated_by_many_tasks(spark):
+    ids = [0, 3, 4, 4, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long").coalesce(1)
+    n = 25_003
+    for over, whole in ((generate_int_over, generate_int), (generate_random_over, generate_random)):
+        got = over(rows, 5, n).df.persist()
+        assert len(per_task(got)) > 4 and got.count() == 4 * n
+        assert got.distinct().exceptAll(whole(spark, 5, n).df.filter("row in (0, 3, 4)")).count() == 0
+        assert got.filter("row = 4").groupBy("row", "col").count().filter("count <> 2").count() == 0
+        got.unpersist()
+    assert generate_int_over(rows, 5, 0).df.count() == 0
+
+
 def test_check_shuffles_cells_and_not_sums_per_task(spark):
     cells = spark.range(3000).select((F.col("id") % 1000).cast("int").alias("row"),
                                      (F.col("id") * 7 % 997).cast("int").alias("col"), F.lit(2).cast("long").alias("value"))
