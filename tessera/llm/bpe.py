@@ -15,8 +15,11 @@ the first whose new token makes a pair of a rank as low with a neighbour.  Until
 there the next minimal pair is the next one on the right anyway, so the ids are
 those of one by one.
 
-Only the distinct words of a batch that the worker has not seen lately go
-through the query; their number per batch is bounded by the batch's bytes.
+Arrow splits and numbers a batch's chunks (``pretoken``); only the matches of
+chunks that the task has not met lately go through the query, whose number per
+batch is bounded by the batch's bytes.  What a task keeps of them, two Arrow
+arrays and a number per chunk, goes with the task: idle workers hold the
+database only.
 Null and empty texts have no tokens.  Repeated rows and ids are kept.  Extra
 columns pass through untouched; columns of the same name as the added ones are
 replaced.
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import slices, table
-from tessera.llm.pretoken import ChunkCache
+from tessera.llm.pretoken import ChunkNumbers, apart, unsafe
 
 MERGE_SQL = """
 WITH RECURSIVE state(word, pos, tok, npos, ntok, done) AS (
@@ -106,14 +109,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class BpeQueries:
     """One DuckDB database with the merge table and the vocabulary of a rank file."""
 
-    def __init__(self, path: str, pattern: str, limit: int = 250_000):
+    def __init__(self, path: str, pattern: str):
         import duckdb
         import regex
 
-        self._pieces: dict[str, tuple[bytes, bytes]] = {}  # at most ``limit`` and those of one batch
-        self._limit = limit
         ranks = read_ranks(path)
-        self._find = regex.compile(pattern).findall
+        self.find = regex.compile(pattern).findall
         # no folder to spill to: what a query holds is bounded by ``BLOCK_BYTES``
         self._db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         get = ranks.get
@@ -190,28 +191,6 @@ class BpeQueries:
         ids = got.column("ids").combine_chunks()
         return ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32, copy=False), np.diff(ids.offsets.to_numpy())
 
-    def encode_chunks(self, chunks: list[str]) -> list[tuple[bytes, bytes]]:
-        """Id bytes per chunk, each regex match of it merged separately, and the bytes they decode to."""
-        found = [self._find(c) for c in chunks]
-        known = self._pieces
-        new = list({p for f in found for p in f if p not in known})
-        if new:
-            if len(known) > self._limit:
-                known.clear()
-                new = list({p for f in found for p in f})
-            ids, off = self.merge([p.encode() for p in new])
-            raw = ids.astype("<u4").tobytes()
-            at = (4 * off).tolist()
-            known.update(zip(new, zip([raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], self.decode_many(ids, off), strict=True), strict=True))
-        out = []
-        for f in found:
-            if len(f) == 1:
-                out.append(known[f[0]])
-            else:
-                got = [known[p] for p in f]
-                out.append((b"".join([g[0] for g in got]), b"".join([g[1] for g in got])))
-        return out
-
     def decode_many(self, ids: np.ndarray, off: np.ndarray, together: int = 400) -> list[bytes]:
         """Bytes of many short sequences, decoded some hundred at a time as one and cut by their tokens' lengths."""
         ends = off[::together].tolist()
@@ -244,14 +223,92 @@ class BpeQueries:
         return out
 
 
-_QUERIES: dict[tuple[str, str], tuple[BpeQueries, ChunkCache]] = {}
+class Chunks(ChunkNumbers):
+    """Ids of text chunks and the bytes they decode to, each regex match of a chunk merged separately.
 
+    A match is a chunk too: matched alone it is itself again.
+    """
 
-def _queries(path: str, pattern: str) -> tuple[BpeQueries, ChunkCache]:
-    """The worker's database and cache for a vocabulary."""
+    def __init__(self, queries: BpeQueries, limit: int = 500_000, limit_chars: int = 16 << 20):
+        super().__init__(limit, limit_chars)
+        self._queries = queries
+        empty = pa.array([b""], pa.binary())
+        self._ids, self._bytes = empty, empty
+
+    def _matches(self, chunks: list[str], joined: bool) -> tuple[list[str], np.ndarray]:
+        """Matches of all chunks, and how many each has; ``joined`` chunks stay apart in one string."""
+        find = self._queries.find
+        if joined:
+            together = find("".join(chunks))
+            end = np.cumsum(np.fromiter(map(len, together), np.int64, len(together)))
+            ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+            last = np.searchsorted(end, ends)
+            if len(end) and end[-1] == ends[-1] and (end[last] == ends).all():
+                return together, np.diff(last, prepend=-1)
+        found = [find(c) for c in chunks]
+        return [m for f in found for m in f], np.array([len(f) for f in found], np.int64)
+
+    def _learn(self, chunks: list[str]) -> None:
+        words = apart(chunks)
+        found = [(part, *self._matches(part, joined)) for joined in (True, False)
+                 if (part := [chunks[i] for i in np.flatnonzero(words == joined).tolist()])]
+        new = [m for m in dict.fromkeys(m for _, matches, _ in found for m in matches) if m not in self._number]
+        if new:
+            ids, off = self._queries.merge([m.encode() for m in new])
+            self._append(new, _binary(ids.astype("<u4"), 4 * off), pa.array(self._queries.decode_many(ids, off), pa.binary()))
+        for part, matches, n in found:
+            several = np.array([c not in self._number for c in part], bool)
+            if several.any():
+                numbers = np.fromiter(map(self._number.__getitem__, matches), np.int64, len(matches))
+                at, ends = pa.array(numbers[np.repeat(several, n)]), np.concatenate([[0], np.cumsum(n[several])])
+                self._append([part[i] for i in np.flatnonzero(several).tolist()],
+                             _strung(self._ids.take(at), ends), _strung(self._bytes.take(at), ends))
+
+    def _append(self, chunks: list[str], ids: pa.Array, raw: pa.Array) -> None:
+        self._ids, self._bytes = pa.concat_arrays([self._ids, ids]), pa.concat_arrays([self._bytes, raw])
+        self._name(chunks)
+
+    def _kept(self, numbers: np.ndarray) -> None:
+        self._ids, self._bytes = self._ids.take(pa.array(numbers)), self._bytes.take(pa.array(numbers))
+
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Id bytes per text (null: none), and the bytes they decode to."""
+        self.make_room()
+        texts = pc.fill_null(texts, "")
+        careful = unsafe(texts)
+        parts, rows = [], []
+        for mask, cut in ((~careful, self.plain), (careful, self.careful)):
+            if mask.any():
+                numbers, ends = cut(texts.filter(pa.array(mask)))
+                at, ends = pa.array(numbers), np.concatenate([[0], ends])
+                parts.append((_strung(self._ids.take(at), ends), _strung(self._bytes.take(at), ends)))
+                rows.append(np.flatnonzero(mask))
+        if not parts:
+            return pa.array([], pa.binary()), pa.array([], pa.binary())
+        if len(parts) == 1:
+            return parts[0]
+        order = pa.array(np.argsort(np.concatenate(rows)))
+        return tuple(pa.concat_arrays(list(p)).take(order) for p in zip(*parts, strict=True))
+
+
+def _binary(values: np.ndarray, off: np.ndarray) -> pa.Array:
+    """Byte strings that follow each other in ``values``, from one offset to the next."""
+    return pa.Array.from_buffers(pa.binary(), len(off) - 1, [None, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _strung(parts: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Byte strings joined: those from one of ``ends`` to the next are one."""
+    off = np.frombuffer(parts.buffers()[1], np.int32, len(parts) + 1, 4 * parts.offset)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(off[ends]), parts.buffers()[2]])
+
+
+_QUERIES: dict[tuple[str, str], BpeQueries] = {}
+
+
+def _queries(path: str, pattern: str) -> BpeQueries:
+    """The worker's database for a vocabulary."""
     if (path, pattern) not in _QUERIES:
-        q = BpeQueries(path, pattern)
-        _QUERIES[path, pattern] = q, ChunkCache(q.encode_chunks, 2, limit=200_000)
+        _QUERIES[path, pattern] = BpeQueries(path, pattern)
     return _QUERIES[path, pattern]
 
 
@@ -267,9 +324,9 @@ def encode(df: DataFrame, vocab: str, pattern: str, text: str = "text", ids: str
     df, schema = _with(df, [T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Chunks(_queries(vocab, pattern))
         for b in slices(batches, text):
-            _, cache = _queries(vocab, pattern)
-            raw = cache.encode_texts(b.column(text).to_pylist())[0]
+            raw = known.encode(b.column(text))[0].to_pylist()
             off = np.concatenate([[0], np.cumsum([len(r) // 4 for r in raw])]).astype(np.int32)
             arr = pa.ListArray.from_arrays(off, pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
             yield pa.RecordBatch.from_arrays([*b.columns, arr], names=[*b.schema.names, ids])
@@ -283,7 +340,7 @@ def decode(df: DataFrame, vocab: str, pattern: str, ids: str = "ids", out: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            q, _ = _queries(vocab, pattern)
+            q = _queries(vocab, pattern)
             rows = [np.array([], dtype=np.int32) if x is None else x for x in _lists(b.column(ids))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(q.decode(rows), pa.binary())],
                                              names=[*b.schema.names, out])
@@ -306,17 +363,20 @@ def round_trip(df: DataFrame, vocab: str, pattern: str, text: str = "text") -> D
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Chunks(_queries(vocab, pattern))
         for b in slices(batches, "text"):
-            _, cache = _queries(vocab, pattern)
-            texts = b.column("text").to_pylist()
-            raw, back = cache.encode_texts(texts)
+            ids, decoded = known.encode(b.column("text"))
+            raw, back = ids.to_pylist(), decoded.to_pylist()
+            texts = pc.fill_null(b.column("text"), "").cast(pa.binary())
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"),
                 pa.array([len(r) // 4 for r in raw], pa.int64()),
                 pa.array([hashlib.sha256(r).hexdigest() for r in raw]),
                 pa.array([hashlib.sha256(d).hexdigest() for d in back]),
-                pa.array([d == (t or "").encode() for d, t in zip(back, texts, strict=True)]),
+                pc.equal(decoded, texts),
             ], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"])
+        del known
+        pa.default_memory_pool().release_unused()
 
     return df.select(F.col("doc_id").cast("long"), F.col(text).alias("text")).mapInArrow(run, schema)
 

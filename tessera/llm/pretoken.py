@@ -10,7 +10,10 @@ worker and kept in a bounded cache.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A space with white space before and white space (or the end) after it: such texts are not cut there.
 _UNSAFE = re.compile(r" (?<=\s\s)(?=\s|\Z)")
@@ -33,23 +36,83 @@ def _careful(text: str) -> list[str]:
     return [c for c in re.split(r"(?= \S)", text) if c]
 
 
-class ChunkCache:
-    """chunk -> tuple of byte strings, filled by ``encode(list of new chunks)``; emptied when over ``limit`` entries."""
-
-    def __init__(self, encode: Callable[[list[str]], list[tuple[bytes, ...]]], width: int = 1, limit: int = 300_000):
-        self._encode, self._width, self._limit, self._known = encode, width, limit, {}
-
-    def encode_texts(self, texts: list[str | None]) -> tuple[list[bytes], ...]:
-        """Per element of the tuples: the joined bytes of every text (null: empty)."""
-        cut = [chunks(t) if t else [] for t in texts]
-        if len(self._known) > self._limit:
-            self._known = {}
-        known = self._known
-        new = set()
-        for c in cut:
-            new.update(c)
-        new = [c for c in new if c not in known]
-        if new:
-            known.update(zip(new, self._encode(new), strict=True))
-        rows = [[known[c] for c in cs] for cs in cut]
-        return tuple([b"".join([v[k] for v in row]) for row in rows] for k in range(self._width))
+#: White space next to white space, or a space at the end, may be cut only with care (more than needed match).
+UNSAFE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] [\s\x0b\x1c-\x1f\x85\p{Z}]|[\s\x0b\x1c-\x1f\x85\p{Z}] \z"
+
+
+class ChunkNumbers:
+    """Numbers of the chunks met so far; what is known of a chunk stands at its number.
+
+    Number 0 is the empty chunk.  Above ``limit`` chunks or ``limit_chars`` characters the
+    less used ones are forgotten, at least half of all, and learned again if they come back.
+    """
+
+    def __init__(self, limit: int, limit_chars: int = 32 << 20):
+        self._limit, self._limit_chars = limit, limit_chars
+        self._number, self._chars, self._uses = {"": 0}, 0, np.zeros(1, np.int64)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Find out what is to be known of new distinct chunks, and name them in that order."""
+        raise NotImplementedError
+
+    def _kept(self, numbers: np.ndarray) -> None:
+        """Drop what is known of all chunks but these."""
+        raise NotImplementedError
+
+    def _name(self, chunks: list[str]) -> None:
+        first = len(self._number)
+        self._number.update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        self._chars += sum(map(len, chunks))
+        self._uses = np.concatenate([self._uses, np.zeros(len(chunks), np.int64)])
+
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        got = list(map(self._number.get, chunks))
+        if None in got:
+            self._learn(list(dict.fromkeys(c for c, n in zip(chunks, got, strict=True) if n is None)))
+            got = list(map(self._number.get, chunks))
+        return np.array(got, np.int64)
+
+    def make_room(self) -> None:
+        """Forget less used chunks if there are too many; numbers given before are void then."""
+        if len(self._number) <= self._limit and self._chars <= self._limit_chars:
+            return
+        names = list(self._number)
+        size = np.fromiter(map(len, names), np.int64, len(names))
+        order = np.argsort(-self._uses, kind="stable")
+        order = order[(self._uses[order] > 1) & (np.cumsum(size[order]) <= self._limit_chars // 2)][:self._limit // 2]
+        keep = np.union1d(order, [0])
+        self._kept(keep)
+        self._number = {names[i]: n for n, i in enumerate(keep.tolist())}
+        self._chars, self._uses = int(size[keep].sum()), self._uses[keep] // 2
+
+    def _count(self, numbers: np.ndarray) -> None:
+        self._uses += np.bincount(numbers, minlength=len(self._uses))
+
+    def plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Chunk numbers of texts that may be cut before every space, and where each text's end."""
+        lists = pc.split_pattern(texts, " ")
+        off = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
+        off = off - off[0]
+        words, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        numbers = self.numbers([" " + w for w in words.tolist()])[place]
+        numbers[off[:-1]] = self.numbers(words[place[off[:-1]]].tolist())
+        self._count(numbers)
+        return numbers, off[1:]
+
+    def careful(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any texts."""
+        cut = [chunks(t) for t in texts.to_pylist()]
+        numbers = self.numbers([c for cs in cut for c in cs])
+        self._count(numbers)
+        return numbers, np.cumsum([len(cs) for cs in cut])
+
+
+def unsafe(texts: pa.Array) -> np.ndarray:
+    """Which texts may not be cut before every space."""
+    return pc.match_substring_regex(texts, UNSAFE).to_numpy(zero_copy_only=False)
+
+
+def apart(chunks: list[str]) -> np.ndarray:
+    """Which chunks stay apart when they are joined: those of a space and no white space next to it or at the end."""
+    return np.array([len(c) > 1 and c[0] == " " and not (c[1].isspace() or c[-1].isspace()) for c in chunks], bool)

@@ -114,6 +114,22 @@ def test_chunks_encode_as_whole_texts():
     assert [x.tolist() for x in own.encode(pa.array([None, "hello <|endoftext|> world"], pa.string()))] == [[], [31373, 220, 50256, 995]]
 
 
+def test_bpe_task_forgets_and_leaves_only_the_database(spark, texts):
+    import tiktoken
+
+    import pyarrow as pa
+
+    path = P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    known = bpe.Chunks(bpe._queries(path, P.PATTERN), limit=60)  # forgets often
+    for at in range(0, len(texts), 20):
+        part = [t for _, t, _, _ in texts[at:at + 20]]
+        ids, raw = known.encode(pa.array(part, pa.string()))
+        assert raw.to_pylist() == [(t or "").encode() for t in part]
+        assert [np.frombuffer(x, "<u4").tolist() for x in ids.to_pylist()] == [enc.encode_ordinary(t or "") for t in part]
+    assert all(type(q) is bpe.BpeQueries and not any(isinstance(v, dict) for v in vars(q).values()) for q in bpe._QUERIES.values())
+
+
 def brute_hits(text, items):
     cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
     w, hit, found = cut(text), set(), set()
