@@ -28,25 +28,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import slices, table, written
-from tessera.llm.pretoken import chunks
+from tessera.llm.pretoken import ChunkNumbers, apart, unsafe
 from tessera.session import scratch_path
 
-#: White space next to white space, or a space at the end, may be cut only with care (more than needed match).
-_UNSAFE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] [\s\x0b\x1c-\x1f\x85\p{Z}]|[\s\x0b\x1c-\x1f\x85\p{Z}] \z"
-
-
 def _joined(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(0, np.int32), *ids]), np.array([len(x) for x in ids], np.int64)
 
 
-class Interned:
+class Interned(ChunkNumbers):
     """Ids of text chunks, encoded by the library once while they are kept.
 
-    Chunk number ``i`` has ``ids[start[i]:start[i + 1]]``; number 0 is the empty one.  All are
-    forgotten when there are more than ``limit`` or they hold more than ``limit_chars`` characters.
+    Chunk number ``i`` has ``ids[start[i]:start[i + 1]]``.
     """
 
-    def __init__(self, vocab: str, limit: int = 800_000, limit_chars: int = 32 << 20):
+    def __init__(self, vocab: str, limit: int = 1_200_000, limit_chars: int = 32 << 20):
+        super().__init__(limit, limit_chars)
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -56,11 +52,6 @@ class Interned:
         self._size = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
         for token, i in vocabulary.items():
             self._size[i] = len(token)  # byte-level: a character a byte
-        self._limit, self._limit_chars = limit, limit_chars
-        self._forget()
-
-    def _forget(self) -> None:
-        self._number, self._chars = {"": 0}, 0
         self._ids, self._start = np.zeros(0, np.int32), np.zeros(2, np.int64)
 
     def _each(self, texts: list[str]) -> list[np.ndarray]:
@@ -70,9 +61,10 @@ class Interned:
         """Ids of chunks, encoded as one string with a line feed ``between`` them or nothing, and how many each has by its bytes."""
         text = between.join(chunks)
         if not any(a in text for a in self._added):
-            ids = np.array(self._tok.encode(text, add_special_tokens=False).ids, np.int32)
+            ids = self._each([text])[0]
             reach = np.cumsum(self._size[np.minimum(ids, len(self._size) - 1)])
-            ends = np.cumsum([len(c.encode()) + len(between) for c in chunks]) - len(between)
+            size = pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy().astype(np.int64)
+            ends = np.cumsum(size + len(between)) - len(between)
             cut = np.searchsorted(reach, ends)  # the last token of each chunk
             first = np.concatenate([[0], cut[:-1] + 1 + len(between)])
             whole = len(reach) > 0 and cut[-1] + 1 == len(ids) and (reach[cut] == ends).all()
@@ -83,24 +75,28 @@ class Interned:
 
     def _learn(self, chunks: list[str]) -> None:
         # without white space at their ends, chunks stay apart when they are joined: a space leads each, or a line feed parts them
-        words = [c for c in chunks if c[0] == " " and len(c) > 1 and c[1:].strip() == c[1:]]
-        leading = [c for c in chunks if c.strip() == c]
-        other = list(set(chunks).difference(words, leading))
+        words = apart(chunks)
+        kind = np.where(words, 1, 0)
+        kind[[i for i in np.flatnonzero(~words).tolist() if chunks[i].strip() == chunks[i]]] = 2
+        order = np.argsort(kind, kind="stable")
+        other, words, leading = ([chunks[i] for i in np.flatnonzero(kind == k).tolist()] for k in range(3))
         found = [_joined(self._each(other))] if other else []
         for part, between in ((words, ""), (leading, "\n")):
             found += [self._together(part[at:at + 20_000], between) for at in range(0, len(part), 20_000)]
-        first = len(self._number)
-        self._number.update(zip([*other, *words, *leading], range(first, first + len(chunks)), strict=True))
-        self._chars += sum(map(len, chunks))
-        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(np.concatenate([n for _, n in found]))])
-        self._ids = np.concatenate([self._ids, *(ids for ids, _ in found)])
-
-    def _numbers(self, chunks: list[str]) -> np.ndarray:
-        got = list(map(self._number.get, chunks))
-        if None in got:
-            self._learn(list(dict.fromkeys(c for c, n in zip(chunks, got, strict=True) if n is None)))
-            got = list(map(self._number.get, chunks))
-        return np.array(got, np.int64)
+        n = np.zeros(len(chunks), np.int64)
+        n[order] = np.concatenate([n for _, n in found])
+        flat = np.concatenate([ids for ids, _ in found])
+        start = np.zeros(len(chunks), np.int64)
+        start[order] = np.cumsum(n[order]) - n[order]
+        self._start = np.concatenate([self._start, self._start[-1] + np.cumsum(n)])
+        self._ids = np.concatenate([self._ids, flat[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(len(flat))]])
+        self._name(chunks)
+
+    def _kept(self, numbers: np.ndarray) -> None:
+        n = self._start[numbers + 1] - self._start[numbers]
+        end = np.cumsum(n)
+        self._ids = self._ids[np.repeat(self._start[numbers] - (end - n), n) + np.arange(end[-1])]
+        self._start = np.concatenate([[0], end])
 
     def _sequences(self, numbers: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Ids per text, whose chunks are ``numbers`` up to its end."""
@@ -110,26 +106,14 @@ class Interned:
         at = np.concatenate([[0], np.concatenate([[0], total])[ends]]).tolist()
         return [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
-        """Texts that may be cut before every space."""
-        lists = pc.split_pattern(texts, " ")
-        off = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
-        off = off - off[0]
-        words, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
-        numbers = self._numbers([" " + w for w in words.tolist()])[place]
-        numbers[off[:-1]] = self._numbers(words[place[off[:-1]]].tolist())
-        return self._sequences(numbers, off[1:])
-
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids per text (null: none)."""
-        if len(self._number) > self._limit or self._chars > self._limit_chars:
-            self._forget()
+        self.make_room()
         texts = pc.fill_null(texts, "")
         whole = np.zeros(len(texts), bool)
         for a in self._added:
             whole |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
-        careful = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False) & ~whole
+        careful = unsafe(texts) & ~whole
         out: list = [None] * len(texts)
 
         def put(mask: np.ndarray, found: list[np.ndarray]) -> None:
@@ -139,11 +123,10 @@ class Interned:
         if whole.any():
             put(whole, self._each(texts.filter(pa.array(whole)).to_pylist()))
         if careful.any():
-            cut = [chunks(t) for t in texts.filter(pa.array(careful)).to_pylist()]
-            put(careful, self._sequences(self._numbers([c for cs in cut for c in cs]), np.cumsum([len(cs) for cs in cut])))
+            put(careful, self._sequences(*self.careful(texts.filter(pa.array(careful)))))
         plain = ~whole & ~careful
         if plain.any():
-            put(plain, self._plain(texts.filter(pa.array(plain))))
+            put(plain, self._sequences(*self.plain(texts.filter(pa.array(plain)))))
         return out
 
 

@@ -114,6 +114,15 @@ def test_chunks_encode_as_whole_texts():
     assert [x.tolist() for x in own.encode(pa.array([None, "hello <|endoftext|> world"], pa.string()))] == [[], [31373, 220, 50256, 995]]
 
 
+def test_chunks_in_use_are_kept_when_others_are_forgotten():
+    import pyarrow as pa
+
+    own = token_output.Interned(P.path("byte_bpe_50k.json"), limit=40)
+    for i in range(20):
+        own.encode(pa.array(["lead often used words " + " ".join(f"rare{i}x{j}" for j in range(15))]))
+        assert {"", "lead", " often", " used", " words"} <= set(own._number) and len(own._number) <= 60
+
+
 def test_bpe_task_forgets_and_leaves_only_the_database(spark, texts):
     import tiktoken
 
