@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import written
 from tessera.llm.shingles import mix
 
-#: Members of a bucket that a task compares with as many others.
+#: Members of a bucket outside its main component that a task compares with as many others.
 BLOCK = 4096
 
 
@@ -78,8 +78,10 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     a member.  Buckets that are one component then are done.  In the others
     members of different components are compared by their sketches, whose
     Hamming distance is at most the symmetric difference, inside tasks of
-    ``BLOCK`` times ``BLOCK`` members; only pairs that the sketches let through
-    leave the task and are verified.  In rounds every member first names the
+    ``BLOCK`` times ``BLOCK`` members; the main component's members, nearly all
+    in a large group of copies, are not compared with each other and stand in
+    one task for every ``BLOCK`` others, not for every ``BLOCK`` members.  Only
+    pairs that the sketches let through leave the task and are verified.  In rounds every member first names the
     nearest one of another component, one pair a member, until no round finds
     a link; the buckets that are still not one component then hand out all
     pairs.  Every candidate pair is so either compared or in one component.
@@ -103,10 +105,10 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
         both = now.join(roots, "node", "left").select("key", "node", "size", "cap", F.coalesce("root", "node").alias("root"))
         both = written(spark, both, "open")
         per = both.groupBy("key", "root").agg(F.count("*").alias("m"), F.min("size").alias("low"), F.max("cap").alias("high"))
-        main = (per.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.sum("m").alias("all"), F.count("*").alias("roots"))
+        main = (per.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.count("*").alias("roots"))
                 .filter("roots > 1"))
         # of a bucket's main component only members that may link with one of the others are looked at again
-        others = (per.join(main, "key").filter("root <> main").groupBy("key", "main", F.col("all").alias("m"))
+        others = (per.join(main, "key").filter("root <> main").groupBy("key", "main")
                   .agg(F.min("low").alias("low"), F.max("high").alias("high")))
         both = both.join(others, "key").filter("root <> main or (size <= high and cap >= low)").drop("low", "high")
         both = written(spark, both, "open")
@@ -114,7 +116,9 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
             return roots
         if bits is None:
             bits = written(spark, sketches(both.select("node").distinct()), "sketches")
-        now, rows = both.select("key", "node", "size", "cap"), both.join(bits, "node")
+        minor = F.col("root") != F.col("main")
+        sizes = both.groupBy("key").agg(F.count_if(minor).alias("few"), F.count_if(~minor).alias("most"))
+        now, rows = both.select("key", "node", "size", "cap"), both.join(sizes, "key").join(bits, "node")
         new = written(spark, verify(_across(rows, percent, True)).select("a", "b"), "links")
         nearest = not new.isEmpty()
         if not nearest:
@@ -142,18 +146,36 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """A row for each task ``key, x, y`` that a member of a bucket stands in.
+
+    Members outside the main component, ``few`` a bucket, are cut into blocks ``x``, the ``most`` others into
+    blocks ``y``.  Task ``x, y`` compares the two, and ``x, 0`` the block ``x`` with itself as well; task
+    ``x, -1 - z`` compares blocks ``x`` and ``z`` of the former.
+    """
+    blocks = {c: F.greatest(F.ceil(F.col(c) / BLOCK), F.lit(1)).cast("int") for c in ("few", "most")}
+    minor = F.col("root") != F.col("main")
+    own = F.pmod(F.xxhash64("node"), F.when(minor, blocks["few"]).otherwise(blocks["most"])).cast("int")
+    rows = rows.withColumn("minor", minor).withColumn("own", own)
+    few, most = (F.sequence(F.lit(0), blocks[c] - 1) for c in ("few", "most"))
+
+    def cell(x: F.Column, y: F.Column) -> F.Column:
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    with_main = F.transform(most, lambda y: cell(F.col("own"), y))
+    others = F.filter(few, lambda z: z != F.col("own"))
+    with_few = F.transform(others, lambda z: cell(F.least(F.col("own"), z), -1 - F.greatest(F.col("own"), z)))
+    cells = F.when(F.col("minor"), F.concat(with_main, with_few)).otherwise(F.transform(few, lambda x: cell(x, F.col("own"))))
+    return rows.withColumn("cell", F.explode(cells)).select(
+        "key", "cell.x", "cell.y", "node", "size", "cap", "root", "minor", "n", "bits")
+
+
 def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Distinct ``a, b`` of different roots in a common bucket that the sketches let through; with
     ``nearest`` one for each node outside its bucket's main root."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    rows = rows.withColumn("minor", F.col("root") != F.col("main")).withColumn("blocks", blocks)
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     at = ["key", "x", "y"]
-    dealt = (rows.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-                         "node", "size", "cap", "root", "minor", "n", "bits")
-             .repartition(n, *at).sortWithinPartitions(*at))
+    dealt = _dealt(rows).repartition(n, *at).sortWithinPartitions(*at)
     names = ["node", "size", "cap", "root", "minor", "n"]
 
     def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -164,12 +186,14 @@ def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         words = min(map(len, sketch))
         bits = np.stack([_folded(x, words) for x in sketch])
         rows_at = max(1, (1 << 21) // bits.size)
-        few = np.flatnonzero(minor)
+        few, again = np.flatnonzero(minor), t.column("y")[0].as_py() > 0  # those of the block met in another task
         for a in range(0, len(few), rows_at):
             i = few[a:a + rows_at]
             apart = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
             ok = apart * (100 + percent) <= (100 - percent) * (count[i][:, None] + count[None, :])
             ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
+            if again:
+                ok &= ~minor[None, :]
             if nearest:
                 apart = np.where(ok, apart / (count[i][:, None] + count[None, :]), np.inf)
                 p, q = np.flatnonzero(ok.any(axis=1)), apart.argmin(axis=1)[ok.any(axis=1)]

@@ -260,3 +260,30 @@ def test_suffix_sorting_gives_order_and_common_prefixes():
         assert [strings[i] for i, _ in order] == sorted(strings)
         for (i, _), (j, c) in zip(order, order[1:], strict=False):
             assert c == suffix_dedup._common(strings[i], strings[j])
+
+
+def test_a_large_bucket_is_dealt_by_its_members_outside_the_main_component(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.llm import components
+
+    monkeypatch.setattr(components, "BLOCK", 16)
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(60) > 0.06], rng.integers(0, 1 << 63, 2, dtype=np.uint64)])) for _ in range(400)]
+
+    def rows(few):  # the last ``few`` stand outside the main component, two a root
+        data = [(1, i, len(s), 1000, 0 if i < 400 - few else 400 + i // 2, 0, few, 400 - few, len(s), bytearray(components.parity_sketch(s)))
+                for i, s in enumerate(sets)]
+        return spark.createDataFrame(data, "key long, node long, size long, cap long, root long, main long, few long, most long, n long, bits binary")
+
+    assert components._dealt(rows(6)).count() == 394 + 6 * 25  # every member stood in 25 tasks before
+    for few in (6, 40):
+        root = [0 if i < 400 - few else 400 + i // 2 for i in range(400)]
+        bits = [np.unpackbits(np.frombuffer(components.parity_sketch(s), np.uint8)) for s in sets]
+        want = {(a, b) for b in range(400 - few, 400) for a in range(b) if root[a] != root[b]
+                and np.count_nonzero(bits[a] != bits[b]) * 180 <= 20 * (len(sets[a]) + len(sets[b]))}
+        got = [(r.a, r.b) for r in components._across(rows(few), 80, False).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+        nearest = {(r.a, r.b) for r in components._across(rows(few), 80, True).collect()}
+        assert nearest <= want and {x for p in want for x in p if x >= 400 - few} == {x for p in nearest for x in p if x >= 400 - few}
