@@ -96,24 +96,25 @@ def _lonely(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``cls, n, elements`` of the given ``classes(cls, rep)``, read again from the document ``rep``."""
-    sieve = Sieve(classes, "rep")
+    """``cls, n, elements`` of the given ``classes(cls, rep)``, read again from the document ``rep``.
 
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(sieve.may_hold(b.column("doc_id").to_numpy())))
+    Texts go to Python and do not come back: a batch of them holds thousands, a batch of sets those of ``slices``.
+    """
+    sieve = Sieve(classes, "rep")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", 1 << 17):
+            b = b.filter(pa.array(sieve.may_hold(b.column("doc_id").to_numpy())))
+            if not b.num_rows:
+                continue
             sets = shingle_sets(b.column("text").to_pylist(), SHINGLE)
-            rows = {c: signed(s) for c, s in zip(b.column("cls").to_pylist(), sets, strict=True) if set_class(s) == c}
+            off = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(rows), pa.int64()), pa.array([len(s) for s in rows.values()], pa.int64()),
-                 pa.array(list(rows.values()), pa.list_(pa.int64()))], names=["cls", "n", "elements"])
+                [b.column("doc_id"), pa.array([set_class(s) for s in sets], pa.int64()), pa.array(np.diff(off).astype(np.int64)),
+                 pa.ListArray.from_arrays(off, pa.array(signed(np.concatenate(sets))))], names=["rep", "cls", "n", "elements"])
 
-    kept = docs.filter("doc_id is not null").mapInArrow(sift, "doc_id long, text string")
-    sets = (kept.join(classes, kept.doc_id == classes.rep).select("cls", "text")
-            .mapInArrow(build, "cls long, n long, elements array<long>"))
+    built = docs.filter("doc_id is not null").mapInArrow(build, "rep long, cls long, n long, elements array<long>")
+    sets = built.join(classes, ["cls", "rep"], "left_semi").select("cls", "n", "elements")
     sets = written(docs.sparkSession, sets, "sets")
     if sets.count() > classes.count():  # rows that repeat an id and its text
         sets = written(docs.sparkSession, sets.dropDuplicates(["cls"]), "sets")

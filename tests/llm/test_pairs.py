@@ -110,6 +110,20 @@ def test_ngram_join_of_random_tables_with_repeated_ids(spark):
     assert sorted(tuple(r) for r in got) == one_component_per_id(rows)
 
 
+def test_texts_of_the_join_do_not_come_back_from_python(spark, docs, monkeypatch):
+    plans, real = [], ngram_join.written
+
+    def noted(session, df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(session, df, name)
+
+    monkeypatch.setattr(ngram_join, "written", noted)
+    ngram_join.near_duplicates(spark.createDataFrame(docs, SCHEMA)).collect()
+    maps = [line for plan in plans for line in plan.splitlines() if "MapInArrow" in line]
+    assert len(maps) >= 3
+    assert not [line for line in maps if "text#" in line.rpartition("[")[2]], maps
+
+
 def test_sketch_keys_share_a_word_for_every_linked_pair():
     import numpy as np
 
