@@ -10,6 +10,7 @@ worker and kept in a bounded cache.
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,10 @@ def _careful(text: str) -> list[str]:
 
 
 #: White space next to white space, or a space at the end, may be cut only with care (more than needed match).
-UNSAFE = r"[\s\x0b\x1c-\x1f\x85\p{Z}] [\s\x0b\x1c-\x1f\x85\p{Z}]|[\s\x0b\x1c-\x1f\x85\p{Z}] \z"
+_SPACES = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+UNSAFE = rf"[{_SPACES}] [{_SPACES}]|[{_SPACES}] \z"
+#: A space and what does not begin or end in white space.
+APART = rf"(?s)\A [^{_SPACES}](?:.*[^{_SPACES}])?\z"
 
 
 class ChunkNumbers:
@@ -66,11 +70,18 @@ class ChunkNumbers:
         self._uses = np.concatenate([self._uses, np.zeros(len(chunks), np.int64)])
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
-        got = list(map(self._number.get, chunks))
-        if None in got:
-            self._learn(list(dict.fromkeys(c for c, n in zip(chunks, got, strict=True) if n is None)))
-            got = list(map(self._number.get, chunks))
-        return np.array(got, np.int64)
+        got = list(map(self._number.get, chunks, repeat(-1)))
+        found = np.array(got, np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            unknown = [chunks[i] for i in new.tolist()]
+            distinct, first = list(dict.fromkeys(unknown)), len(self._number)
+            self._learn(distinct)
+            if len(distinct) == len(unknown):  # they have the next numbers, in this order
+                found[new] = np.arange(first, first + len(new))
+            else:
+                found[new] = list(map(self._number.__getitem__, unknown))
+        return found
 
     def make_room(self) -> None:
         """Forget less used chunks if there are too many; numbers given before are void then."""
@@ -94,9 +105,10 @@ class ChunkNumbers:
         off = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.values.slice(off[0], off[-1] - off[0]).dictionary_encode()
         off = off - off[0]
-        words, place = coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
-        numbers = self.numbers([" " + w for w in words.tolist()])[place]
-        numbers[off[:-1]] = self.numbers(words[place[off[:-1]]].tolist())
+        words, place = coded.dictionary, coded.indices.to_numpy()
+        spaced = pc.binary_join_element_wise(" ", words, "")
+        numbers = self.numbers(spaced.to_numpy(zero_copy_only=False).tolist())[place]
+        numbers[off[:-1]] = self.numbers(words.take(pa.array(place[off[:-1]])).to_pylist())
         self._count(numbers)
         return numbers, off[1:]
 
@@ -115,4 +127,4 @@ def unsafe(texts: pa.Array) -> np.ndarray:
 
 def apart(chunks: list[str]) -> np.ndarray:
     """Which chunks stay apart when they are joined: those of a space and no white space next to it or at the end."""
-    return np.array([len(c) > 1 and c[0] == " " and not (c[1].isspace() or c[-1].isspace()) for c in chunks], bool)
+    return pc.match_substring_regex(pa.array(chunks, pa.large_string()), APART).to_numpy(zero_copy_only=False)

@@ -123,6 +123,25 @@ def test_chunks_in_use_are_kept_when_others_are_forgotten():
         assert {"", "lead", " often", " used", " words"} <= set(own._number) and len(own._number) <= 60
 
 
+def test_a_new_chunk_is_looked_up_once():
+    import pyarrow as pa
+
+    class Counted(dict):
+        gets = 0
+
+        def get(self, *a):
+            self.gets += 1
+            return dict.get(self, *a)
+
+    x = token_output.Interned(P.path("byte_bpe_50k.json"))
+    x._number = Counted(x._number)
+    numbers, ends = x.plain(pa.array(["one two  three", "four \nfive two", "one\u00a0 x"]))
+    assert x._number.gets == 8 + 3, x._number.gets  # distinct words, each with a space before it, and the first of each text
+    names = list(x._number)
+    assert [names[i] for i in numbers[:ends[0]]] == ["one", " two", " ", " three"]
+    assert "".join(names[i] for i in numbers) == "one two  threefour \nfive twoone\u00a0 x"
+
+
 def test_bpe_task_forgets_and_leaves_only_the_database(spark, texts):
     import tiktoken
 
