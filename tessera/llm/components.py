@@ -14,6 +14,8 @@ from tessera.llm.shingles import mix
 
 #: Members of a bucket outside its main component that a task compares with as many others.
 BLOCK = 4096
+#: Numbers of eight bytes that a task's comparison makes at once, for each of a few arrays of them.
+CELLS = 1 << 18
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -170,39 +172,40 @@ def _dealt(rows: DataFrame) -> DataFrame:
         "key", "cell.x", "cell.y", "node", "size", "cap", "root", "minor", "n", "bits")
 
 
+def _compared(t: pa.Table, percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """``a, b`` of one task's members that ``_across`` lets through, ``CELLS`` words or pairs of members at a time."""
+    node, size, cap, root, minor, count = (t.column(c).to_numpy() for c in ("node", "size", "cap", "root", "minor", "n"))
+    if not minor.any():
+        return
+    sketch = [np.frombuffer(x, np.uint64) for x in t.column("bits").to_pylist()]
+    words = min(map(len, sketch))
+    bits = np.stack([_folded(x, words) for x in sketch])
+    rows_at = max(1, CELLS // bits.size)
+    few, again = np.flatnonzero(minor), t.column("y")[0].as_py() > 0  # those of the block met in another task
+    for a in range(0, len(few), rows_at):
+        i = few[a:a + rows_at]
+        apart = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+        ok = apart * (100 + percent) <= (100 - percent) * (count[i][:, None] + count[None, :])
+        ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
+        if again:
+            ok &= ~minor[None, :]
+        if nearest:
+            apart = np.where(ok, apart / (count[i][:, None] + count[None, :]), np.inf)
+            p, q = np.flatnonzero(ok.any(axis=1)), apart.argmin(axis=1)[ok.any(axis=1)]
+        else:
+            p, q = np.nonzero(ok)
+        if len(p):
+            x, y = node[i[p]], node[q]
+            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+
+
 def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Distinct ``a, b`` of different roots in a common bucket that the sketches let through; with
     ``nearest`` one for each node outside its bucket's main root."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = ["key", "x", "y"]
     dealt = _dealt(rows).repartition(n, *at).sortWithinPartitions(*at)
-    names = ["node", "size", "cap", "root", "minor", "n"]
-
-    def compare(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        node, size, cap, root, minor, count = (t.column(c).to_numpy() for c in names)
-        if not minor.any():
-            return
-        sketch = [np.frombuffer(x, np.uint64) for x in t.column("bits").to_pylist()]
-        words = min(map(len, sketch))
-        bits = np.stack([_folded(x, words) for x in sketch])
-        rows_at = max(1, (1 << 21) // bits.size)
-        few, again = np.flatnonzero(minor), t.column("y")[0].as_py() > 0  # those of the block met in another task
-        for a in range(0, len(few), rows_at):
-            i = few[a:a + rows_at]
-            apart = np.bitwise_count(bits[i][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-            ok = apart * (100 + percent) <= (100 - percent) * (count[i][:, None] + count[None, :])
-            ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
-            if again:
-                ok &= ~minor[None, :]
-            if nearest:
-                apart = np.where(ok, apart / (count[i][:, None] + count[None, :]), np.inf)
-                p, q = np.flatnonzero(ok.any(axis=1)), apart.argmin(axis=1)[ok.any(axis=1)]
-            else:
-                p, q = np.nonzero(ok)
-            if len(p):
-                x, y = node[i[p]], node[q]
-                pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -214,9 +217,9 @@ def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             k, x, y = (t.column(c).to_numpy() for c in at)
             start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
             for a, e in zip(start[:-1], start[1:], strict=True):
-                yield from compare(t.slice(int(a), int(e - a)))
+                yield from _compared(t.slice(int(a), int(e - a)), percent, nearest)
             held = t.slice(int(start[-1]))
         if held is not None and held.num_rows:
-            yield from compare(held)
+            yield from _compared(held, percent, nearest)
 
     return dealt.mapInArrow(run, "a long, b long").distinct()

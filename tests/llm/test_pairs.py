@@ -301,3 +301,27 @@ def test_a_large_bucket_is_dealt_by_its_members_outside_the_main_component(spark
         assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
         nearest = {(r.a, r.b) for r in components._across(rows(few), 80, True).collect()}
         assert nearest <= want and {x for p in want for x in p if x >= 400 - few} == {x for p in nearest for x in p if x >= 400 - few}
+
+
+def test_comparing_a_block_holds_few_pairs_at_once():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tessera.llm import components
+
+    n = 4096
+    rng = np.random.default_rng(2)
+    bits = [x.tobytes() for x in rng.integers(0, 1 << 62, n)]
+    bits[9] = bits[7]
+    t = pa.table({"y": np.zeros(n, np.int32), "node": np.arange(n), "size": np.full(n, 9), "cap": np.full(n, 9), "root": np.arange(n),
+                  "minor": np.ones(n, bool), "n": np.full(n, 9), "bits": pa.array(bits, pa.binary())})
+    tracemalloc.start()
+    try:
+        found = [(a, b) for p in components._compared(t, 80, False) for a, b in zip(p["a"].to_pylist(), p["b"].to_pylist(), strict=True)]
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (7, 9) in found
+    assert most < 32 << 20, most
