@@ -56,7 +56,7 @@ class ChunkNumbers:
         self._number, self._chars, self._uses = {"": 0}, 0, np.zeros(1, np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
-        """Find out what is to be known of new distinct chunks, and name them in that order."""
+        """Find out what is to be known of new distinct chunks, and name them (others besides, in any order)."""
         raise NotImplementedError
 
     def _kept(self, numbers: np.ndarray) -> None:
@@ -70,17 +70,12 @@ class ChunkNumbers:
         self._uses = np.concatenate([self._uses, np.zeros(len(chunks), np.int64)])
 
     def numbers(self, chunks: list[str]) -> np.ndarray:
-        got = list(map(self._number.get, chunks, repeat(-1)))
-        found = np.array(got, np.int64)
+        found = np.array(list(map(self._number.get, chunks, repeat(-1))), np.int64)
         new = np.flatnonzero(found < 0)
         if len(new):
             unknown = [chunks[i] for i in new.tolist()]
-            distinct, first = list(dict.fromkeys(unknown)), len(self._number)
-            self._learn(distinct)
-            if len(distinct) == len(unknown):  # they have the next numbers, in this order
-                found[new] = np.arange(first, first + len(new))
-            else:
-                found[new] = list(map(self._number.__getitem__, unknown))
+            self._learn(list(dict.fromkeys(unknown)))
+            found[new] = list(map(self._number.__getitem__, unknown))
         return found
 
     def make_room(self) -> None:

@@ -123,7 +123,7 @@ def test_chunks_in_use_are_kept_when_others_are_forgotten():
         assert {"", "lead", " often", " used", " words"} <= set(own._number) and len(own._number) <= 60
 
 
-def test_a_new_chunk_is_looked_up_once():
+def test_chunks_that_are_known_are_looked_up_once():
     import pyarrow as pa
 
     class Counted(dict):
@@ -142,6 +142,14 @@ def test_a_new_chunk_is_looked_up_once():
     assert "".join(names[i] for i in numbers) == "one two  threefour \nfive twoone\u00a0 x"
 
 
+def test_numbers_of_chunks_whose_matches_are_named_before_them():
+    import pyarrow as pa
+
+    texts = ["don't stop 12345 now", "a\tb c!! d", "x y"]
+    own = bpe.Chunks(bpe._queries(P.path("byte_bpe_50k.tiktoken"), P.PATTERN))
+    assert [b.decode() for b in own.encode(pa.array(texts))[1].to_pylist()] == texts
+
+
 def test_bpe_task_forgets_and_leaves_only_the_database(spark, texts):
     import tiktoken
 
