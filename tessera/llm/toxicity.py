@@ -112,16 +112,15 @@ def _term_counts(texts: DataFrame) -> DataFrame:
 
 
 def _inputs(texts: DataFrame, terms: np.ndarray) -> DataFrame:
-    """``toxic, inputs``: which of the chosen terms each text holds."""
+    """``toxic, inputs``: which of the chosen terms each text holds, as bytes of 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, tuple[int, ...]] = {}
         for b in slices(batches, "text", 2 << 20):
-            rows = [sorted(active(text_words(t), terms, cache)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.list_(pa.int32()))],
-                                             names=["toxic", "inputs"])
+            rows = [np.array(sorted(active(text_words(t), terms, cache)), ">i4").tobytes() for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), pa.array(rows, pa.binary())], names=["toxic", "inputs"])
 
-    return texts.select("toxic", "text").mapInArrow(run, "toxic int, inputs array<int>")
+    return texts.select("toxic", "text").mapInArrow(run, "toxic int, inputs binary")
 
 
 def active(found: set[str], terms: np.ndarray, cache: dict[str, tuple[int, ...]], limit: int = 500_000) -> set[int]:
@@ -156,7 +155,7 @@ def _sample_words(texts: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
 
     counts = texts.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return np.array(sorted(r.term for r in counts.filter(F.col("n") >= MIN_TEXTS).select("term").collect()), np.int64)
+    return np.sort(counts.filter(F.col("n") >= MIN_TEXTS).select("term").toArrow().column("term").to_numpy()).astype(np.int64)
 
 
 def _word_inputs(texts: DataFrame, words: np.ndarray) -> list[tuple[np.ndarray, int]]:
@@ -236,32 +235,38 @@ def learn(texts: DataFrame, terms: int = TERMS, factors: int = FACTORS, epochs:
         telling.update(words[paired(_word_inputs(texts, words), len(words))].tolist())
     chosen = np.array(sorted(telling), dtype=np.int64)
     rows = _inputs(texts, chosen).groupBy("inputs", "toxic").agg(F.count("*").alias("n")).orderBy("inputs", "toxic").collect()
-    return fit(chosen, [(r.inputs, r.toxic, r.n) for r in rows], factors, epochs, seed)
+    return fit(chosen, [(np.frombuffer(r.inputs, ">i4"), r.toxic, r.n) for r in rows], factors, epochs, seed)
 
 
 def fit(terms: np.ndarray, rows: list[tuple], factors: int, epochs: int, seed: int,
         rate: float = 0.05, decay: float = 1e-4) -> Machine:
-    """Adam on the logistic loss over all rows at once; rows are ``(inputs, label, count)``."""
+    """Adam on the logistic loss over all rows at once; rows are ``(inputs, label, count)``.
+
+    The inputs of all rows are held once as numbers, and one factor of each at a time.
+    """
     rng = np.random.default_rng(seed)
     size = np.array([len(r[0]) for r in rows])
-    idx = np.array([i for r in rows for i in r[0]], dtype=np.int64)
-    row = np.repeat(np.arange(len(rows)), size)
+    idx = np.concatenate([np.zeros(0, np.int32), *(np.asarray(r[0], np.int32) for r in rows)])
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), size)
     y, c = np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float)
     c /= c.sum()
     m = len(terms)
     p = {"b": np.zeros(1), "w": np.zeros(m), "v": rng.normal(0, 0.05, (m, factors))}
     first, second = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
 
-    def spread(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(at, v, n) for v in values.T], axis=1) if values.ndim == 2 else np.bincount(at, values, n)
-
     for step in range(1, epochs + 1):
-        v = p["v"][idx]
-        s = spread(v, row, len(rows))
-        out = p["b"] + spread(p["w"][idx], row, len(rows)) + 0.5 * ((s * s).sum(1) - spread((v * v).sum(1), row, len(rows)))
+        s, squares = np.zeros((factors, len(rows))), np.zeros(len(idx))
+        for f in range(factors):
+            v = p["v"][:, f][idx]
+            s[f] = np.bincount(row, v, len(rows))
+            squares += v * v
+        out = p["b"] + np.bincount(row, p["w"][idx], len(rows)) + 0.5 * ((s * s).sum(0) - np.bincount(row, squares, len(rows)))
+        del squares
         g = (_sigmoid(out) - y) * c
-        grad = {"b": np.array([g.sum()]), "w": spread(g[row], idx, m) + decay * p["w"],
-                "v": spread(g[row][:, None] * (s[row] - v), idx, m) + decay * p["v"]}
+        each = g[row]
+        grad = {"b": np.array([g.sum()]), "w": np.bincount(idx, each, m) + decay * p["w"], "v": decay * p["v"]}
+        for f in range(factors):
+            grad["v"][:, f] += np.bincount(idx, each * (s[f][row] - p["v"][:, f][idx]), m)
         for k, x in grad.items():
             first[k] = 0.9 * first[k] + 0.1 * x
             second[k] = 0.999 * second[k] + 0.001 * x * x

@@ -116,3 +116,17 @@ def test_query_rows(spark):
             assert r.held_out == held_out(r.doc_id)
     known = [r for r in rows if r.doc_id is not None and r.doc_id < 240]
     assert all(r.predicted == int(r.doc_id % 3 == 0) for r in known)
+
+
+def test_fit_holds_the_inputs_of_its_rows_few_times():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    rows = [(np.sort(rng.choice(500, 100, replace=False)).astype(np.int32), i % 2, 1) for i in range(4000)]
+    tracemalloc.start()
+    try:
+        T.fit(np.arange(500), rows, factors=4, epochs=2, seed=2)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 400_000 * 56, most  # 120 bytes an input before, and more for the numbers of the rows themselves
