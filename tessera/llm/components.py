@@ -14,6 +14,8 @@ from tessera.llm.shingles import mix
 
 #: Members of a bucket outside its main component that a task compares with as many others.
 BLOCK = 4096
+#: Pairs that a member names in a round; one that has more to name is looked at again.
+NAMED = 8
 #: Numbers of eight bytes that a task's comparison makes at once, for each of a few arrays of them.
 CELLS = 1 << 18
 
@@ -83,22 +85,22 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     ``BLOCK`` times ``BLOCK`` members; the main component's members, nearly all
     in a large group of copies, are not compared with each other and stand in
     one task for every ``BLOCK`` others, not for every ``BLOCK`` members.  Only
-    pairs that the sketches let through leave the task and are verified.  In rounds every member first names the
-    nearest one of another component, one pair a member, until no round finds
-    a link; the buckets that are still not one component then hand out all
-    pairs.  Every candidate pair is so either compared or in one component.
+    pairs that the sketches let through leave the task and are verified.  In rounds every member names
+    ``NAMED`` of them, the nearest ones.  A bucket whose members had no more to name is done then; the
+    others are looked at again, until no round finds a link; what is left then hands out all pairs.
+    Every candidate pair is so either compared or in one component.
+
+    ``members`` is read several times; rows that repeat change nothing.
     """
     spark = members.sparkSession
-    members = written(spark, members.select("key", "node", "size", "cap").distinct(), "members")
     degree = members.groupBy("node").agg(F.count("*").alias("degree"))
-    members = written(spark, members.join(degree, "node"), "members")
     top = F.max(F.struct("degree", (-F.col("node")).alias("minus"), F.col("size").alias("lead_size"), F.col("cap").alias("lead_cap")))
-    lead = (members.groupBy("key").agg(top.alias("top"), F.min("size").alias("low"))
+    lead = (members.join(degree, "node").groupBy("key").agg(top.alias("top"), F.min("size").alias("low"))
             .select("key", (-F.col("top.minus")).alias("lead"), "top.lead_size", "top.lead_cap", "low"))
     now = members.select("key", "node", "size", "cap").join(lead, "key").filter("node <> lead")
     now = written(spark, now, "led")
-    pairs = (now.filter("size <= lead_cap and lead_size <= cap")
-             .select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct())
+    # a lead meets many nodes, and always as ``a``
+    pairs = now.filter("size <= lead_cap and lead_size <= cap").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = written(spark, verify(pairs).select("a", "b"), "links")
     roots = connected(links)
     now = now.filter("cap >= low").select("key", "node", "size", "cap")
@@ -110,26 +112,31 @@ def link_buckets(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
         main = (per.groupBy("key").agg(F.max_by("root", "m").alias("main"), F.count("*").alias("roots"))
                 .filter("roots > 1"))
         # of a bucket's main component only members that may link with one of the others are looked at again
-        others = (per.join(main, "key").filter("root <> main").groupBy("key", "main")
-                  .agg(F.min("low").alias("low"), F.max("high").alias("high")))
+        outside = F.col("root") != F.col("main")
+        others = (per.join(main, "key").groupBy("key", "main")
+                  .agg(F.min(F.when(outside, F.col("low"))).alias("low"), F.max(F.when(outside, F.col("high"))).alias("high"),
+                       F.sum(F.when(outside, F.col("m")).otherwise(0)).alias("few"), F.sum(F.when(outside, 0).otherwise(F.col("m"))).alias("most")))
         both = both.join(others, "key").filter("root <> main or (size <= high and cap >= low)").drop("low", "high")
         both = written(spark, both, "open")
         if both.isEmpty():
             return roots
         if bits is None:
             bits = written(spark, sketches(both.select("node").distinct()), "sketches")
-        minor = F.col("root") != F.col("main")
-        sizes = both.groupBy("key").agg(F.count_if(minor).alias("few"), F.count_if(~minor).alias("most"))
-        now, rows = both.select("key", "node", "size", "cap"), both.join(sizes, "key").join(bits, "node")
-        new = written(spark, verify(_across(rows, percent, True)).select("a", "b"), "links")
-        nearest = not new.isEmpty()
-        if not nearest:
-            new = written(spark, verify(_across(rows, percent, False)).select("a", "b"), "links")
-            if new.isEmpty():
-                return roots
-        roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
-        if not nearest:
+        # how many of the main component are left is asked for large buckets only, which are few
+        left = both.filter((F.col("most") > BLOCK) & ~outside).groupBy("key").agg(F.count("*").alias("left"))
+        rows = both.join(F.broadcast(left), "key", "left").withColumn("most", F.coalesce("left", "most")).drop("left").join(bits, "node")
+        named = written(spark, _across(rows, percent, True), "named")
+        again = named.filter("more").select("key").distinct()
+        new = written(spark, verify(named.select("a", "b").distinct()).select("a", "b"), "links")
+        done, none = again.isEmpty(), new.isEmpty()
+        if none and not done:
+            new = written(spark, verify(_across(rows.join(again, "key", "left_semi"), percent, False)).select("a", "b"), "links")
+            done, none = True, new.isEmpty()
+        if not none:
+            roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new))
+        if done:
             return roots
+        now = both.select("key", "node", "size", "cap").join(again, "key", "left_semi")
 
 
 def parity_sketch(elements: np.ndarray) -> bytes:
@@ -173,7 +180,7 @@ def _dealt(rows: DataFrame) -> DataFrame:
 
 
 def _compared(t: pa.Table, percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
-    """``a, b`` of one task's members that ``_across`` lets through, ``CELLS`` words or pairs of members at a time."""
+    """``a, b, more`` of one task's members that ``_across`` lets through, ``CELLS`` words or pairs of members at a time."""
     node, size, cap, root, minor, count = (t.column(c).to_numpy() for c in ("node", "size", "cap", "root", "minor", "n"))
     if not minor.any():
         return
@@ -189,24 +196,33 @@ def _compared(t: pa.Table, percent: int, nearest: bool) -> Iterator[pa.RecordBat
         ok &= (root[i][:, None] != root[None, :]) & (size[i][:, None] <= cap[None, :]) & (size[None, :] <= cap[i][:, None])
         if again:
             ok &= ~minor[None, :]
-        if nearest:
-            apart = np.where(ok, apart / (count[i][:, None] + count[None, :]), np.inf)
-            p, q = np.flatnonzero(ok.any(axis=1)), apart.argmin(axis=1)[ok.any(axis=1)]
-        else:
-            p, q = np.nonzero(ok)
+        p, q = np.nonzero(ok)
+        more = np.zeros(len(p), bool)
+        if nearest and len(p):
+            order = np.lexsort((apart[p, q] / (count[i[p]] + count[q]), p))
+            p, q = p[order], q[order]
+            many = np.bincount(p, minlength=len(i))
+            keep = np.arange(len(p)) - (np.cumsum(many) - many)[p] < NAMED
+            p, q = p[keep], q[keep]
+            more = many[p] > NAMED
         if len(p):
             x, y = node[i[p]], node[q]
-            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y), more]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1]), pa.array(pair[2] > 0)], names=["a", "b", "more"])
 
 
 def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct ``a, b`` of different roots in a common bucket that the sketches let through; with
-    ``nearest`` one for each node outside its bucket's main root."""
+    """Distinct ``a, b`` of different roots in a common bucket that the sketches let through; with ``nearest``
+    ``key, a, b, more``: at most ``NAMED`` for each node outside its bucket's main root in a task, and whether it had more."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     at = ["key", "x", "y"]
     dealt = _dealt(rows).repartition(n, *at).sortWithinPartitions(*at)
 
+    def found(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        for b in _compared(t, percent, nearest):
+            key = pa.array(np.full(b.num_rows, t.column("key")[0].as_py()))
+            yield pa.RecordBatch.from_arrays([key, *b.columns], names=["key", *b.schema.names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for b in batches:
@@ -217,9 +233,10 @@ def _across(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             k, x, y = (t.column(c).to_numpy() for c in at)
             start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
             for a, e in zip(start[:-1], start[1:], strict=True):
-                yield from _compared(t.slice(int(a), int(e - a)), percent, nearest)
+                yield from found(t.slice(int(a), int(e - a)))
             held = t.slice(int(start[-1]))
         if held is not None and held.num_rows:
-            yield from _compared(held, percent, nearest)
+            yield from found(held)
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    pairs = dealt.mapInArrow(run, "key long, a long, b long, more boolean")
+    return pairs if nearest else pairs.select("a", "b").distinct()

@@ -31,7 +31,7 @@ from xxhash import xxh3_64_intdigest
 
 from tessera.llm.common import slices, table, written
 from tessera.llm.components import link_buckets, parity_sketch
-from tessera.llm.sharing import Sieve, flagged, shared_rows
+from tessera.llm.sharing import Sieve, packed, packed_schema, shared_pairs
 from tessera.llm.shingles import mix, signed
 
 SHINGLE = 9
@@ -83,10 +83,11 @@ def _set_sizes(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     repeats; of the others, distinct values of ten bits are a bound from below.
     """
     size = np.diff(at)
-    many = size >= BINNED * 1.25
-    big = np.flatnonzero(many)
+    big = np.flatnonzero(size >= BINNED * 1.25)
+    some = np.minimum(size[big], 2 * BINNED)  # the first ones are enough for a bound
+    place = np.arange(some.sum()) + np.repeat(at[big] - (np.cumsum(some) - some), some)
     seen = np.zeros(len(big) << 10, bool)
-    seen[np.repeat(np.arange(len(big)) << 10, size[big]) + (h[np.repeat(many, size)] >> np.uint64(54)).astype(np.int64)] = True
+    seen[np.repeat(np.arange(len(big)) << 10, some) + (h[place] >> np.uint64(54)).astype(np.int64)] = True
     least = np.count_nonzero(seen.reshape(-1, 1 << 10), axis=1)
     for i in big[least < BINNED * 1.25]:
         size[i] = len(np.unique(h[at[i]:at[i + 1]]))
@@ -140,8 +141,8 @@ def _keys(signature: np.ndarray, scheme: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=16)
-def _shingles(line: str) -> frozenset[str]:
-    return frozenset(line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1)))
+def _shingles(line: str) -> set[str]:
+    return {line[i:i + SHINGLE] for i in range(max(1, len(line) - SHINGLE + 1))}
 
 
 def similar(a: str, b: str) -> bool:
@@ -180,26 +181,29 @@ def _distinct(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
 def _candidates(docs: DataFrame) -> DataFrame:
     """``key, node`` of the band keys that at least two lines hold."""
 
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes, held, seen = [], [], 0, np.zeros(0, np.int64)
+        keys, nodes, held = [], [], 0
+        seen = np.zeros(1 << 20, np.int64)  # a line at the place of its last bits, until another one takes it
         for b in slices(batches, "text", 1 << 17):
             lines, node = _distinct(b.column("text").to_pylist())
-            new = ~np.isin(node, seen)
+            new = seen[node & (len(seen) - 1)] != node
             lines, node = [x for x, k in zip(lines, new, strict=True) if k], node[new]
             if not lines:
                 continue
-            seen = np.concatenate([seen, node])[-1_000_000:]
+            seen[node & (len(seen) - 1)] = node
             line, key = band_keys(lines)
             keys.append(key)
             nodes.append(node[line])
             held += len(key)
-            if held > 1 << 18:
-                yield flagged(["key", "node"], [np.concatenate(keys), np.concatenate(nodes)])
+            if held > 1 << 19:
+                yield packed(np.concatenate(keys), np.concatenate(nodes), n)
                 keys, nodes, held = [], [], 0
         if keys:
-            yield flagged(["key", "node"], [np.concatenate(keys), np.concatenate(nodes)])
+            yield packed(np.concatenate(keys), np.concatenate(nodes), n)
 
-    return shared_rows(docs.select("text").mapInArrow(run, "key long, node long, flag int"))
+    return shared_pairs(docs.select("text").mapInArrow(run, packed_schema), n)
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -260,14 +264,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     free = F.lit(0).cast("long")  # sizes are not known yet: every pair is a candidate
     roots = link_buckets(members.select("key", "node", free.alias("size"), free.alias("cap")), _verifier(texts), _sketches(texts), 80)
     place = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("d"), F.col("text_hash").alias("t"), F.col("line").alias("l"))
-    first = rows.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    first = first.join(roots, "node", "left").select("node", "first", "n", "root")
-    alone = first.filter("root is null and n > 1").select("node", "first")
-    linked = first.filter("root is not null")
-    heads = linked.groupBy("root").agg(F.min("first").alias("head"))
-    grouped = linked.join(heads, "root").select("node", F.col("head").alias("first"))
-    kept = written(spark, alone.unionByName(grouped), "first_lines")
-    going = rows.join(kept, "node").filter(place != F.col("first")).select("doc_id", "text_hash", "line")
+    # a line that stands once and is like no other needs no first place
+    count = rows.groupBy("node").agg(F.count("*").alias("n")).join(roots, "node", "left").filter("root is not null or n > 1")
+    repeated = rows.join(count.select("node", F.coalesce("root", "node").alias("group")), "node").drop("node")
+    repeated = written(spark, repeated, "repeated")
+    first = repeated.groupBy("group").agg(F.min(place).alias("first"))
+    going = repeated.join(first, "group").filter(place != F.col("first")).select("doc_id", "text_hash", "line")
     return going.distinct().groupBy("doc_id", "text_hash").agg(F.collect_list("line").alias("lines"))
 
 
@@ -283,7 +285,7 @@ def dedup_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     return both.select(
         *[F.when(F.col("_l").isNull(), F.col(text)).otherwise(F.array_join(left, "\n")).alias(text) if c == text else F.col(f"`{c}`")
           for c in docs.columns],
-        F.when(F.length(text) > 0, F.size(cut)).otherwise(0).cast("long").alias("n_lines"),
+        F.when(F.length(text) > 0, F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).otherwise(0).cast("long").alias("n_lines"),
         F.coalesce(F.when(F.col("_l").isNotNull(), F.size("_l")), F.lit(0)).cast("long").alias("n_removed"))
 
 

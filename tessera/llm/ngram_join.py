@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = _sets(docs, open_classes)
     sets = sets.join(_own(sets), "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
     sets = written(spark, sets.filter(F.col("own") * 100 <= F.col("n") * (100 - PERCENT)), "sets")
-    roots = link_buckets(_members(sets), _verifier(sets), _sketches(sets), PERCENT)
+    roots = link_buckets(written(spark, _members(sets), "members"), _verifier(sets), _sketches(sets), PERCENT)
     several = written(spark, _same_id(rows), "same-id")
     if not several.isEmpty():
         roots = connected(several.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))

@@ -2,6 +2,7 @@
 
 Rows ``(key, node, ...)`` go to the task of their key once, sorted, and are
 streamed: a run of equal keys held by one node only is dropped, others pass.
+Many pairs ``(key, node)`` go as arrays of a bucket of keys (``packed``).
 A key that already has more than ``HOT`` nodes within one map task is known to
 be shared there; all its rows but one then go to any task (a salt) and pass
 without looking, so a key held by a third of all rows loads no single task.
@@ -16,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.shingles import mix
+
 HOT = 64
 #: What a row knows: nothing, shared (passes), shared (passes and tells the other rows of its key).
 PLAIN, KNOWN, TELLS = 0, 1, 2
@@ -74,6 +77,63 @@ def shared_rows(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(stream, rows.select(*names).schema)
 
 
+#: Buckets of keys per partition: a task takes up the pairs of one at a time.
+BUCKETS = 8
+packed_schema = "bucket int, keys array<long>, nodes array<long>, flags array<tinyint>"
+
+
+def packed(key: np.ndarray, node: np.ndarray, partitions: int) -> pa.RecordBatch:
+    """A map task's pairs and their flags, a row for each bucket of keys."""
+    flag = flags(key, node)
+    mixed = mix(np.where(flag == KNOWN, key ^ node, key).view(np.uint64))
+    bucket = ((mixed >> np.uint64(32)) * np.uint64(partitions * BUCKETS) >> np.uint64(32)).astype(np.int32)
+    order = np.argsort(bucket)
+    bucket = bucket[order]
+    start = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[:len(bucket)])
+    offsets = pa.array(np.concatenate([start, [len(bucket)]]).astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[start]), *(pa.ListArray.from_arrays(offsets, pa.array(x[order])) for x in (key, node, flag))],
+        names=["bucket", "keys", "nodes", "flags"])
+
+
+def shared_pairs(rows: DataFrame, partitions: int) -> DataFrame:
+    """``key, node`` of the ``packed`` pairs whose key has at least two nodes, no pair twice in a bucket."""
+    dealt = rows.repartition(partitions, "bucket").sortWithinPartitions("bucket")
+
+    def shared(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        key, node, flag = (np.concatenate([p.column(c).flatten().to_numpy() for p in parts]) for c in ("keys", "nodes", "flags"))
+        order = np.argsort(key)
+        key = key[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        keep = np.repeat(np.diff(start, append=len(key)) > 1, np.diff(start, append=len(key))) | (flag[order] > 0)
+        key, node, flag = key[keep], node[order][keep], flag[order][keep]
+        order = np.lexsort((node, key))
+        key, node, flag = key[order], node[order], flag[order]
+        first = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
+        new = first | np.concatenate([[True], node[1:] != node[:-1]])[:len(key)]
+        run = np.cumsum(first) - 1
+        many = (np.bincount(run, new) > 1) | (np.bincount(run, flag) > 0)
+        out = many[run] & new if len(key) else first
+        return pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(node[out])], names=["key", "node"])
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            bucket = b.column("bucket").to_numpy()
+            cut = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
+            for a, e in zip([0, *cut], [*cut, len(bucket)], strict=True):
+                if held and held[0].column("bucket")[0].as_py() != bucket[a]:
+                    yield shared(held)
+                    held = []
+                held.append(b.slice(int(a), int(e - a)))
+        if held:
+            yield shared(held)
+
+    return dealt.mapInArrow(stream, "key long, node long")
+
+
 class Sieve:
     """A bitmap of fixed size over 64-bit numbers: says which cannot be in a set, never loses one that is.
 

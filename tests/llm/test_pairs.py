@@ -325,3 +325,94 @@ def test_comparing_a_block_holds_few_pairs_at_once():
         tracemalloc.stop()
     assert (7, 9) in found
     assert most < 32 << 20, most
+
+
+def test_near_copies_are_settled_in_one_round_of_sketches(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.llm import components
+
+    names, real = [], components.written
+
+    def noted(session, df, name):
+        names.append(name)
+        return real(session, df, name)
+
+    monkeypatch.setattr(components, "written", noted)
+    rng = np.random.default_rng(8)
+    sets = {}
+    for i in range(0, 40, 2):  # twenty pairs of near copies in one bucket
+        sets[i] = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+        sets[i + 1] = sets[i][2:]
+
+    def verify(pairs):
+        return pairs.filter("a - a % 2 = b - b % 2")
+
+    def sketches(nodes):
+        data = [(r.node, len(sets[r.node]), bytearray(components.parity_sketch(sets[r.node]))) for r in nodes.collect()]
+        return spark.createDataFrame(data, "node long, n long, bits binary")
+
+    members = spark.createDataFrame([(1, i, 0, 0) for i in range(40)], "key long, node long, size long, cap long")
+    got = {r.node: r.root for r in components.link_buckets(members, verify, sketches, 80).collect()}
+    assert got == {i: i - i % 2 for i in range(40)}
+    assert names.count("links") == 2, names  # of the leads and of one round; a round without a link and one of all pairs followed before
+
+
+def test_members_with_more_to_name_than_a_round_takes(spark, monkeypatch):
+    import numpy as np
+
+    from tessera.llm import components
+
+    monkeypatch.setattr(components, "NAMED", 1)
+    monkeypatch.setattr(components, "BLOCK", 16)
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 62, 120)
+    sets = {i: frozenset(base[(np.arange(120) * 7 + i * (2 + i % 3)) % 120 < 92].tolist()) for i in range(150)}
+
+    def similarity(a, b):
+        return 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+
+    def verify(pairs):
+        found = [(r.a, r.b) for r in pairs.collect() if similarity(r.a, r.b)]
+        return spark.createDataFrame(found, "a long, b long")
+
+    def sketches(nodes):
+        data = [(r.node, len(sets[r.node]), bytearray(components.parity_sketch(np.array(sorted(sets[r.node]), np.uint64)))) for r in nodes.collect()]
+        return spark.createDataFrame(data, "node long, n long, bits binary")
+
+    members = spark.createDataFrame([(1, i, 0, 0) for i in range(150)] * 2, "key long, node long, size long, cap long")
+    got = {r.node: r.root for r in components.link_buckets(members, verify, sketches, 80).collect()}
+    root = list(range(150))
+    for _ in range(150):
+        for a in range(150):
+            for b in range(a):
+                if similarity(a, b):
+                    root[a] = root[b] = min(root[a], root[b])
+    assert {i: got.get(i, i) for i in range(150)} == dict(enumerate(root))
+
+
+def test_shared_pairs_are_those_of_keys_with_two_nodes(spark):
+    import numpy as np
+
+    from tessera.llm import sharing
+
+    rng = np.random.default_rng(6)
+    key, node = rng.integers(-3000, 3000, 9000), rng.integers(0, 1 << 40, 9000)
+    key[:500], node[300:500] = 7, node[:200]  # a key of many nodes, some of them twice
+    key[500:520] = node[500:520] = 9  # and one of a single node
+    rows = spark.createDataFrame([(int(k), int(n)) for k, n in zip(key, node, strict=True)], "key long, node long").repartition(5)
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield sharing.packed(*(b.column(c).to_numpy() for c in ("key", "node")), 4)
+
+    packed = rows.mapInArrow(run, sharing.packed_schema)
+    assert packed.count() <= 5 * 4 * sharing.BUCKETS  # a row for each pair before
+    held = {}
+    for k, n in zip(key.tolist(), node.tolist(), strict=True):
+        held.setdefault(k, set()).add(n)
+    got = [(r.key, r.node) for r in sharing.shared_pairs(packed, 4).collect()]
+    assert set(got) == {(k, n) for k, ns in held.items() if len(ns) > 1 for n in ns}
+    assert len(got) < len(set(got)) + 50
+
