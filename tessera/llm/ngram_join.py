@@ -160,21 +160,26 @@ def _own(sets: DataFrame) -> DataFrame:
 
 
 def _members(sets: DataFrame) -> DataFrame:
-    """``key, node, size, cap``: the keys that at least two sets hold."""
+    """``key, node, size, cap``: the keys that at least two sets hold, one of them in the sketch of its own band.
+
+    Two sets of one band meet in the sketch of that band; where both are guests, in that of the band below,
+    they need not meet again.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple] = []
         held = 0
-        names = ["key", "node", "size", "cap"]
+        names = ["key", "node", "size", "cap", "guest"]
         for b in batches:
             col = b.column("elements")
             off, flat = col.offsets.to_numpy(), col.values.to_numpy().view(np.uint64)
             for i, (cls, own) in enumerate(zip(b.column("cls").to_pylist(), b.column("own").to_pylist(), strict=True)):
                 s = flat[off[i]:off[i + 1]]
                 n, k = len(s), band(len(s))
-                keys = np.concatenate([sketch_keys(s, j) for j in ((k, k - 1) if k else (k,))])
+                by = [sketch_keys(s, j) for j in ((k, k - 1) if k else (k,))]
+                keys = np.concatenate(by)
                 cap = ((100 + PERCENT) * (n - own)) // PERCENT - n  # with 80 percent: 1.25 n - 2.25 own
-                parts.append((signed(keys), *(np.full(len(keys), x) for x in (cls, n, cap))))
+                parts.append((signed(keys), *(np.full(len(keys), x) for x in (cls, n, cap)), np.repeat([0, 1][:len(by)], [len(x) for x in by])))
                 held += len(keys)
                 if held > 1 << 18:
                     yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
@@ -182,7 +187,7 @@ def _members(sets: DataFrame) -> DataFrame:
         if parts:
             yield flagged(names, [np.concatenate(x) for x in zip(*parts, strict=True)])
 
-    return shared_rows(sets.select("cls", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, flag int"))
+    return shared_rows(sets.select("cls", "own", "elements").mapInArrow(run, "key long, node long, size long, cap long, guest long, flag int"), "guest")
 
 
 def _sketches(sets: DataFrame):

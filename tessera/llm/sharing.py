@@ -44,12 +44,17 @@ def flagged(names: list[str], columns: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(flag.astype(np.int32))], names=[*names, "flag"])
 
 
-def shared_rows(rows: DataFrame) -> DataFrame:
-    """The rows of ``rows(key, node, ..., flag)`` whose key has at least two nodes, without the flag."""
+def shared_rows(rows: DataFrame, guest: str | None = None) -> DataFrame:
+    """The rows of ``rows(key, node, ..., flag)`` whose key has at least two nodes, without the flag.
+
+    ``guest`` names a column of 0 and 1, left out too: keys all of whose rows are guests are dropped as well,
+    unless a map task knows them to be shared.
+    """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    names = [c for c in rows.columns if c != "flag"]
+    names = [c for c in rows.columns if c not in ("flag", guest)]
+    order = [F.col("key"), F.desc("flag"), F.col(guest)] if guest else [F.col("key")]  # so a run's first row tells
     salt = F.when(F.col("flag") == KNOWN, F.xxhash64(*names)).otherwise(F.lit(0))
-    dealt = rows.withColumn("salt", salt).repartition(n, "key", "salt").drop("salt").sortWithinPartitions("key")
+    dealt = rows.withColumn("salt", salt).repartition(n, "key", "salt").drop("salt").sortWithinPartitions(*order)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -64,13 +69,16 @@ def shared_rows(rows: DataFrame) -> DataFrame:
             key, node, flag = (t.column(c).to_numpy() for c in ("key", "node", "flag"))
             start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             many = (np.minimum.reduceat(node, start) != np.maximum.reduceat(node, start)) | (np.maximum.reduceat(flag, start) > 0)
+            if guest:
+                dropped = (t.column(guest).to_numpy()[start] > 0) & (flag[start] == 0)
+                many &= ~dropped
             if open_key is not None and key[0] == open_key:
                 many[0] = True
             size = np.diff(np.concatenate([start, [len(key)]]))
             keep = np.repeat(many, size)
             open_key = key[-1] if many[-1] else None
             if not many[-1]:
-                held = t.slice(int(start[-1]))
+                held = t.slice(int(start[-1]), 1 if guest and dropped[-1] else None)
             if keep.any():
                 yield from t.select(names).filter(pa.array(keep)).combine_chunks().to_batches()
 

@@ -416,3 +416,25 @@ def test_shared_pairs_are_those_of_keys_with_two_nodes(spark):
     assert set(got) == {(k, n) for k, ns in held.items() if len(ns) > 1 for n in ns}
     assert len(got) < len(set(got)) + 50
 
+
+
+def test_sets_of_one_band_do_not_meet_again_in_the_band_below(spark):
+    import numpy as np
+
+    from tessera.llm.shingles import signed
+
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 1 << 62, 110).astype(np.uint64)
+    sizes = [110] * 6  # all in one band
+
+    def rows(sizes):
+        data = [(i, 0, signed(np.sort(np.concatenate([base[:n - 1], np.array([i], np.uint64)]))).tolist()) for i, n in enumerate(sizes)]
+        return ngram_join._members(spark.createDataFrame(data, "cls long, own long, elements array<long>")).collect()
+
+    k = ngram_join.band(110)
+    below = {int(x) for i in range(6) for x in signed(ngram_join.sketch_keys(np.sort(np.concatenate([base[:109], np.array([i], np.uint64)])), k - 1))}
+    got = rows(sizes)
+    assert got and not [r for r in got if r.key in below]  # half of the rows before
+    lower = next(n for n in range(110, 0, -1) if ngram_join.band(n) < k)
+    mixed = rows([*sizes, lower])  # with a set of the band below they meet there
+    assert {r.node for r in mixed if r.key in {x.key for x in mixed if x.node == 6}} == set(range(7))
