@@ -31,6 +31,20 @@ def test_rows_are_generated_by_many_tasks(spark):
     assert generate_int_over(rows, 5, 0).df.count() == 0
 
 
+def test_generated_cells_take_little_room_in_files(spark, tmp_path):
+    ids = [*range(0, 6000, 100), 300, 300, 1234, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "id long")
+    n = 10_003
+    values = {generate_int_over: "(row * 31L + col * 17L + row * 7L * col) % 100",
+              generate_random_over: f"conv(left(md5('42:' || (row * {n}L + col)), 13), 16, 10) / 4503599627370496e0 * 1000"}
+    for k, (over, room) in enumerate(((generate_int_over, 0.5), (generate_random_over, 8.5))):
+        over(rows, 6000, n).df.write.parquet(f"{tmp_path}/{k}")
+        got = spark.read.parquet(f"{tmp_path}/{k}")
+        assert got.filter(f"value = {values[over]}").count() == 63 * n
+        assert got.filter("row = 300").count() == 3 * n and got.select("row", "col").distinct().count() == 61 * n
+        assert sum(f.stat().st_size for f in (tmp_path / str(k)).glob("*.parquet")) < room * 63 * n
+
+
 def test_check_shuffles_cells_and_not_sums_per_task(spark):
     cells = spark.range(3000).select((F.col("id") % 1000).cast("int").alias("row"),
                                      (F.col("id") * 7 % 997).cast("int").alias("col"), F.lit(2).cast("long").alias("value"))
